@@ -1 +1,380 @@
-ORACLE_SQL: dict[str, str] = {}
+"""DuckDB SQL twins of the registered queries (the correctness oracle).
+
+Written independently of the Spark code, as plain SQL over the test tables
+(``region nation customer supplier part orders lineitem events ...`` are views).
+Every query shares one CTE prefix that defines the stand-in raw tables and the
+model layers; DuckDB drops the CTEs a query does not use.
+"""
+
+from __future__ import annotations
+
+from strata.plans import quality
+from strata.sources.seeds import TESTDATA_GENRE_MAPPING_ROWS
+
+NULL_KEY = "_dbt_utils_surrogate_key_null_"
+DAY1 = "2024-02-01 00:00:00"
+DAY2 = "2024-02-02 00:00:00"
+LOAD1 = "2024-02-01 06:00:00"
+LOAD2 = "2024-02-02 06:00:00"
+CUTOFF = "2024-01-20 00:00:00"
+
+
+def sk(*cols: str) -> str:
+    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '{NULL_KEY}')" for c in cols)
+    return f"md5(concat_ws('-', {parts}))"
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_SEED = ", ".join(f"({_q(a)}, {_q(b)})" for a, b in TESTDATA_GENRE_MAPPING_ROWS)
+
+
+def _movie_chain(sfx: str, raw: str) -> str:
+    return f"""
+stg_movies{sfx} AS (SELECT movieId AS movie_id, title, genres FROM {raw}),
+int_movies_with_links{sfx} AS (
+  SELECT m.movie_id, m.title,
+         NULLIF(regexp_extract(m.title, '\\(([0-9]{{4}})\\)', 1), '') AS release_year,
+         m.genres, l.imdb_id, l.tmdb_id
+  FROM stg_movies{sfx} m LEFT JOIN stg_links l ON m.movie_id = l.movie_id),
+dim_movies{sfx} AS (
+  SELECT {sk('movie_id')} AS movie_sk, movie_id, title, release_year, genres, imdb_id, tmdb_id
+  FROM int_movies_with_links{sfx})"""
+
+
+def _incremental(name: str, rows: str, ts: str, keys: list[str], cols: list[str]) -> str:
+    """History = rows at/before the cutoff minus every tenth event; batch = rows
+    above the history's max ts, latest per key; MERGE = update matched + insert new."""
+    on = " AND ".join(f"t.{k} = b.{k}" for k in keys)
+    nn = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    anynull = " OR ".join(f"{k} IS NULL" for k in keys)
+    part = ", ".join(keys)
+    upd = ", ".join(
+        (f"t.{c}" if c in keys else f"CASE WHEN b.__m THEN b.{c} ELSE t.{c} END AS {c}") for c in cols
+    )
+    sel = ", ".join(cols)
+    return f"""
+{name}_hist AS (
+  SELECT {sel} FROM {rows}
+  WHERE {ts} <= TIMESTAMP '{CUTOFF}' AND event_id % 10 <> 0),
+{name}_batch AS (
+  SELECT * FROM {rows} WHERE {ts} > (SELECT max({ts}) FROM {name}_hist)),
+{name}_latest AS (
+  SELECT {sel} FROM (
+    SELECT *, row_number() OVER (PARTITION BY {part} ORDER BY {ts} DESC, event_id DESC) AS __rn
+    FROM {name}_batch WHERE {nn}) WHERE __rn = 1
+  UNION ALL SELECT {sel} FROM {name}_batch WHERE {anynull}),
+{name} AS (
+  SELECT {upd} FROM {name}_hist t LEFT JOIN (SELECT *, TRUE AS __m FROM {name}_latest) b ON {on}
+  UNION ALL
+  SELECT {sel} FROM {name}_latest b WHERE NOT EXISTS (SELECT 1 FROM {name}_hist t WHERE {on}))"""
+
+
+PAYLOAD_COLS = ["tmdb_id", "title", "overview", "runtime", "popularity", "budget", "revenue",
+                "release_date", "poster_path", "raw_json"]
+
+PREFIX = f"""WITH
+raw_movies AS (
+  SELECT CAST(p_partkey AS BIGINT) AS movieId,
+         p_name || CASE WHEN p_size % 10 = 0 THEN '' ELSE ' (' || CAST(1950 + p_size AS VARCHAR) || ')' END AS title,
+         CASE WHEN p_partkey % 50 = 0 THEN '(no genres listed)'
+              ELSE p_type || '| ' || replace(p_name, ' ', '|') END AS genres
+  FROM part),
+raw_links AS (
+  SELECT CAST(c_custkey AS BIGINT) AS movieId, c_name AS imdbId,
+         CAST(CASE WHEN c_nationkey = 0 THEN NULL ELSE c_custkey + 100000 END AS BIGINT) AS tmdbId
+  FROM customer),
+raw_ratings AS (
+  SELECT event_id, user_id AS userId, CAST(json_extract(props, '$.k') AS BIGINT) AS movieId,
+         CAST(least(5.0, 0.5 * ceil(value / 10)) AS DOUBLE) AS rating,
+         CAST(floor(epoch(ts)) AS BIGINT) AS "timestamp"
+  FROM events),
+raw_tags AS (
+  SELECT event_id, user_id AS userId, CAST(json_extract(props, '$.k') AS BIGINT) AS movieId,
+         event_type AS tag, CAST(floor(epoch(ts)) AS BIGINT) AS "timestamp"
+  FROM events),
+raw_genome_tags AS (SELECT CAST(n_nationkey AS BIGINT) AS tagId, n_name AS tag FROM nation),
+raw_genome_scores AS (
+  SELECT vec_id AS movieId, CAST(i - 1 AS BIGINT) AS tagId, CAST(embedding[i] AS DOUBLE) AS relevance
+  FROM embeddings, LATERAL (SELECT unnest(generate_series(1, len(embedding))) AS i)),
+raw_movies_day2_edit AS (
+  SELECT movieId,
+         title || CASE WHEN movieId % 5 = 0 THEN '!' ELSE '' END AS title,
+         genres || CASE WHEN movieId % 7 = 0 THEN '|Extra' ELSE '' END AS genres
+  FROM raw_movies),
+raw_movies_day2 AS (
+  SELECT * FROM raw_movies_day2_edit WHERE movieId % 11 <> 0
+  UNION ALL
+  SELECT movieId + 1000000 AS movieId, title, genres FROM raw_movies_day2_edit WHERE movieId % 13 = 0),
+raw_responses AS (
+  SELECT event_id,
+         CAST(CASE event_type WHEN 'error' THEN 404 WHEN 'signup' THEN 500 ELSE 200 END AS BIGINT) AS status,
+         '{{"id": ' || json_extract_string(props, '$.k') || ', "title": "' || event_type
+           || '", "popularity": ' || CAST(value AS VARCHAR) || '}}' AS body
+  FROM events),
+genre_mapping AS (SELECT * FROM (VALUES {_SEED}) AS t(raw_genre, display_genre)),
+stg_ratings AS (
+  SELECT userId AS user_id, movieId AS movie_id, rating,
+         make_timestamp("timestamp" * 1000000) AS rating_timestamp
+  FROM raw_ratings),
+stg_tags AS (
+  SELECT userId AS user_id, movieId AS movie_id, tag,
+         make_timestamp("timestamp" * 1000000) AS tag_timestamp
+  FROM raw_tags),
+stg_genome_tags AS (SELECT tagId AS tag_id, tag FROM raw_genome_tags),
+stg_genome_scores AS (SELECT movieId AS movie_id, tagId AS tag_id, relevance FROM raw_genome_scores),
+stg_links AS (SELECT movieId AS movie_id, imdbId AS imdb_id, tmdbId AS tmdb_id FROM raw_links),
+{_movie_chain("", "raw_movies")},
+{_movie_chain("_day2", "raw_movies_day2")},
+int_genres_exploded AS (
+  SELECT movie_id, trim(piece) AS genre
+  FROM (SELECT movie_id, unnest(string_split(genres, '|')) AS piece FROM int_movies_with_links)),
+int_ratings_summary AS (
+  SELECT movie_id, avg(rating) AS avg_rating, count(rating) AS rating_count,
+         min(rating) AS min_rating, max(rating) AS max_rating
+  FROM stg_ratings GROUP BY movie_id),
+int_movie_top_tags AS (
+  SELECT t.movie_id, t.tag_id, g.tag, t.relevance, t.tag_rank
+  FROM (SELECT movie_id, tag_id, relevance,
+               row_number() OVER (PARTITION BY movie_id ORDER BY relevance DESC NULLS FIRST, tag_id ASC) AS tag_rank
+        FROM stg_genome_scores) t
+  JOIN stg_genome_tags g ON t.tag_id = g.tag_id
+  WHERE t.tag_rank <= 10),
+dim_tags AS (SELECT {sk('tag_id')} AS tag_sk, tag_id, tag FROM stg_genome_tags),
+fct_ratings AS (
+  SELECT {sk('user_id', 'movie_id')} AS rating_sk, user_id, movie_id, rating, rating_timestamp FROM stg_ratings),
+fct_tag_applications AS (
+  SELECT {sk('user_id', 'movie_id', 'tag')} AS tag_application_sk, user_id, movie_id, tag, tag_timestamp
+  FROM stg_tags),
+fct_genre_ratings AS (
+  SELECT {sk('g.movie_id', 'g.genre')} AS genre_rating_sk, g.movie_id, g.genre, gm.display_genre,
+         r.avg_rating, r.rating_count
+  FROM int_genres_exploded g
+  LEFT JOIN genre_mapping gm ON g.genre = gm.raw_genre
+  LEFT JOIN int_ratings_summary r ON g.movie_id = r.movie_id),
+rating_rows AS (
+  SELECT {sk('userId', 'movieId')} AS rating_sk, userId AS user_id, movieId AS movie_id, rating,
+         make_timestamp("timestamp" * 1000000) AS rating_timestamp, event_id
+  FROM raw_ratings),
+tag_rows AS (
+  SELECT {sk('userId', 'movieId', 'tag')} AS tag_application_sk, userId AS user_id, movieId AS movie_id, tag,
+         make_timestamp("timestamp" * 1000000) AS tag_timestamp, event_id
+  FROM raw_tags),
+{_incremental("inc_fct_ratings", "rating_rows", "rating_timestamp", ["user_id", "movie_id"],
+              ["rating_sk", "user_id", "movie_id", "rating", "rating_timestamp"])},
+{_incremental("inc_fct_tag_applications", "tag_rows", "tag_timestamp", ["user_id", "movie_id", "tag"],
+              ["tag_application_sk", "user_id", "movie_id", "tag", "tag_timestamp"])},
+payloads AS (
+  SELECT event_id,
+         CAST(json_extract(body, '$.id') AS BIGINT) AS tmdb_id,
+         json_extract_string(body, '$.title') AS title,
+         json_extract_string(body, '$.overview') AS overview,
+         CAST(json_extract(body, '$.runtime') AS BIGINT) AS runtime,
+         CAST(json_extract(body, '$.popularity') AS DOUBLE) AS popularity,
+         CAST(json_extract(body, '$.budget') AS BIGINT) AS budget,
+         CAST(json_extract(body, '$.revenue') AS BIGINT) AS revenue,
+         json_extract_string(body, '$.release_date') AS release_date,
+         json_extract_string(body, '$.poster_path') AS poster_path,
+         body AS raw_json
+  FROM raw_responses WHERE status = 200),
+payload_first AS (
+  SELECT {", ".join(PAYLOAD_COLS)}, TIMESTAMP '{LOAD1}' AS loaded_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY tmdb_id ORDER BY event_id DESC) AS __rn
+    FROM payloads WHERE event_id % 2 = 0 AND tmdb_id IS NOT NULL) WHERE __rn = 1
+  UNION ALL
+  SELECT {", ".join(PAYLOAD_COLS)}, TIMESTAMP '{LOAD1}' AS loaded_at
+  FROM payloads WHERE event_id % 2 = 0 AND tmdb_id IS NULL),
+payload_batch AS (
+  SELECT {", ".join(PAYLOAD_COLS)} FROM (
+    SELECT *, row_number() OVER (PARTITION BY tmdb_id ORDER BY event_id DESC) AS __rn
+    FROM payloads WHERE event_id % 2 = 1 AND tmdb_id IS NOT NULL) WHERE __rn = 1
+  UNION ALL
+  SELECT {", ".join(PAYLOAD_COLS)} FROM payloads WHERE event_id % 2 = 1 AND tmdb_id IS NULL),
+payload_after AS (
+  SELECT t.tmdb_id,
+         {", ".join(f"CASE WHEN b.__m THEN b.{c} ELSE t.{c} END AS {c}" for c in PAYLOAD_COLS[1:])},
+         CASE WHEN b.__m THEN TIMESTAMP '{LOAD2}' ELSE t.loaded_at END AS loaded_at
+  FROM payload_first t LEFT JOIN (SELECT *, TRUE AS __m FROM payload_batch) b ON t.tmdb_id = b.tmdb_id
+  UNION ALL
+  SELECT {", ".join(PAYLOAD_COLS)}, TIMESTAMP '{LOAD2}' AS loaded_at
+  FROM payload_batch b WHERE NOT EXISTS (SELECT 1 FROM payload_first t WHERE t.tmdb_id = b.tmdb_id))
+"""
+
+
+def _scd2(hist_src: str, new_src: str, key: str, data_cols: list[str], check_cols: list[str]) -> str:
+    """Two snapshot runs: all rows of ``hist_src`` current at DAY1, then ``new_src`` at DAY2."""
+    cols = ", ".join(data_cols)
+    changed = " OR ".join(f"h.{c} IS DISTINCT FROM s.{c}" for c in check_cols)
+    ch = f"(h.{key} IS NOT NULL AND s.{key} IS NOT NULL AND ({changed}))"
+    return f""",
+h1 AS (
+  SELECT {cols}, md5(CAST({key} AS VARCHAR) || '|' || '{DAY1}') AS scd_id,
+         TIMESTAMP '{DAY1}' AS updated_at, TIMESTAMP '{DAY1}' AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to
+  FROM {hist_src}),
+j AS (
+  SELECT {", ".join(f"h.{c} AS h_{c}" for c in data_cols)}, h.scd_id AS h_scd_id, h.updated_at AS h_updated_at,
+         h.valid_from AS h_valid_from, h.valid_to AS h_valid_to,
+         {", ".join(f"s.{c} AS s_{c}" for c in data_cols)},
+         h.{key} IS NOT NULL AS in_h, s.{key} IS NOT NULL AS in_s, {ch} AS changed
+  FROM h1 h FULL OUTER JOIN {new_src} s ON h.{key} = s.{key})
+SELECT {", ".join(f"h_{c} AS {c}" for c in data_cols)}, h_scd_id AS scd_id, h_updated_at AS updated_at,
+       h_valid_from AS valid_from, CASE WHEN changed THEN TIMESTAMP '{DAY2}' ELSE h_valid_to END AS valid_to
+FROM j WHERE in_h
+UNION ALL
+SELECT {", ".join(f"s_{c} AS {c}" for c in data_cols)}, md5(CAST(s_{key} AS VARCHAR) || '|' || '{DAY2}') AS scd_id,
+       TIMESTAMP '{DAY2}' AS updated_at, TIMESTAMP '{DAY2}' AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to
+FROM j WHERE in_s AND (NOT in_h OR changed)
+"""
+
+
+# Model name -> relation in the prefix used by the check suite.
+CHECK_RELATIONS = {
+    "fct_ratings": "inc_fct_ratings",
+    "fct_tag_applications": "inc_fct_tag_applications",
+    "dim_movies_day2": "dim_movies_day2",
+}
+
+
+def _check_sql(ch) -> str:
+    rel = CHECK_RELATIONS.get(ch.model, ch.model)
+    col = ch.columns[0]
+    if ch.kind == "not_null":
+        n = f"SELECT count(*) FROM {rel} WHERE {col} IS NULL"
+    elif ch.kind == "accepted_range":
+        n = f"SELECT count(*) FROM {rel} WHERE NOT ({col} >= {ch.min_value} AND {col} <= {ch.max_value})"
+    elif ch.kind == "unique":
+        n = f"SELECT count(*) FROM (SELECT {col} FROM {rel} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1)"
+    elif ch.kind == "unique_combination_of_columns":
+        cs = ", ".join(ch.columns)
+        n = f"SELECT count(*) FROM (SELECT {cs} FROM {rel} GROUP BY {cs} HAVING count(*) > 1)"
+    elif ch.kind == "relationships":
+        prel = CHECK_RELATIONS.get(ch.parent, ch.parent)
+        n = (f"SELECT count(*) FROM {rel} f LEFT JOIN {prel} d ON f.{col} = d.{ch.parent_column} "
+             f"WHERE d.{ch.parent_column} IS NULL")
+    else:
+        raise ValueError(ch.kind)
+    return (
+        f"SELECT {_q(ch.check_name)} AS check_name, {_q(ch.kind)} AS kind, {_q(ch.model)} AS model, "
+        f"{_q(ch.column_name)} AS column_name, {_q(ch.severity)} AS severity, CAST(({n}) AS BIGINT) AS failures"
+    )
+
+
+def _report(kinds) -> str:
+    body = "\nUNION ALL\n".join(_check_sql(c) for c in quality.suite(kinds))
+    return (
+        ", report AS (\n" + body + "\n)\n"
+        "SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status "
+        "FROM report"
+    )
+
+
+def _metric_cols() -> str:
+    return ("avg(rating) AS average_movie_rating, count(rating_sk) AS total_ratings, "
+            "count(DISTINCT user_id) AS total_unique_users")
+
+
+_GRAIN = "\nUNION ALL\n".join(
+    f"SELECT '{g}' AS grain, CAST(date_trunc('{g}', rating_timestamp) AS DATE) AS metric_time, {_metric_cols()} "
+    f"FROM fct_ratings GROUP BY 1, 2"
+    for g in ("day", "week", "month")
+)
+
+_BODIES = {
+    "stg_movies": "SELECT * FROM stg_movies",
+    "stg_links": "SELECT * FROM stg_links",
+    "stg_ratings": "SELECT * FROM stg_ratings",
+    "stg_tags": "SELECT * FROM stg_tags",
+    "stg_genome_tags": "SELECT * FROM stg_genome_tags",
+    "stg_genome_scores": "SELECT * FROM stg_genome_scores",
+    "seed_lookup": (
+        "SELECT g.movie_id, g.genre, gm.display_genre FROM int_genres_exploded g "
+        "LEFT JOIN genre_mapping gm ON g.genre = gm.raw_genre"
+    ),
+    "movies_with_links": "SELECT * FROM int_movies_with_links",
+    "release_year": "SELECT movie_id, title, release_year FROM int_movies_with_links",
+    "genres_exploded": "SELECT * FROM int_genres_exploded",
+    "ratings_summary": "SELECT * FROM int_ratings_summary",
+    "top_tags": "SELECT * FROM int_movie_top_tags",
+    "dim_movies": "SELECT * FROM dim_movies",
+    "dim_tags": "SELECT * FROM dim_tags",
+    "surrogate_key": "SELECT * FROM fct_ratings",
+    "genre_ratings": "SELECT * FROM fct_genre_ratings",
+    "genre_popularity": (
+        "SELECT display_genre, round(SUM(avg_rating * rating_count) / SUM(rating_count), 6) AS weighted_avg_rating, "
+        "CAST(SUM(rating_count) AS BIGINT) AS total_ratings FROM fct_genre_ratings GROUP BY display_genre "
+        "ORDER BY weighted_avg_rating DESC NULLS FIRST, display_genre NULLS FIRST"
+    ),
+    "top_rated": (
+        "SELECT movie_id, d.title, s.avg_rating, s.rating_count FROM int_ratings_summary s "
+        "JOIN dim_movies d USING (movie_id) WHERE s.rating_count >= 100 "
+        "ORDER BY s.avg_rating DESC NULLS FIRST, movie_id LIMIT 10"
+    ),
+    "date_spine": (
+        ", bounds AS (SELECT min(CAST(rating_timestamp AS DATE)) AS lo, max(CAST(rating_timestamp AS DATE)) AS hi "
+        "FROM stg_ratings), "
+        "spine AS (SELECT CAST(d AS DATE) AS date_day FROM "
+        "(SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM bounds)), "
+        "per_day AS (SELECT CAST(rating_timestamp AS DATE) AS date_day, count(rating_sk) AS total_ratings "
+        "FROM fct_ratings GROUP BY 1) "
+        "SELECT s.date_day, CAST(coalesce(p.total_ratings, 0) AS BIGINT) AS total_ratings "
+        "FROM spine s LEFT JOIN per_day p ON s.date_day = p.date_day"
+    ),
+    "high_water_filter": (
+        "SELECT rating_sk, user_id, movie_id, rating, rating_timestamp FROM inc_fct_ratings_batch"
+    ),
+    "incremental_ratings": "SELECT * FROM inc_fct_ratings",
+    "incremental_tags": "SELECT * FROM inc_fct_tag_applications",
+    "enrichment_keys": (
+        "SELECT DISTINCT tmdb_id FROM dim_movies WHERE tmdb_id IS NOT NULL ORDER BY tmdb_id LIMIT 100"
+    ),
+    "payload_parse": "SELECT * FROM payloads",
+    "payload_upsert": "SELECT * FROM payload_after",
+    "upsert_report": (
+        ", rb AS (SELECT status, CASE WHEN status = 200 THEN CAST(json_extract(body, '$.id') AS BIGINT) END AS id "
+        "FROM raw_responses WHERE event_id % 2 = 1), "
+        "known AS (SELECT DISTINCT tmdb_id FROM payload_first WHERE tmdb_id IS NOT NULL), "
+        "j AS (SELECT rb.status, rb.id, k.tmdb_id IS NOT NULL AS is_known FROM rb LEFT JOIN known k ON rb.id = k.tmdb_id) "
+        "SELECT CAST(count(*) AS BIGINT) AS keys_queried, "
+        "CAST(count(*) FILTER (WHERE status = 200) AS BIGINT) AS movies_fetched, "
+        "CAST(count(*) FILTER (WHERE status = 404) AS BIGINT) AS not_found, "
+        "CAST(count(*) FILTER (WHERE status NOT IN (200, 404)) AS BIGINT) AS other_errors, "
+        "CAST(count(*) FILTER (WHERE status = 200) AS BIGINT) AS movies_loaded, "
+        "CAST(count(DISTINCT CASE WHEN NOT is_known THEN id END) AS BIGINT) AS keys_inserted, "
+        "CAST(count(DISTINCT CASE WHEN is_known THEN id END) AS BIGINT) AS keys_updated FROM j"
+    ),
+    "scd2_raw": _scd2("raw_movies", "raw_movies_day2", "movieId", ["movieId", "title", "genres"], ["genres"]),
+    "scd2_dim": _scd2(
+        "dim_movies", "dim_movies_day2", "movie_sk",
+        ["movie_sk", "movie_id", "title", "release_year", "genres", "imdb_id", "tmdb_id"],
+        ["genres", "release_year", "imdb_id", "tmdb_id"],
+    ),
+    "metric_average": "SELECT avg(rating) AS average_movie_rating FROM fct_ratings",
+    "metric_count": "SELECT count(rating_sk) AS total_ratings FROM fct_ratings",
+    "metric_count_distinct": "SELECT count(DISTINCT user_id) AS total_unique_users FROM fct_ratings",
+    "metric_by_movie": f"SELECT movie_id, {_metric_cols()} FROM fct_ratings GROUP BY movie_id",
+    "metric_by_grain": _GRAIN,
+    "check_not_null": _report(("not_null",)),
+    "check_unique": _report(("unique",)),
+    "check_unique_combo": _report(("unique_combination_of_columns",)),
+    "check_range": _report(("accepted_range",)),
+    "check_lookup_complete": "SELECT * FROM fct_genre_ratings WHERE display_genre IS NULL",
+    "check_orphans": (
+        "SELECT f.movie_id FROM inc_fct_ratings f LEFT JOIN dim_movies_day2 d ON f.movie_id = d.movie_id "
+        "WHERE d.movie_id IS NULL"
+    ),
+    "check_orphans_tags": (
+        "SELECT f.movie_id FROM inc_fct_tag_applications f LEFT JOIN dim_movies_day2 d ON f.movie_id = d.movie_id "
+        "WHERE d.movie_id IS NULL"
+    ),
+    "check_report": _report(None),
+}
+
+
+def _full(body: str) -> str:
+    # Bodies that start with ", name AS (...)" extend the CTE list.
+    return PREFIX + ("" if body.startswith(",") else "\n") + body
+
+
+ORACLE_SQL: dict[str, str] = {k: _full(v) for k, v in _BODIES.items()}
