@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _MATCH = "__strata_matched"
+_UNSET = object()
 _SRC = "__s_"
 
 
@@ -177,6 +178,7 @@ def incremental_load(
     ts_col: str,
     on_duplicate: str = "error",
     order_cols: Sequence[str] = (),
+    mark=_UNSET,
 ) -> DataFrame:
     """Keyed incremental load with a high-water mark.
 
@@ -186,9 +188,11 @@ def incremental_load(
     the target are upserted by ``keys``: late rows (at or below the mark) are never
     loaded, and a NULL timestamp loads only on the first run.
     Columns of the source that are not in the target (e.g. order columns) are
-    dropped from the result.
+    dropped from the result. ``mark`` may be passed when the caller already read it
+    (e.g. to push it into the source scan); it must be ``max(ts_col)`` of target.
     """
-    mark = None if target is None else high_water_mark(target, ts_col)
+    if mark is _UNSET:
+        mark = None if target is None else high_water_mark(target, ts_col)
     if mark is None:
         out_cols = [c for c in source.columns if c not in order_cols or c == ts_col]
         return source.select(*out_cols)

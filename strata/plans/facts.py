@@ -19,14 +19,15 @@ RATING_KEYS = ["user_id", "movie_id"]
 TAG_KEYS = ["user_id", "movie_id", "tag"]
 
 
-def rating_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ratings fact rows with the arrival-order column ``event_id`` carried along."""
-    raw = testdata.raw_ratings(spark, sf_dir)
+def rating_rows(spark: SparkSession, sf_dir: str, after=None) -> DataFrame:
+    """Ratings fact rows with the arrival-order column ``event_id`` carried along;
+    with ``after``, only rows stamped after it (filter pushed to the raw scan)."""
+    raw = testdata.raw_ratings(spark, sf_dir, after)
     return marts.fct_ratings_rows(staging.stg_ratings(raw, carry=("event_id",)), carry=("event_id",))
 
 
-def tag_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = testdata.raw_tags(spark, sf_dir)
+def tag_rows(spark: SparkSession, sf_dir: str, after=None) -> DataFrame:
+    raw = testdata.raw_tags(spark, sf_dir, after)
     return marts.fct_tag_applications_rows(staging.stg_tags(raw, carry=("event_id",)), carry=("event_id",))
 
 
@@ -37,30 +38,35 @@ def stored_history(rows: DataFrame, ts_col: str) -> DataFrame:
 
 
 def new_rating_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = rating_rows(spark, sf_dir)
-    mark = high_water_mark(stored_history(rows, "rating_timestamp"), "rating_timestamp")
+    history = stored_history(rating_rows(spark, sf_dir), "rating_timestamp")
+    mark = high_water_mark(history, "rating_timestamp")
+    rows = rating_rows(spark, sf_dir, after=mark)
     return high_water_filter(rows, "rating_timestamp", mark).drop("event_id")
 
 
 def incremental_fct_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = rating_rows(spark, sf_dir)
+    history = stored_history(rating_rows(spark, sf_dir), "rating_timestamp")
+    mark = high_water_mark(history, "rating_timestamp")
     return incremental_load(
-        stored_history(rows, "rating_timestamp"),
-        rows,
+        history,
+        rating_rows(spark, sf_dir, after=mark),
         RATING_KEYS,
         "rating_timestamp",
         on_duplicate="latest",
         order_cols=["rating_timestamp", "event_id"],
+        mark=mark,
     )
 
 
 def incremental_fct_tag_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = tag_rows(spark, sf_dir)
+    history = stored_history(tag_rows(spark, sf_dir), "tag_timestamp")
+    mark = high_water_mark(history, "tag_timestamp")
     return incremental_load(
-        stored_history(rows, "tag_timestamp"),
-        rows,
+        history,
+        tag_rows(spark, sf_dir, after=mark),
         TAG_KEYS,
         "tag_timestamp",
         on_duplicate="latest",
         order_cols=["tag_timestamp", "event_id"],
+        mark=mark,
     )

@@ -6,6 +6,7 @@ import csv
 import io
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.sources.schemas import GENRE_MAPPING
@@ -69,12 +70,27 @@ TESTDATA_GENRE_MAPPING_ROWS = [
 # A seed is loaded on the driver and shipped inside the plan; refuse anything that is
 # not small, so the broadcast of the lookup stays bounded.
 MAX_SEED_ROWS = 10_000
+MAX_SEED_BROADCAST_BYTES = 8 * 1024 * 1024
+
+
+def seed_size_bytes(rows: list[tuple]) -> int:
+    """Upper bound of the seed's in-memory size (value text plus per-value overhead)."""
+    return sum(len(str(v)) + 16 for r in rows for v in r)
 
 
 def seed_frame(spark: SparkSession, rows: list[tuple], schema: StructType = GENRE_MAPPING) -> DataFrame:
+    """The seed as a DataFrame, marked for broadcast.
+
+    A frame built from local rows carries no size statistics, so the planner would
+    never broadcast it on its own; here the size is known exactly on the driver and
+    the hint is only set below ``MAX_SEED_BROADCAST_BYTES``.
+    """
     if len(rows) > MAX_SEED_ROWS:
         raise ValueError(f"seed has {len(rows)} rows; seeds are limited to {MAX_SEED_ROWS}")
-    return spark.createDataFrame(rows, schema)
+    df = spark.createDataFrame(rows, schema)
+    if seed_size_bytes(rows) <= MAX_SEED_BROADCAST_BYTES:
+        df = F.broadcast(df)
+    return df
 
 
 def parse_seed_csv(text: str, schema: StructType = GENRE_MAPPING) -> list[tuple]:
