@@ -117,6 +117,11 @@ class Project:
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def register_views(self) -> None:
+        """Expose every model as a session temp view, for ``spark.sql`` users."""
+        for name in self.MODEL_NAMES:
+            self.model(name).createOrReplaceTempView(name)
+
     MODEL_NAMES = (
         "stg_movies",
         "stg_ratings",
