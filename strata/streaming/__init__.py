@@ -1,0 +1,5 @@
+"""Structured Streaming entry points for the incremental loads."""
+
+from strata.streaming.incremental import start_incremental_fact
+
+__all__ = ["start_incremental_fact"]
