@@ -114,6 +114,55 @@ def _with_status(report: DataFrame) -> DataFrame:
     return report.withColumn("status", status)
 
 
+UNIQUENESS = ("unique", "unique_combination_of_columns")
+
+
+def _uniqueness_keys(check: Check, idx: int) -> Column:
+    """(check index, key) for one row under one uniqueness check; NULL when the
+    row does not take part (a NULL value under ``unique``). Values are compared by
+    their text form, which is exact and injective within one column type."""
+    key = F.array(*[F.col(c).cast("string") for c in check.columns])
+    entry = F.struct(F.lit(idx).alias("check_idx"), key.alias("key"))
+    if check.kind == "unique":
+        return F.when(F.col(check.columns[0]).isNotNull(), entry)
+    return entry
+
+
+def _uniqueness_report(checks: list[Check], frames: Mapping[str, DataFrame]) -> DataFrame:
+    """All uniqueness checks in one shuffle.
+
+    Every model emits one (check, key) row per row and check; a single grouped
+    count over the union finds the keys seen more than once (combined map-side, so
+    a value holding a third of a table moves one row per task), and a second,
+    tiny aggregate counts them per check. Checks without failures are filled in
+    from the check list, a broadcast of at most one row per declared check.
+    """
+    spark = next(iter(frames.values())).sparkSession
+    by_model: dict[str, list[tuple[int, Check]]] = defaultdict(list)
+    for i, ch in enumerate(checks):
+        by_model[ch.model].append((i, ch))
+    parts = []
+    for model, items in by_model.items():
+        entries = F.array(*[_uniqueness_keys(ch, i) for i, ch in items])
+        parts.append(
+            frames[model].select(F.explode(entries).alias("__e")).where(F.col("__e").isNotNull()).select("__e.*")
+        )
+    emitted = parts[0]
+    for part in parts[1:]:
+        emitted = emitted.unionByName(part)
+    repeated = emitted.groupBy("check_idx", "key").count().where(F.col("count") > 1)
+    failures = repeated.groupBy("check_idx").agg(F.count(F.lit(1)).alias("__n"))
+    meta = spark.createDataFrame(
+        [(i, c.check_name, c.kind, c.model, c.column_name, c.severity) for i, c in enumerate(checks)],
+        "check_idx int, check_name string, kind string, model string, column_name string, severity string",
+    )
+    joined = F.broadcast(meta).join(failures, "check_idx", "left")
+    return joined.select(
+        "check_name", "kind", "model", "column_name", "severity",
+        F.coalesce(F.col("__n"), F.lit(0)).cast("bigint").alias("failures"),
+    )
+
+
 def run_checks(checks: Iterable[Check], frames: Mapping[str, DataFrame]) -> DataFrame:
     """Lazy report: check_name, kind, model, column_name, severity, failures, status."""
     checks = list(checks)
@@ -122,9 +171,12 @@ def run_checks(checks: Iterable[Check], frames: Mapping[str, DataFrame]) -> Data
     parts: list[DataFrame] = []
 
     by_model: dict[str, list[Check]] = defaultdict(list)
+    uniqueness: list[Check] = []
     for ch in checks:
         if ch.kind in ROW_LEVEL:
             by_model[ch.model].append(ch)
+        elif ch.kind in UNIQUENESS:
+            uniqueness.append(ch)
         else:
             agg = failing_rows(ch, frames).agg(F.count(F.lit(1)).alias("__n"))
             parts.append(agg.select(*_report_row(ch, F.col("__n"))))
@@ -138,6 +190,9 @@ def run_checks(checks: Iterable[Check], frames: Mapping[str, DataFrame]) -> Data
         rows = F.array(*[F.struct(*_report_row(ch, F.col(f"__c{i}"))) for i, ch in enumerate(row_checks)])
         parts.append(counts.select(F.explode(rows).alias("__r")).select("__r.*"))
 
+    if uniqueness:
+        parts.append(_uniqueness_report(uniqueness, frames))
+
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)

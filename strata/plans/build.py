@@ -4,8 +4,8 @@ Order: seed -> table marts (full rebuild) -> incremental facts (high-water mark
 keyed upsert over the stored version) -> snapshots (type-2 history over the stored
 version) -> check suite over the stored results. Staging and intermediate models
 stay lazy views (optionally registered as temp views for SQL users); nothing is
-collected to the driver except the one ``max(ts)`` per incremental fact and the
-check report (one row per check).
+collected to the driver except each incremental batch's ``max(ts)`` (the next
+high-water mark, kept as version metadata) and the check report (one row per check).
 
 Every stored model is read back after writing, so downstream steps start from
 files, not from the full upstream lineage.
@@ -17,11 +17,10 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata.operators.checks import CheckFailed, run_checks
-from strata.operators.upsert import high_water_mark, incremental_load
 from strata.plans import enrichment, marts, quality, snapshots, staging
+from strata.plans.loads import load_incremental_fact
 from strata.plans.project import Project
 from strata.session import configure
 from strata.sources.raw import RawSources
@@ -51,20 +50,6 @@ def _store(result: BuildResult, store: TableStore, df: DataFrame, layer: str, na
     return stored
 
 
-def _mark(store: TableStore, name: str, ts_col: str):
-    target = store.read(MARTS, name)
-    return target, (None if target is None else high_water_mark(target, ts_col))
-
-
-def _raw_after(raw: DataFrame, mark) -> DataFrame:
-    """Raw rows whose epoch-second ``timestamp`` lies after the mark. A plain
-    comparison on the stored column, so it reaches the Parquet scan; the exact
-    ``ts > mark`` filter is still applied on the staged rows."""
-    if mark is None:
-        return raw
-    return raw.where(F.col("timestamp") > F.unix_seconds(F.lit(mark)))
-
-
 def build(
     spark: SparkSession,
     sources: RawSources,
@@ -93,19 +78,19 @@ def build(
 
     # Incremental facts.
     carry = (order_col,) if order_col else ()
-    target, mark = _mark(store, "fct_ratings", "rating_timestamp")
-    raw = _raw_after(sources.raw_ratings, mark)
-    rows = marts.fct_ratings_rows(staging.stg_ratings(raw, carry=carry), carry=carry)
-    loaded = incremental_load(target, rows, RATING_KEYS, "rating_timestamp", on_duplicate=on_duplicate,
-                              order_cols=["rating_timestamp", *carry], mark=mark)
-    fct_ratings = _store(result, store, loaded.drop(*carry), MARTS, "fct_ratings", repartition_by=RATING_KEYS)
-
-    target, mark = _mark(store, "fct_tag_applications", "tag_timestamp")
-    raw = _raw_after(sources.raw_tags, mark)
-    rows = marts.fct_tag_applications_rows(staging.stg_tags(raw, carry=carry), carry=carry)
-    loaded = incremental_load(target, rows, TAG_KEYS, "tag_timestamp", on_duplicate=on_duplicate,
-                              order_cols=["tag_timestamp", *carry], mark=mark)
-    fct_tags = _store(result, store, loaded.drop(*carry), MARTS, "fct_tag_applications", repartition_by=TAG_KEYS)
+    fct_ratings = load_incremental_fact(
+        store, MARTS, "fct_ratings", sources.raw_ratings,
+        lambda raw: marts.fct_ratings_rows(staging.stg_ratings(raw, carry=carry), carry=carry),
+        RATING_KEYS, "rating_timestamp", on_duplicate, order_col,
+    )
+    fct_tags = load_incremental_fact(
+        store, MARTS, "fct_tag_applications", sources.raw_tags,
+        lambda raw: marts.fct_tag_applications_rows(staging.stg_tags(raw, carry=carry), carry=carry),
+        TAG_KEYS, "tag_timestamp", on_duplicate, order_col,
+    )
+    for name, df in (("fct_ratings", fct_ratings), ("fct_tag_applications", fct_tags)):
+        result.tables[name] = df
+        result.versions[name] = store.current_version(MARTS, name)
 
     # Snapshots.
     snap_dim = snapshots.snap_dim_movies(store.read(SNAPSHOTS, "snap_dim_movies"), dim_movies, as_of)

@@ -15,6 +15,7 @@ By default the root is a ``tables`` folder next to the session's checkpoint dir.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 
@@ -24,6 +25,7 @@ from pyspark.sql.types import StructType
 from strata.session import storage_root
 
 _VERSION = re.compile(r"^v(\d+)$")
+_PROPERTIES = "_strata_properties.json"
 
 
 class TableStore:
@@ -78,6 +80,36 @@ class TableStore:
         df = self.read(layer, name)
         return df if df is not None else self.spark.createDataFrame([], schema)
 
+    def properties(self, layer: str, name: str, version: int | None = None) -> dict:
+        """Small metadata stored beside a version (e.g. an incremental fact's
+        high-water mark); empty when none was recorded."""
+        v = self.current_version(layer, name) if version is None else version
+        if v is None:
+            return {}
+        fs, p = self._fs(f"{self.location(layer, name)}/v{v}/{_PROPERTIES}")
+        if not fs.exists(p):
+            return {}
+        stream = fs.open(p)
+        try:
+            data = bytearray()
+            buf = self.spark._jvm.java.nio.ByteBuffer.allocate(65536)
+            reader = self.spark._jvm.java.nio.channels.Channels.newChannel(stream)
+            while reader.read(buf) > 0:
+                buf.flip()
+                data.extend(bytes(buf.array())[: buf.limit()])
+                buf.clear()
+        finally:
+            stream.close()
+        return json.loads(data.decode("utf-8"))
+
+    def _write_properties(self, layer: str, name: str, version: int, props: dict) -> None:
+        fs, p = self._fs(f"{self.location(layer, name)}/v{version}/{_PROPERTIES}")
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(json.dumps(props, default=str).encode("utf-8")))
+        finally:
+            out.close()
+
     def write(
         self,
         df: DataFrame,
@@ -85,6 +117,7 @@ class TableStore:
         name: str,
         partition_by: Sequence[str] = (),
         repartition_by: Sequence[str] = (),
+        properties: dict | None = None,
     ) -> DataFrame:
         """Store ``df`` as the next version and return the stored table.
 
@@ -101,4 +134,8 @@ class TableStore:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
+        if properties:
+            # Written after the data commit: a crash in between only loses the
+            # metadata, and readers then fall back to computing it.
+            self._write_properties(layer, name, nxt, properties)
         return self.read(layer, name, nxt)

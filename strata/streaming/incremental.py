@@ -13,11 +13,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from strata.operators.upsert import high_water_mark, incremental_load
+from strata.plans.loads import load_incremental_fact
 from strata.plans import marts, staging
 from strata.session import configure, storage_root
 from strata.sources.schemas import RAW_RATINGS, RAW_TAGS
@@ -48,16 +47,10 @@ FACTS = {
 def load_batch(store: TableStore, spec: FactSpec, raw: DataFrame, on_duplicate: str, order_col: str | None) -> None:
     """Apply one batch of raw rows to the stored fact (used per micro-batch)."""
     carry = (order_col,) if order_col else ()
-    target = store.read("marts", spec.name)
-    mark = None if target is None else high_water_mark(target, spec.ts_col)
-    if mark is not None:
-        raw = raw.where(F.col("timestamp") > F.unix_seconds(F.lit(mark)))
-    rows = spec.rows(raw, carry)
-    loaded = incremental_load(
-        target, rows, list(spec.keys), spec.ts_col,
-        on_duplicate=on_duplicate, order_cols=[spec.ts_col, *carry], mark=mark,
+    load_incremental_fact(
+        store, "marts", spec.name, raw, lambda r: spec.rows(r, carry),
+        list(spec.keys), spec.ts_col, on_duplicate, order_col,
     )
-    store.write(loaded.drop(*carry), "marts", spec.name, repartition_by=list(spec.keys))
 
 
 def start_incremental_fact(

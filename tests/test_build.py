@@ -72,3 +72,11 @@ def test_enrich_batches(spark):
     assert store.versions("raw", "raw_tmdb_movies") == [1, 2]
     empty = B.enrich(spark, store, resp.where("event_id < 0"), D2)
     assert empty["movies_loaded"] == 0 and store.versions("raw", "raw_tmdb_movies") == [1, 2]
+
+
+def test_mark_is_kept_as_version_metadata(spark):
+    store = TableStore(spark, tempfile.mkdtemp(prefix="strata-store-"))
+    B.build(spark, _sources(spark), store, D1, on_duplicate="latest", order_col="event_id", fail_on_error=False)
+    props = store.properties("marts", "fct_ratings")
+    stored_max = store.read("marts", "fct_ratings").agg(F.max("rating_timestamp")).first()[0]
+    assert dt.datetime.fromisoformat(props["high_water_mark"]) == stored_max
