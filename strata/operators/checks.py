@@ -94,17 +94,6 @@ def failing_rows(check: Check, frames: Mapping[str, DataFrame]) -> DataFrame:
     raise ValueError(check.kind)
 
 
-def _report_row(check: Check, failures: Column) -> list[Column]:
-    return [
-        F.lit(check.check_name).alias("check_name"),
-        F.lit(check.kind).alias("kind"),
-        F.lit(check.model).alias("model"),
-        F.lit(check.column_name).alias("column_name"),
-        F.lit(check.severity).alias("severity"),
-        failures.cast("bigint").alias("failures"),
-    ]
-
-
 def _with_status(report: DataFrame) -> DataFrame:
     status = (
         F.when(F.col("failures") == 0, F.lit("pass"))
@@ -128,74 +117,74 @@ def _uniqueness_keys(check: Check, idx: int) -> Column:
     return entry
 
 
-def _uniqueness_report(checks: list[Check], frames: Mapping[str, DataFrame]) -> DataFrame:
-    """All uniqueness checks in one shuffle.
-
-    Every model emits one (check, key) row per row and check; a single grouped
-    count over the union finds the keys seen more than once (combined map-side, so
-    a value holding a third of a table moves one row per task), and a second,
-    tiny aggregate counts them per check. Checks without failures are filled in
-    from the check list, a broadcast of at most one row per declared check.
-    """
-    spark = next(iter(frames.values())).sparkSession
+def _repeated_keys(items: list[tuple[int, Check]], frames: Mapping[str, DataFrame]) -> DataFrame:
+    """One ``check_idx`` row per key repeated under a uniqueness check, for all
+    uniqueness checks in one shuffle: every model emits one (check, key) row per
+    row and check, and a single grouped count finds the keys seen more than once
+    (combined map-side, so a value holding a third of a table moves one row per
+    task)."""
     by_model: dict[str, list[tuple[int, Check]]] = defaultdict(list)
-    for i, ch in enumerate(checks):
+    for i, ch in items:
         by_model[ch.model].append((i, ch))
     parts = []
-    for model, items in by_model.items():
-        entries = F.array(*[_uniqueness_keys(ch, i) for i, ch in items])
+    for model, group in by_model.items():
+        entries = F.array(*[_uniqueness_keys(ch, i) for i, ch in group])
         parts.append(
             frames[model].select(F.explode(entries).alias("__e")).where(F.col("__e").isNotNull()).select("__e.*")
         )
     emitted = parts[0]
     for part in parts[1:]:
         emitted = emitted.unionByName(part)
-    repeated = emitted.groupBy("check_idx", "key").count().where(F.col("count") > 1)
-    failures = repeated.groupBy("check_idx").agg(F.count(F.lit(1)).alias("__n"))
-    meta = spark.createDataFrame(
-        [(i, c.check_name, c.kind, c.model, c.column_name, c.severity) for i, c in enumerate(checks)],
-        "check_idx int, check_name string, kind string, model string, column_name string, severity string",
-    )
-    joined = F.broadcast(meta).join(failures, "check_idx", "left")
-    return joined.select(
-        "check_name", "kind", "model", "column_name", "severity",
-        F.coalesce(F.col("__n"), F.lit(0)).cast("bigint").alias("failures"),
-    )
+    return emitted.groupBy("check_idx", "key").count().where(F.col("count") > 1).select("check_idx")
+
+
+def _failing_row_level(model_checks: list[tuple[int, Check]], df: DataFrame) -> DataFrame:
+    """One ``check_idx`` row per (failing row, row-level check) of one model; rows
+    that pass every check emit nothing."""
+    hits = F.array(*[F.when(failing_condition(ch), F.lit(i)) for i, ch in model_checks])
+    return df.select(F.explode(hits).alias("check_idx")).where(F.col("check_idx").isNotNull())
 
 
 def run_checks(checks: Iterable[Check], frames: Mapping[str, DataFrame]) -> DataFrame:
-    """Lazy report: check_name, kind, model, column_name, severity, failures, status."""
+    """Lazy report: check_name, kind, model, column_name, severity, failures, status.
+
+    Every failing row (row-level checks), repeated key (uniqueness checks) and
+    orphan (relationships) emits its check's index; one grouped count over the
+    union gives every failure count at once, so the whole suite ends in a single
+    small shuffle instead of one aggregate job per check or model. Descriptive
+    columns come from the check list, a broadcast of one row per declared check.
+    """
     checks = list(checks)
     if not checks:
         raise ValueError("no checks to run")
+    spark = next(iter(frames.values())).sparkSession
     parts: list[DataFrame] = []
-
-    by_model: dict[str, list[Check]] = defaultdict(list)
-    uniqueness: list[Check] = []
-    for ch in checks:
+    by_model: dict[str, list[tuple[int, Check]]] = defaultdict(list)
+    uniqueness: list[tuple[int, Check]] = []
+    for i, ch in enumerate(checks):
         if ch.kind in ROW_LEVEL:
-            by_model[ch.model].append(ch)
+            by_model[ch.model].append((i, ch))
         elif ch.kind in UNIQUENESS:
-            uniqueness.append(ch)
+            uniqueness.append((i, ch))
         else:
-            agg = failing_rows(ch, frames).agg(F.count(F.lit(1)).alias("__n"))
-            parts.append(agg.select(*_report_row(ch, F.col("__n"))))
-
-    for model, row_checks in by_model.items():
-        # One pass over the model counts every row-level check, then the single
-        # result row is unpivoted into one report row per check.
-        counts = frames[model].agg(
-            *[F.count_if(failing_condition(ch)).alias(f"__c{i}") for i, ch in enumerate(row_checks)]
-        )
-        rows = F.array(*[F.struct(*_report_row(ch, F.col(f"__c{i}"))) for i, ch in enumerate(row_checks)])
-        parts.append(counts.select(F.explode(rows).alias("__r")).select("__r.*"))
-
+            parts.append(failing_rows(ch, frames).select(F.lit(i).alias("check_idx")))
+    for model, model_checks in by_model.items():
+        parts.append(_failing_row_level(model_checks, frames[model]))
     if uniqueness:
-        parts.append(_uniqueness_report(uniqueness, frames))
+        parts.append(_repeated_keys(uniqueness, frames))
 
-    report = parts[0]
+    found = parts[0]
     for part in parts[1:]:
-        report = report.unionByName(part)
+        found = found.unionByName(part)
+    counts = found.groupBy("check_idx").agg(F.count(F.lit(1)).alias("failures"))
+    meta = spark.createDataFrame(
+        [(i, c.check_name, c.kind, c.model, c.column_name, c.severity) for i, c in enumerate(checks)],
+        "check_idx int, check_name string, kind string, model string, column_name string, severity string",
+    )
+    report = F.broadcast(meta).join(counts, "check_idx", "left").select(
+        "check_name", "kind", "model", "column_name", "severity",
+        F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures"),
+    )
     return _with_status(report)
 
 

@@ -19,8 +19,17 @@ LATE_EVERY = 10  # every tenth event (by id) is held back from the history: late
 YEAR_BASE = 1950  # title year = YEAR_BASE + part size
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The test table, read once per session (the test tables are read-only, so a
+    cached file listing cannot go stale)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _epoch_seconds(ts: str):
