@@ -89,7 +89,9 @@ def failing_rows(check: Check, frames: Mapping[str, DataFrame]) -> DataFrame:
     if check.kind == "unique_combination_of_columns":
         return df.groupBy(*check.columns).count().where(F.col("count") > 1)
     if check.kind == "relationships":
-        parent = frames[check.parent].select(F.col(check.parent_column).alias("__parent_key"))
+        # Distinct parent keys: the anti join's non-preserved side stays unique per
+        # key; a hot key on the fact side is split by AQE.
+        parent = frames[check.parent].select(F.col(check.parent_column).alias("__parent_key")).distinct()
         return df.join(parent, F.col(check.columns[0]) == F.col("__parent_key"), "left_anti")
     raise ValueError(check.kind)
 

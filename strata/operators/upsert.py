@@ -9,10 +9,11 @@ MERGE semantics re-expressed as set operations (no ACID table format needed):
   are always inserted and NULL-keyed target rows are never updated;
 * duplicates already in the target are each updated, never collapsed.
 
-Plan shape: one left join of the target to the (de-duplicated) batch plus one
-anti join of the batch to the target's key columns. Both are equi-joins on the
-keys, so AQE can split a skewed key and turn the batch side into a broadcast when
-its runtime size allows; the batch is never collected.
+Plan shape: one left join of the target to the batch (unique per key on that side)
+plus one anti join of the batch to the target's distinct keys. In both joins the
+non-preserved side is unique per key, and the preserved side is the one AQE can
+split when a key is hot; AQE also turns the batch side into a broadcast when its
+runtime size allows. The batch is never collected.
 """
 
 from __future__ import annotations
@@ -65,7 +66,7 @@ def matched_duplicate_keys(target: DataFrame, source: DataFrame, keys: Sequence[
     """Non-NULL source keys that occur more than once and also exist in the target."""
     keys = list(keys)
     dup = source.where(~_any_null(keys)).groupBy(*keys).count().where(F.col("count") > 1).select(*keys)
-    return dup.join(target.select(*keys), on=keys, how="left_semi")
+    return dup.join(target.select(*keys).distinct(), on=keys, how="left_semi")
 
 
 def upsert(
@@ -97,9 +98,14 @@ def upsert(
 
     if on_duplicate == "latest":
         source = dedupe_latest(source, keys, order_cols)
+        update_side = source
     elif on_duplicate == "error":
         if matched_duplicate_keys(target, source, keys).limit(1).count() > 0:
             raise DuplicateKeyError(f"source has duplicate keys {keys} that match target rows")
+        # Keys still duplicated now match no target row, so collapsing them cannot
+        # change an update; it keeps the join's batch side unique per key even when
+        # one new key holds a third of the batch (all copies are still inserted).
+        update_side = source.dropDuplicates(keys)
     else:
         raise ValueError("on_duplicate must be 'error' or 'latest'")
 
@@ -114,7 +120,7 @@ def upsert(
 
     # 1. target ⟕ batch: matched rows take the batch values.
     carried = [c for c in update_cols if c in source.columns]
-    batch = source.select(
+    batch = update_side.select(
         *[F.col(k).alias(_SRC + k) for k in keys],
         *[F.col(c).alias(_SRC + c) for c in carried],
         F.lit(True).alias(_MATCH),
@@ -151,8 +157,12 @@ def upsert(
 
 
 def _anti_by_eq(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``source`` rows with no target row equal on every key (plain ``=``)."""
-    tk = target.select(*[F.col(k).alias("__t_" + k) for k in keys])
+    """``source`` rows with no target row equal on every key (plain ``=``).
+
+    The target side is reduced to distinct keys first (combined map-side), so a
+    key repeated across a third of the target cannot pile up in one task; the
+    batch side, if skewed, is the one AQE can split."""
+    tk = target.select(*[F.col(k).alias("__t_" + k) for k in keys]).distinct()
     cond = None
     for k in keys:
         term = F.col(k) == F.col("__t_" + k)

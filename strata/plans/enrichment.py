@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from strata.operators.scd2 import as_of_column
 from strata.operators.upsert import upsert
 from strata.sources.schemas import TMDB_MOVIES
+from strata.sources.storage import empty_frame
 
 OK_STATUS = 200
 NOT_FOUND_STATUS = 404
@@ -66,7 +67,7 @@ def parse_payloads(responses: DataFrame, order_col: str | None = None) -> DataFr
 
 def empty_target(spark: SparkSession) -> DataFrame:
     """The enrichment table when none is stored yet (create-if-missing)."""
-    return spark.createDataFrame([], TMDB_MOVIES)
+    return empty_frame(spark, TMDB_MOVIES)
 
 
 def payload_upsert(

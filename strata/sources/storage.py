@@ -20,6 +20,7 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.session import storage_root
@@ -28,6 +29,14 @@ _VERSION = re.compile(r"^v(\d+)$")
 _PROPERTIES = "_strata_properties.json"
 
 
+def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
+    """An empty frame of ``schema`` that the optimizer knows is empty (a filtered
+    one-row relation folds to an empty local relation), so joins against it are
+    pruned instead of being planned as shuffles over an unknown-size input."""
+    cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).select(*cols).where(F.lit(False))
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
@@ -78,7 +87,7 @@ class TableStore:
     def read_or_empty(self, layer: str, name: str, schema: StructType) -> DataFrame:
         """Create-if-missing: the stored table, or an empty frame of ``schema``."""
         df = self.read(layer, name)
-        return df if df is not None else self.spark.createDataFrame([], schema)
+        return df if df is not None else empty_frame(self.spark, schema)
 
     def properties(self, layer: str, name: str, version: int | None = None) -> dict:
         """Small metadata stored beside a version (e.g. an incremental fact's
