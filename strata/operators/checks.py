@@ -62,22 +62,31 @@ class Check:
         return ",".join(self.columns)
 
 
-def failing_condition(check: Check) -> Column:
-    """Row-level predicate that is true for a failing row."""
-    c = F.col(check.columns[0])
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def failing_condition_sql(check: Check) -> str:
+    """Row-level predicate (SQL text) that is true for a failing row."""
+    c = _q(check.columns[0])
     if check.kind == "not_null":
-        return c.isNull()
+        return f"{c} IS NULL"
     if check.kind == "accepted_range":
         # NOT (x >= lo AND x <= hi): a NULL value is neither pass nor fail.
-        cond = F.lit(True)
+        terms = ["TRUE"]
         if check.min_value is not None:
-            cond = cond & (c >= F.lit(check.min_value))
+            terms.append(f"{c} >= {float(check.min_value)!r}D")
         if check.max_value is not None:
-            cond = cond & (c <= F.lit(check.max_value))
-        return ~cond
+            terms.append(f"{c} <= {float(check.max_value)!r}D")
+        return f"NOT ({' AND '.join(terms)})"
     raise ValueError(f"{check.kind} is not a row-level check")
 
 
+def failing_condition(check: Check) -> Column:
+    """Row-level predicate that is true for a failing row."""
+    return F.expr(failing_condition_sql(check))
+
+
 def failing_rows(check: Check, frames: Mapping[str, DataFrame]) -> DataFrame:
     """The rows (or groups) that make ``check`` fail."""
     df = frames[check.model]
@@ -108,14 +117,14 @@ def _with_status(report: DataFrame) -> DataFrame:
 UNIQUENESS = ("unique", "unique_combination_of_columns")
 
 
-def _uniqueness_keys(check: Check, idx: int) -> Column:
-    """(check index, key) for one row under one uniqueness check; NULL when the
-    row does not take part (a NULL value under ``unique``). Values are compared by
-    their text form, which is exact and injective within one column type."""
-    key = F.array(*[F.col(c).cast("string") for c in check.columns])
-    entry = F.struct(F.lit(idx).alias("check_idx"), key.alias("key"))
+def _uniqueness_entry_sql(check: Check, idx: int) -> str:
+    """SQL for the (check index, key) entry of one row under one uniqueness check;
+    NULL when the row does not take part (a NULL value under ``unique``). Values
+    are compared by their text form, exact and injective within one column type."""
+    key = "array(" + ", ".join(f"CAST({_q(c)} AS STRING)" for c in check.columns) + ")"
+    entry = f"named_struct('check_idx', {idx}, 'key', {key})"
     if check.kind == "unique":
-        return F.when(F.col(check.columns[0]).isNotNull(), entry)
+        return f"CASE WHEN {_q(check.columns[0])} IS NOT NULL THEN {entry} END"
     return entry
 
 
@@ -130,9 +139,13 @@ def _repeated_keys(items: list[tuple[int, Check]], frames: Mapping[str, DataFram
         by_model[ch.model].append((i, ch))
     parts = []
     for model, group in by_model.items():
-        entries = F.array(*[_uniqueness_keys(ch, i) for i, ch in group])
+        # One SQL expression per model (one round trip to build, one generator).
+        entries = ", ".join(_uniqueness_entry_sql(ch, i) for i, ch in group)
         parts.append(
-            frames[model].select(F.explode(entries).alias("__e")).where(F.col("__e").isNotNull()).select("__e.*")
+            frames[model]
+            .selectExpr(f"explode(array({entries})) AS __e")
+            .where("__e IS NOT NULL")
+            .selectExpr("__e.check_idx AS check_idx", "__e.key AS key")
         )
     emitted = parts[0]
     for part in parts[1:]:
@@ -143,8 +156,8 @@ def _repeated_keys(items: list[tuple[int, Check]], frames: Mapping[str, DataFram
 def _failing_row_level(model_checks: list[tuple[int, Check]], df: DataFrame) -> DataFrame:
     """One ``check_idx`` row per (failing row, row-level check) of one model; rows
     that pass every check emit nothing."""
-    hits = F.array(*[F.when(failing_condition(ch), F.lit(i)) for i, ch in model_checks])
-    return df.select(F.explode(hits).alias("check_idx")).where(F.col("check_idx").isNotNull())
+    hits = ", ".join(f"CASE WHEN {failing_condition_sql(ch)} THEN {i} END" for i, ch in model_checks)
+    return df.selectExpr(f"explode(array({hits})) AS check_idx").where("check_idx IS NOT NULL")
 
 
 def run_checks(checks: Iterable[Check], frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -159,7 +172,7 @@ def run_checks(checks: Iterable[Check], frames: Mapping[str, DataFrame]) -> Data
     checks = list(checks)
     if not checks:
         raise ValueError("no checks to run")
-    spark = next(iter(frames.values())).sparkSession
+    spark = frames[checks[0].model].sparkSession
     parts: list[DataFrame] = []
     by_model: dict[str, list[tuple[int, Check]]] = defaultdict(list)
     uniqueness: list[tuple[int, Check]] = []
@@ -169,7 +182,7 @@ def run_checks(checks: Iterable[Check], frames: Mapping[str, DataFrame]) -> Data
         elif ch.kind in UNIQUENESS:
             uniqueness.append((i, ch))
         else:
-            parts.append(failing_rows(ch, frames).select(F.lit(i).alias("check_idx")))
+            parts.append(failing_rows(ch, frames).selectExpr(f"{i} AS check_idx"))
     for model, model_checks in by_model.items():
         parts.append(_failing_row_level(model_checks, frames[model]))
     if uniqueness:

@@ -6,7 +6,7 @@ checks fail (error severity). 86 generic + 3 singular = 89 checks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,30 +119,51 @@ def suite(kinds: Sequence[str] | None = None) -> list[Check]:
     return list(dict.fromkeys(chosen))
 
 
-def testdata_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Every checked relation, built over the stand-in tables. The facts are the
-    result of the incremental run; ``dim_movies_day2`` is the dimension rebuilt
-    from the second catalogue delivery (which withdraws some movies)."""
+class LazyFrames(Mapping):
+    """Model name -> DataFrame, built on first access and kept: a check run builds
+    (and, for incremental facts, reads the mark of) only the models it checks."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def testdata_frames(spark: SparkSession, sf_dir: str) -> LazyFrames:
+    """Every checked relation, built over the stand-in tables on first use. The
+    facts are the result of the incremental run; ``dim_movies_day2`` is the
+    dimension rebuilt from the second catalogue delivery (which withdraws some
+    movies)."""
     src = testdata.sources(spark, sf_dir)
     p = Project(spark, src)
     day2 = Project(spark, src.replace(raw_movies=testdata.edited_raw_movies(src.raw_movies)))
-    frames = {
-        "raw_movies": src.raw_movies,
-        "raw_ratings": src.raw_ratings,
-        "raw_tags": src.raw_tags,
-        "raw_genome_tags": src.raw_genome_tags,
-        "raw_genome_scores": src.raw_genome_scores,
-        "raw_links": src.raw_links,
-        "fct_ratings": facts.incremental_fct_ratings(spark, sf_dir),
-        "fct_tag_applications": facts.incremental_fct_tag_applications(spark, sf_dir),
-        "dim_movies_day2": day2.dim_movies,
+    builders: dict[str, Callable[[], DataFrame]] = {
+        "raw_movies": lambda: src.raw_movies,
+        "raw_ratings": lambda: src.raw_ratings,
+        "raw_tags": lambda: src.raw_tags,
+        "raw_genome_tags": lambda: src.raw_genome_tags,
+        "raw_genome_scores": lambda: src.raw_genome_scores,
+        "raw_links": lambda: src.raw_links,
+        "fct_ratings": lambda: facts.incremental_fct_ratings(spark, sf_dir),
+        "fct_tag_applications": lambda: facts.incremental_fct_tag_applications(spark, sf_dir),
+        "dim_movies_day2": lambda: day2.dim_movies,
     }
     for name in Project.MODEL_NAMES:
-        frames.setdefault(name, p.model(name))
-    return frames
+        builders.setdefault(name, (lambda n: lambda: p.model(n))(name))
+    return LazyFrames(builders)
 
 
-def report(frames: dict[str, DataFrame], kinds: Sequence[str] | None = None) -> DataFrame:
+def report(frames: Mapping[str, DataFrame], kinds: Sequence[str] | None = None) -> DataFrame:
     return run_checks(suite(kinds), frames)
 
 
