@@ -41,3 +41,25 @@ def lookup_join(
     """Equi-join ``left`` to a lookup table, broadcasting the lookup when it is
     provably small. Plain ``=`` semantics: NULL keys never match."""
     return left.join(broadcast_if_small(lookup, max_broadcast_bytes), on=on, how=how)
+
+
+def skew_safe_left_join(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
+    """``left ⟕ right`` on equal keys, written so that a hot key on either side can
+    be split.
+
+    AQE splits skewed partitions only on the preserved side of an outer join, so a
+    key holding a third of ``right`` (a fan-out) would land in one task. Here the
+    matches come from an inner join (AQE may split either side) and the unmatched
+    left rows from an anti join against ``right``'s distinct keys (combined
+    map-side, unique per key); right-hand columns are NULL for those rows, as in a
+    left join. NULL keys never match.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    right_cols = [c for c in right.columns if c not in keys]
+    matched = left.join(right, on=keys, how="inner")
+    right_keys = right.select(*keys).distinct()
+    types = dict(right.dtypes)
+    unmatched = left.join(right_keys, on=keys, how="left_anti").select(
+        *left.columns, *[F.lit(None).cast(types[c]).alias(c) for c in right_cols]
+    )
+    return matched.select(*left.columns, *right_cols).unionByName(unmatched)

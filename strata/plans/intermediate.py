@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import explode_delimited, extract_year
-from strata.operators.joins import lookup_join
+from strata.operators.joins import lookup_join, skew_safe_left_join
 from strata.operators.topk import top_k_per_group
 
 TOP_TAGS_PER_MOVIE = 10
@@ -15,17 +15,16 @@ TOP_TAGS_PER_MOVIE = 10
 def int_movies_with_links(stg_movies: DataFrame, stg_links: DataFrame) -> DataFrame:
     """Movie ⟕ links on movie_id. Unmatched movies keep NULL link columns; duplicate
     link rows fan out. Both sides grow with the catalogue, so the join strategy is
-    left to the planner (AQE turns it into a broadcast when the links side is small
-    at runtime, a sort-merge join otherwise)."""
-    mov = stg_movies.alias("mov")
-    lks = stg_links.alias("lks")
-    return mov.join(lks, F.col("mov.movie_id") == F.col("lks.movie_id"), "left").select(
-        F.col("mov.movie_id").alias("movie_id"),
-        F.col("mov.title").alias("title"),
-        extract_year(F.col("mov.title")).alias("release_year"),
-        F.col("mov.genres").alias("genres"),
-        F.col("lks.imdb_id").alias("imdb_id"),
-        F.col("lks.tmdb_id").alias("tmdb_id"),
+    left to the planner (AQE broadcasts a side that is small at runtime); the join
+    is written skew-safe, so a movie with a third of all link rows is split."""
+    joined = skew_safe_left_join(stg_movies, stg_links.select("movie_id", "imdb_id", "tmdb_id"), "movie_id")
+    return joined.select(
+        "movie_id",
+        "title",
+        extract_year(F.col("title")).alias("release_year"),
+        "genres",
+        "imdb_id",
+        "tmdb_id",
     )
 
 

@@ -23,7 +23,6 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
@@ -37,6 +36,39 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shuffle_partitions_for(shuffle_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> int:
+    """Initial shuffle partitions so each holds about ``partition_bytes`` of the
+    largest shuffle; AQE then coalesces small ones and splits skewed ones."""
+    return max(200, -(-shuffle_bytes // partition_bytes))
+
+
+def configure_for_scale(
+    spark: SparkSession,
+    largest_shuffle_bytes: int,
+    partition_bytes: int = 256 * 1024 * 1024,
+    scan_split_bytes: int = 256 * 1024 * 1024,
+) -> SparkSession:
+    """Size partitions for a large input (e.g. 100 TB on a 1000-executor cluster).
+
+    Scan splits and shuffle partitions target a few hundred MB each, so every task
+    fits executor memory without spilling while the task count stays manageable;
+    AQE starts from the computed partition count, coalesces toward the advisory
+    size and splits partitions above the skew threshold.
+    """
+    n = shuffle_partitions_for(largest_shuffle_bytes, partition_bytes)
+    settings = {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+    }
+    configure(spark)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "strata") -> SparkSession:
     """A local session for tests, the bench and the smoke entry point."""
     builder = (

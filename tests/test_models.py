@@ -62,3 +62,15 @@ def test_staging_timestamps_are_utc_seconds(spark):
     raw = spark.createDataFrame([(1, 2, 3.5, 0)], "userId bigint, movieId bigint, rating double, timestamp bigint")
     r = staging.stg_ratings(raw).first()
     assert r.rating_timestamp == dt.datetime(1970, 1, 1, 0, 0)
+
+
+def test_skew_safe_left_join_matches_left_join(spark):
+    from strata.operators.joins import skew_safe_left_join
+
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n"), (1, "a2")], "k bigint, l string")
+    right = spark.createDataFrame([(1, "x")] * 50 + [(3, "z"), (None, "rn")], "k bigint, r string")
+    got = sorted(map(tuple, skew_safe_left_join(left, right, "k").select("k", "l", "r").collect()),
+                 key=lambda t: tuple((x is None, x) for x in t))
+    exp = sorted(map(tuple, left.join(right, "k", "left").select("k", "l", "r").collect()),
+                 key=lambda t: tuple((x is None, x) for x in t))
+    assert got == exp and len(got) == 102
