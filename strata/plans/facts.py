@@ -19,15 +19,16 @@ RATING_KEYS = ["user_id", "movie_id"]
 TAG_KEYS = ["user_id", "movie_id", "tag"]
 
 
-def rating_rows(spark: SparkSession, sf_dir: str, after=None) -> DataFrame:
+def rating_rows(spark: SparkSession, sf_dir: str, after=None, until: str | None = None) -> DataFrame:
     """Ratings fact rows with the arrival-order column ``event_id`` carried along;
-    with ``after``, only rows stamped after it (filter pushed to the raw scan)."""
-    raw = testdata.raw_ratings(spark, sf_dir, after)
+    with ``after`` / ``until``, only rows stamped in that range (filters pushed to
+    the raw scan)."""
+    raw = testdata.raw_ratings(spark, sf_dir, after, until)
     return marts.fct_ratings_rows(staging.stg_ratings(raw, carry=("event_id",)), carry=("event_id",))
 
 
-def tag_rows(spark: SparkSession, sf_dir: str, after=None) -> DataFrame:
-    raw = testdata.raw_tags(spark, sf_dir, after)
+def tag_rows(spark: SparkSession, sf_dir: str, after=None, until: str | None = None) -> DataFrame:
+    raw = testdata.raw_tags(spark, sf_dir, after, until)
     return marts.fct_tag_applications_rows(staging.stg_tags(raw, carry=("event_id",)), carry=("event_id",))
 
 
@@ -38,14 +39,14 @@ def stored_history(rows: DataFrame, ts_col: str) -> DataFrame:
 
 
 def new_rating_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = stored_history(rating_rows(spark, sf_dir), "rating_timestamp")
+    history = stored_history(rating_rows(spark, sf_dir, until=testdata.HISTORY_CUTOFF), "rating_timestamp")
     mark = high_water_mark(history, "rating_timestamp")
     rows = rating_rows(spark, sf_dir, after=mark)
     return high_water_filter(rows, "rating_timestamp", mark).drop("event_id")
 
 
 def incremental_fct_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = stored_history(rating_rows(spark, sf_dir), "rating_timestamp")
+    history = stored_history(rating_rows(spark, sf_dir, until=testdata.HISTORY_CUTOFF), "rating_timestamp")
     mark = high_water_mark(history, "rating_timestamp")
     return incremental_load(
         history,
@@ -59,7 +60,7 @@ def incremental_fct_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_fct_tag_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = stored_history(tag_rows(spark, sf_dir), "tag_timestamp")
+    history = stored_history(tag_rows(spark, sf_dir, until=testdata.HISTORY_CUTOFF), "tag_timestamp")
     mark = high_water_mark(history, "tag_timestamp")
     return incremental_load(
         history,

@@ -65,24 +65,30 @@ def raw_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _events_after(spark: SparkSession, sf_dir: str, after) -> DataFrame:
-    """The events, optionally only those whose whole-second time is after ``after``.
-
-    floor(ts) > after  <=>  ts >= after + 1 s for a whole-second ``after``: a plain
-    comparison on the stored column, so it reaches the Parquet scan as a pushed
-    filter and old row groups are skipped by their statistics.
+def _events_after(spark: SparkSession, sf_dir: str, after, until: str | None = None) -> DataFrame:
+    """The events, optionally only those whose whole-second time is after ``after``
+    and at or before ``until``.
+
+    floor(ts) > after  <=>  ts >= after + 1 s for a whole-second ``after``, and
+    floor(ts) <= until  <=>  ts < until + 1 s: plain comparisons on the stored
+    column, so they reach the Parquet scan as pushed filters and row groups outside
+    the range are skipped by their statistics.
     """
     e = _table(spark, sf_dir, "events")
+    one_second = F.expr("INTERVAL 1 SECOND")
     if after is not None:
-        bound = F.to_timestamp(F.lit(after.isoformat(sep=" "))) + F.expr("INTERVAL 1 SECOND")
+        bound = F.to_timestamp(F.lit(after.isoformat(sep=" "))) + one_second
         e = e.where(F.col("ts") >= bound.cast("timestamp_ntz"))
+    if until is not None:
+        bound = F.to_timestamp(F.lit(until)) + one_second
+        e = e.where(F.col("ts") < bound.cast("timestamp_ntz"))
     return e
 
 
-def raw_ratings(spark: SparkSession, sf_dir: str, after=None) -> DataFrame:
-    """Ratings with ``event_id`` kept as the arrival-order column; with ``after``,
-    only ratings stamped (in whole seconds) after it."""
-    e = _events_after(spark, sf_dir, after)
+def raw_ratings(spark: SparkSession, sf_dir: str, after=None, until: str | None = None) -> DataFrame:
+    """Ratings with ``event_id`` kept as the arrival-order column; with ``after`` /
+    ``until``, only ratings stamped (in whole seconds) after / at or before them."""
+    e = _events_after(spark, sf_dir, after, until)
     rating = F.least(F.lit(5.0), F.lit(0.5) * F.ceil(F.col("value") / F.lit(10.0)).cast("double"))
     return e.select(
         F.col("event_id").cast("bigint").alias("event_id"),
@@ -93,8 +99,8 @@ def raw_ratings(spark: SparkSession, sf_dir: str, after=None) -> DataFrame:
     )
 
 
-def raw_tags(spark: SparkSession, sf_dir: str, after=None) -> DataFrame:
-    e = _events_after(spark, sf_dir, after)
+def raw_tags(spark: SparkSession, sf_dir: str, after=None, until: str | None = None) -> DataFrame:
+    e = _events_after(spark, sf_dir, after, until)
     return e.select(
         F.col("event_id").cast("bigint").alias("event_id"),
         F.col("user_id").cast("bigint").alias("userId"),
