@@ -12,10 +12,11 @@ DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 def estimated_size_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (no job is run). None when unknown."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     except Exception:
         return None
+    # py4j hands a Scala BigInt back as a Python int; keep the text path for others.
+    return size if isinstance(size, int) else int(str(size.toString()))
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:

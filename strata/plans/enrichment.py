@@ -71,13 +71,14 @@ def empty_target(spark: SparkSession) -> DataFrame:
 
 
 def payload_upsert(
-    target: DataFrame, responses: DataFrame, as_of: dt.datetime, order_col: str = "event_id"
+    target: DataFrame, responses: DataFrame, as_of: dt.datetime | None = None, order_col: str = "event_id"
 ) -> DataFrame:
     """Upsert one batch of responses by tmdb_id. A film fetched twice in a batch
     keeps its last response (by ``order_col``), as the one-MERGE-per-film loop
-    does; ``loaded_at`` is the load time on insert and on update."""
+    does; ``loaded_at`` is the load time on insert and on update: ``as_of`` when
+    given (repeatable runs), else the query's current timestamp."""
     parsed = parse_payloads(responses, order_col)
-    loaded = as_of_column(as_of)
+    loaded = as_of_column(as_of) if as_of is not None else F.current_timestamp()
     return upsert(
         target,
         parsed,

@@ -61,3 +61,10 @@ def test_empty_batch_changes_nothing(spark):
 def test_enrichment_keys_distinct_sorted_non_null(spark):
     dim = spark.createDataFrame([(3,), (1,), (None,), (3,), (2,)], "tmdb_id bigint")
     assert [r.tmdb_id for r in enrichment.enrichment_keys(dim, 2).collect()] == [1, 2]
+
+
+def test_load_time_defaults_to_current_timestamp(spark):
+    resp = spark.createDataFrame([(1, 200, '{"id": 9}')], SCHEMA)
+    before = dt.datetime.now() - dt.timedelta(minutes=5)
+    r = enrichment.payload_upsert(enrichment.empty_target(spark), resp).first()
+    assert r.tmdb_id == 9 and r.loaded_at >= before

@@ -74,3 +74,33 @@ def test_skew_safe_left_join_matches_left_join(spark):
     exp = sorted(map(tuple, left.join(right, "k", "left").select("k", "l", "r").collect()),
                  key=lambda t: tuple((x is None, x) for x in t))
     assert got == exp and len(got) == 102
+
+
+def test_register_views_and_sql(spark):
+    from strata.plans.project import Project
+    from strata.sources import testdata
+    from tests.conftest import SF001
+
+    p = Project(spark, testdata.sources(spark, SF001))
+    p.register_views()
+    n = spark.sql("SELECT count(*) AS n FROM dim_movies d JOIN int_ratings_summary s USING (movie_id)").first().n
+    assert n == p.int_ratings_summary.join(p.dim_movies, "movie_id").count()
+
+
+def test_broadcast_only_below_bound(spark):
+    from strata.operators.joins import broadcast_if_small, estimated_size_bytes
+    from strata.sources.seeds import GENRE_MAPPING_ROWS, MAX_SEED_ROWS, seed_frame
+
+    small = spark.range(10)
+    assert estimated_size_bytes(small) is not None
+    assert "broadcast" in broadcast_if_small(small)._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in broadcast_if_small(small, max_bytes=1)._jdf.queryExecution().analyzed().toString().lower()
+    # a frame with no statistics (built from local rows via an RDD) is not broadcast by estimate
+    rdd_frame = spark.createDataFrame([(1,)], "a int")
+    assert "broadcast" not in broadcast_if_small(rdd_frame)._jdf.queryExecution().analyzed().toString().lower()
+    # seeds carry the hint because their size is known exactly on the driver, and are capped
+    assert "broadcast" in seed_frame(spark, GENRE_MAPPING_ROWS)._jdf.queryExecution().analyzed().toString().lower()
+    import pytest
+
+    with pytest.raises(ValueError):
+        seed_frame(spark, [("a", "b")] * (MAX_SEED_ROWS + 1))
