@@ -194,9 +194,10 @@ def incremental_load(
 
     No stored table, or a stored but empty one: every source row, no de-duplication
     (first run; an empty target is treated as a first run so it does not stay empty
-    for ever). Otherwise only rows with ``ts_col`` strictly above ``max(ts_col)`` of
-    the target are upserted by ``keys``: late rows (at or below the mark) are never
-    loaded, and a NULL timestamp loads only on the first run.
+    for ever). A stored table whose timestamps are all NULL has a NULL mark and
+    takes nothing. Otherwise only rows with ``ts_col`` strictly above ``max(ts_col)``
+    of the target are upserted by ``keys``: late rows (at or below the mark) are
+    never loaded, and a NULL timestamp loads only on the first run.
     Columns of the source that are not in the target (e.g. order columns) are
     dropped from the result. ``mark`` may be passed when the caller already read it
     (e.g. to push it into the source scan); it must be ``max(ts_col)`` of target.
@@ -204,6 +205,9 @@ def incremental_load(
     if mark is _UNSET:
         mark = None if target is None else high_water_mark(target, ts_col)
     if mark is None:
+        if target is not None and not target.isEmpty():
+            # Rows exist but none has a timestamp: nothing is above a NULL mark.
+            return target
         out_cols = [c for c in source.columns if c not in order_cols or c == ts_col]
         return source.select(*out_cols)
     batch = high_water_filter(source, ts_col, mark)

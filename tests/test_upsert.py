@@ -108,3 +108,9 @@ def test_incremental_rerun_is_noop(spark):
     once = incremental_load(target, source, ["k"], "ts")
     twice = incremental_load(once, source, ["k"], "ts")
     assert rows(once, "k", "v", "ts") == rows(twice, "k", "v", "ts") == [(1, "b", 11), (2, "c", 12)]
+
+
+def test_incremental_all_null_timestamps_takes_nothing(spark):
+    target = spark.createDataFrame([(1, "a", None)], SCHEMA)
+    source = spark.createDataFrame([(2, "b", 5)], SCHEMA)
+    assert rows(incremental_load(target, source, ["k"], "ts"), "k", "v") == [(1, "a")]
