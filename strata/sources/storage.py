@@ -38,9 +38,10 @@ def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, default_layer: str = "main"):
         self.spark = spark
         self.root = (root or storage_root(spark).rstrip("/") + "/tables").rstrip("/")
+        self.default_layer = default_layer
 
     # -- file system helpers -------------------------------------------------------
     def _fs(self, path: str):
@@ -52,9 +53,10 @@ class TableStore:
         fs, p = self._fs(path)
         return bool(fs.exists(p))
 
-    def location(self, layer: str, name: str) -> str:
-        """Layered naming: one folder per layer, one per table."""
-        return f"{self.root}/{layer}/{name}"
+    def location(self, layer: str | None, name: str) -> str:
+        """Layered naming: one folder per layer, one per table. A model's own layer
+        name is used as it is; a model without one lands in the default layer."""
+        return f"{self.root}/{layer or self.default_layer}/{name}"
 
     def versions(self, layer: str, name: str) -> list[int]:
         """Committed versions (with a ``_SUCCESS`` marker), oldest first."""

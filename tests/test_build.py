@@ -80,3 +80,10 @@ def test_mark_is_kept_as_version_metadata(spark):
     props = store.properties("marts", "fct_ratings")
     stored_max = store.read("marts", "fct_ratings").agg(F.max("rating_timestamp")).first()[0]
     assert dt.datetime.fromisoformat(props["high_water_mark"]) == stored_max
+
+
+def test_layer_naming(spark):
+    root = tempfile.mkdtemp(prefix="strata-store-")
+    store = TableStore(spark, root, default_layer="analytics")
+    assert store.location("marts", "dim_movies") == f"{root}/marts/dim_movies"
+    assert store.location(None, "adhoc") == f"{root}/analytics/adhoc"
