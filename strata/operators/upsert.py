@@ -9,11 +9,13 @@ MERGE semantics re-expressed as set operations (no ACID table format needed):
   are always inserted and NULL-keyed target rows are never updated;
 * duplicates already in the target are each updated, never collapsed.
 
-Plan shape: one left join of the target to the batch (unique per key on that side)
-plus one anti join of the batch to the target's distinct keys. In both joins the
-non-preserved side is unique per key, and the preserved side is the one AQE can
-split when a key is hot; AQE also turns the batch side into a broadcast when its
-runtime size allows. The batch is never collected.
+Plan shape: one left join of the target to the batch (unique per key on that
+side), plus the inserts: the batch minus the batch keys the target holds (found by
+probing the target's key columns with the batch's distinct keys). When the batch is
+small, AQE broadcasts it and the target is only scanned and written, never
+shuffled. In every join the non-preserved side is unique per key and the
+preserved side is the one AQE can split when a key is hot. The batch is never
+collected.
 """
 
 from __future__ import annotations
@@ -62,11 +64,31 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str])
     return latest.select(*df.columns).unionByName(null_keyed)
 
 
+def _eq(keys: Sequence[str], left_prefix: str, right_prefix: str) -> Column:
+    cond = None
+    for k in keys:
+        term = F.col(left_prefix + k) == F.col(right_prefix + k)
+        cond = term if cond is None else cond & term
+    return cond
+
+
+def _keys_in_target(target: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of ``keys_df`` (distinct, non-NULL) that occur in ``target``.
+
+    The target's key columns are semi-joined against the (small) key set, so the
+    target is only scanned, never shuffled, when the key set can be broadcast; the
+    result has at most as many rows as ``keys_df``.
+    """
+    probe = keys_df.select(*[F.col(k).alias("__p_" + k) for k in keys])
+    hits = target.select(*keys).join(probe, _eq(keys, "", "__p_"), "left_semi")
+    return hits.distinct()
+
+
 def matched_duplicate_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Non-NULL source keys that occur more than once and also exist in the target."""
     keys = list(keys)
     dup = source.where(~_any_null(keys)).groupBy(*keys).count().where(F.col("count") > 1).select(*keys)
-    return dup.join(target.select(*keys).distinct(), on=keys, how="left_semi")
+    return _keys_in_target(target, dup, keys)
 
 
 def upsert(
@@ -159,15 +181,14 @@ def upsert(
 def _anti_by_eq(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``source`` rows with no target row equal on every key (plain ``=``).
 
-    The target side is reduced to distinct keys first (combined map-side), so a
-    key repeated across a third of the target cannot pile up in one task; the
-    batch side, if skewed, is the one AQE can split."""
-    tk = target.select(*[F.col(k).alias("__t_" + k) for k in keys]).distinct()
-    cond = None
-    for k in keys:
-        term = F.col(k) == F.col("__t_" + k)
-        cond = term if cond is None else cond & term
-    return source.join(tk, cond, "left_anti")
+    Computed against the batch's keys that the target holds (at most the batch's
+    distinct keys), not against all target keys: the large side is scanned for its
+    key columns only and probed against the batch keys, so no run shuffles the
+    whole target. NULL keys never match, so NULL-keyed rows are kept.
+    """
+    batch_keys = source.where(~_any_null(keys)).select(*keys).distinct()
+    matched = _keys_in_target(target, batch_keys, keys).select(*[F.col(k).alias("__t_" + k) for k in keys])
+    return source.join(matched, _eq(keys, "", "__t_"), "left_anti")
 
 
 def high_water_mark(target: DataFrame, ts_col: str):
