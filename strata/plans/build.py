@@ -1,8 +1,9 @@
 """One daily build of the whole model graph into a ``TableStore``.
 
 Order: seed -> table marts (full rebuild) -> incremental facts (high-water mark +
-keyed upsert over the stored version) -> snapshots (type-2 history over the stored
-version) -> check suite over the stored results. Staging and intermediate models
+keyed upsert over the stored version) -> check suite over the stored results ->
+snapshots (type-2 history over the stored version). An error-severity failure
+stops the build before the snapshots, the models that depend on the checked marts. Staging and intermediate models
 stay lazy views (optionally registered as temp views for SQL users); nothing is
 collected to the driver except each incremental batch's ``max(ts)`` (the next
 high-water mark, kept as version metadata) and the check report (one row per check).
@@ -92,12 +93,6 @@ def build(
         result.tables[name] = df
         result.versions[name] = store.current_version(MARTS, name)
 
-    # Snapshots.
-    snap_dim = snapshots.snap_dim_movies(store.read(SNAPSHOTS, "snap_dim_movies"), dim_movies, as_of)
-    _store(result, store, snap_dim, SNAPSHOTS, "snap_dim_movies")
-    snap_raw = snapshots.snap_raw_movies(store.read(SNAPSHOTS, "snap_raw_movies"), sources.raw_movies, as_of)
-    _store(result, store, snap_raw, SNAPSHOTS, "snap_raw_movies")
-
     # Checks over the stored results and the lazy upstream views.
     frames = {
         "raw_movies": sources.raw_movies,
@@ -114,7 +109,15 @@ def build(
     result.report = rows
     failed = [r for r in rows if r["status"] == "fail"]
     if failed and fail_on_error:
+        # An error-severity failure stops the dependants (the snapshots of the marts).
         raise CheckFailed(failed)
+
+    # Snapshots.
+    snap_dim = snapshots.snap_dim_movies(store.read(SNAPSHOTS, "snap_dim_movies"), dim_movies, as_of)
+    _store(result, store, snap_dim, SNAPSHOTS, "snap_dim_movies")
+    snap_raw = snapshots.snap_raw_movies(store.read(SNAPSHOTS, "snap_raw_movies"), sources.raw_movies, as_of)
+    _store(result, store, snap_raw, SNAPSHOTS, "snap_raw_movies")
+
     return result
 
 

@@ -60,6 +60,9 @@ def test_build_raises_on_error_checks(spark):
     store = TableStore(spark, tempfile.mkdtemp(prefix="strata-store-"))
     with pytest.raises(CheckFailed):
         B.build(spark, _sources(spark), store, D1, on_duplicate="latest", order_col="event_id")
+    # the checked marts are stored; their dependants (snapshots) are not built
+    assert store.exists("marts", "dim_movies") and store.exists("marts", "fct_ratings")
+    assert not store.exists("snapshots", "snap_dim_movies")
 
 
 def test_enrich_batches(spark):
