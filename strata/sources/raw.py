@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import LongType, StructField, StructType
 
 from strata.sources.schemas import RAW_SCHEMAS
 
@@ -30,12 +31,23 @@ class RawSources:
         return RawSources(**values)
 
 
-def read_raw_table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Read one raw table with its pinned schema (column pruning and filters still
-    reach the Parquet scan)."""
-    return spark.read.schema(RAW_SCHEMAS[name]).parquet(path)
+ORDERED_TABLES = ("raw_ratings", "raw_tags")
 
 
-def from_parquet(spark: SparkSession, root: str, genre_mapping: DataFrame) -> RawSources:
-    frames = {name: read_raw_table(spark, f"{root.rstrip('/')}/{name}", name) for name in RAW_SCHEMAS}
+def read_raw_table(spark: SparkSession, path: str, name: str, order_col: str | None = None) -> DataFrame:
+    """Read one raw table with its pinned schema (column pruning and filters still
+    reach the Parquet scan). ``order_col`` adds a bigint arrival-order column to
+    the ratings and tags tables."""
+    schema = RAW_SCHEMAS[name]
+    if order_col and name in ORDERED_TABLES:
+        schema = StructType(schema.fields + [StructField(order_col, LongType())])
+    return spark.read.schema(schema).parquet(path)
+
+
+def from_parquet(
+    spark: SparkSession, root: str, genre_mapping: DataFrame, order_col: str | None = None
+) -> RawSources:
+    frames = {
+        name: read_raw_table(spark, f"{root.rstrip('/')}/{name}", name, order_col) for name in RAW_SCHEMAS
+    }
     return RawSources(genre_mapping=genre_mapping, **frames)
