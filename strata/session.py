@@ -91,13 +91,17 @@ def storage_root(spark: SparkSession) -> str:
     """Shared folder for stored tables and lineage cuts.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared file system named by the
-    cluster). Only when it is unset, as in local tests, a fresh scratch folder is
-    created and registered as the checkpoint dir.
+    cluster) and it must be set. Only in local mode with no setting, as in tests, a
+    fresh scratch folder is created and registered as the checkpoint dir.
     """
     root = spark.sparkContext.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            # A node-local folder is not visible to other executors and is lost with
+            # the node: on a cluster the shared folder must be configured.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. HDFS or an object store)")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
