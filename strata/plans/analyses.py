@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# A movie needs at least 100 ratings to be ranked; the report keeps 10.
 MIN_RATINGS = 100
 TOP_N = 10
 

@@ -17,10 +17,11 @@ from strata.operators.upsert import upsert
 from strata.sources.schemas import TMDB_MOVIES
 from strata.sources.storage import empty_frame
 
+# HTTP statuses that count as fetched / not found.
 OK_STATUS = 200
 NOT_FOUND_STATUS = 404
 
-# Payload field -> (target column, type). A missing field gives NULL.
+# Payload field -> (target column, type). A missing field gives NULL.
 PAYLOAD_FIELDS = (
     ("id", "tmdb_id", "bigint"),
     ("title", "title", "string"),

@@ -9,6 +9,7 @@ from strata.functions import explode_delimited, extract_year
 from strata.operators.joins import lookup_join, skew_safe_left_join
 from strata.operators.topk import top_k_per_group
 
+# Fixed value: tags kept per movie.
 TOP_TAGS_PER_MOVIE = 10
 
 

@@ -16,6 +16,7 @@ from strata.plans import facts
 from strata.plans.project import Project
 from strata.sources import testdata
 
+# The accepted rating range.
 RATING_MIN = 0.5
 RATING_MAX = 5.0
 
