@@ -169,5 +169,13 @@ def sources(spark: SparkSession, sf_dir: str) -> RawSources:
         raw_genome_tags=raw_genome_tags(spark, sf_dir),
         raw_genome_scores=raw_genome_scores(spark, sf_dir),
         raw_links=raw_links(spark, sf_dir),
-        genre_mapping=testdata_genre_mapping(spark),
+        genre_mapping=_seed(spark),
     )
+
+
+def _seed(spark: SparkSession) -> DataFrame:
+    """The stand-in genre seed, built once per session."""
+    key = (id(spark), spark.sparkContext.applicationId, "seed:genre_mapping")
+    if key not in _TABLES:
+        _TABLES[key] = testdata_genre_mapping(spark)
+    return _TABLES[key]
