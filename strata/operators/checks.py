@@ -4,8 +4,8 @@ Every check yields the number of failing rows (or failing groups) of one model.
 ``run_checks`` returns the report as a lazy DataFrame, one row per check:
 row-level checks of one model (not NULL, accepted range, NULL-free lookup) share a
 single aggregate over that model, so each model is scanned once for all of them;
-uniqueness checks are one grouped count each (partial aggregation before the
-shuffle, so a hot value moves one row per task). One action evaluates the whole
+uniqueness checks with the same key types share one grouped count (partial
+aggregation before the shuffle, so a hot value moves one row per task). One action evaluates the whole
 report; ``enforce`` collects it (one row per check, bounded by the suite's size)
 and raises when an error-severity check failed.
 """
@@ -119,38 +119,50 @@ UNIQUENESS = ("unique", "unique_combination_of_columns")
 
 def _uniqueness_entry_sql(check: Check, idx: int) -> str:
     """SQL for the (check index, key) entry of one row under one uniqueness check;
-    NULL when the row does not take part (a NULL value under ``unique``). Values
-    are compared by their text form, exact and injective within one column type."""
-    key = "array(" + ", ".join(f"CAST({_q(c)} AS STRING)" for c in check.columns) + ")"
-    entry = f"named_struct('check_idx', {idx}, 'key', {key})"
+    NULL when the row does not take part (a NULL value under ``unique``). The key
+    keeps the columns' own types (fields c0, c1, ...), so nothing is converted to
+    text before the shuffle."""
+    fields = ", ".join(f"'c{j}', {_q(c)}" for j, c in enumerate(check.columns))
+    entry = f"named_struct('check_idx', {idx}, 'key', named_struct({fields}))"
     if check.kind == "unique":
         return f"CASE WHEN {_q(check.columns[0])} IS NOT NULL THEN {entry} END"
     return entry
 
 
 def _repeated_keys(items: list[tuple[int, Check]], frames: Mapping[str, DataFrame]) -> DataFrame:
-    """One ``check_idx`` row per key repeated under a uniqueness check, for all
-    uniqueness checks in one shuffle: every model emits one (check, key) row per
-    row and check, and a single grouped count finds the keys seen more than once
-    (combined map-side, so a value holding a third of a table moves one row per
-    task)."""
-    by_model: dict[str, list[tuple[int, Check]]] = defaultdict(list)
+    """One ``check_idx`` row per key repeated under a uniqueness check.
+
+    Checks whose keys have the same column types share one shuffle: every model
+    emits one (check, key) row per row and check, and a grouped count finds the keys
+    seen more than once (combined map-side, so a value holding a third of a table
+    moves one row per task). Keys keep their native types, so the shuffle carries
+    e.g. two longs for a (user, movie) key rather than their text; there is one
+    shuffle per distinct key signature (a handful for the whole suite).
+    """
+    by_signature: dict[tuple, dict[str, list[tuple[int, Check]]]] = defaultdict(lambda: defaultdict(list))
     for i, ch in items:
-        by_model[ch.model].append((i, ch))
-    parts = []
-    for model, group in by_model.items():
-        # One SQL expression per model (one round trip to build, one generator).
-        entries = ", ".join(_uniqueness_entry_sql(ch, i) for i, ch in group)
-        parts.append(
-            frames[model]
-            .selectExpr(f"explode(array({entries})) AS __e")
-            .where("__e IS NOT NULL")
-            .selectExpr("__e.check_idx AS check_idx", "__e.key AS key")
-        )
-    emitted = parts[0]
-    for part in parts[1:]:
-        emitted = emitted.unionByName(part)
-    return emitted.groupBy("check_idx", "key").count().where(F.col("count") > 1).select("check_idx")
+        types = dict(frames[ch.model].dtypes)
+        by_signature[tuple(types[c] for c in ch.columns)][ch.model].append((i, ch))
+    repeated = []
+    for by_model in by_signature.values():
+        parts = []
+        for model, group in by_model.items():
+            # One SQL expression per model (one round trip to build, one generator).
+            entries = ", ".join(_uniqueness_entry_sql(ch, i) for i, ch in group)
+            parts.append(
+                frames[model]
+                .selectExpr(f"explode(array({entries})) AS __e")
+                .where("__e IS NOT NULL")
+                .selectExpr("__e.check_idx AS check_idx", "__e.key AS key")
+            )
+        emitted = parts[0]
+        for part in parts[1:]:
+            emitted = emitted.unionByName(part)
+        repeated.append(emitted.groupBy("check_idx", "key").count().where(F.col("count") > 1).select("check_idx"))
+    out = repeated[0]
+    for part in repeated[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def _failing_row_level(model_checks: list[tuple[int, Check]], df: DataFrame) -> DataFrame:
