@@ -58,19 +58,23 @@ class TableStore:
         name is used as it is; a model without one lands in the default layer."""
         return f"{self.root}/{layer or self.default_layer}/{name}"
 
-    def versions(self, layer: str, name: str) -> list[int]:
-        """Committed versions (with a ``_SUCCESS`` marker), oldest first."""
-        base = self.location(layer, name)
-        fs, p = self._fs(base)
+    def _version_dirs(self, layer: str, name: str) -> list[int]:
+        """Every version folder, committed or left behind by a failed write."""
+        fs, p = self._fs(self.location(layer, name))
         if not fs.exists(p):
             return []
         out = []
         for status in fs.listStatus(p):
             m = _VERSION.match(status.getPath().getName())
-            if m and status.isDirectory() and self._exists(f"{base}/{status.getPath().getName()}/_SUCCESS"):
+            if m and status.isDirectory():
                 out.append(int(m.group(1)))
         return sorted(out)
 
+    def versions(self, layer: str, name: str) -> list[int]:
+        """Committed versions (with a ``_SUCCESS`` marker), oldest first."""
+        base = self.location(layer, name)
+        return [v for v in self._version_dirs(layer, name) if self._exists(f"{base}/v{v}/_SUCCESS")]
+
     def current_version(self, layer: str, name: str) -> int | None:
         v = self.versions(layer, name)
         return v[-1] if v else None
@@ -137,8 +141,10 @@ class TableStore:
         keys read fewer, larger files; ``partition_by`` lays out folders for
         partition pruning (low-cardinality columns only).
         """
-        current = self.current_version(layer, name)
-        nxt = 1 if current is None else current + 1
+        # Past every existing folder: a write that died before committing leaves a
+        # folder without _SUCCESS, which readers ignore and a retry must not reuse.
+        existing = self._version_dirs(layer, name)
+        nxt = (existing[-1] + 1) if existing else 1
         path = f"{self.location(layer, name)}/v{nxt}"
         out = df.repartition(*repartition_by) if repartition_by else df
         writer = out.write.mode("errorifexists")

@@ -90,3 +90,18 @@ def test_layer_naming(spark):
     store = TableStore(spark, root, default_layer="analytics")
     assert store.location("marts", "dim_movies") == f"{root}/marts/dim_movies"
     assert store.location(None, "adhoc") == f"{root}/analytics/adhoc"
+
+
+def test_store_skips_a_failed_partial_version(spark):
+    root = tempfile.mkdtemp(prefix="strata-store-")
+    store = TableStore(spark, root)
+    store.write(spark.range(2), "marts", "t")
+    import os
+
+    os.makedirs(os.path.join(root, "marts", "t", "v2"))  # a write that died before committing
+    with open(os.path.join(root, "marts", "t", "v2", "part-0.parquet"), "w") as f:
+        f.write("garbage")
+    assert store.current_version("marts", "t") == 1  # readers ignore it
+    store.write(spark.range(5), "marts", "t")  # the retry lands in v3
+    assert store.versions("marts", "t") == [1, 3]
+    assert store.read("marts", "t").count() == 5
