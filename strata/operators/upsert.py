@@ -147,11 +147,7 @@ def upsert(
         *[F.col(c).alias(_SRC + c) for c in carried],
         F.lit(True).alias(_MATCH),
     )
-    cond = None
-    for k in keys:
-        term = F.col(k) == F.col(_SRC + k)
-        cond = term if cond is None else cond & term
-    joined = target.join(batch, cond, "left")
+    joined = target.join(batch, _eq(keys, "", _SRC), "left")
     matched = F.col(_MATCH).isNotNull()
     updated_cols = []
     for c in target.columns:
@@ -164,7 +160,8 @@ def upsert(
         updated_cols.append(value.alias(c))
     updated = joined.select(*updated_cols)
 
-    # 2. batch ▷ target keys: inserts (NULL keys never match, so they are kept).
+    # 2. inserts: batch rows whose key the target does not hold (NULL keys never
+    #    match, so NULL-keyed rows are always inserted).
     inserts = _anti_by_eq(source, target, keys)
     insert_cols = []
     for c in target.columns:
