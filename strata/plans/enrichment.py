@@ -49,19 +49,26 @@ def enrichment_keys(dim_movies: DataFrame, batch_size: int = 100) -> DataFrame:
     )
 
 
-def parse_payloads(responses: DataFrame, order_col: str | None = None) -> DataFrame:
+def parse_payloads(responses: DataFrame, order_col: str | None = None, on_invalid: str = "raise") -> DataFrame:
     """Successful responses as typed rows; ``raw_json`` keeps the body text.
 
-    Non-200 responses are skipped. ``parse_json`` raises on invalid text, as the
-    warehouse's PARSE_JSON does; fields are read with ``try_variant_get`` so a
-    missing or mistyped field becomes NULL.
+    Non-200 responses are skipped. Each body is parsed once into a VARIANT and the
+    fields are read from it with ``try_variant_get`` (a missing or mistyped field
+    becomes NULL), instead of re-parsing the text per field. An invalid body raises,
+    as PARSE_JSON does (``on_invalid="raise"``); ``on_invalid="skip"`` drops such
+    rows instead, so one bad body cannot fail a large batch.
     """
+    if on_invalid not in ("raise", "skip"):
+        raise ValueError("on_invalid must be 'raise' or 'skip'")
     ok = responses.where(F.col("status") == OK_STATUS)
+    parse = F.parse_json if on_invalid == "raise" else F.try_parse_json
     parsed = ok.select(
         *([order_col] if order_col else []),
-        F.parse_json(F.col("body")).alias("__v"),
+        parse(F.col("body")).alias("__v"),
         F.col("body").alias("raw_json"),
     )
+    if on_invalid == "skip":
+        parsed = parsed.where(F.col("__v").isNotNull())
     fields = [F.try_variant_get(F.col("__v"), f"$.{name}", typ).alias(col) for name, col, typ in PAYLOAD_FIELDS]
     return parsed.select(*([order_col] if order_col else []), *fields, "raw_json")
 

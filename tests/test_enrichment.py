@@ -68,3 +68,9 @@ def test_load_time_defaults_to_current_timestamp(spark):
     before = dt.datetime.now() - dt.timedelta(minutes=5)
     r = enrichment.payload_upsert(enrichment.empty_target(spark), resp).first()
     assert r.tmdb_id == 9 and r.loaded_at >= before
+
+
+def test_parse_can_skip_invalid_bodies(spark):
+    resp = spark.createDataFrame([(1, 200, "{broken"), (2, 200, '{"id": 3}')], SCHEMA)
+    rows = enrichment.parse_payloads(resp, on_invalid="skip").collect()
+    assert [r.tmdb_id for r in rows] == [3]
