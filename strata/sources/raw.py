@@ -7,7 +7,7 @@ the test tables live in ``strata.sources.testdata``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StructField, StructType
@@ -15,18 +15,41 @@ from pyspark.sql.types import LongType, StructField, StructType
 from strata.sources.schemas import RAW_SCHEMAS
 
 
-@dataclass(frozen=True)
 class RawSources:
-    raw_movies: DataFrame
-    raw_ratings: DataFrame
-    raw_tags: DataFrame
-    raw_genome_tags: DataFrame
-    raw_genome_scores: DataFrame
-    raw_links: DataFrame
-    genre_mapping: DataFrame
-
-    def replace(self, **frames: DataFrame) -> "RawSources":
-        values = {k: getattr(self, k) for k in self.__dataclass_fields__}
+    """The raw inputs of one build. Each may be given as a DataFrame or as a
+    zero-argument builder; builders run on first access, so a query constructs
+    only the inputs it reads."""
+
+    NAMES = (
+        "raw_movies",
+        "raw_ratings",
+        "raw_tags",
+        "raw_genome_tags",
+        "raw_genome_scores",
+        "raw_links",
+        "genre_mapping",
+    )
+
+    def __init__(self, **frames: DataFrame | Callable[[], DataFrame]):
+        missing = [n for n in self.NAMES if n not in frames]
+        unknown = [n for n in frames if n not in self.NAMES]
+        if missing or unknown:
+            raise TypeError(f"missing inputs {missing}, unknown inputs {unknown}")
+        self._given = dict(frames)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        given = self.__dict__.get("_given")
+        if given is None or name not in given:
+            raise AttributeError(name)
+        built = self.__dict__["_built"]
+        if name not in built:
+            value = given[name]
+            built[name] = value if isinstance(value, DataFrame) else value()
+        return built[name]
+
+    def replace(self, **frames: DataFrame | Callable[[], DataFrame]) -> "RawSources":
+        values = {n: self._built.get(n, self._given[n]) for n in self.NAMES}
         values.update(frames)
         return RawSources(**values)
 

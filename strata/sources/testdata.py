@@ -163,13 +163,13 @@ def edited_raw_movies(raw: DataFrame) -> DataFrame:
 
 def sources(spark: SparkSession, sf_dir: str) -> RawSources:
     return RawSources(
-        raw_movies=raw_movies(spark, sf_dir),
-        raw_ratings=raw_ratings(spark, sf_dir),
-        raw_tags=raw_tags(spark, sf_dir),
-        raw_genome_tags=raw_genome_tags(spark, sf_dir),
-        raw_genome_scores=raw_genome_scores(spark, sf_dir),
-        raw_links=raw_links(spark, sf_dir),
-        genre_mapping=_seed(spark),
+        raw_movies=lambda: raw_movies(spark, sf_dir),
+        raw_ratings=lambda: raw_ratings(spark, sf_dir),
+        raw_tags=lambda: raw_tags(spark, sf_dir),
+        raw_genome_tags=lambda: raw_genome_tags(spark, sf_dir),
+        raw_genome_scores=lambda: raw_genome_scores(spark, sf_dir),
+        raw_links=lambda: raw_links(spark, sf_dir),
+        genre_mapping=lambda: _seed(spark),
     )
 
 
