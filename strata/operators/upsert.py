@@ -162,7 +162,7 @@ def upsert(
 
     # 2. inserts: batch rows whose key the target does not hold (NULL keys never
     #    match, so NULL-keyed rows are always inserted).
-    inserts = _anti_by_eq(source, target, keys)
+    inserts = _anti_by_eq(source, target, keys, source_unique=on_duplicate == "latest")
     insert_cols = []
     for c in target.columns:
         if c in source.columns:
@@ -175,7 +175,7 @@ def upsert(
     return updated.unionByName(inserts.select(*insert_cols))
 
 
-def _anti_by_eq(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _anti_by_eq(source: DataFrame, target: DataFrame, keys: Sequence[str], source_unique: bool = False) -> DataFrame:
     """``source`` rows with no target row equal on every key (plain ``=``).
 
     Computed against the batch's keys that the target holds (at most the batch's
@@ -183,7 +183,9 @@ def _anti_by_eq(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Da
     key columns only and probed against the batch keys, so no run shuffles the
     whole target. NULL keys never match, so NULL-keyed rows are kept.
     """
-    batch_keys = source.where(~_any_null(keys)).select(*keys).distinct()
+    batch_keys = source.where(~_any_null(keys)).select(*keys)
+    if not source_unique:
+        batch_keys = batch_keys.distinct()
     matched = _keys_in_target(target, batch_keys, keys).select(*[F.col(k).alias("__t_" + k) for k in keys])
     return source.join(matched, _eq(keys, "", "__t_"), "left_anti")
 
