@@ -5,7 +5,7 @@ from strata.plans.project import Project
 from strata.session import configure_for_scale, shuffle_partitions_for
 from strata.sources import testdata
 from strata.sources.raw import from_parquet
-from strata.sources.seeds import testdata_genre_mapping
+from strata.sources import seeds
 from tests.conftest import SF001
 
 
@@ -17,7 +17,7 @@ def test_landing_zone_reader_gives_same_models(spark):
     for name in ("raw_movies", "raw_ratings", "raw_tags", "raw_genome_tags", "raw_genome_scores", "raw_links"):
         df = getattr(src, name)
         df.select(*[c for c in df.columns if c != "event_id"]).write.parquet(os.path.join(root, name))
-    landed = from_parquet(spark, root, testdata_genre_mapping(spark))
+    landed = from_parquet(spark, root, seeds.testdata_genre_mapping(spark))
     a = Project(spark, src).fct_genre_ratings
     b = Project(spark, landed).fct_genre_ratings
     assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
