@@ -177,9 +177,9 @@ def run_checks(checks: Iterable[Check], frames: Mapping[str, DataFrame]) -> Data
 
     Every failing row (row-level checks), repeated key (uniqueness checks) and
     orphan (relationships) emits its check's index; one grouped count over the
-    union gives every failure count at once, so the whole suite ends in a single
-    small shuffle instead of one aggregate job per check or model. Descriptive
-    columns come from the check list, a broadcast of one row per declared check.
+    union with the check list gives every failure count and the descriptive
+    columns at once, so the whole suite ends in a single small shuffle instead of
+    one aggregate job per check or model, and without a join.
     """
     checks = list(checks)
     if not checks:
@@ -203,15 +203,24 @@ def run_checks(checks: Iterable[Check], frames: Mapping[str, DataFrame]) -> Data
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
-    counts = found.groupBy("check_idx").agg(F.count(F.lit(1)).alias("failures"))
+    # The check list (one row per declared check, zero failures) and the per-check
+    # counts meet in one tiny aggregate: every check gets a row, and no join is
+    # needed to attach the descriptive columns.
     meta = spark.createDataFrame(
-        [(i, c.check_name, c.kind, c.model, c.column_name, c.severity) for i, c in enumerate(checks)],
-        "check_idx int, check_name string, kind string, model string, column_name string, severity string",
+        [(i, c.check_name, c.kind, c.model, c.column_name, c.severity, 0) for i, c in enumerate(checks)],
+        "check_idx int, check_name string, kind string, model string, column_name string, severity string, n int",
     )
-    report = F.broadcast(meta).join(counts, "check_idx", "left").select(
-        "check_name", "kind", "model", "column_name", "severity",
-        F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures"),
+    # Failure markers are counted by a hash aggregate (combined map-side); only its
+    # result, at most one row per check, meets the check list.
+    counts = found.groupBy("check_idx").agg(F.count(F.lit(1)).alias("n")).selectExpr(
+        "CAST(check_idx AS INT) AS check_idx", "CAST(NULL AS STRING) AS check_name", "CAST(NULL AS STRING) AS kind",
+        "CAST(NULL AS STRING) AS model", "CAST(NULL AS STRING) AS column_name", "CAST(NULL AS STRING) AS severity",
+        "CAST(n AS INT) AS n",
     )
+    report = meta.unionByName(counts).groupBy("check_idx").agg(
+        *[F.max(c).alias(c) for c in ("check_name", "kind", "model", "column_name", "severity")],
+        F.sum("n").cast("bigint").alias("failures"),
+    ).drop("check_idx")
     return _with_status(report)
 
 
