@@ -57,3 +57,10 @@ def test_checks_end_in_one_grouped_count(spark):
     assert any("Aggregate" in line for line in top)
     assert "HashAggregate" in p
     assert not any("Join" in line for line in top)
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_no_python_in_the_plan(spark, name):
+    p = plan(spark, name)
+    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF"):
+        assert node not in p, f"{name} runs Python: {node}"
