@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, mixing
+from strata.llm import exact_dedup, mixing, secrets
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
+    "op5_secret_scan": secrets.query,
     "op10_source_mixing": mixing.query,
 }
 ORACLE_SQL = {
     "op1_exact_dedup": exact_dedup.ORACLE,
+    "op5_secret_scan": secrets.ORACLE,
     "op10_source_mixing": mixing.ORACLE,
 }
