@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, mixing, secrets
+from strata.llm import exact_dedup, mixing, secrets, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
+    "op2_warc": warc.query,
     "op5_secret_scan": secrets.query,
     "op10_source_mixing": mixing.query,
 }
 ORACLE_SQL = {
     "op1_exact_dedup": exact_dedup.ORACLE,
+    "op2_warc": warc.ORACLE,
     "op5_secret_scan": secrets.ORACLE,
     "op10_source_mixing": mixing.ORACLE,
 }
