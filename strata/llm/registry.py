@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, mixing, secrets, warc
+from strata.llm import exact_dedup, mixing, quality_rules, secrets, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
     "op2_warc": warc.query,
     "op5_secret_scan": secrets.query,
+    "op7_quality_rules": quality_rules.query,
     "op10_source_mixing": mixing.query,
 }
 ORACLE_SQL = {
     "op1_exact_dedup": exact_dedup.ORACLE,
     "op2_warc": warc.ORACLE,
     "op5_secret_scan": secrets.ORACLE,
+    "op7_quality_rules": quality_rules.ORACLE,
     "op10_source_mixing": mixing.ORACLE,
 }
