@@ -56,7 +56,8 @@ RULES = (
     Rule("few_words", 0, "n_words < 20"),
     Rule("repeated_windows", 1, "100 * n_repeat_words > 30 * n_words"),
     Rule("symbols", 2, "10 * n_symbols > n_words"),
-    Rule("duplicate_lines", 3, "100 * n_dup_lines > 30 * n_lines"),
+    # A line repeated once or twice, such as a heading at both ends of a short text, is no fault.
+    Rule("duplicate_lines", 3, "n_dup_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines"),
     Rule("long_words", 4, "word_chars > 20 * n_words"),
     Rule("short_words", 5, "word_chars < 2 * n_words"),
     Rule("few_letters", 6, "100 * n_letters < 60 * word_chars"),
@@ -195,7 +196,7 @@ b AS (
   SELECT *, CASE WHEN n_words < 20 THEN 1 ELSE 0 END
        + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
        + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END
-       + CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END
+       + CASE WHEN n_dup_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END
        + CASE WHEN word_chars > 20 * n_words THEN 16 ELSE 0 END
        + CASE WHEN word_chars < 2 * n_words THEN 32 ELSE 0 END
        + CASE WHEN 100 * n_letters < 60 * word_chars THEN 64 ELSE 0 END AS failed

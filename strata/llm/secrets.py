@@ -21,8 +21,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.llm.common import documents, filled, scratch, stored
+from strata.sources.storage import empty_frame
 
 SPANS = "array<struct<s:int,k:int,e:int>>"
 LEDGER = f"blob string, rule string, spans {SPANS}"
@@ -104,7 +106,7 @@ class Ledger:
     def read(self) -> DataFrame:
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         if not hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop):
-            return self.spark.createDataFrame([], LEDGER)
+            return empty_frame(self.spark, StructType.fromDDL(LEDGER))
         return self.spark.read.schema(LEDGER).parquet(self.path)
 
     def scan(
