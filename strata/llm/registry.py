@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, language_id, mixing, near_dedup, quality_rules, secrets, warc
+from strata.llm import exact_dedup, language_id, mixing, near_dedup, quality_rules, secrets, suffix_dedup, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
     "op2_warc": warc.query,
     "op3_near_dedup": near_dedup.query,
+    "op4_suffix_dedup": suffix_dedup.query,
     "op5_secret_scan": secrets.query,
     "op7_quality_rules": quality_rules.query,
     "op8_language_id": language_id.query,
