@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, language_id, mixing, near_dedup, quality_rules, secrets, suffix_dedup, warc
+from strata.llm import exact_dedup, language_id, mixing, near_dedup, quality_rules, secrets, suffix_dedup, token_shards, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_secret_scan": secrets.query,
     "op7_quality_rules": quality_rules.query,
     "op8_language_id": language_id.query,
+    "op9_token_shards": token_shards.query,
     "op10_source_mixing": mixing.query,
 }
 ORACLE_SQL = {
