@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, language_id, mixing, near_dedup, quality_rules, secrets, suffix_dedup, token_shards, warc
+from strata.llm import exact_dedup, language_id, mixing, near_dedup, quality_rules, secrets, sentencepiece_codec, suffix_dedup, token_shards, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_near_dedup": near_dedup.query,
     "op4_suffix_dedup": suffix_dedup.query,
     "op5_secret_scan": secrets.query,
+    "op6_sentencepiece": sentencepiece_codec.query,
     "op7_quality_rules": quality_rules.query,
     "op8_language_id": language_id.query,
     "op9_token_shards": token_shards.query,

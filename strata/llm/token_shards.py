@@ -51,21 +51,20 @@ NO_ID = -(2**63)
 ROUNDS = 6
 
 
-def vocabulary() -> str:
-    """Path of the byte-level BPE ranks; the default of every ``ranks_path``."""
+def vocabulary() -> tuple[str, str]:
+    """Path of the byte-level BPE ranks and the pattern that splits texts before the merges; the defaults."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
 @lru_cache(2)
-def encoding(ranks_path: str):
-    import public_tokenizers
+def encoding(ranks: bytes, pattern: str):
+    """The tokenizer of a rank file's content, once per process."""
     import tiktoken
 
-    with open(ranks_path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    pairs = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines())}
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=pairs, special_tokens={})
 
 
 # -- the permutation ----------------------------------------------------------------------------------------------------
@@ -156,10 +155,12 @@ def numbered(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int,
 
 def write_shards(
     df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, seed: str = SEED,
-    shard_text_bytes: int = SHARD_TEXT_BYTES, ranks_path: str | None = None,
+    shard_text_bytes: int = SHARD_TEXT_BYTES, ranks_path: str | None = None, pattern: str | None = None,
 ) -> Shards:
     """Write the shards under ``path``."""
-    ranks_path = ranks_path or vocabulary()
+    path_of_ranks, pattern = (ranks_path, pattern) if ranks_path else vocabulary()
+    with open(path_of_ranks, "rb") as file:
+        ranks = df.sparkSession.sparkContext.broadcast(file.read())  # the vocabulary, of fixed size
     rows, n_docs, most, total = numbered(df, id_col, text_col)
     per_doc = -(-(most + 1) // length)  # a token has a byte at least
     order = Permutation(n_docs * per_doc, seed)
@@ -167,7 +168,7 @@ def write_shards(
     width = max(1, -(-order.size // n_shards))
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, pack = encoding(ranks_path).encode_to_numpy, zstandard.ZstdCompressor(1).compress
+        encode, pack = encoding(ranks.value, pattern).encode_to_numpy, zstandard.ZstdCompressor(1).compress
         for batch in batches:
             out: list[list] = [[], [], [], []]
             index: list[int] = []
