@@ -13,11 +13,12 @@ similarity reaches the threshold; components of the link graph are the groups.
    member, not all pairs), which joins big groups early. Nodes still large at ``DEPTH`` are
    finished exactly in step 5.
 4. Candidates pass two bounds that no true link fails (size ratio; differing bits more than 6.5 standard
-   deviations beyond the expected) and are confirmed on the full sets rebuilt from the texts: first each document's
-   closest candidate, then every remaining candidate whose ends are still in different groups. Candidates inside
-   one group cannot change it and are left out.
-5. In the nodes left over from step 3, all members outside the node's main group are compared with all
-   members of other groups, so no link is lost to the depth limit.
+   deviations beyond the expected) and are confirmed on the full sets rebuilt from the texts, in rounds: each document's
+   closest candidates first, at last all that remain. After a round, candidates inside one group cannot change it
+   and leave, so a large group is joined by few of its pairs.
+5. In the nodes left over from step 3, all documents outside the main group are compared with all others on the full
+   sets, block by block, so no link is lost to the depth limit. This is the one part that grows with the
+   square of a family that keeps agreeing on minwise tokens without linking; it returns links only.
 
 Defined cases: text is lower-cased A-Z only; words are ``[^\\x20\\x09-\\x0D]+``. Fewer than k words: the whole
 sequence is one shingle. No words or NULL text: an empty set, linked with nothing, a group of its own. NULL
@@ -36,6 +37,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strata.llm.common import documents, stored
 from strata.llm.components import components
@@ -44,6 +46,10 @@ TREES = 16
 SIGNATURE = 4 * TREES
 DEPTH = 8
 LEAF = 32
+#: Closest candidates of each document that a round of confirmation takes; None: all that remain.
+ROUNDS = (1, 4, 16, None)
+#: Documents in a block of step 5, and in a tile of it that is compared at once.
+FAMILY_BLOCK, TILE = 512, 128
 #: Shingles hashed at a time, which bounds memory for very long texts.
 BLOCK = 8192
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -159,11 +165,8 @@ def candidates(reps: DataFrame, at_least: Threshold, depth: int = DEPTH, leaf: i
         rows = large.join(sigs, F.col("rep") == F.col("_rep")).select(
             "tree", F.xxhash64("key", F.get("sig", _token(level))).alias("key"), "rep", "n", "bits"
         ) if level < depth else large
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.unionByName(more)
     left_over = (rows if level == depth else large).where(F.lit(level == depth)).select("key", "rep", "n", "bits")
-    return stored(pairs.distinct(), "pairs"), left_over
+    return stored(union(found).distinct(), "pairs"), left_over
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, k: int, at_least: Threshold) -> DataFrame:
@@ -189,15 +192,111 @@ def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return known.where("coalesce(ga, a) <> coalesce(gb, b)").select(*pairs.columns)
 
 
-def _left_over_pairs(left_over: DataFrame, groups: DataFrame, at_least: Threshold) -> DataFrame:
-    """Candidates between different groups of one node that stayed large."""
-    own = groups.select(F.col("id").alias("rep"), F.col("component").alias("_g"))
-    known = left_over.join(own, "rep", "left").withColumn("g", F.coalesce("_g", "rep")).drop("_g")
-    sizes = known.groupBy("key", "g").agg(F.count("*").alias("n_g"))
-    main = sizes.groupBy("key").agg(F.max(F.struct("n_g", "g")).alias("main"), F.count("*").alias("n_groups"))
-    mixed = stored(known.join(main.where("n_groups > 1"), "key"), "left-over")
-    outside = mixed.where("g <> main.g")
-    return _pairs(outside, mixed, F.expr("x.key = y.key AND x.g <> y.g"), at_least).distinct()
+def closest(pairs: DataFrame, n: int) -> DataFrame:
+    """The pairs that are among the ``n`` closest candidates of an end."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("end"), "a", "b", "apart")
+    place = F.row_number().over(Window.partitionBy("end").orderBy("apart", "a", "b"))
+    return ends.withColumn("place", place).where(F.col("place") <= n).select("a", "b", "apart").distinct()
+
+
+def union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def settle(pairs: DataFrame, links: list[DataFrame], texts: DataFrame, k: int, at_least: Threshold) -> DataFrame | None:
+    """Confirm candidates until none is left between two groups. Adds to ``links``; the groups ``(id, component)``, None without links."""
+    rest, groups = pairs, None
+    for n in ROUNDS:
+        if not rest.take(1):
+            break
+        chosen = rest if n is None else stored(closest(rest, n), "closest")
+        found = stored(confirm(chosen, texts, k, at_least), "links")
+        links.append(found)
+        if n is not None:
+            rest = rest.join(chosen.select("a", "b"), ["a", "b"], "left_anti")
+        if found.take(1):
+            groups = stored(components(union(links)), "groups")
+        if n is not None:
+            rest = stored(_across(rest, groups) if groups is not None else rest, "candidates")
+    return groups
+
+
+def _overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``x`` with all of ``y``, by a product of 0/1 matrices."""
+    words = np.unique(np.concatenate(x))
+
+    def rows(sets: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros((len(sets), len(words)), np.float32)
+        for row, members in zip(out, sets, strict=True):
+            at = np.searchsorted(words, members)
+            at[at == len(words)] = 0
+            row[at[words[at] == members]] = 1
+        return out
+
+    return (rows(x) @ rows(y).T).astype(np.int64)
+
+
+def _block_links(rows: pd.DataFrame, k: int, at_least: Threshold) -> list[tuple[int, int]]:
+    """Links between the groups of a pair of blocks, as a spanning forest: rows ``(rep, g, i, j, block, text)``."""
+    rows = rows.sort_values(["block", "rep"], ignore_index=True)
+    sets = [shingles(t, k) for t in rows["text"]]
+    size, block = np.array([len(s) for s in sets]), rows["block"].to_numpy()
+    own, other = np.flatnonzero(block == rows["i"][0]), np.flatnonzero(block == rows["j"][0])
+    root = {g: g for g in rows["g"]}
+
+    def find(g):
+        while root[g] != g:
+            root[g] = g = root[root[g]]
+        return g
+
+    out = []
+    for p in range(0, len(own), TILE):
+        for q in range(0, len(other), TILE):
+            left, right = own[p : p + TILE], other[q : q + TILE]
+            both = _overlaps([sets[i] for i in left], [sets[j] for j in right])
+            union = size[left][:, None] + size[right][None, :] - both
+            for i, j in zip(*np.nonzero(at_least.den * both >= at_least.num * union), strict=True):
+                a, b = rows["rep"][left[i]], rows["rep"][right[j]]
+                ga, gb = find(rows["g"][left[i]]), find(rows["g"][right[j]])
+                if ga != gb:
+                    root[ga] = gb
+                    out.append((min(a, b), max(a, b)))
+    return out
+
+
+def left_over_links(left_over: DataFrame, groups: DataFrame, texts: DataFrame, k: int, at_least: Threshold) -> DataFrame:
+    """Links between different groups among documents of nodes that stayed large.
+
+    Nodes that share documents form a family. Its documents outside its main group are compared on the full sets with all
+    others, block by block: a task gets two blocks of about ``FAMILY_BLOCK`` documents and returns a spanning forest at most."""
+    leaders = left_over.groupBy("key").agg(F.min("rep").alias("a"))
+    families = components(left_over.join(leaders, "key").select("a", F.col("rep").alias("b")).where("a <> b"))
+    own = groups.select(F.col("id").alias("_id"), F.col("component").alias("_g"))
+    members = families.select(F.col("id").alias("rep"), F.col("component").alias("family")).join(own, F.col("rep") == F.col("_id"), "left")
+    members = stored(members.select("family", "rep", F.coalesce("_g", "rep").alias("g")), "families")
+    sizes = members.groupBy("family", "g").agg(F.count("*").alias("n_g"))
+    sizes = sizes.groupBy("family").agg(F.max(F.struct("n_g", "g")).alias("main"), F.sum("n_g").alias("n"))
+    sizes = sizes.where("n > main.n_g")
+    placed = members.join(sizes, "family").select(
+        "family", "rep", "g", (F.col("g") != F.col("main.g")).alias("out"),
+        F.ceil((F.col("n") - F.col("main.n_g")) / FAMILY_BLOCK).alias("n_out"), F.ceil(F.col("main.n_g") / FAMILY_BLOCK).alias("n_main"),
+    )
+    at = F.when(F.col("out"), F.pmod(F.xxhash64("rep"), "n_out")).otherwise(F.col("n_out") + F.pmod(F.xxhash64("rep"), "n_main"))
+    last = F.when(F.col("out"), F.col("n_out") + F.col("n_main")).otherwise(F.col("n_out")) - 1
+    spread = (
+        placed.select("family", "rep", "g", at.alias("block"), last.alias("last"))
+        .join(texts, "rep")
+        .select("family", "rep", "g", "block", "text", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("t"))
+        .select("family", "rep", "g", "block", "text", F.least("block", "t").alias("i"), F.greatest("block", "t").alias("j"))
+    )
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(_block_links(rows, k, at_least), columns=["a", "b"], dtype="int64")
+
+    return spread.groupBy("family", "i", "j").applyInPandas(compare, "a long, b long")
 
 
 def near_groups(
@@ -217,16 +316,19 @@ def near_groups(
     # The texts of documents in any candidate pair are gathered once, one row per id.
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).unionByName(left_over.select("rep")).distinct()
     texts = df.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).where("rep IS NOT NULL")
-    texts = stored(texts.join(wanted, "rep", "left_semi").dropDuplicates(["rep"]), "candidate-texts")
-
-    nearest = pairs.groupBy("b").agg(F.min(F.struct("apart", "a")).alias("best")).select("best.a", "b")
-    nearest = stored(nearest, "nearest")
-    links = stored(confirm(nearest, texts, k, at_least), "links-1")
-    groups = stored(components(links), "groups-1")
-    rest = pairs.select("a", "b").join(nearest, ["a", "b"], "left_anti")
-    rest = _across(rest, groups).unionByName(_left_over_pairs(left_over, groups, at_least).select("a", "b"))
-    more = stored(confirm(rest.distinct(), texts, k, at_least), "links-2")
-    groups = stored(components(links.unionByName(more)), "groups-2") if more.take(1) else groups
+    # A merge join at every size: the ids grow with the corpus, so broadcasting them is no plan.
+    texts = stored(texts.join(wanted.hint("merge"), "rep", "left_semi").dropDuplicates(["rep"]), "candidate-texts")
+
+    links: list[DataFrame] = []
+    groups = settle(pairs, links, texts, k, at_least)
+    if left_over.take(1):
+        known = groups if groups is not None else reps.select(F.col("rep").alias("id"), F.col("rep").alias("component"))
+        more = stored(left_over_links(left_over, known, texts, k, at_least), "left-over-links")
+        if more.take(1):
+            links.append(more)
+            groups = stored(components(union(links)), "groups")
+    if groups is None:
+        groups = reps.select(F.col("rep").alias("id"), F.col("rep").alias("component"))
 
     named = classes.join(groups, F.col("rep") == F.col("id"), "left").select(
         "_digest", F.coalesce("component", "rep").alias("component_id")
