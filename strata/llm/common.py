@@ -39,6 +39,11 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame) -> Column:
+    """All columns of ``df`` as one, ``row``, so that an operator's own columns cannot clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
 def filled(text: Column) -> Column:
     """Text with NULL as empty."""
     return F.coalesce(text, F.lit(""))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.common import documents, filled, stored
+from strata.llm.common import documents, filled, packed, stored
 
 #: Digest buckets, each with its own sketch, and the most winners a bucket may name.
 BUCKETS = 64
@@ -90,15 +90,17 @@ def exact_dedup(
 def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, with all their columns."""
     verdict = stored(exact_dedup(df, id_col, text_col), "exact-verdict")
-    key = [F.col("_id").eqNullSafe(F.col(id_col).cast("long")), F.col("_digest") == F.sha2(filled(F.col(text_col)), 256)]
-    same_id = verdict.where("doc_id <=> keep_id").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"))
-    gone = verdict.where("NOT doc_id <=> keep_id").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"))
-    left = df.join(gone, key, "left_anti")
-    repeated = same_id.groupBy("_id", "_digest").count().where("count > 1").drop("count")
-    if not repeated.take(1):
-        return left
-    once = left.join(repeated, key, "left_semi").dropDuplicates([id_col, text_col])
-    return left.join(repeated, key, "left_anti").unionByName(once)
+    sha = F.sha2(filled(F.col(text_col)), 256)
+    rows = df.select(packed(df), F.col(id_col).cast("long").alias("id"), sha.alias("sha"))
+    key = F.expr("id <=> doc_id AND sha = text_sha256")
+    gone = verdict.where("NOT doc_id <=> keep_id").select("doc_id", "text_sha256").distinct()
+    left = rows.join(gone, key, "left_anti")
+    winners = verdict.where("doc_id <=> keep_id").groupBy("doc_id", "text_sha256").count()
+    repeated = winners.where("count > 1").select("doc_id", "text_sha256")
+    if repeated.take(1):
+        once = left.join(repeated, key, "left_semi").dropDuplicates(["id", "sha"])
+        left = left.join(repeated, key, "left_anti").unionByName(once)
+    return left.select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

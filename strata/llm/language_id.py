@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import documents
+from strata.llm.common import documents, packed
 
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
@@ -213,13 +213,13 @@ def identify(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     def predict(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    found = df.withColumn("_found", predict(F.col(text_col)))
-    return found.withColumns({"lang_pred": F.col("_found.lang_pred"), "score": F.col("_found.score")}).drop("_found")
+    rest = [f"row.`{c}`" for c in df.columns if c not in ("lang_pred", "score")]
+    return df.select(packed(df), predict(F.col(text_col)).alias("found")).select(*rest, "found.*")
 
 
 def keep_known(df: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """The rows of ``df`` whose text has a known language, with all their columns."""
-    found = identify(df.withColumn("_text", F.col("text")).select(F.struct(*df.columns).alias("row"), "_text"), train(df), "_text")
+    found = identify(df.select(packed(df), "text"), train(df))
     return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("row.*")
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.common import WORD, documents, filled, stored
+from strata.llm.common import WORD, documents, filled, packed, stored
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -185,20 +185,21 @@ def materialise(df: DataFrame, taken: DataFrame) -> DataFrame:
     """The mix itself: ``df``'s columns, each document once per full take, and a document taken in
     part with its leading words only. ``n_chars`` follows the text if the table has it.
     Rows are matched by id; a NULL id or a repeated id takes what one of its rows takes."""
-    plan = taken.groupBy(F.col("doc_id").alias("_id")).agg(F.max("taken").alias("_taken"), F.max("size").alias("_size"))
-    cut = F.regexp_extract(
-        F.col("text"), F.concat(F.lit(r"^([\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){"), F.col("_words"), F.lit("})")), 1
-    )
-    rows = (
-        df.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")))
-        .where(F.col("_taken") > 0)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int"))))
-        .withColumn("_words", F.least(F.col("_taken") - (F.col("_copy") - 1) * F.col("_size"), F.col("_size")))
-        .withColumn("text", F.when(F.col("_words") < F.col("_size"), cut).otherwise(F.col("text")))
-    )
+    plan = taken.groupBy(F.col("doc_id").alias("id")).agg(F.max("taken").alias("taken"), F.max("size").alias("size"))
+    words = F.least(F.col("taken") - (F.col("copy") - 1) * F.col("size"), F.col("size"))
+    each = F.regexp_extract_all(F.col("row.text"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    text = F.when(words < F.col("size"), F.array_join(F.slice(each, F.lit(1), words.cast("int")), "")).otherwise(F.col("row.text"))
+    row = F.col("row").withField("text", text)
     if "n_chars" in df.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(df.schema["n_chars"].dataType))
-    return rows.select(*df.columns)
+        row = row.withField("n_chars", F.length(text).cast(df.schema["n_chars"].dataType))
+    return (
+        df.select(packed(df), F.col("doc_id").cast("long").alias("doc"))
+        .join(plan, F.col("doc").eqNullSafe(F.col("id")))
+        .where("taken > 0")
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))))
+        .select(row.alias("row"))
+        .select("row.*")
+    )
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

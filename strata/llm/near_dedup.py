@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.common import documents, stored
+from strata.llm.common import documents, packed, stored
 from strata.llm.components import components
 
 TREES = 16
@@ -342,10 +342,36 @@ def near_groups(
 
 def deduplicate(df: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``df`` that stay: one document of each group (rows that repeat its id stay with it)."""
-    gone = near_groups(df, k, num, den).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = near_groups(df, k, num, den).where("NOT kept").select("doc_id").distinct()
     gone = stored(gone, "near-gone")
-    return df.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    rows = df.select(packed(df), F.col("doc_id").cast("long").alias("id"))
+    return rows.join(gone, F.expr("id = doc_id"), "left_anti").select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(documents(spark, sf_dir), k=3, num=85)
+
+
+ORACLE = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 2], ' ') AS shingle
+  FROM w, LATERAL (SELECT unnest(generate_series(1, greatest(len(ws) - 2, 1))) AS i) WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (shingle)
+  WHERE x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id),
+links AS (
+  SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other),
+c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+"""

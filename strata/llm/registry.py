@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, language_id, mixing, near_dedup, quality_rules, secrets, sentencepiece_codec, suffix_dedup, token_shards, warc
+import corpus_pipeline
+from strata.llm import (
+    exact_dedup,
+    language_id,
+    mixing,
+    near_dedup,
+    quality_rules,
+    secrets,
+    sentencepiece_codec,
+    suffix_dedup,
+    token_shards,
+    warc,
+)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
@@ -15,10 +27,13 @@ QUERIES = {
     "op8_language_id": language_id.query,
     "op9_token_shards": token_shards.query,
     "op10_source_mixing": mixing.query,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {
     "op1_exact_dedup": exact_dedup.ORACLE,
     "op2_warc": warc.ORACLE,
+    "op3_near_dedup": near_dedup.ORACLE,
+    "op4_suffix_dedup": suffix_dedup.ORACLE,
     "op5_secret_scan": secrets.ORACLE,
     "op7_quality_rules": quality_rules.ORACLE,
     "op10_source_mixing": mixing.ORACLE,

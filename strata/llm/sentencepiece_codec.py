@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import documents
+from strata.llm.common import documents, packed
 from strata.llm.piece_model import load
 
 
@@ -84,9 +84,9 @@ def encode_and_check(df: DataFrame, text_col: str = "text", model_path: str | No
             ))
         return pd.DataFrame(rows, columns=["ids", "n_tokens", "n_byte_tokens", "ids_sha256", "decoded_sha256", "round_trip"])
 
-    checked = df.withColumn("_codec", run(F.col(text_col)))
-    names = [c.split()[0] for c in FACTS.split(", ")]
-    return checked.withColumns({n: F.col(f"_codec.{n}") for n in names if keep_ids or n != "ids"}).drop("_codec")
+    names = [c.split()[0] for c in FACTS.split(", ") if keep_ids or not c.startswith("ids ")]
+    rest = [f"row.`{c}`" for c in df.columns if c not in names]
+    return df.select(packed(df), run(F.col(text_col)).alias("codec")).select(*rest, *[f"codec.{n}" for n in names])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -419,3 +419,27 @@ def maximal_repeat_groups(df: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir))
+
+
+ORACLE = f"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+s AS (
+  SELECT doc_id, i, md5(substring(h, 2 * i + 1, {2 * LENGTH})) AS string
+  FROM d, LATERAL (SELECT unnest(generate_series(0, n - {LENGTH})) AS i) WHERE n >= {LENGTH}),
+dup AS (
+  SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY string ORDER BY doc_id, i) AS place FROM s) WHERE place > 1),
+edge AS (
+  SELECT *, i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {LENGTH}, -1) AS opens FROM dup),
+run AS (
+  SELECT doc_id, min(i) AS a, max(i) + {LENGTH} AS b
+  FROM (SELECT *, sum(CAST(opens AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM edge) GROUP BY doc_id, r),
+before AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS prev FROM run),
+cut AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS reach,
+         string_agg(substring(h, 2 * prev + 1, 2 * (a - prev)), '' ORDER BY a) AS kept
+  FROM before JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substring(h, 2 * coalesce(reach, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
