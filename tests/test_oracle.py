@@ -12,7 +12,7 @@ def con():
     return duck(SF01)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.BASE_QUERIES))
 def test_query_matches_oracle(spark, con, name):
     sql = E.oracle_sql()[name]
     r = compare(spark, con, name, E.queries()[name], sql, SF01)

@@ -59,7 +59,7 @@ def test_checks_end_in_one_grouped_count(spark):
     assert not any("Join" in line for line in top)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.BASE_QUERIES))
 def test_no_python_in_the_plan(spark, name):
     p = plan(spark, name)
     for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF"):
