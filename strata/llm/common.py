@@ -44,6 +44,15 @@ def packed(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
 
 
+def document_order(texts: DataFrame) -> DataFrame:
+    """``(_id, _digest, at)`` of the distinct ``(doc_id, digest)``: numbers that rise with id (NULL first) and digest, with gaps.
+
+    Names documents where ids are NULL or shared by different texts. The sort is spread over range partitions."""
+    order = texts.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
+    order = order.orderBy(F.asc_nulls_first("_id"), "_digest")
+    return stored(order.withColumn("at", F.monotonically_increasing_id()), "document-order")
+
+
 def filled(text: Column) -> Column:
     """Text with NULL as empty."""
     return F.coalesce(text, F.lit(""))

@@ -22,8 +22,8 @@ similarity reaches the threshold; components of the link graph are the groups.
 
 Defined cases: text is lower-cased A-Z only; words are ``[^\\x20\\x09-\\x0D]+``. Fewer than k words: the whole
 sequence is one shingle. No words or NULL text: an empty set, linked with nothing, a group of its own. NULL
-ids cannot be linked: group NULL, kept. Repeated rows are listed each, in one group. Empty tables give an
-empty result. Other columns are not read.
+ids cannot be linked: group NULL, kept. Repeated rows are listed each, in one group. Different texts under one
+id are documents of their own, one of which is kept. Empty tables give an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.common import documents, packed, stored
+from strata.llm.common import document_order, documents, filled, packed, stored
 from strata.llm.components import components
 
 TREES = 16
@@ -307,6 +307,9 @@ def near_groups(
     at_least = Threshold(num, den)
     sketch = stored(sketches(df, k, id_col, text_col), "sketches")
     usable = sketch.where("doc_id IS NOT NULL AND n > 0")
+    shared = usable.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b")
+    if shared.take(1):
+        return _renumbered_groups(df, k, num, den, id_col, text_col, depth, leaf)
     classes = usable.groupBy(F.col("digest").alias("_digest")).agg(F.min("doc_id").alias("rep"))
     same = (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("_digest"))
     reps = usable.join(classes, same).dropDuplicates(["doc_id", "digest"])
@@ -340,10 +343,22 @@ def near_groups(
     )
 
 
+def _renumbered_groups(df: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str, depth: int, leaf: int) -> DataFrame:
+    """The groups where different texts share an id: each text is a document of its own, in the order of ids."""
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), filled(F.col(text_col)).alias("text"))
+    rows = rows.withColumn("digest", F.sha2("text", 256))
+    order = document_order(rows.where("doc_id IS NOT NULL"))
+    named = rows.join(order, F.expr("doc_id = _id AND digest = _digest"), "left").select("at", "text")
+    out = near_groups(named, k, num, den, "at", "text", depth, leaf).withColumnsRenamed({"doc_id": "x", "component_id": "y"})
+    own, first = (order.select(F.col("at").alias(c), F.col("_id").alias(n)) for c, n in (("x", "doc_id"), ("y", "component_id")))
+    return out.join(own, "x", "left").join(first, "y", "left").select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def deduplicate(df: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``df`` that stay: one document of each group (rows that repeat its id stay with it)."""
-    gone = near_groups(df, k, num, den).where("NOT kept").select("doc_id").distinct()
-    gone = stored(gone, "near-gone")
+    # Texts under one id stay or go together: with the id, if any of them stays.
+    verdict = near_groups(df, k, num, den).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    gone = stored(verdict.where("NOT kept").select("doc_id"), "near-gone")
     rows = df.select(packed(df), F.col("doc_id").cast("long").alias("id"))
     return rows.join(gone, F.expr("id = doc_id"), "left_anti").select("row.*")
 

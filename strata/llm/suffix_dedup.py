@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import documents, filled, stored
+from strata.llm.common import document_order, documents, filled, stored
 
 LENGTH = 100
 GRAM = 32
@@ -244,14 +244,18 @@ CONTEXTS = "gram long, block long, doc long, at long, first long, bytes binary"
 
 
 def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
-    """The rows of one gram and block at a time, equal (doc, at) once."""
+    """The rows of one gram and block at a time. Rows of one (doc, at), which a repeated document has and an anchor whose
+    run goes on in the next segment of a long text, become one context."""
     held: list[tuple] = []
     for batch in batches:
         for row in batch.itertuples(index=False, name=None):
             if held and held[0][:2] != row[:2]:
                 yield held
                 held = []
-            if not held or held[-1][2:4] != row[2:4]:
+            if held and held[-1][2:4] == row[2:4]:
+                *same, first, known = held[-1]
+                held[-1] = (*same, first, known + row[5][max(len(known) - (row[4] - first), 0) :])
+            else:
                 held.append(row)
     if held:
         yield held
@@ -273,7 +277,7 @@ def repeat_groups(contexts: DataFrame) -> DataFrame:
         yield pd.DataFrame(out, columns=names)
 
     names = ["gram", "repeat", "length", "doc", "start"]
-    ordered = contexts.repartition("gram", "block").sortWithinPartitions("gram", "block", "doc", "at")
+    ordered = contexts.repartition("gram", "block").sortWithinPartitions("gram", "block", "doc", "at", "first")
     return ordered.mapInPandas(run, "gram long, repeat long, length long, doc long, start long")
 
 
@@ -299,7 +303,7 @@ def repeated_spans(contexts: DataFrame) -> DataFrame:
                 out = []
         yield pd.DataFrame(out, columns=["doc", "start", "end"])
 
-    ordered = contexts.repartition("gram", "block").sortWithinPartitions("gram", "block", "doc", "at")
+    ordered = contexts.repartition("gram", "block").sortWithinPartitions("gram", "block", "doc", "at", "first")
     return ordered.mapInPandas(run, "doc long, start long, end long")
 
 
@@ -326,9 +330,7 @@ def _numbered_documents(df: DataFrame, id_col: str, text_col: str) -> tuple[Data
     clash = ledger.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("doc_id IS NULL OR a <> b")
     if not clash.take(1):
         return rows.withColumnRenamed("doc_id", "doc"), ledger.withColumn("doc", F.col("doc_id"))
-    # Sorted rows are numbered in order across partitions.
-    order = ledger.select("doc_id", "digest").distinct().orderBy(F.asc_nulls_first("doc_id"), "digest")
-    order = stored(order.withColumn("doc", F.monotonically_increasing_id()), "texts-order").withColumnsRenamed({"doc_id": "_id", "digest": "_digest"})
+    order = document_order(ledger).withColumnRenamed("at", "doc")
     mine = F.col("doc_id").eqNullSafe(F.col("_id"))
     texts = rows.join(order, mine & (F.sha2("text", 256) == F.col("_digest"))).select("doc", "text")
     return texts, ledger.join(order, mine & (F.col("digest") == F.col("_digest"))).select("doc", "doc_id", "n_bytes", "digest")

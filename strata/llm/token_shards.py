@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from strata.llm.common import documents, filled, scratch, stored
+from strata.llm.common import document_order, documents, filled, scratch, stored
 from strata.sources.storage import empty_frame
 
 LENGTH = 512
@@ -140,14 +140,12 @@ def numbered(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int,
     near = with_id == n and high - low + 1 <= 16 * n
     if near and not rows.groupBy("doc_id").count().where("count > 1").take(1):
         return rows.select((F.col("doc_id") - low).alias("number"), "doc_id", "text"), high - low + 1, most, total
-    key = rows.select("doc_id", F.sha2("text", 256).alias("digest")).distinct()
-    key = key.orderBy(F.asc_nulls_first("doc_id"), "digest").withColumn("at", F.monotonically_increasing_id())
-    key = stored(key, "document-order").withColumn("part", F.shiftright("at", 33))
+    key = document_order(rows.select("doc_id", F.sha2("text", 256).alias("digest"))).withColumn("part", F.shiftright("at", 33))
     sizes = key.groupBy("part").count()  # one row per sorted partition
     before = F.coalesce(F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     number = F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)
     key = key.join(sizes.select("part", before.alias("before")), "part")
-    key = stored(key.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), number.alias("number")), "document-numbers")
+    key = stored(key.select("_id", "_digest", number.alias("number")), "document-numbers")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.sha2("text", 256) == F.col("_digest"))
     once = rows.join(key, same).dropDuplicates(["number"]).select("number", "doc_id", "text")
     return once, key.count(), most, total
