@@ -19,7 +19,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         out = near.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         out = near.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.selectExpr("u AS a", "m AS b"))
-    return out.where("a <> b").distinct()
+    return out.where("a <> b")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -35,6 +35,6 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == before or mark[0] == 0:
             break
         before = mark
-        now = stored(_star(_star(now, large=True), large=False), "edges")
+        now = stored(_star(_star(now, large=True), large=False).distinct(), "edges")
     roots = now.select(F.col("b").alias("id"), F.col("b").alias("component"))
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots.distinct())

@@ -44,10 +44,10 @@ from strata.llm.components import components
 
 TREES = 16
 SIGNATURE = 4 * TREES
-DEPTH = 8
+DEPTH = 6
 LEAF = 32
 #: Closest candidates of each document that a round of confirmation takes; None: all that remain.
-ROUNDS = (1, 4, 16, None)
+ROUNDS = (4, None)
 #: Documents in a block of step 5, and in a tile of it that is compared at once.
 FAMILY_BLOCK, TILE = 512, 128
 #: Shingles hashed at a time, which bounds memory for very long texts.
@@ -143,29 +143,27 @@ def _pairs(left: DataFrame, right: DataFrame, on: Column, at_least: Threshold) -
 
 def candidates(reps: DataFrame, at_least: Threshold, depth: int = DEPTH, leaf: int = LEAF) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs ``(a, b, apart)``, distinct, and the members ``(key, rep, n, bits)`` of nodes left large."""
-    sigs = reps.select(F.col("rep").alias("_rep"), "sig")
     rows = reps.select(
         F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "rep", "n", "bits", "sig"
     ).select("tree", F.xxhash64("tree", F.get("sig", _token(0))).alias("key"), "rep", "n", "bits")
-    found = []
+    found, carried = [], []
     for level in range(1, depth + 1):
         nodes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("rep", "n", "bits")).alias("least"))
-        members = rows.join(nodes.where("size > 1"), "key")
-        members = stored(members.select("tree", "key", "rep", "n", "bits", "size", "least"), f"nodes-{level}")
+        members = stored(rows.join(nodes.where("size > 1"), "key"), f"nodes-{level}")
         small, large = members.where(F.col("size") <= leaf), members.where(F.col("size") > leaf)
-        within = _pairs(small, small, F.expr("x.key = y.key AND x.rep < y.rep"), at_least)
-        star = (
-            large.select(F.struct("rep", "n", "bits").alias("x"), F.col("least").alias("y"))
-            .where((F.col("x.rep") != F.col("y.rep")) & at_least.possible("x", "y"))
-            .select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"), bits_apart("x", "y").alias("apart"))
-        )
-        found.append(stored(within.unionByName(star).distinct(), f"pairs-{level}"))
-        if not large.take(1):
+        found.append(_pairs(small, small, F.expr("x.key = y.key AND x.rep < y.rep"), at_least))
+        star = large.select(F.struct("rep", "n", "bits").alias("x"), F.col("least").alias("y"))
+        star = star.where((F.col("x.rep") != F.col("y.rep")) & at_least.possible("x", "y"))
+        found.append(star.select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"), bits_apart("x", "y").alias("apart")))
+        if level == depth or not large.take(1):
             break
-        rows = large.join(sigs, F.col("rep") == F.col("_rep")).select(
-            "tree", F.xxhash64("key", F.get("sig", _token(level))).alias("key"), "rep", "n", "bits"
-        ) if level < depth else large
-    left_over = (rows if level == depth else large).where(F.lit(level == depth)).select("key", "rep", "n", "bits")
+        if level == 1:  # the few rows that go on carry their tree's further tokens
+            tokens = F.array(*[F.get("sig", _token(deeper)) for deeper in range(1, depth)])
+            sigs = reps.select(F.col("rep").alias("_rep"), "sig")
+            large, carried = large.join(sigs, F.col("rep") == F.col("_rep")).withColumn("tokens", tokens), ["tokens"]
+        key = F.xxhash64("key", F.get("tokens", F.lit(level - 1)))
+        rows = large.select("tree", key.alias("key"), "rep", "n", "bits", *carried)
+    left_over = large.where(F.lit(level == depth)).select("key", "rep", "n", "bits")
     return stored(union(found).distinct(), "pairs"), left_over
 
 
