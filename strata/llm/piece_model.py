@@ -237,6 +237,7 @@ class PieceModel:
         """Ids as little-endian uint16 (uint32 for over 65,536 pieces)."""
         if not text:
             return b""
+        text = text.replace(SPACE, " ")  # the normaliser makes them one
         lines = text.split("\n") if self.by_lines else [text]
         out: list[bytes] = []
         for i, line in enumerate(lines):
