@@ -8,8 +8,6 @@ model layers; DuckDB drops the CTEs a query does not use.
 
 from __future__ import annotations
 
-from strata.plans import quality
-from strata.sources.seeds import TESTDATA_GENRE_MAPPING_ROWS
 
 NULL_KEY = "_dbt_utils_surrogate_key_null_"
 DAY1 = "2024-02-01 00:00:00"
@@ -28,17 +26,31 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-_SEED = ", ".join(f"({_q(a)}, {_q(b)})" for a, b in TESTDATA_GENRE_MAPPING_ROWS)
+def _values(pairs: str) -> str:
+    return ", ".join("(" + ", ".join(_q(v.strip()) for v in p.split("=")) + ")" for p in pairs.split(";"))
 
 
-def _movie_chain(sfx: str, raw: str) -> str:
+# The lookup for the stand-in catalogue, and the genre lookup of 21 rows.
+_SEED = _values(
+    "ECONOMY=Economy; LARGE=Large; MEDIUM=Medium; PROMO=Promo; SMALL=Small Type; STANDARD=Standard; blue=Blue; cold=Cold; hot=Hot; "
+    "large=Large; new=New; old=Old; red=Red; small=Small; anvil=Anvil; bolt=Bolt; gear=Gear; gizmo=Gizmo; plate=Plate; rod=Rod; "
+    "widget=Widget; (no genres listed)=Unknown"
+)
+_REAL_SEED = _values(
+    "Action=Action; Adventure=Adventure; Animation=Animation; Children's=Children; Children=Children; IMAX=IMAX; Comedy=Comedy; "
+    "Crime=Crime; Documentary=Documentary; Drama=Drama; Fantasy=Fantasy; Film-Noir=Film Noir; Horror=Horror; Musical=Musical; "
+    "Mystery=Mystery; Romance=Romance; Sci-Fi=Science Fiction; Thriller=Thriller; War=War; Western=Western; (no genres listed)=Unknown"
+)
+
+
+def _movie_chain(sfx: str, raw: str, links: str = "stg_links") -> str:
     return f"""
 stg_movies{sfx} AS (SELECT movieId AS movie_id, title, genres FROM {raw}),
 int_movies_with_links{sfx} AS (
   SELECT m.movie_id, m.title,
          NULLIF(regexp_extract(m.title, '\\(([0-9]{{4}})\\)', 1), '') AS release_year,
          m.genres, l.imdb_id, l.tmdb_id
-  FROM stg_movies{sfx} m LEFT JOIN stg_links l ON m.movie_id = l.movie_id),
+  FROM stg_movies{sfx} m LEFT JOIN {links} l ON m.movie_id = l.movie_id),
 dim_movies{sfx} AS (
   SELECT {sk('movie_id')} AS movie_sk, movie_id, title, release_year, genres, imdb_id, tmdb_id
   FROM int_movies_with_links{sfx})"""
@@ -83,9 +95,9 @@ raw_movies AS (
               ELSE p_type || '| ' || replace(p_name, ' ', '|') END AS genres
   FROM part),
 raw_links AS (
-  SELECT CAST(c_custkey AS BIGINT) AS movieId, c_name AS imdbId,
+  SELECT CAST(c_custkey AS BIGINT) AS movieId, c_name || suffix AS imdbId,
          CAST(CASE WHEN c_nationkey = 0 THEN NULL ELSE c_custkey + 100000 END AS BIGINT) AS tmdbId
-  FROM customer),
+  FROM customer, (VALUES (''), ('-b')) AS twice(suffix) WHERE suffix = '' OR c_custkey % 97 = 0),
 raw_ratings AS (
   SELECT event_id, user_id AS userId, CAST(json_extract(props, '$.k') AS BIGINT) AS movieId,
          CAST(least(5.0, 0.5 * ceil(value / 10)) AS DOUBLE) AS rating,
@@ -97,7 +109,7 @@ raw_tags AS (
   FROM events),
 raw_genome_tags AS (SELECT CAST(n_nationkey AS BIGINT) AS tagId, n_name AS tag FROM nation),
 raw_genome_scores AS (
-  SELECT vec_id AS movieId, CAST(i - 1 AS BIGINT) AS tagId, CAST(embedding[i] AS DOUBLE) AS relevance
+  SELECT vec_id AS movieId, CAST(i - 1 AS BIGINT) AS tagId, CASE WHEN (vec_id + i - 1) % 41 = 0 THEN NULL ELSE CAST(embedding[i] AS DOUBLE) END AS relevance
   FROM embeddings, LATERAL (SELECT unnest(generate_series(1, len(embedding))) AS i)),
 raw_movies_day2_edit AS (
   SELECT movieId,
@@ -111,8 +123,15 @@ raw_movies_day2 AS (
 raw_responses AS (
   SELECT event_id,
          CAST(CASE event_type WHEN 'error' THEN 404 WHEN 'signup' THEN 500 ELSE 200 END AS BIGINT) AS status,
-         '{{"id": ' || json_extract_string(props, '$.k') || ', "title": "' || event_type
-           || '", "popularity": ' || CAST(value AS VARCHAR) || '}}' AS body
+         '{{"id": ' || CASE WHEN event_id % 40 = 0 THEN 'null' ELSE json_extract_string(props, '$.k') END
+           || ', "title": "' || event_type
+           || '", "overview": ' || CASE WHEN event_id % 3 = 0 THEN 'null' ELSE '"o ' || event_id || '"' END
+           || CASE WHEN event_id % 5 = 0 THEN ', "tagline": "none"' ELSE ', "runtime": ' || event_id % 240 END
+           || ', "popularity": ' || CAST(value AS VARCHAR) || ', "budget": ' || event_id * 1000
+           || ', "revenue": ' || CASE WHEN event_id % 7 = 0 THEN 'null' ELSE CAST(event_id * 1999 AS VARCHAR) END
+           || ', "release_date": "' || strftime(ts, '%Y-%m-%d')
+           || '", "poster_path": ' || CASE WHEN event_id % 11 = 0 THEN 'null' ELSE '"/p' || event_id || '.jpg"' END
+           || '}}' AS body
   FROM events),
 genre_mapping AS (SELECT * FROM (VALUES {_SEED}) AS t(raw_genre, display_genre)),
 stg_ratings AS (
@@ -128,6 +147,9 @@ stg_genome_scores AS (SELECT movieId AS movie_id, tagId AS tag_id, relevance FRO
 stg_links AS (SELECT movieId AS movie_id, imdbId AS imdb_id, tmdbId AS tmdb_id FROM raw_links),
 {_movie_chain("", "raw_movies")},
 {_movie_chain("_day2", "raw_movies_day2")},
+stg_links_once AS (SELECT * FROM stg_links WHERE imdb_id NOT LIKE '%-b'),
+{_movie_chain("_once", "raw_movies", "stg_links_once")},
+{_movie_chain("_once_day2", "raw_movies_day2", "stg_links_once")},
 int_genres_exploded AS (
   SELECT movie_id, trim(piece) AS genre
   FROM (SELECT movie_id, unnest(string_split(genres, '|')) AS piece FROM int_movies_with_links)),
@@ -178,7 +200,7 @@ payloads AS (
          json_extract_string(body, '$.release_date') AS release_date,
          json_extract_string(body, '$.poster_path') AS poster_path,
          body AS raw_json
-  FROM raw_responses WHERE status = 200),
+  FROM raw_responses WHERE status = 200 AND json_extract_string(body, '$.id') IS NOT NULL),
 payload_first AS (
   SELECT {", ".join(PAYLOAD_COLS)}, TIMESTAMP '{LOAD1}' AS loaded_at FROM (
     SELECT *, row_number() OVER (PARTITION BY tmdb_id ORDER BY event_id DESC) AS __rn
@@ -229,40 +251,81 @@ FROM j WHERE in_s AND (NOT in_h OR changed)
 """
 
 
-# Model name -> relation in the prefix used by the check suite.
-CHECK_RELATIONS = {
-    "fct_ratings": "inc_fct_ratings",
-    "fct_tag_applications": "inc_fct_tag_applications",
-    "dim_movies_day2": "dim_movies_day2",
-}
+# The declared checks. Per severity: model, then kind and columns; "nn" not null, "uq" unique,
+# "combo" unique combination, "range" 0.5 to 5.0.
+_WARN = """
+raw_movies: uq movieId; nn movieId title genres
+raw_ratings: nn userId movieId rating
+raw_tags: nn userId movieId tag
+raw_genome_tags: uq tagId; nn tagId tag
+raw_genome_scores: nn movieId tagId relevance
+raw_links: nn movieId imdbId tmdbId
+stg_movies: uq movie_id; nn movie_id title genres
+stg_ratings: combo user_id movie_id; nn user_id movie_id rating rating_timestamp; range rating
+stg_tags: combo user_id movie_id tag; nn user_id movie_id tag tag_timestamp
+stg_genome_tags: uq tag_id; nn tag_id tag
+stg_genome_scores: combo movie_id tag_id; nn movie_id tag_id relevance
+stg_links: nn movie_id imdb_id tmdb_id
+int_movies_with_links: uq movie_id; nn movie_id title
+int_genres_exploded: combo movie_id genre; nn movie_id genre
+int_ratings_summary: uq movie_id; nn movie_id
+int_movie_top_tags: combo movie_id tag_id; nn movie_id tag_id
+"""
+_ERROR = """
+dim_movies: uq movie_sk movie_id; nn movie_sk movie_id title
+dim_tags: uq tag_sk tag_id; nn tag_sk tag_id tag
+fct_ratings: combo user_id movie_id; uq rating_sk; nn rating_sk user_id movie_id rating rating_timestamp; range rating
+fct_tag_applications: combo user_id movie_id tag; uq tag_application_sk; nn tag_application_sk user_id movie_id tag tag_timestamp
+fct_genre_ratings: combo movie_id genre; uq genre_rating_sk; nn genre_rating_sk movie_id genre display_genre
+"""
 
 
-def _check_sql(ch) -> str:
-    rel = CHECK_RELATIONS.get(ch.model, ch.model)
-    col = ch.columns[0]
-    if ch.kind == "not_null":
-        n = f"SELECT count(*) FROM {rel} WHERE {col} IS NULL"
-    elif ch.kind == "accepted_range":
-        n = f"SELECT count(*) FROM {rel} WHERE NOT ({col} >= {ch.min_value} AND {col} <= {ch.max_value})"
-    elif ch.kind == "unique":
-        n = f"SELECT count(*) FROM (SELECT {col} FROM {rel} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1)"
-    elif ch.kind == "unique_combination_of_columns":
-        cs = ", ".join(ch.columns)
-        n = f"SELECT count(*) FROM (SELECT {cs} FROM {rel} GROUP BY {cs} HAVING count(*) > 1)"
-    elif ch.kind == "relationships":
-        prel = CHECK_RELATIONS.get(ch.parent, ch.parent)
-        n = (f"SELECT count(*) FROM {rel} f LEFT JOIN {prel} d ON f.{col} = d.{ch.parent_column} "
-             f"WHERE d.{ch.parent_column} IS NULL")
-    else:
-        raise ValueError(ch.kind)
+def _row(name: str, kind: str, model: str, cols: str, severity: str, count: str) -> str:
     return (
-        f"SELECT {_q(ch.check_name)} AS check_name, {_q(ch.kind)} AS kind, {_q(ch.model)} AS model, "
-        f"{_q(ch.column_name)} AS column_name, {_q(ch.severity)} AS severity, CAST(({n}) AS BIGINT) AS failures"
+        f"SELECT {_q(name)} AS check_name, {_q(kind)} AS kind, {_q(model)} AS model, {_q(cols)} AS column_name, "
+        f"{_q(severity)} AS severity, CAST(({count}) AS BIGINT) AS failures"
     )
 
 
+def _declared(text: str, severity: str) -> list[tuple[str, str]]:
+    """(kind, SQL of the report row) of every declared check."""
+    out = []
+    for line in text.strip().splitlines():
+        model, rest = line.split(": ")
+        for rule in rest.split("; "):
+            short, *cols = rule.split()
+            if short == "combo":
+                cs, kind = ", ".join(cols), "unique_combination_of_columns"
+                n = f"SELECT count(*) FROM (SELECT {cs} FROM {model} GROUP BY {cs} HAVING count(*) > 1)"
+                out.append((kind, _row(f"{kind}__{model}__{'__'.join(cols)}", kind, model, ",".join(cols), severity, n)))
+                continue
+            for c in cols:
+                kind, n = {
+                    "nn": ("not_null", f"SELECT count(*) FROM {model} WHERE {c} IS NULL"),
+                    "uq": ("unique", f"SELECT count(*) FROM (SELECT {c} FROM {model} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"),
+                    "range": ("accepted_range", f"SELECT count(*) FROM {model} WHERE NOT ({c} >= 0.5 AND {c} <= 5.0)"),
+                }[short]
+                out.append((kind, _row(f"{kind}__{model}__{c}", kind, model, c, severity, n)))
+    return out
+
+
+def _orphans(fact: str) -> str:
+    return f"SELECT count(*) FROM {fact} f LEFT JOIN (SELECT DISTINCT movie_id FROM dim_movies) d USING (movie_id) WHERE d.movie_id IS NULL"
+
+
+_CHECKS = [
+    *_declared(_WARN, "warn"),
+    *_declared(_ERROR, "error"),
+    ("not_null", _row("all_genre_have_display_genre", "not_null", "fct_genre_ratings", "display_genre", "error",
+                      "SELECT count(*) FROM fct_genre_ratings WHERE display_genre IS NULL")),
+    ("relationships", _row("all_rating_have_movies", "relationships", "fct_ratings", "movie_id", "error", _orphans("fct_ratings"))),
+    ("relationships", _row("all_tag_applications_have_movies", "relationships", "fct_tag_applications", "movie_id", "error",
+                           _orphans("fct_tag_applications"))),
+]
+
+
 def _report(kinds) -> str:
-    body = "\nUNION ALL\n".join(_check_sql(c) for c in quality.suite(kinds))
+    body = "\nUNION ALL\n".join(sql for kind, sql in _CHECKS if kinds is None or kind in kinds)
     return (
         ", report AS (\n" + body + "\n)\n"
         "SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status "
@@ -326,6 +389,14 @@ _BODIES = {
     ),
     "incremental_ratings": "SELECT * FROM inc_fct_ratings",
     "incremental_tags": "SELECT * FROM inc_fct_tag_applications",
+    "enrichment_keys_next": (
+        "SELECT DISTINCT tmdb_id FROM dim_movies WHERE tmdb_id IS NOT NULL ORDER BY tmdb_id LIMIT 100 OFFSET 100"
+    ),
+    "seed_csv_lookup": (
+        "SELECT g.movie_id, g.genre, gm.display_genre FROM int_genres_exploded g "
+        f"LEFT JOIN (VALUES {_REAL_SEED}) AS gm(raw_genre, display_genre) ON g.genre = gm.raw_genre"
+    ),
+    "stored_incremental_ratings": "SELECT * FROM inc_fct_ratings",
     "enrichment_keys": (
         "SELECT DISTINCT tmdb_id FROM dim_movies WHERE tmdb_id IS NOT NULL ORDER BY tmdb_id LIMIT 100"
     ),
@@ -340,13 +411,14 @@ _BODIES = {
         "CAST(count(*) FILTER (WHERE status = 200) AS BIGINT) AS movies_fetched, "
         "CAST(count(*) FILTER (WHERE status = 404) AS BIGINT) AS not_found, "
         "CAST(count(*) FILTER (WHERE status NOT IN (200, 404)) AS BIGINT) AS other_errors, "
-        "CAST(count(*) FILTER (WHERE status = 200) AS BIGINT) AS movies_loaded, "
+        "CAST(count(*) FILTER (WHERE status = 200 AND id IS NOT NULL) AS BIGINT) AS movies_loaded, "
+        "CAST(count(*) FILTER (WHERE status = 200 AND id IS NULL) AS BIGINT) AS without_id, "
         "CAST(count(DISTINCT CASE WHEN NOT is_known THEN id END) AS BIGINT) AS keys_inserted, "
         "CAST(count(DISTINCT CASE WHEN is_known THEN id END) AS BIGINT) AS keys_updated FROM j"
     ),
     "scd2_raw": _scd2("raw_movies", "raw_movies_day2", "movieId", ["movieId", "title", "genres"], ["genres"]),
     "scd2_dim": _scd2(
-        "dim_movies", "dim_movies_day2", "movie_sk",
+        "dim_movies_once", "dim_movies_once_day2", "movie_sk",
         ["movie_sk", "movie_id", "title", "release_year", "genres", "imdb_id", "tmdb_id"],
         ["genres", "release_year", "imdb_id", "tmdb_id"],
     ),
@@ -361,11 +433,11 @@ _BODIES = {
     "check_range": _report(("accepted_range",)),
     "check_lookup_complete": "SELECT * FROM fct_genre_ratings WHERE display_genre IS NULL",
     "check_orphans": (
-        "SELECT f.movie_id FROM inc_fct_ratings f LEFT JOIN dim_movies_day2 d ON f.movie_id = d.movie_id "
+        "SELECT f.movie_id FROM fct_ratings f LEFT JOIN dim_movies_day2 d ON f.movie_id = d.movie_id "
         "WHERE d.movie_id IS NULL"
     ),
     "check_orphans_tags": (
-        "SELECT f.movie_id FROM inc_fct_tag_applications f LEFT JOIN dim_movies_day2 d ON f.movie_id = d.movie_id "
+        "SELECT f.movie_id FROM fct_tag_applications f LEFT JOIN dim_movies_day2 d ON f.movie_id = d.movie_id "
         "WHERE d.movie_id IS NULL"
     ),
     "check_report": _report(None),

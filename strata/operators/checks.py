@@ -165,21 +165,34 @@ def _repeated_keys(items: list[tuple[int, Check]], frames: Mapping[str, DataFram
     return out
 
 
-def _failing_row_level(model_checks: list[tuple[int, Check]], df: DataFrame) -> DataFrame:
-    """One ``check_idx`` row per (failing row, row-level check) of one model; rows
-    that pass every check emit nothing."""
-    hits = ", ".join(f"CASE WHEN {failing_condition_sql(ch)} THEN {i} END" for i, ch in model_checks)
-    return df.selectExpr(f"explode(array({hits})) AS check_idx").where("check_idx IS NOT NULL")
+def _row_level_counts(by_model: dict[str, list[tuple[int, Check]]], frames: Mapping[str, DataFrame]) -> DataFrame:
+    """``(check_idx, n)`` of the row-level checks of all models.
+
+    Every model becomes its number and one boolean per check; the union is counted by one aggregate per model, combined
+    map-side, in one shuffle of one row per task and model. No row is multiplied."""
+    width = max(map(len, by_model.values()))
+    parts = []
+    for m, (model, items) in enumerate(by_model.items()):
+        fails = [f"{failing_condition_sql(ch)} AS f{j}" for j, (_, ch) in enumerate(items)]
+        fails += [f"FALSE AS f{j}" for j in range(len(items), width)]
+        parts.append(frames[model].selectExpr(f"{m} AS m", *fails))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    counts = rows.groupBy("m").agg(*[F.count_if(f"f{j}").alias(f"n{j}") for j in range(width)])
+    # Back to one row per check: (m, j) names it.
+    numbers = ", ".join(
+        f"named_struct('m', {m}, 'check_idx', {i}, 'n', n{j})" for m, items in enumerate(by_model.values()) for j, (i, _) in enumerate(items)
+    )
+    return counts.selectExpr("m AS of", f"explode(array({numbers})) AS x").where("x.m = of").selectExpr("x.check_idx", "x.n")
 
 
 def run_checks(checks: Iterable[Check], frames: Mapping[str, DataFrame]) -> DataFrame:
     """Lazy report: check_name, kind, model, column_name, severity, failures, status.
 
-    Every failing row (row-level checks), repeated key (uniqueness checks) and
-    orphan (relationships) emits its check's index; one grouped count over the
-    union with the check list gives every failure count and the descriptive
-    columns at once, so the whole suite ends in a single small shuffle instead of
-    one aggregate job per check or model, and without a join.
+    Row-level checks are counted by one aggregate per model, all in one shuffle. Every repeated key (uniqueness
+    checks) and orphan (relationships) emits its check's index, and these are counted together. The
+    counts meet the check list in one tiny aggregate, which gives every check a row without a join.
     """
     checks = list(checks)
     if not checks:
@@ -195,38 +208,39 @@ def run_checks(checks: Iterable[Check], frames: Mapping[str, DataFrame]) -> Data
             uniqueness.append((i, ch))
         else:
             parts.append(failing_rows(ch, frames).selectExpr(f"{i} AS check_idx"))
-    for model, model_checks in by_model.items():
-        parts.append(_failing_row_level(model_checks, frames[model]))
     if uniqueness:
         parts.append(_repeated_keys(uniqueness, frames))
-
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
+    counted = [_row_level_counts(by_model, frames)] if by_model else []
+    if parts:
+        found = parts[0]
+        for part in parts[1:]:
+            found = found.unionByName(part)
+        # Failure markers are counted by a hash aggregate (combined map-side).
+        counted.append(found.groupBy("check_idx").agg(F.count(F.lit(1)).alias("n")))
     # The check list (one row per declared check, zero failures) and the per-check
     # counts meet in one tiny aggregate: every check gets a row, and no join is
     # needed to attach the descriptive columns.
     meta = spark.createDataFrame(
         [(i, c.check_name, c.kind, c.model, c.column_name, c.severity, 0) for i, c in enumerate(checks)],
-        "check_idx int, check_name string, kind string, model string, column_name string, severity string, n int",
-    )
-    # Failure markers are counted by a hash aggregate (combined map-side); only its
-    # result, at most one row per check, meets the check list.
-    counts = found.groupBy("check_idx").agg(F.count(F.lit(1)).alias("n")).selectExpr(
-        "CAST(check_idx AS INT) AS check_idx", "CAST(NULL AS STRING) AS check_name", "CAST(NULL AS STRING) AS kind",
-        "CAST(NULL AS STRING) AS model", "CAST(NULL AS STRING) AS column_name", "CAST(NULL AS STRING) AS severity",
-        "CAST(n AS INT) AS n",
+        "check_idx int, check_name string, kind string, model string, column_name string, severity string, n bigint",
     )
-    report = meta.unionByName(counts).groupBy("check_idx").agg(
+    # Only the counts, at most one row per check, meet the check list.
+    for part in counted:
+        meta = meta.unionByName(part.selectExpr(
+            "CAST(check_idx AS INT) AS check_idx", "CAST(NULL AS STRING) AS check_name", "CAST(NULL AS STRING) AS kind",
+            "CAST(NULL AS STRING) AS model", "CAST(NULL AS STRING) AS column_name", "CAST(NULL AS STRING) AS severity",
+            "CAST(n AS BIGINT) AS n",
+        ))
+    report = meta.groupBy("check_idx").agg(
         *[F.max(c).alias(c) for c in ("check_name", "kind", "model", "column_name", "severity")],
         F.sum("n").cast("bigint").alias("failures"),
     ).drop("check_idx")
     return _with_status(report)
 
 
-def enforce(report: DataFrame) -> list[dict]:
-    """Collect the report (one row per check) and raise if an error check failed."""
-    rows = [r.asDict() for r in report.collect()]
+def enforce(report: DataFrame | list[dict]) -> list[dict]:
+    """Collect the report (one row per check), unless that is done, and raise if an error check failed."""
+    rows = report if isinstance(report, list) else [r.asDict() for r in report.collect()]
     failed = [r for r in rows if r["status"] == "fail"]
     if failed:
         raise CheckFailed(failed)

@@ -57,10 +57,13 @@ def skew_safe_left_join(left: DataFrame, right: DataFrame, on: str | list[str])
     """
     keys = [on] if isinstance(on, str) else list(on)
     right_cols = [c for c in right.columns if c not in keys]
-    matched = left.join(right, on=keys, how="inner")
-    right_keys = right.select(*keys).distinct()
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    # Both joins start from the same rows and columns of ``left``, so they share one exchange of it.
+    keyed, held = left.where(known), right.where(known)
+    matched = keyed.join(held, on=keys, how="inner").select(*left.columns, *right_cols)
     types = dict(right.dtypes)
-    unmatched = left.join(right_keys, on=keys, how="left_anti").select(
-        *left.columns, *[F.lit(None).cast(types[c]).alias(c) for c in right_cols]
-    )
-    return matched.select(*left.columns, *right_cols).unionByName(unmatched)
+    none = [F.lit(None).cast(types[c]).alias(c) for c in right_cols]
+    unmatched = keyed.join(held.select(*keys).distinct(), on=keys, how="left_anti").select(*left.columns, *none)
+    return matched.unionByName(unmatched).unionByName(left.where(~known).select(*left.columns, *none))

@@ -24,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 _MATCH = "__strata_matched"
 _UNSET = object()
@@ -190,15 +191,28 @@ def _anti_by_eq(source: DataFrame, target: DataFrame, keys: Sequence[str], sourc
     return source.join(matched, _eq(keys, "", "__t_"), "left_anti")
 
 
+def mark_value(df: DataFrame, ts_col: str) -> Column:
+    """``max(ts_col)`` as a mark: epoch microseconds for a timestamp, which mean the same in every time zone of
+    the driver, the session and the next run; the value itself for other types."""
+    highest = F.max(ts_col)
+    return F.unix_micros(highest) if isinstance(df.schema[ts_col].dataType, TimestampType) else highest
+
+
 def high_water_mark(target: DataFrame, ts_col: str):
     """``max(ts_col)`` of the stored table (one global aggregate, one value back)."""
-    return target.agg(F.max(ts_col).alias("mark")).first()["mark"]
+    return target.agg(mark_value(target, ts_col).alias("mark")).first()["mark"]
+
+
+def mark_column(mark: int) -> Column:
+    """The timestamp of a mark in epoch microseconds, as a literal."""
+    return F.timestamp_micros(F.lit(mark))
 
 
 def high_water_filter(source: DataFrame, ts_col: str, mark) -> DataFrame:
     """Rows strictly newer than ``mark``. The mark is a literal, so the predicate
     reaches the Parquet scan of the source as a pushed filter."""
-    return source.where(F.col(ts_col) > F.lit(mark))
+    is_time = isinstance(source.schema[ts_col].dataType, TimestampType)
+    return source.where(F.col(ts_col) > (mark_column(mark) if is_time else F.lit(mark)))
 
 
 def incremental_load(

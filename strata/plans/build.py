@@ -19,10 +19,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.operators.checks import CheckFailed, run_checks
+from strata.operators.checks import enforce, run_checks
 from strata.plans import enrichment, marts, quality, snapshots, staging
-from strata.plans.loads import load_incremental_fact
-from strata.plans.project import Project
+from strata.plans.facts import RATING_KEYS, TAG_KEYS
+from strata.plans.loads import load_incremental_fact, merge_buckets
+from strata.plans.project import Project, scratch_keeper
 from strata.session import configure
 from strata.sources.raw import RawSources
 from strata.sources.schemas import TMDB_MOVIES
@@ -33,9 +34,6 @@ SEEDS = "seeds"
 SNAPSHOTS = "snapshots"
 RAW = "raw"
 
-RATING_KEYS = ["user_id", "movie_id"]
-TAG_KEYS = ["user_id", "movie_id", "tag"]
-
 
 @dataclass
 class BuildResult:
@@ -65,13 +63,13 @@ def build(
     is required with ``on_duplicate="latest"``; ``as_of`` stamps snapshots."""
     configure(spark)
     result = BuildResult()
-    p = Project(spark, sources)
+    p = Project(spark, sources, keep=scratch_keeper(spark))
     if register_views:
         p.register_views()
 
     # Seed and full-rebuild marts.
     seed = _store(result, store, sources.genre_mapping, SEEDS, "genre_mapping")
-    p = Project(spark, sources.replace(genre_mapping=seed))
+    p = Project(spark, sources.replace(genre_mapping=seed), keep=scratch_keeper(spark))
     dim_movies = _store(result, store, p.dim_movies, MARTS, "dim_movies", repartition_by=["movie_id"])
     _store(result, store, p.dim_tags, MARTS, "dim_tags")
     _store(result, store, p.fct_genre_ratings, MARTS, "fct_genre_ratings", repartition_by=["movie_id"])
@@ -105,12 +103,9 @@ def build(
     for name in Project.MODEL_NAMES:
         frames[name] = result.tables.get(name, p.model(name))
     frames["fct_ratings"], frames["fct_tag_applications"] = fct_ratings, fct_tags
-    rows = [r.asDict() for r in run_checks(quality.suite(), frames).collect()]
-    result.report = rows
-    failed = [r for r in rows if r["status"] == "fail"]
-    if failed and fail_on_error:
-        # An error-severity failure stops the dependants (the snapshots of the marts).
-        raise CheckFailed(failed)
+    result.report = [r.asDict() for r in run_checks(quality.suite(), frames).collect()]
+    if fail_on_error:
+        enforce(result.report)  # an error-severity failure stops the dependants (the snapshots of the marts)
 
     # Snapshots.
     snap_dim = snapshots.snap_dim_movies(store.read(SNAPSHOTS, "snap_dim_movies"), dim_movies, as_of)
@@ -127,20 +122,24 @@ def enrich(
     """Upsert one batch of API responses into ``raw/raw_tmdb_movies`` and return
     the load report. An empty batch exits early and stores nothing."""
     configure(spark)
-    target = store.read_or_empty(RAW, "raw_tmdb_movies", TMDB_MOVIES)
     if responses.isEmpty():
-        return {"keys_queried": 0, "movies_fetched": 0, "not_found": 0, "other_errors": 0,
-                "movies_loaded": 0, "keys_inserted": 0, "keys_updated": 0}
+        return dict.fromkeys(enrichment.REPORT, 0)
+    target = store.read_or_empty(RAW, "raw_tmdb_movies", TMDB_MOVIES)
     report = enrichment.load_report(target, responses).first().asDict()
-    if report["movies_fetched"] > 0:
-        store.write(enrichment.payload_upsert(target, responses, as_of, order_col), RAW, "raw_tmdb_movies")
+    if report["movies_loaded"] > 0:
+        parsed = enrichment.parse_payloads(responses, order_col)
+
+        def merge(part: DataFrame | None, batch: DataFrame) -> DataFrame:
+            part = enrichment.empty_target(spark) if part is None else part
+            return enrichment.upsert_parsed(part, batch, as_of, order_col)
+
+        merge_buckets(store, RAW, "raw_tmdb_movies", parsed, ["tmdb_id"], merge)
     return report
 
 
 def keys_to_enrich(store: TableStore, batch_size: int = 100) -> DataFrame:
-    """Next ids to fetch, from the stored movie dimension."""
+    """Next ids to fetch: from the stored movie dimension, without those already enriched."""
     dim = store.read(MARTS, "dim_movies")
     if dim is None:
         raise RuntimeError("dim_movies is not built yet; run build() first")
-    return enrichment.enrichment_keys(dim, batch_size)
-
+    return enrichment.enrichment_keys(dim, batch_size, store.read(RAW, "raw_tmdb_movies"))

@@ -33,30 +33,31 @@ PAYLOAD_FIELDS = (
     ("release_date", "release_date", "string"),
     ("poster_path", "poster_path", "string"),
 )
+REPORT = ("keys_queried", "movies_fetched", "not_found", "other_errors", "movies_loaded", "without_id", "keys_inserted", "keys_updated")
 UPDATE_COLUMNS = tuple(col for _, col, _ in PAYLOAD_FIELDS[1:]) + ("raw_json",)
 
 
-def enrichment_keys(dim_movies: DataFrame, batch_size: int = 100) -> DataFrame:
-    """Distinct non-NULL external ids to fetch next, smallest first, ``batch_size``
-    of them (the per-run request budget). The distinct runs as a partial+final
+def enrichment_keys(dim_movies: DataFrame, batch_size: int = 100, stored: DataFrame | None = None) -> DataFrame:
+    """Distinct non-NULL external ids to fetch next, smallest first, without those that ``stored`` (the
+    enrichment table) has, so that every run goes on where the last one ended. ``batch_size`` is the
+    request budget of a run. The distinct runs as a partial+final
     aggregate; order+limit as a per-task top-n merged into one small result."""
-    return (
-        dim_movies.where(F.col("tmdb_id").isNotNull())
-        .select("tmdb_id")
-        .distinct()
-        .orderBy("tmdb_id")
-        .limit(batch_size)
-    )
+    ids = dim_movies.where(F.col("tmdb_id").isNotNull()).select("tmdb_id").distinct()
+    if stored is not None:
+        ids = ids.join(stored.select("tmdb_id").distinct(), "tmdb_id", "left_anti")
+    return ids.orderBy("tmdb_id").limit(batch_size)
 
 
 def parse_payloads(responses: DataFrame, order_col: str | None = None, on_invalid: str = "raise") -> DataFrame:
     """Successful responses as typed rows; ``raw_json`` keeps the body text.
 
     Non-200 responses are skipped. Each body is parsed once into a VARIANT and the
-    fields are read from it with ``try_variant_get`` (a missing or mistyped field
-    becomes NULL), instead of re-parsing the text per field. An invalid body raises,
+    fields are read from it with ``variant_get`` (a missing field is NULL, a value that is
+    not of the column's type raises), instead of re-parsing the text per field. An invalid body raises,
     as PARSE_JSON does (``on_invalid="raise"``); ``on_invalid="skip"`` drops such
-    rows instead, so one bad body cannot fail a large batch.
+    rows, and reads mistyped fields as NULL, so one bad body cannot fail a large batch.
+    Rows without an id are rejected (a NULL key matches nothing and would be inserted again by every
+    run); ``load_report`` counts them.
     """
     if on_invalid not in ("raise", "skip"):
         raise ValueError("on_invalid must be 'raise' or 'skip'")
@@ -69,8 +70,10 @@ def parse_payloads(responses: DataFrame, order_col: str | None = None, on_invali
     )
     if on_invalid == "skip":
         parsed = parsed.where(F.col("__v").isNotNull())
-    fields = [F.try_variant_get(F.col("__v"), f"$.{name}", typ).alias(col) for name, col, typ in PAYLOAD_FIELDS]
-    return parsed.select(*([order_col] if order_col else []), *fields, "raw_json")
+    get = F.variant_get if on_invalid == "raise" else F.try_variant_get
+    fields = [get(F.col("__v"), f"$.{name}", typ).alias(col) for name, col, typ in PAYLOAD_FIELDS]
+    typed = parsed.select(*([order_col] if order_col else []), *fields, "raw_json")
+    return typed.where(F.col("tmdb_id").isNotNull())
 
 
 def empty_target(spark: SparkSession) -> DataFrame:
@@ -85,7 +88,11 @@ def payload_upsert(
     keeps its last response (by ``order_col``), as the one-MERGE-per-film loop
     does; ``loaded_at`` is the load time on insert and on update: ``as_of`` when
     given (repeatable runs), else the query's current timestamp."""
-    parsed = parse_payloads(responses, order_col)
+    return upsert_parsed(target, parse_payloads(responses, order_col), as_of, order_col)
+
+
+def upsert_parsed(target: DataFrame, parsed: DataFrame, as_of: dt.datetime | None = None, order_col: str = "event_id") -> DataFrame:
+    """:func:`payload_upsert` of responses that are parsed already."""
     loaded = as_of_column(as_of) if as_of is not None else F.current_timestamp()
     return upsert(
         target,
@@ -101,14 +108,14 @@ def payload_upsert(
 
 def load_report(target: DataFrame, responses: DataFrame) -> DataFrame:
     """One row describing a batch: requests, outcomes by status, films loaded
-    (one per successful response) and distinct films inserted vs updated.
+    (successful responses with an id), responses rejected for want of one, and distinct films inserted vs updated.
 
     One left join of the batch to the target's distinct keys, then one aggregate.
     Bodies of failed responses are never parsed.
     """
     status = F.col("status")
     ok = status == OK_STATUS
-    body_id = F.try_variant_get(F.parse_json(F.col("body")), "$.id", "bigint")
+    body_id = F.variant_get(F.parse_json(F.col("body")), "$.id", "bigint")
     batch = responses.select(status.alias("status"), F.when(ok, body_id).alias("__id"))
     known = target.select(F.col("tmdb_id").alias("__k")).where(F.col("__k").isNotNull()).distinct()
     known = known.withColumn("__known", F.lit(True))
@@ -119,7 +126,8 @@ def load_report(target: DataFrame, responses: DataFrame) -> DataFrame:
         F.count_if(ok).cast("bigint").alias("movies_fetched"),
         F.count_if(status == NOT_FOUND_STATUS).cast("bigint").alias("not_found"),
         F.count_if(~status.isin(OK_STATUS, NOT_FOUND_STATUS)).cast("bigint").alias("other_errors"),
-        F.count_if(ok).cast("bigint").alias("movies_loaded"),
+        F.count_if(ok & F.col("__id").isNotNull()).cast("bigint").alias("movies_loaded"),
+        F.count_if(ok & F.col("__id").isNull()).cast("bigint").alias("without_id"),
         F.count_distinct(F.when(~is_known, F.col("__id"))).cast("bigint").alias("keys_inserted"),
         F.count_distinct(F.when(is_known, F.col("__id"))).cast("bigint").alias("keys_updated"),
     )

@@ -1,25 +1,80 @@
-"""Incremental fact loads against the versioned store.
-
-The high-water mark of a stored fact is kept as metadata of each version. A run
-reads it in O(1) instead of scanning the stored fact for ``max(ts)``, filters the
-raw scan with it (pushed to Parquet), and records ``max(old mark, batch max)`` for
-the new version: the stored fact's maximum after an upsert is exactly that, since
-old rows keep their timestamps and every written row comes from the batch. Only
-versions written without the metadata fall back to scanning the fact.
+"""Keyed merges and incremental fact loads against the versioned store.
+
+A keyed table is stored in buckets of its key. A merge finds the buckets that hold a key of the batch (the table's key
+columns are probed with the batch's keys), rewrites those, and adds the batch's other rows as new files to
+their buckets: what a run writes grows with the batch and the buckets it hits, not with the table.
+
+The high-water mark of a fact is kept as metadata of each version, in epoch microseconds, so it means the same
+whatever the time zone of the driver or of the next run. A run reads it in O(1), filters the raw scan with it
+(pushed to Parquet), and takes the new one from the rows as they are written (an ``Observation``): no job of its own.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from strata.operators.upsert import high_water_mark, incremental_load
-from strata.sources.storage import TableStore
+from strata.operators.upsert import high_water_filter, high_water_mark, mark_value, upsert
+from strata.session import storage_root
+from strata.sources.storage import BUCKET, TableStore
+
+MARK = "high_water_mark_micros"
+#: Key buckets of a new table, and the folders a bucket may gather before a merge rewrites it.
+BUCKETS = 256
+MAX_FOLDERS = 8
 
-MARK = "high_water_mark"
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def merge_buckets(
+    store: TableStore,
+    layer: str,
+    name: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    merge: Callable[[DataFrame | None, DataFrame], DataFrame],
+    buckets: int = BUCKETS,
+    observed: Callable[[DataFrame], Column] | None = None,
+    properties: Callable[[object], dict] | None = None,
+) -> DataFrame:
+    """Merge ``batch`` into a bucketed table; the stored new version (the present one if the batch is empty).
+
+    ``merge(target, batch)`` gets the rows of the touched buckets (None on a first run) and the whole batch, and returns
+    the rows to write. ``properties`` gets the value of the aggregate ``observed`` over the written rows."""
+    first = store.current_version(layer, name) is None
+    held = {} if first else store.properties(layer, name)
+    buckets = int(held.get("buckets", buckets))
+    empty = False
+    if first:
+        replaced, target, empty = set(), None, batch.isEmpty()
+    else:
+        storage_root(store.spark)  # in tests, names the checkpoint folder
+        batch = batch.checkpoint()  # read twice: for the buckets it touches and for the merge
+        table = store.read(layer, name)
+        if batch.isEmpty():
+            return table
+        same = [F.col(f"__k_{k}") == F.col(k) for k in keys]
+        probe = batch.select(*[F.col(k).cast(table.schema[k].dataType).alias(f"__k_{k}") for k in keys]).distinct()
+        hits = table.select(*keys).join(probe, same, "left_semi").select(bucket_of(keys, buckets).alias("b")).distinct()
+        parts = store.parts(layer, name)
+        replaced = {str(r["b"]) for r in hits.collect()}  # at most one row per bucket
+        replaced |= {b for b, folders in parts.items() if len(folders) >= MAX_FOLDERS}
+        target = store.read_parts(layer, name, {b: f for b, f in parts.items() if b in replaced}, table.schema)
+    merged = merge(target, batch)
+    out = merged.withColumn(BUCKET, bucket_of(keys, buckets))
+    watch = Observation()
+    out = out.observe(watch, (observed(merged) if observed else F.count(F.lit(1))).alias("value"))
+    kept = {k: v for k, v in held.items() if k not in ("parts", "schema")} | {"buckets": buckets}
+    return store.write_buckets(
+        # Rows of a bucket meet in one task, so a version has one file per bucket it writes (AQE splits large ones).
+        out.repartition(F.col(BUCKET)), layer, name, replaced,
+        # Over an empty relation the plan observes nothing.
+        lambda: kept | (properties(None if empty else watch.get["value"]) if properties else {}),
+    )
 
 
 def stored_mark(store: TableStore, layer: str, name: str, ts_col: str, target: DataFrame | None):
@@ -27,17 +82,15 @@ def stored_mark(store: TableStore, layer: str, name: str, ts_col: str, target: D
     if target is None:
         return None
     props = store.properties(layer, name)
-    if MARK in props:
-        return None if props[MARK] is None else dt.datetime.fromisoformat(props[MARK])
-    return high_water_mark(target, ts_col)
+    return props[MARK] if MARK in props else high_water_mark(target, ts_col)
 
 
-def raw_after(raw: DataFrame, mark, raw_ts_col: str = "timestamp") -> DataFrame:
-    """Raw rows whose epoch-second timestamp lies after ``mark``: a plain
+def raw_after(raw: DataFrame, mark: int | None, raw_ts_col: str = "timestamp") -> DataFrame:
+    """Raw rows whose epoch-second timestamp lies after ``mark`` (epoch microseconds): a plain
     comparison on the stored column, so it reaches the Parquet scan."""
     if mark is None:
         return raw
-    return raw.where(F.col(raw_ts_col) > F.unix_seconds(F.lit(mark)))
+    return raw.where(F.col(raw_ts_col) > F.lit(mark // 1_000_000))
 
 
 def load_incremental_fact(
@@ -51,24 +104,29 @@ def load_incremental_fact(
     on_duplicate: str = "error",
     order_col: str | None = None,
     raw_ts_col: str = "timestamp",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """One incremental run of a stored fact; returns the stored new version."""
+    """One incremental run of a stored fact; returns the stored new version.
+
+    The rules are those of :func:`strata.operators.upsert.incremental_load`: everything on a first run or over
+    an empty fact, nothing over a fact without a timestamp, else the rows above the mark, upserted by key."""
     target = store.read(layer, name)
     mark = stored_mark(store, layer, name, ts_col, target)
     rows = to_rows(raw_after(raw, mark, raw_ts_col))
     carry = [order_col] if order_col else []
-    batch = rows if mark is None else rows.where(F.col(ts_col) > F.lit(mark))
-    batch_max = batch.agg(F.max(ts_col).alias("m")).first()["m"]
-    new_mark = max((m for m in (mark, batch_max) if m is not None), default=None)
-    loaded = incremental_load(
-        target, rows, keys, ts_col, on_duplicate=on_duplicate, order_cols=[ts_col, *carry], mark=mark
-    )
-    # Written as it comes out of the upsert: the untouched target keeps its scanned
-    # layout and the inserted rows come from an AQE-coalesced aggregate, so no
-    # extra full shuffle of the fact is spent on clustering it by key each run.
-    return store.write(
-        loaded.drop(*carry),
-        layer,
-        name,
-        properties={MARK: None if new_mark is None else new_mark.isoformat()},
+    if mark is not None:
+        rows = high_water_filter(rows, ts_col, mark)
+    elif target is not None and not target.isEmpty():
+        return target
+
+    def merge(part: DataFrame | None, batch: DataFrame) -> DataFrame:
+        if mark is None:
+            return batch.drop(*carry)
+        return upsert(part, batch, keys, on_duplicate=on_duplicate, order_cols=[ts_col, *carry])
+
+    def new_mark(value) -> dict:
+        return {MARK: max((m for m in (mark, value) if m is not None), default=None)}
+
+    return merge_buckets(
+        store, layer, name, rows, keys, merge, buckets, observed=lambda df: mark_value(df, ts_col), properties=new_mark
     )

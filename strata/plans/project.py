@@ -8,18 +8,39 @@ their exchanges inside one plan.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.plans import analyses, intermediate, marts, staging
+from strata.session import storage_root
 from strata.sources.raw import RawSources
 
 
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def scratch_keeper(spark: SparkSession) -> Keep:
+    """Writes a model to a fresh folder in the shared storage and reads it back."""
+
+    def keep(df: DataFrame) -> DataFrame:
+        path = f"{storage_root(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return keep
+
+
 class Project:
-    def __init__(self, spark: SparkSession, sources: RawSources):
+    """``keep``, if given, is applied to every model that is made by a shuffle and read by others, when it is first
+    asked for: a caller that reads many models can have each derived once (see :func:`scratch_keeper`)."""
+
+    def __init__(self, spark: SparkSession, sources: RawSources, keep: Keep = lambda df: df):
         self.spark = spark
         self.sources = sources
+        self.keep = keep
 
     # staging
     @cached_property
@@ -53,7 +74,7 @@ class Project:
     # intermediate
     @cached_property
     def int_movies_with_links(self) -> DataFrame:
-        return intermediate.int_movies_with_links(self.stg_movies, self.stg_links)
+        return self.keep(intermediate.int_movies_with_links(self.stg_movies, self.stg_links))
 
     @cached_property
     def int_genres_exploded(self) -> DataFrame:
@@ -61,11 +82,11 @@ class Project:
 
     @cached_property
     def int_ratings_summary(self) -> DataFrame:
-        return intermediate.int_ratings_summary(self.stg_ratings)
+        return self.keep(intermediate.int_ratings_summary(self.stg_ratings))
 
     @cached_property
     def int_movie_top_tags(self) -> DataFrame:
-        return intermediate.int_movie_top_tags(self.stg_genome_scores, self.stg_genome_tags)
+        return self.keep(intermediate.int_movie_top_tags(self.stg_genome_scores, self.stg_genome_tags))
 
     @cached_property
     def int_ratings(self) -> DataFrame:
@@ -99,7 +120,7 @@ class Project:
 
     @cached_property
     def fct_genre_ratings(self) -> DataFrame:
-        return marts.fct_genre_ratings(self.int_genres_exploded, self.genre_mapping, self.int_ratings_summary)
+        return self.keep(marts.fct_genre_ratings(self.int_genres_exploded, self.genre_mapping, self.int_ratings_summary))
 
     @cached_property
     def metricflow_time_spine(self) -> DataFrame:

@@ -9,6 +9,7 @@ cleanly with other engines.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +18,13 @@ from pyspark.sql.types import TimestampType
 
 from strata.functions import date_spine_between
 from strata.operators.joins import lookup_join
-from strata.plans import enrichment, facts, metrics_catalog, quality, snapshots
+from strata.plans import enrichment, facts, marts, metrics_catalog, quality, snapshots, staging
+from strata.plans.loads import load_incremental_fact
 from strata.plans.project import Project
-from strata.session import configure
+from strata.session import configure, storage_root
 from strata.sources import testdata
+from strata.sources.seeds import genre_mapping
+from strata.sources.storage import TableStore
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -44,7 +48,7 @@ def ntz(df: DataFrame) -> DataFrame:
 
 def project(spark: SparkSession, sf_dir: str) -> Project:
     configure(spark)
-    return Project(spark, testdata.sources(spark, sf_dir))
+    return Project(spark, testdata.sources(spark, sf_dir, repeated_links=True))
 
 
 def _model(name: str) -> QueryFn:
@@ -64,6 +68,13 @@ def q_seed_lookup(spark, sf_dir):
     return lookup_join(p.int_genres_exploded, mapping, "genre", how="left").select("movie_id", "genre", "display_genre")
 
 
+def q_seed_csv_lookup(spark, sf_dir):
+    """The genres of the catalogue looked up in the 21-row seed that ships as a CSV."""
+    p = project(spark, sf_dir)
+    mapping = genre_mapping(spark).select(F.col("raw_genre").alias("genre"), "display_genre")
+    return lookup_join(p.int_genres_exploded, mapping, "genre", how="left").select("movie_id", "genre", "display_genre")
+
+
 def q_release_year(spark, sf_dir):
     return project(spark, sf_dir).int_movies_with_links.select("movie_id", "title", "release_year")
 
@@ -116,6 +127,23 @@ def q_incremental_tags(spark, sf_dir):
     return ntz(facts.incremental_fct_tag_applications(spark, sf_dir))
 
 
+def q_stored_incremental_ratings(spark, sf_dir):
+    """Two runs over the store: run 1 writes the history as version 1, run 2 reads it and merges the feed into version 2."""
+    configure(spark)
+    store = TableStore(spark, f"{storage_root(spark).rstrip('/')}/registered/{uuid.uuid4().hex}")
+    history = facts.stored_history(facts.rating_rows(spark, sf_dir, until=testdata.HISTORY_CUTOFF), "rating_timestamp")
+
+    def load(raw, to_rows):
+        return load_incremental_fact(
+            store, "marts", "fct_ratings", raw, to_rows, facts.RATING_KEYS, "rating_timestamp", "latest", "event_id"
+        )
+
+    load(history, lambda rows: rows.withColumn("event_id", F.lit(None).cast("bigint")))
+    carry = ("event_id",)
+    raw = testdata.raw_ratings(spark, sf_dir)
+    return ntz(load(raw, lambda r: marts.fct_ratings_rows(staging.stg_ratings(r, carry=carry), carry=carry)))
+
+
 # -- enrichment ------------------------------------------------------------------
 
 
@@ -123,6 +151,12 @@ def q_enrichment_keys(spark, sf_dir):
     return enrichment.enrichment_keys(project(spark, sf_dir).dim_movies, ENRICHMENT_BATCH)
 
 
+def q_enrichment_keys_next(spark, sf_dir):
+    """The second run: the ids of the first are stored by then."""
+    dim = project(spark, sf_dir).dim_movies
+    return enrichment.enrichment_keys(dim, ENRICHMENT_BATCH, enrichment.enrichment_keys(dim, ENRICHMENT_BATCH))
+
+
 def _responses(spark, sf_dir):
     configure(spark)
     return testdata.raw_responses(spark, sf_dir)
@@ -213,6 +247,7 @@ QUERIES: dict[str, QueryFn] = {
     "stg_genome_tags": _model("stg_genome_tags"),
     "stg_genome_scores": _model("stg_genome_scores"),
     "seed_lookup": q_seed_lookup,
+    "seed_csv_lookup": q_seed_csv_lookup,
     "movies_with_links": _model("int_movies_with_links"),
     "release_year": q_release_year,
     "genres_exploded": _model("int_genres_exploded"),
@@ -228,7 +263,9 @@ QUERIES: dict[str, QueryFn] = {
     "high_water_filter": q_high_water_filter,
     "incremental_ratings": q_incremental_ratings,
     "incremental_tags": q_incremental_tags,
+    "stored_incremental_ratings": q_stored_incremental_ratings,
     "enrichment_keys": q_enrichment_keys,
+    "enrichment_keys_next": q_enrichment_keys_next,
     "payload_parse": q_payload_parse,
     "payload_upsert": q_payload_upsert,
     "upsert_report": q_upsert_report,

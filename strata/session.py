@@ -1,7 +1,7 @@
 """Session settings shared by the library, the tests and the bench.
 
-The library never builds a session on its own when one is passed in; these helpers
-only fill in settings that are still unset, so a cluster's own configuration wins.
+The library never builds a session on its own when one is passed in. Settings that results depend on are set on the
+session; all others only where they are still unset, so a cluster's own configuration wins.
 """
 
 from __future__ import annotations
@@ -11,12 +11,14 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings the models rely on for correct results (time zone, ANSI casts) and for
-# plans that hold up at scale (AQE coalescing, skew-join splitting, runtime
-# broadcast conversion behind the size threshold).
+# Settings the models rely on for correct results: always set, and an error if they cannot be.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+}
+# Settings for plans that hold up at scale (AQE coalescing, skew-join splitting, runtime
+# broadcast conversion behind the size threshold); a cluster's own choice wins.
+PREFERRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -27,12 +29,13 @@ REQUIRED_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the library depends on (idempotent)."""
+    """Apply the settings that results depend on, and the others where the session leaves them unset."""
     for key, value in REQUIRED_CONF.items():
-        try:
+        spark.conf.set(key, value)
+    given = spark.sparkContext.getConf()
+    for key, value in PREFERRED_CONF.items():
+        if not given.contains(key):
             spark.conf.set(key, value)
-        except Exception:  # static conf on an already running cluster session
-            pass
     return spark
 
 
@@ -80,7 +83,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for key, value in REQUIRED_CONF.items():
+    for key, value in (REQUIRED_CONF | PREFERRED_CONF).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

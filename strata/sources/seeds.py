@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+from importlib.resources import files
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,34 +12,6 @@ from pyspark.sql.types import StructType
 
 from strata.sources.schemas import GENRE_MAPPING
 
-# The genre lookup seed (raw_genre, display_genre), 21 rows, in the
-# order of the original CSV. Two raw values share one display value (Children's,
-# Children), some are renamed (Film-Noir, Sci-Fi) and the "none listed" marker maps
-# to Unknown.
-GENRE_MAPPING_ROWS = [
-    ("Action", "Action"),
-    ("Adventure", "Adventure"),
-    ("Animation", "Animation"),
-    ("Children's", "Children"),
-    ("Children", "Children"),
-    ("IMAX", "IMAX"),
-    ("Comedy", "Comedy"),
-    ("Crime", "Crime"),
-    ("Documentary", "Documentary"),
-    ("Drama", "Drama"),
-    ("Fantasy", "Fantasy"),
-    ("Film-Noir", "Film Noir"),
-    ("Horror", "Horror"),
-    ("Musical", "Musical"),
-    ("Mystery", "Mystery"),
-    ("Romance", "Romance"),
-    ("Sci-Fi", "Science Fiction"),
-    ("Thriller", "Thriller"),
-    ("War", "War"),
-    ("Western", "Western"),
-    ("(no genres listed)", "Unknown"),
-]
-
 # Genre lookup for the stand-in catalogue built over the test tables (part types,
 # adjectives and nouns of part names). Every value but "ring" is mapped, so the
 # unmapped path is exercised; "large" and "LARGE" share one display value.
@@ -67,9 +40,7 @@ TESTDATA_GENRE_MAPPING_ROWS = [
     ("(no genres listed)", "Unknown"),
 ]
 
-# A seed is loaded on the driver and shipped inside the plan; refuse anything that is
-# not small, so the broadcast of the lookup stays bounded.
-MAX_SEED_ROWS = 10_000
+# A seed is loaded on the driver and shipped inside the plan; only a small one is marked for broadcast.
 MAX_SEED_BROADCAST_BYTES = 8 * 1024 * 1024
 
 
@@ -85,8 +56,6 @@ def seed_frame(spark: SparkSession, rows: list[tuple], schema: StructType = GENR
     never broadcast it on its own; here the size is known exactly on the driver and
     the hint is only set below ``MAX_SEED_BROADCAST_BYTES``.
     """
-    if len(rows) > MAX_SEED_ROWS:
-        raise ValueError(f"seed has {len(rows)} rows; seeds are limited to {MAX_SEED_ROWS}")
     df = spark.createDataFrame(rows, schema)
     if seed_size_bytes(rows) <= MAX_SEED_BROADCAST_BYTES:
         df = F.broadcast(df)
@@ -109,8 +78,13 @@ def read_seed_csv(spark: SparkSession, path: str, schema: StructType = GENRE_MAP
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
+def packaged_seed_rows(name: str = "genre_mapping") -> list[tuple]:
+    """Rows of a seed CSV that ships with the package."""
+    return parse_seed_csv(files("strata").joinpath("data", f"{name}.csv").read_text(encoding="utf-8"))
+
+
 def genre_mapping(spark: SparkSession) -> DataFrame:
-    return seed_frame(spark, GENRE_MAPPING_ROWS)
+    return seed_frame(spark, packaged_seed_rows())
 
 
 def testdata_genre_mapping(spark: SparkSession) -> DataFrame:

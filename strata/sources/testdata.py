@@ -53,11 +53,15 @@ def raw_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _table(spark, sf_dir, "customer")
+def raw_links(spark: SparkSession, sf_dir: str, repeated: bool = False) -> DataFrame:
+    """Links; with ``repeated``, every 97th movie has a second one, so the join to the catalogue fans out."""
+    c = _table(spark, sf_dir, "customer").withColumn("again", F.lit(0))
+    if repeated:
+        both = F.when(F.col("c_custkey") % 97 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        c = c.withColumn("again", F.explode(both))
     return c.select(
         F.col("c_custkey").cast("bigint").alias("movieId"),
-        F.col("c_name").alias("imdbId"),
+        F.concat(F.col("c_name"), F.when(F.col("again") == 1, F.lit("-b")).otherwise(F.lit(""))).alias("imdbId"),
         F.when(F.col("c_nationkey") == 0, F.lit(None).cast("bigint"))
         .otherwise(F.col("c_custkey") + F.lit(100000))
         .cast("bigint")
@@ -66,8 +70,8 @@ def raw_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events_after(spark: SparkSession, sf_dir: str, after, until: str | None = None) -> DataFrame:
-    """The events, optionally only those whose whole-second time is after ``after``
-    and at or before ``until``.
+    """The events, optionally only those whose whole-second time is after ``after`` (epoch
+    microseconds) and at or before ``until`` (wall-clock text, UTC).
 
     floor(ts) > after  <=>  ts >= after + 1 s for a whole-second ``after``, and
     floor(ts) <= until  <=>  ts < until + 1 s: plain comparisons on the stored
@@ -77,7 +81,7 @@ def _events_after(spark: SparkSession, sf_dir: str, after, until: str | None = N
     e = _table(spark, sf_dir, "events")
     one_second = F.expr("INTERVAL 1 SECOND")
     if after is not None:
-        bound = F.to_timestamp(F.lit(after.isoformat(sep=" "))) + one_second
+        bound = F.timestamp_micros(F.lit(after)) + one_second
         e = e.where(F.col("ts") >= bound.cast("timestamp_ntz"))
     if until is not None:
         bound = F.to_timestamp(F.lit(until)) + one_second
@@ -116,12 +120,12 @@ def raw_genome_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_genome_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (vector, position): a narrow generator, no shuffle."""
+    """One row per (vector, position), some without a relevance: a narrow generator, no shuffle."""
     emb = _table(spark, sf_dir, "embeddings")
-    return emb.select(F.col("vec_id").cast("bigint").alias("movieId"), F.posexplode("embedding")).select(
-        "movieId",
+    return emb.select("vec_id", F.posexplode("embedding")).select(
+        F.col("vec_id").cast("bigint").alias("movieId"),
         F.col("pos").cast("bigint").alias("tagId"),
-        F.col("col").cast("double").alias("relevance"),
+        F.when((F.col("vec_id") + F.col("pos")) % 41 != 0, F.col("col").cast("double")).alias("relevance"),
     )
 
 
@@ -134,15 +138,27 @@ def raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit(200))
         .cast("bigint")
     )
-    body = F.concat(
-        F.lit('{"id": '),
-        F.get_json_object(F.col("props"), "$.k"),
-        F.lit(', "title": "'),
-        F.col("event_type"),
-        F.lit('", "popularity": '),
-        F.col("value").cast("string"),
-        F.lit("}"),
-    )
+    eid = F.col("event_id")
+
+    def number(c):
+        return c.cast("bigint").cast("string")
+
+    def every(n, c, other="null"):
+        return F.when(eid % n == 0, F.lit(other)).otherwise(c)
+
+    # All nine fields, with JSON nulls and missing fields among them; every 40th has no id.
+    fields = [
+        F.concat(F.lit('"id": '), every(40, F.get_json_object(F.col("props"), "$.k"))),
+        F.concat(F.lit('"title": "'), F.col("event_type"), F.lit('"')),
+        F.concat(F.lit('"overview": '), every(3, F.concat(F.lit('"o '), number(eid), F.lit('"')))),
+        every(5, F.concat(F.lit('"runtime": '), number(eid % 240)), '"tagline": "none"'),
+        F.concat(F.lit('"popularity": '), F.col("value").cast("string")),
+        F.concat(F.lit('"budget": '), number(eid * 1000)),
+        F.concat(F.lit('"revenue": '), every(7, number(eid * 1999))),
+        F.concat(F.lit('"release_date": "'), F.date_format(F.col("ts"), "yyyy-MM-dd"), F.lit('"')),
+        F.concat(F.lit('"poster_path": '), every(11, F.concat(F.lit('"/p'), number(eid), F.lit('.jpg"')))),
+    ]
+    body = F.concat(F.lit("{"), F.concat_ws(", ", *fields), F.lit("}"))
     return e.select(F.col("event_id").cast("bigint").alias("event_id"), status.alias("status"), body.alias("body"))
 
 
@@ -161,14 +177,14 @@ def edited_raw_movies(raw: DataFrame) -> DataFrame:
     return kept.unionByName(reissued)
 
 
-def sources(spark: SparkSession, sf_dir: str) -> RawSources:
+def sources(spark: SparkSession, sf_dir: str, repeated_links: bool = False) -> RawSources:
     return RawSources(
         raw_movies=lambda: raw_movies(spark, sf_dir),
         raw_ratings=lambda: raw_ratings(spark, sf_dir),
         raw_tags=lambda: raw_tags(spark, sf_dir),
         raw_genome_tags=lambda: raw_genome_tags(spark, sf_dir),
         raw_genome_scores=lambda: raw_genome_scores(spark, sf_dir),
-        raw_links=lambda: raw_links(spark, sf_dir),
+        raw_links=lambda: raw_links(spark, sf_dir, repeated_links),
         genre_mapping=lambda: _seed(spark),
     )
 

@@ -45,7 +45,7 @@ def test_payload_upsert_latest_wins_and_load_time(spark):
     assert got == [(5, "A3", T2), (6, "B", T1), (7, "C", T2)]
     rep = enrichment.load_report(t1, batch).first().asDict()
     assert rep == {"keys_queried": 4, "movies_fetched": 3, "not_found": 1, "other_errors": 0,
-                   "movies_loaded": 3, "keys_inserted": 1, "keys_updated": 1}
+                   "movies_loaded": 3, "without_id": 0, "keys_inserted": 1, "keys_updated": 1}
 
 
 def test_empty_batch_changes_nothing(spark):
@@ -74,3 +74,22 @@ def test_parse_can_skip_invalid_bodies(spark):
     resp = spark.createDataFrame([(1, 200, "{broken"), (2, 200, '{"id": 3}')], SCHEMA)
     rows = enrichment.parse_payloads(resp, on_invalid="skip").collect()
     assert [r.tmdb_id for r in rows] == [3]
+
+
+def test_mistyped_fields_raise_or_are_null_when_skipping(spark):
+    for body in ('{"id": 1, "runtime": "90 min"}', '{"id": "abc"}', '{"id": 1, "popularity": [1]}'):
+        resp = spark.createDataFrame([(1, 200, body)], SCHEMA)
+        with pytest.raises(Exception, match="INVALID_VARIANT_CAST|CAST_INVALID_INPUT"):
+            enrichment.parse_payloads(resp).collect()
+    resp = spark.createDataFrame([(1, 200, '{"id": 1, "runtime": "90 min"}')], SCHEMA)
+    assert [r.runtime for r in enrichment.parse_payloads(resp, on_invalid="skip").collect()] == [None]
+
+
+def test_responses_without_id_are_rejected_and_counted(spark):
+    resp = spark.createDataFrame([(1, 200, '{"id": null, "title": "x"}'), (2, 200, '{"title": "y"}'), (3, 200, '{"id": 4}')], SCHEMA)
+    target = enrichment.empty_target(spark)
+    for _ in range(2):
+        target = enrichment.payload_upsert(target, resp, T1)
+    assert [r.tmdb_id for r in target.collect()] == [4]
+    rep = enrichment.load_report(enrichment.empty_target(spark), resp).first()
+    assert (rep.movies_fetched, rep.movies_loaded, rep.without_id) == (3, 1, 2)

@@ -89,7 +89,7 @@ def test_register_views_and_sql(spark):
 
 def test_broadcast_only_below_bound(spark):
     from strata.operators.joins import broadcast_if_small, estimated_size_bytes
-    from strata.sources.seeds import GENRE_MAPPING_ROWS, MAX_SEED_ROWS, seed_frame
+    from strata.sources.seeds import packaged_seed_rows, seed_frame
 
     small = spark.range(10)
     assert estimated_size_bytes(small) is not None
@@ -98,9 +98,7 @@ def test_broadcast_only_below_bound(spark):
     # a frame with no statistics (built from local rows via an RDD) is not broadcast by estimate
     rdd_frame = spark.createDataFrame([(1,)], "a int")
     assert "broadcast" not in broadcast_if_small(rdd_frame)._jdf.queryExecution().analyzed().toString().lower()
-    # seeds carry the hint because their size is known exactly on the driver, and are capped
-    assert "broadcast" in seed_frame(spark, GENRE_MAPPING_ROWS)._jdf.queryExecution().analyzed().toString().lower()
-    import pytest
-
-    with pytest.raises(ValueError):
-        seed_frame(spark, [("a", "b")] * (MAX_SEED_ROWS + 1))
+    # seeds carry the hint because their size is known exactly on the driver; large ones load without it
+    assert "broadcast" in seed_frame(spark, packaged_seed_rows())._jdf.queryExecution().analyzed().toString().lower()
+    large = seed_frame(spark, [("a" * 500, "b" * 500)] * 9000)
+    assert large.count() == 9000 and "broadcast" not in large._jdf.queryExecution().analyzed().toString().lower()
