@@ -36,7 +36,7 @@ EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.02
 UNKNOWN = "und"
 #: Documents below this score are rejected by :func:`keep_known`.
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.35
 
 
 @lru_cache(1)
