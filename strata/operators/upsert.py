@@ -9,13 +9,17 @@ MERGE semantics re-expressed as set operations (no ACID table format needed):
   are always inserted and NULL-keyed target rows are never updated;
 * duplicates already in the target are each updated, never collapsed.
 
-Plan shape: one left join of the target to the batch (unique per key on that
+Plan shape, small batch: one left join of the target to the batch (unique per key on that
 side), plus the inserts: the batch minus the batch keys the target holds (found by
 probing the target's key columns with the batch's distinct keys). When the batch is
 small, AQE broadcasts it and the target is only scanned and written, never
 shuffled. In every join the non-preserved side is unique per key and the
 preserved side is the one AQE can split when a key is hot. The batch is never
 collected.
+
+Plan shape, large batch (estimated above ``LARGE_BATCH_BYTES``, where the target would be shuffled for both joins): one
+full outer join of the target with the batch, unique per key, gives updates and inserts at once and shuffles either
+side once. Both shapes give the same rows.
 """
 
 from __future__ import annotations
@@ -26,6 +30,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
+from strata.operators.joins import estimated_size_bytes
+
+#: Estimated size of a batch above which one full outer join replaces the left join and the probe.
+LARGE_BATCH_BYTES = 256 * 1024 * 1024
+
 _MATCH = "__strata_matched"
 _UNSET = object()
 _SRC = "__s_"
@@ -101,6 +110,7 @@ def upsert(
     order_cols: Sequence[str] = (),
     insert_values: dict[str, Column] | None = None,
     update_values: dict[str, Column] | None = None,
+    large_batch_bytes: int = LARGE_BATCH_BYTES,
 ) -> DataFrame:
     """Apply ``source`` to ``target`` by ``keys``; returns the new table (target schema).
 
@@ -141,8 +151,35 @@ def upsert(
 
     tgt_types = dict(target.dtypes)
 
-    # 1. target ⟕ batch: matched rows take the batch values.
+    def inserted(df: DataFrame, prefix: str = "") -> DataFrame:
+        cols = []
+        for c in target.columns:
+            if c in source.columns:
+                value = F.col(prefix + c)
+            else:
+                value = insert_values.get(c, F.lit(None))
+            cols.append(value.cast(tgt_types[c]).alias(c))
+        return df.select(*cols)
+
     carried = [c for c in update_cols if c in source.columns]
+    size = estimated_size_bytes(source) or 0
+    if size >= 1 << 62:  # Catalyst's mark of an unknown size: leave the choice of joins to AQE
+        size = 0
+    if on_duplicate == "latest" and size > large_batch_bytes:
+        known = ~_any_null(keys)
+        batch = source.where(known).select(*[F.col(c).alias(_SRC + c) for c in source.columns], F.lit(True).alias(_MATCH))
+        both = target.where(known).withColumn("__strata_held", F.lit(True)).join(batch, _eq(keys, "", _SRC), "full_outer")
+        held, matched = F.col("__strata_held").isNotNull(), F.col(_MATCH).isNotNull()
+        cols = []
+        for c in target.columns:
+            new = F.col(_SRC + c) if c in carried else update_values.get(c, F.col(c)) if c in update_cols else F.col(c)
+            fresh = F.col(_SRC + c) if c in source.columns else insert_values.get(c, F.lit(None))
+            value = F.when(~held, fresh.cast(tgt_types[c])).when(matched, new.cast(tgt_types[c])).otherwise(F.col(c))
+            cols.append(value.alias(c))
+        # NULL keys match nothing: such rows stay out of the join, where they would meet in one task.
+        return both.select(*cols).unionByName(target.where(_any_null(keys))).unionByName(inserted(source.where(_any_null(keys))))
+
+    # 1. target ⟕ batch: matched rows take the batch values.
     batch = update_side.select(
         *[F.col(k).alias(_SRC + k) for k in keys],
         *[F.col(c).alias(_SRC + c) for c in carried],
@@ -164,16 +201,7 @@ def upsert(
     # 2. inserts: batch rows whose key the target does not hold (NULL keys never
     #    match, so NULL-keyed rows are always inserted).
     inserts = _anti_by_eq(source, target, keys, source_unique=on_duplicate == "latest")
-    insert_cols = []
-    for c in target.columns:
-        if c in source.columns:
-            value = F.col(c)
-        elif c in insert_values:
-            value = insert_values[c]
-        else:
-            value = F.lit(None)
-        insert_cols.append(value.cast(tgt_types[c]).alias(c))
-    return updated.unionByName(inserts.select(*insert_cols))
+    return updated.unionByName(inserted(inserts))
 
 
 def _anti_by_eq(source: DataFrame, target: DataFrame, keys: Sequence[str], source_unique: bool = False) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.upsert import high_water_filter, high_water_mark, incremental_load
 from strata.plans import marts, staging
+from strata.plans.project import scratch_keeper
 from strata.sources import testdata
 
 RATING_KEYS = ["user_id", "movie_id"]
@@ -46,11 +47,12 @@ def new_rating_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_fct_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = stored_history(rating_rows(spark, sf_dir, until=testdata.HISTORY_CUTOFF), "rating_timestamp")
+    keep = scratch_keeper(spark)  # the fact is stored state, and the batch is read several times
+    history = keep(stored_history(rating_rows(spark, sf_dir, until=testdata.HISTORY_CUTOFF), "rating_timestamp"))
     mark = high_water_mark(history, "rating_timestamp")
     return incremental_load(
         history,
-        rating_rows(spark, sf_dir, after=mark),
+        keep(high_water_filter(rating_rows(spark, sf_dir, after=mark), "rating_timestamp", mark)),
         RATING_KEYS,
         "rating_timestamp",
         on_duplicate="latest",
@@ -60,11 +62,12 @@ def incremental_fct_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_fct_tag_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = stored_history(tag_rows(spark, sf_dir, until=testdata.HISTORY_CUTOFF), "tag_timestamp")
+    keep = scratch_keeper(spark)  # the fact is stored state, and the batch is read several times
+    history = keep(stored_history(tag_rows(spark, sf_dir, until=testdata.HISTORY_CUTOFF), "tag_timestamp"))
     mark = high_water_mark(history, "tag_timestamp")
     return incremental_load(
         history,
-        tag_rows(spark, sf_dir, after=mark),
+        keep(high_water_filter(tag_rows(spark, sf_dir, after=mark), "tag_timestamp", mark)),
         TAG_KEYS,
         "tag_timestamp",
         on_duplicate="latest",

@@ -20,7 +20,7 @@ from strata.functions import date_spine_between
 from strata.operators.joins import lookup_join
 from strata.plans import enrichment, facts, marts, metrics_catalog, quality, snapshots, staging
 from strata.plans.loads import load_incremental_fact
-from strata.plans.project import Project
+from strata.plans.project import Project, scratch_keeper
 from strata.session import configure, storage_root
 from strata.sources import testdata
 from strata.sources.seeds import genre_mapping
@@ -167,10 +167,12 @@ def q_payload_parse(spark, sf_dir):
 
 
 def _payload_target(spark, sf_dir):
+    """The enrichment table as the first load stored it, and all responses."""
     resp = _responses(spark, sf_dir)
     first = resp.where(F.col("event_id") % 2 == 0)
     empty = enrichment.empty_target(spark)
-    return enrichment.payload_upsert(empty, first, PAYLOAD_LOAD_1, order_col="event_id"), resp
+    target = enrichment.payload_upsert(empty, first, PAYLOAD_LOAD_1, order_col="event_id")
+    return scratch_keeper(spark)(target), resp
 
 
 def q_payload_upsert(spark, sf_dir):

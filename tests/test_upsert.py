@@ -114,3 +114,17 @@ def test_incremental_all_null_timestamps_takes_nothing(spark):
     target = spark.createDataFrame([(1, "a", None)], SCHEMA)
     source = spark.createDataFrame([(2, "b", 5)], SCHEMA)
     assert rows(incremental_load(target, source, ["k"], "ts"), "k", "v") == [(1, "a")]
+
+
+@pytest.mark.parametrize("bound", [-1, 1 << 40])
+def test_both_plan_shapes_of_a_merge(spark, bound):
+    target = spark.createDataFrame([(1, "a", 1), (1, "b", 1), (2, "c", 1), (None, "d", 1)], "k int, v string, at int")
+    source = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (3, None, 1), (None, "z", 1)], "k int, v string, o int")
+    out = upsert(
+        target, source, ["k"], update_cols=["v", "at"], on_duplicate="latest", order_cols=["o"],
+        insert_values={"at": F.lit(7)}, update_values={"at": F.lit(9)}, large_batch_bytes=bound,
+    )
+    got = sorted(map(tuple, out.collect()), key=repr)
+    assert got == sorted([(1, "y", 9), (1, "y", 9), (2, "c", 1), (None, "d", 1), (3, None, 7), (None, "z", 7)], key=repr)
+    plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+    assert ("FullOuter" in plan) == (bound == -1)
