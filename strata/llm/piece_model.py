@@ -200,6 +200,11 @@ class PieceModel:
                 out.append(self.unknown)
         return struct.pack(f"<{len(out)}{'H' if self.width == 2 else 'I'}", *out)
 
+    def forget(self) -> None:
+        """Let go of the words kept so far: a worker process outlives its task, and its memory is shared with others."""
+        self._words.clear()
+        self._pairs.clear()
+
     def _word(self, word: str) -> bytes:
         """The ids of ``word`` after one space."""
         got = self._ids(SPACE + word)

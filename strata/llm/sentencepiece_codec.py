@@ -12,7 +12,7 @@ columns replace columns of the same name; no other is touched.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,9 +40,11 @@ def encoder(spark: SparkSession, model_path: str | None = None) -> Callable[[Col
     model = _shared(spark, model_path)
 
     @F.pandas_udf("binary")
-    def encode(texts: pd.Series) -> pd.Series:
-        run = load(model.value).encode
-        return pd.Series([run(t or "") for t in texts], dtype=object)
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        m = load(model.value)
+        for texts in batches:
+            yield pd.Series([m.encode(t or "") for t in texts], dtype=object)
+        m.forget()
 
     return encode
 
@@ -68,21 +70,23 @@ def encode_and_check(df: DataFrame, text_col: str = "text", model_path: str | No
     model = _shared(df.sparkSession, model_path)
 
     @F.pandas_udf(FACTS)
-    def run(texts: pd.Series) -> pd.DataFrame:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = load(model.value)
         is_byte = np.zeros(len(m.spec.pieces), bool)
         is_byte[list(m.byte_ids.values())] = True
-        rows = []
-        for text in texts:
-            text = text or ""
-            ids = m.encode(text)
-            back = m.decode(ids)
-            n_bytes = int(np.count_nonzero(is_byte[np.frombuffer(ids, f"<u{m.width}")]))
-            rows.append((
-                ids if keep_ids else None, m.count(ids), n_bytes, hashlib.sha256(ids).hexdigest(),
-                hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(), back == text,
-            ))
-        return pd.DataFrame(rows, columns=["ids", "n_tokens", "n_byte_tokens", "ids_sha256", "decoded_sha256", "round_trip"])
+        for texts in batches:
+            rows = []
+            for text in texts:
+                text = text or ""
+                ids = m.encode(text)
+                back = m.decode(ids)
+                n_bytes = int(np.count_nonzero(is_byte[np.frombuffer(ids, f"<u{m.width}")]))
+                rows.append((
+                    ids if keep_ids else None, m.count(ids), n_bytes, hashlib.sha256(ids).hexdigest(),
+                    hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(), back == text,
+                ))
+            yield pd.DataFrame(rows, columns=["ids", "n_tokens", "n_byte_tokens", "ids_sha256", "decoded_sha256", "round_trip"])
+        m.forget()
 
     names = [c.split()[0] for c in FACTS.split(", ") if keep_ids or not c.startswith("ids ")]
     rest = [f"row.`{c}`" for c in df.columns if c not in names]
