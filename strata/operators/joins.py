@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest estimated size (bytes) of a lookup side that is broadcast on request.
-DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
+# Largest estimated size (bytes) of a lookup side that is broadcast on request. The estimate comes from compressed
+# files, so the rows may take several times as much; beyond the bound the choice is AQE's.
+DEFAULT_BROADCAST_BYTES = 2 * 1024 * 1024
 
 
 def estimated_size_bytes(df: DataFrame) -> int | None:

@@ -120,10 +120,8 @@ def enrich(
     spark: SparkSession, store: TableStore, responses: DataFrame, as_of: dt.datetime, order_col: str = "event_id"
 ) -> dict:
     """Upsert one batch of API responses into ``raw/raw_tmdb_movies`` and return
-    the load report. An empty batch exits early and stores nothing."""
+    the load report. A batch without a loaded film stores nothing."""
     configure(spark)
-    if responses.isEmpty():
-        return dict.fromkeys(enrichment.REPORT, 0)
     target = store.read_or_empty(RAW, "raw_tmdb_movies", TMDB_MOVIES)
     report = enrichment.load_report(target, responses).first().asDict()
     if report["movies_loaded"] > 0:

@@ -33,7 +33,6 @@ PAYLOAD_FIELDS = (
     ("release_date", "release_date", "string"),
     ("poster_path", "poster_path", "string"),
 )
-REPORT = ("keys_queried", "movies_fetched", "not_found", "other_errors", "movies_loaded", "without_id", "keys_inserted", "keys_updated")
 UPDATE_COLUMNS = tuple(col for _, col, _ in PAYLOAD_FIELDS[1:]) + ("raw_json",)
 
 

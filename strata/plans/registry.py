@@ -135,7 +135,7 @@ def q_stored_incremental_ratings(spark, sf_dir):
 
     def load(raw, to_rows):
         return load_incremental_fact(
-            store, "marts", "fct_ratings", raw, to_rows, facts.RATING_KEYS, "rating_timestamp", "latest", "event_id"
+            store, "marts", "fct_ratings", raw, to_rows, facts.RATING_KEYS, "rating_timestamp", "latest", "event_id", buckets=32
         )
 
     load(history, lambda rows: rows.withColumn("event_id", F.lit(None).cast("bigint")))
