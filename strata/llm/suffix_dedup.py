@@ -39,7 +39,7 @@ from strata.llm.common import document_order, documents, filled, stored
 
 LENGTH = 100
 GRAM = 32
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 BLOCK = 4096
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(20240102).integers(0, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
