@@ -48,8 +48,8 @@ DEPTH = 6
 LEAF = 32
 #: Closest candidates of each document that a round of confirmation takes; None: all that remain.
 ROUNDS = (4, None)
-#: Documents in a block of step 5, and in a tile of it that is compared at once.
-FAMILY_BLOCK, TILE = 512, 128
+#: Documents in a block of step 5, and cells of a matrix in which part of it is compared at once.
+FAMILY_BLOCK, CELLS = 512, 4_000_000
 #: Shingles hashed at a time, which bounds memory for very long texts.
 BLOCK = 8192
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -223,7 +223,8 @@ def settle(pairs: DataFrame, links: list[DataFrame], texts: DataFrame, k: int, a
 
 
 def _overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of all sets of ``x`` with all of ``y``, by a product of 0/1 matrices."""
+    """Sizes of the intersections of all sets of ``x`` with all of ``y``, by products of 0/1 matrices of at most about
+    ``CELLS`` cells (or one row, for a longer set)."""
     words = np.unique(np.concatenate(x))
 
     def rows(sets: list[np.ndarray]) -> np.ndarray:
@@ -234,7 +235,21 @@ def _overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
             row[at[words[at] == members]] = 1
         return out
 
-    return (rows(x) @ rows(y).T).astype(np.int64)
+    step = max(1, CELLS // len(words))
+    left = rows(x)
+    return np.concatenate([left @ rows(y[i : i + step]).T for i in range(0, len(y), step)], axis=1).astype(np.int64)
+
+
+def _tiles(members: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
+    """``members`` in runs whose 0/1 matrix has at most about ``CELLS`` cells."""
+    start, held = 0, 0
+    for i, n in enumerate(size[members]):
+        held += n
+        if i > start and (i + 1 - start) * held > CELLS:
+            yield members[start:i]
+            start, held = i, n
+    if len(members):
+        yield members[start:]
 
 
 def _block_links(rows: pd.DataFrame, k: int, at_least: Threshold) -> list[tuple[int, int]]:
@@ -251,9 +266,8 @@ def _block_links(rows: pd.DataFrame, k: int, at_least: Threshold) -> list[tuple[
         return g
 
     out = []
-    for p in range(0, len(own), TILE):
-        for q in range(0, len(other), TILE):
-            left, right = own[p : p + TILE], other[q : q + TILE]
+    for left in _tiles(own, size):
+        for right in _tiles(other, size):
             both = _overlaps([sets[i] for i in left], [sets[j] for j in right])
             union = size[left][:, None] + size[right][None, :] - both
             for i, j in zip(*np.nonzero(at_least.den * both >= at_least.num * union), strict=True):

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from strata.llm import near_dedup
 from strata.llm.components import components
 from strata.llm.near_dedup import Threshold, deduplicate, near_groups, shingles, signature
 from tests.llm.conftest import frame, odd_rows, words
@@ -80,6 +81,19 @@ def test_deduplicate_keeps_columns(odd):
     assert 1 in ids and not ids & {10, 11, 12, 13} and None in ids
 
 
+def test_block_comparison_in_small_pieces(monkeypatch):
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 200, rng.integers(1, 90), np.uint64)) for _ in range(40)]
+    want = [[len(np.intersect1d(x, y)) for y in sets[15:]] for x in sets[:15]]
+    size = np.array([len(s) for s in sets])
+    for cells in (1, 300, 10_000, 10**7):
+        monkeypatch.setattr(near_dedup, "CELLS", cells)
+        assert near_dedup._overlaps(sets[:15], sets[15:]).tolist() == want
+        tiles = list(near_dedup._tiles(np.arange(40), size))
+        assert np.concatenate(tiles).tolist() == list(range(40))
+        assert all(len(t) == 1 or len(t) * size[t].sum() <= cells for t in tiles)
+
+
 def test_signature_estimates_similarity():
     members = np.random.default_rng(1).integers(0, 2**63, 1100, np.uint64)
     a, b = np.unique(members[:1000]), np.unique(members[100:])
