@@ -24,8 +24,8 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 INFINITE = float("inf")
-#: Words kept with their ids, and pieces with their neighbours' weights; a table is emptied when full.
-CACHE = 1_000_000
+#: Words kept with their ids within a task, and weights of neighbouring pieces; a table is emptied when full.
+CACHE = 800_000
 #: Longer words are not kept.
 CACHED_CHARS = 48
 
@@ -112,6 +112,7 @@ class PieceModel:
         self._texts = [self._text(i) for i in range(len(spec.pieces))]
         self._words: dict[str, bytes] = {}
         self._pairs: dict[str, dict[str, float]] = {}
+        self._n_pairs = 0
         self._break = self._ids("\n")
 
     # -- BPE weights ---------------------------------------------------------------------------------------------
@@ -163,8 +164,9 @@ class PieceModel:
                 continue
             weights = self._pairs.get(before)
             if weights is None:
-                if len(self._pairs) >= CACHE:
+                if self._n_pairs >= CACHE:
                     self._pairs.clear()
+                    self._n_pairs = 0
                 weights = self._pairs[before] = {}
             single = False
             while j < n and (arc := node.get(text[j])) is not None:
@@ -176,6 +178,7 @@ class PieceModel:
                     w = weights.get(piece)
                     if w is None:
                         w = weights[piece] = self.weight(before, piece)
+                        self._n_pairs += 1
                     if here + w < cost[j]:
                         cost[j], back[j] = here + w, piece
             if not single:  # byte fallback
@@ -201,9 +204,9 @@ class PieceModel:
         return struct.pack(f"<{len(out)}{'H' if self.width == 2 else 'I'}", *out)
 
     def forget(self) -> None:
-        """Let go of the words kept so far: a worker process outlives its task, and its memory is shared with others."""
+        """Let go of the words kept so far: a worker process outlives its task, and its memory is shared with others. The
+        weights stay; they are few and the same for all texts."""
         self._words.clear()
-        self._pairs.clear()
 
     def _word(self, word: str) -> bytes:
         """The ids of ``word`` after one space."""
