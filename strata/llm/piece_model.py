@@ -24,7 +24,7 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 INFINITE = float("inf")
-#: Words kept with their ids within a task, and weights of neighbouring pieces; a table is emptied when full.
+#: Words kept with their ids, and weights of neighbouring pieces, in each process (about 150 MB); a table is emptied when full.
 CACHE = 800_000
 #: Longer words are not kept.
 CACHED_CHARS = 48
@@ -155,41 +155,67 @@ class PieceModel:
 
     def shortest_path(self, text: str) -> list[str]:
         """The pieces of the least path through the composition with ``text`` (already normalised)."""
+        back = self._finite_path(text) if self.bpe else self._least_path(text)
+        path, n = [], len(text)
+        while n:
+            path.append(back[n])
+            n -= len(back[n])
+        return path[::-1]
+
+    def _least_path(self, text: str) -> list[str]:
+        """The last piece of the least path to each position; weights of pieces."""
         n = len(text)
         cost, back = [INFINITE] * (n + 1), [""] * (n + 1)
         cost[0] = 0.0
+
+        def relax(i: int, j: int, piece: str) -> None:
+            total = cost[i] + self.weight(back[i], piece)
+            if total < cost[j]:
+                cost[j], back[j] = total, piece
+
         for i in range(n):
-            before, here, node, j = back[i], cost[i], self.trie, i
-            if here == INFINITE:
+            node, j = self.trie, i
+            while j < n and (arc := node.get(text[j])) is not None:
+                piece, node = arc
+                j += 1
+                if piece is not None:
+                    relax(i, j, piece)
+            if text[i] not in self.ids:  # byte fallback
+                relax(i, i + 1, text[i])
+        return back
+
+    def _finite_path(self, text: str) -> list[str | None]:
+        """The same for weights of pairs, 0 or infinite: relaxing is to reach a position for the first time."""
+        n, ids, pairs = len(text), self.ids, self._pairs
+        back: list[str | None] = [None] * (n + 1)
+        back[0] = ""
+        for i in range(n):
+            before = back[i]
+            if before is None:
                 continue
-            weights = self._pairs.get(before)
+            weights = pairs.get(before)
             if weights is None:
                 if self._n_pairs >= CACHE:
-                    self._pairs.clear()
+                    pairs.clear()
                     self._n_pairs = 0
-                weights = self._pairs[before] = {}
-            single = False
-            while j < n and (arc := node.get(text[j])) is not None:
+                weights = pairs[before] = {}
+            node, j = self.trie, i
+            while j < n:
+                arc = node.get(text[j])
+                if arc is None:
+                    break
                 piece, node = arc
                 j += 1
-                # Weights of pairs are 0 or infinite, so a place that has been reached cannot be bettered by one.
-                if piece is not None and (cost[j] > here or j == i + 1):
-                    single |= j == i + 1
+                if piece is not None and back[j] is None:
                     w = weights.get(piece)
                     if w is None:
                         w = weights[piece] = self.weight(before, piece)
                         self._n_pairs += 1
-                    if here + w < cost[j]:
-                        cost[j], back[j] = here + w, piece
-            if not single:  # byte fallback
-                total = here + self.weight(before, text[i])
-                if total < cost[i + 1]:
-                    cost[i + 1], back[i + 1] = total, text[i]
-        path = []
-        while n:
-            path.append(back[n])
-            n -= len(back[n])
-        return path[::-1]
+                    if not w:
+                        back[j] = piece
+            if back[i + 1] is None and text[i] not in ids and not self.weight(before, text[i]):  # byte fallback
+                back[i + 1] = text[i]
+        return back
 
     def _ids(self, text: str) -> bytes:
         """The ids of ``text``, little-endian."""
@@ -203,11 +229,6 @@ class PieceModel:
                 out.append(self.unknown)
         return struct.pack(f"<{len(out)}{'H' if self.width == 2 else 'I'}", *out)
 
-    def forget(self) -> None:
-        """Let go of the words kept so far: a worker process outlives its task, and its memory is shared with others. The
-        weights stay; they are few and the same for all texts."""
-        self._words.clear()
-
     def _word(self, word: str) -> bytes:
         """The ids of ``word`` after one space."""
         got = self._ids(SPACE + word)

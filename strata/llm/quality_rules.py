@@ -16,12 +16,12 @@ columns cannot clash.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +39,7 @@ MEASURES = {
     "n_repeat_words": "words in 8-word windows found twice or more",
     "n_letters": "letters in words",
 }
-SPACES = regex.compile(r"[\x20\x09-\x0D]+")
+SPACES = re.compile(r"[\x20\x09-\x0D]+")
 
 
 @dataclass(frozen=True)
@@ -127,11 +127,10 @@ def ledger(
             out.insert(0, "id", batch["id"].to_numpy())
             yield out
 
-    schema = f"id {dict(df.dtypes)[id_col]}, " + ", ".join(f"{m} long" for m in MEASURES)
     # Ids travel as text, so that NULL ids of any type come through as they are.
-    kind = dict(df.dtypes)[id_col]
+    kind = df.schema[id_col].dataType
     rows = df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
-    measured = rows.mapInPandas(run, schema.replace(f"id {kind}", "id string", 1))
+    measured = rows.mapInPandas(run, "id string, " + ", ".join(f"{m} long" for m in MEASURES))
     bits = [F.when(F.expr(r.fails), F.lit(1 << r.bit)).otherwise(F.lit(0)) for r in rules]
     failed = bits[0]
     for bit in bits[1:]:

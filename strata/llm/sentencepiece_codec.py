@@ -44,7 +44,6 @@ def encoder(spark: SparkSession, model_path: str | None = None) -> Callable[[Col
         m = load(model.value)
         for texts in batches:
             yield pd.Series([m.encode(t or "") for t in texts], dtype=object)
-        m.forget()
 
     return encode
 
@@ -86,7 +85,6 @@ def encode_and_check(df: DataFrame, text_col: str = "text", model_path: str | No
                     hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(), back == text,
                 ))
             yield pd.DataFrame(rows, columns=["ids", "n_tokens", "n_byte_tokens", "ids_sha256", "decoded_sha256", "round_trip"])
-        m.forget()
 
     names = [c.split()[0] for c in FACTS.split(", ") if keep_ids or not c.startswith("ids ")]
     rest = [f"row.`{c}`" for c in df.columns if c not in names]
