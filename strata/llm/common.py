@@ -44,6 +44,12 @@ def packed(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
 
 
+def own_shuffle(number: Column) -> Column:
+    """The same number under an expression of its own. A join on it shuffles this side anew instead of building on an
+    aggregate's partitioning, which is what lets AQE split a hot key of the other side."""
+    return F.bitwise_not(F.bitwise_not(number))
+
+
 def document_order(texts: DataFrame) -> DataFrame:
     """``(_id, _digest, at)`` of the distinct ``(doc_id, digest)``: numbers that rise with id (NULL first) and digest, with gaps.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import stored
+from strata.llm.common import own_shuffle, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -13,7 +13,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
     # The least neighbour is found by partial minima, so a vertex with very many edges sends one row per task.
     least = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
-    least = least.select("u", F.least("u", "m").alias("m"))
+    least = least.select(own_shuffle(F.col("u")).alias("u"), F.least("u", "m").alias("m"))
     near = both.join(least, F.col("a") == F.col("u"))
     if large:
         out = near.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -22,19 +22,20 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b")
 
 
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether every vertex hangs on one other that hangs on none; one count comes to the driver."""
+    ends = edges.selectExpr("a AS v", "1 AS hangs", "0 AS holds").unionByName(edges.selectExpr("b AS v", "0 AS hangs", "1 AS holds"))
+    both = ends.groupBy("v").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return both.agg(F.count_if(F.expr("hangs + holds > 1 AND hangs > 0"))).first()[0] == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(id, component)`` for every vertex of ``edges(a, b)``; the component is its smallest vertex.
 
-    Each round is written to the shared folder; only a count and a checksum come to the driver.
-    Rounds grow with the logarithm of the largest component's diameter.
+    Each round is written to the shared folder. Rounds grow with the logarithm of the largest component's diameter.
     """
     now = stored(edges.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").where("a <> b").distinct(), "edges")
-    before = None
-    while True:
-        mark = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if mark == before or mark[0] == 0:
-            break
-        before = mark
+    while not _is_star_forest(now):
         now = stored(_star(_star(now, large=True), large=False).distinct(), "edges")
     roots = now.select(F.col("b").alias("id"), F.col("b").alias("component"))
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots.distinct())

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.common import document_order, documents, filled, packed, stored
+from strata.llm.common import document_order, documents, filled, own_shuffle, packed, stored
 from strata.llm.components import components
 
 TREES = 16
@@ -149,7 +149,8 @@ def candidates(reps: DataFrame, at_least: Threshold, depth: int = DEPTH, leaf: i
     found, carried = [], []
     for level in range(1, depth + 1):
         nodes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("rep", "n", "bits")).alias("least"))
-        members = stored(rows.join(nodes.where("size > 1"), "key"), f"nodes-{level}")
+        nodes = nodes.where("size > 1").withColumn("key", own_shuffle(F.col("key")))  # a common token's node is split
+        members = stored(rows.join(nodes, "key"), f"nodes-{level}")
         small, large = members.where(F.col("size") <= leaf), members.where(F.col("size") > leaf)
         found.append(_pairs(small, small, F.expr("x.key = y.key AND x.rep < y.rep"), at_least))
         star = large.select(F.struct("rep", "n", "bits").alias("x"), F.col("least").alias("y"))

@@ -146,7 +146,8 @@ def secret_scan(
 ) -> DataFrame:
     """``(path, blob, spans)``: one row per version, every path of a blob with all its findings."""
     index = ledger.scan(versions, path_col, text_col, rules)
-    found = index.join(ledger.findings(rules), "blob", "left")
+    findings = stored(ledger.findings(rules), "blob-findings")  # so that AQE can split a blob that many paths share
+    found = index.join(findings, "blob", "left")
     return found.select("path", "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
 
 

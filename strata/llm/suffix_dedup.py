@@ -336,11 +336,15 @@ def _numbered_documents(df: DataFrame, id_col: str, text_col: str) -> tuple[Data
     return texts, ledger.join(order, mine & (F.col("digest") == F.col("_digest"))).select("doc", "doc_id", "n_bytes", "digest")
 
 
-def candidate_contexts(df: DataFrame, ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
+def first_documents(ledger: DataFrame) -> DataFrame:
+    """``(_digest, first)``: the earliest document of each text. Stored, so that AQE can split a hot digest in joins with it."""
+    return stored(ledger.groupBy(F.col("digest").alias("_digest")).agg(F.min("doc").alias("first")), "first-documents")
+
+
+def candidate_contexts(df: DataFrame, ledger: DataFrame, first: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Steps 1 to 3: the texts with anything to look at, ``(doc, text, spans)``, and their anchors' contexts."""
     found = stored(partnered(anchors(df)), "anchors")
-    first = ledger.groupBy("digest").agg(F.min("doc").alias("first"))
-    copies = ledger.join(first, "digest").where("doc <> first").select("doc").distinct()
+    copies = ledger.join(first, F.col("digest") == F.col("_digest")).where("doc <> first").select("doc").distinct()
     anchor = F.when(F.col("place") >= 0, F.struct("gram", "block", "place"))
     span = F.when(
         F.col("place") < 0,
@@ -380,7 +384,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``; with ``keep_text`` also the remaining bytes,
     ``kept`` (NULL: the whole text stays)."""
     rows, ledger = _numbered_documents(df, id_col, text_col)
-    texts, contexts = candidate_contexts(rows, ledger)
+    first = first_documents(ledger)
+    texts, contexts = candidate_contexts(rows, ledger, first)
     spans = repeated_spans(contexts)
     hot = contexts.where("block > 0").select("gram").distinct()
     if hot.take(1):
@@ -398,7 +403,6 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     done = texts.select("doc", "text", "spans").join(per_doc, "doc", "left").where("size(spans) > 0 OR more IS NOT NULL")
     done = done.mapInPandas(cut, "doc long, n_removed long, n_spans long, sha string, kept binary")
-    first = ledger.groupBy(F.col("digest").alias("_digest")).agg(F.min("doc").alias("first"))
     whole = (F.col("doc") != F.col("first")) & (F.col("n_bytes") >= LENGTH)
     out = ledger.join(first, F.col("digest") == F.col("_digest")).join(done, "doc", "left").select(
         "doc_id", "n_bytes",
@@ -414,7 +418,7 @@ def maximal_repeat_groups(df: DataFrame, id_col: str = "doc_id", text_col: str =
     """Steps 1 to 4 as a table: ``(gram, repeat, length, doc_id, start)``, every occurrence of every maximal repeat among the
     texts' first strings (copies of whole documents and repeats inside a chunk are settled before)."""
     rows, ledger = _numbered_documents(df, id_col, text_col)
-    _, contexts = candidate_contexts(rows, ledger)
+    _, contexts = candidate_contexts(rows, ledger, first_documents(ledger))
     names = ledger.select("doc", "doc_id").distinct()
     return repeat_groups(contexts).join(names, "doc").select("gram", "repeat", "length", "doc_id", "start")
 

@@ -118,6 +118,7 @@ def decisions(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
         "warc-digests",
     )
     best = ledger.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("rows")).where("rows > 1")
+    best = stored(best.select("digest", "refers_to"), "warc-responses")  # so that AQE can split a hot digest below
     again = ledger.join(best, "digest").where("refers_to IS NOT NULL AND NOT page_id <=> refers_to")
     return stored(again.select("page_id", "digest", "refers_to").distinct(), "warc-revisits")
 
