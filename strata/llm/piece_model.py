@@ -24,8 +24,8 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 INFINITE = float("inf")
-#: Words kept with their ids, and weights of neighbouring pieces, in each process (about 150 MB); a table is emptied when full.
-CACHE = 800_000
+#: Words kept with their ids, and weights of neighbouring pieces, in each process (about 100 MB); a table is emptied when full.
+CACHE = 400_000
 #: Longer words are not kept.
 CACHED_CHARS = 48
 
