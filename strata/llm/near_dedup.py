@@ -323,7 +323,7 @@ def near_groups(
     shared = usable.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b")
     if shared.take(1):
         return _renumbered_groups(df, k, num, den, id_col, text_col, depth, leaf)
-    classes = usable.groupBy(F.col("digest").alias("_digest")).agg(F.min("doc_id").alias("rep"))
+    classes = stored(usable.groupBy(F.col("digest").alias("_digest")).agg(F.min("doc_id").alias("rep")), "classes")
     same = (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("_digest"))
     reps = usable.join(classes, same).dropDuplicates(["doc_id", "digest"])
     reps = stored(reps.select("rep", "n", "bits", "sig", "digest"), "class-reps")
