@@ -6,10 +6,12 @@ becomes one WARC record: a payload of one chunk a whole record, a longer one a s
 standard's ``continuation`` records). Nothing holds a whole record, on either side.
 
 Files are written and read by Spark's text source (any store Spark can write): the blank line that ends a
-WARC record is the line separator on writing, and that with the next record's version line
-on reading, so archives are split and read in parallel. A chunk is cut inside any such byte
-sequence in a payload, hence no record contains the separator; ``Content-Length`` is checked
-on reading, and so is every payload digest.
+WARC record is the line separator on writing, and its last line break with the next record's version line (``MARK``)
+on reading, so archives are split and read in parallel. The longer separator, with both line breaks, would not do: where a
+block ends in a line break, the separator starts inside a failed match of itself, and Hadoop's line reader, which cannot go
+back past an edge of its 64 KB buffer, then misses it. A chunk is cut inside any ``MARK`` that it makes with its
+neighbours in the file, hence no record contains the separator; ``Content-Length`` is checked on reading (a record may
+neither lack bytes nor hold more), and so is every payload digest.
 
 Of records with equal payloads of at least ``least_bytes`` the one with the largest page id is written as
 response, the others as revisit (identical-payload-digest profile, headers only).
@@ -41,7 +43,9 @@ DATE = "2024-01-01T00:00:00Z"
 BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
 
 VERSION = b"WARC/1.1\r\n"
-END = b"\r\n\r\n"
+BREAK, END = b"\r\n", b"\r\n\r\n"
+#: What separates records on reading. No start of it lies inside a failed partial match of it.
+MARK = BREAK + VERSION
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 Chunk = tuple[int, bool, bytes, str]
@@ -50,15 +54,15 @@ Chunk = tuple[int, bool, bytes, str]
 def chunks(payload: bytes, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Chunk]:
     """``(number from 1, last, bytes, SHA-1 hex of the payload up to here)``; an empty payload has one chunk.
 
-    No chunk is longer than ``chunk_bytes`` or holds the separator between two records."""
-    mark = END + VERSION
+    No chunk is longer than ``chunk_bytes`` or holds the separator between two records, also not with the line breaks that
+    stand before and after it in the file."""
     sha, at, number = hashlib.sha1(), 0, 1
     view = memoryview(payload)
     while True:
         end = min(at + chunk_bytes, len(payload))
-        found = payload.find(mark, at, end)
+        found = (BREAK + view[at:end] + BREAK).find(MARK)
         if found >= 0:
-            end = found + len(END) + 1
+            end = at + found + 1  # after the W
         part = bytes(view[at:end])
         sha.update(part)
         yield number, end == len(payload), part, sha.hexdigest()
@@ -161,13 +165,16 @@ CHUNK_TABLE = (
 
 
 def parse_record(raw: bytes) -> dict:
-    """One WARC record to a row of the chunk table; raises if it is cut short or malformed."""
+    """One WARC record to a row of the chunk table; raises if it is cut short, malformed or followed by more than line breaks."""
     raw = raw.removeprefix(VERSION)
     at = raw.find(END)
     head = dict(x.split(": ", 1) for x in raw[:at].decode().split("\r\n"))
-    block = raw[at + len(END) : at + len(END) + int(head["Content-Length"])]
+    stop = at + len(END) + int(head["Content-Length"])
+    block = raw[at + len(END) : stop]
     if at < 0 or len(block) != int(head["Content-Length"]):
         raise ValueError(f"WARC record {head.get('WARC-Record-ID')} is cut short")
+    if raw[stop:] not in (b"", BREAK, END):  # MARK takes one line break of END, and none at the end of a file
+        raise ValueError(f"WARC record {head.get('WARC-Record-ID')} is followed by bytes of no record")
     kind, number = head["WARC-Type"], int(head.get("WARC-Segment-Number", 1))
     length = None
     if kind != "continuation":
@@ -192,7 +199,7 @@ def parse_record(raw: bytes) -> dict:
 def read_chunks(spark: SparkSession, path: str, keep_bytes: bool = False) -> DataFrame:
     """The chunk table of the archives under ``path``. Payloads of one chunk are checked here and, unless
     ``keep_bytes``, go on without their bytes."""
-    lines = spark.read.option("lineSep", (END + VERSION).decode()).text(path)
+    lines = spark.read.option("lineSep", MARK.decode()).text(path)
     columns = [c.split()[0] for c in CHUNK_TABLE.split(", ")]
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

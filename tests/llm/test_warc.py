@@ -1,4 +1,5 @@
 import hashlib
+from types import SimpleNamespace
 
 import pytest
 
@@ -74,6 +75,61 @@ def test_damage_is_noticed():
         warc.parse_record(row[:-1])
 
 
+def page(payload, refers_to=float("nan")):
+    return SimpleNamespace(row_id=0, page_id=1, url="u", payload=payload, refers_to=refers_to)
+
+
+def record(payload, refers_to=float("nan")):
+    (only,) = warc.records(page(payload, refers_to), chunk_bytes=1 << 20)
+    return only
+
+
+#: Blocks that end in 0, 1 and 2 line breaks.
+ENDINGS = {"revisit": record(b"", 2)} | {repr(p): record(p) for p in (b"", b"x", b"x\r\n", b"x\r\n\r\n", b"x\r\n\r", b"x\r")}
+
+
+@pytest.mark.parametrize("split", [None, 65536])
+def test_no_record_is_lost_at_an_edge_of_the_line_reader(spark, tmp_path, split):
+    """A block's end at every offset around the edge of a 64 KB buffer, and of a split."""
+    bare = len(record(b"y" * 50_000)) - 50_000
+    for name, target in ENDINGS.items():
+        for off in range(-24, 25):
+            filler = record(b"y" * (65536 + off - len(target) - len(warc.END) - bare))
+            data = filler + warc.END + target + warc.END + record(b"last") + warc.END
+            assert data.index(target) + len(target) == 65536 + off
+            (tmp_path / f"{list(ENDINGS).index(name)}_{off}.txt").write_bytes(data)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        if split:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+        rows = warc.read_chunks(spark, str(tmp_path)).select("record_type", "n_bytes").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(rows) == 3 * 49 * len(ENDINGS)
+    assert sum(r.record_type == "revisit" for r in rows) == 49
+
+
+def test_bytes_after_a_record_are_noticed():
+    one, two = record(b"abc"), record(b"")
+    for end in (b"", b"\r\n", warc.END):
+        assert warc.parse_record(one + end)["bytes"] == b"abc"
+    for more in (b"x", warc.END + two):
+        with pytest.raises(ValueError, match="followed by"):
+            warc.parse_record(one + more)
+
+
+def test_payloads_that_make_a_separator_with_their_neighbours(spark):
+    """A version line at a payload's start follows the line break of the headers, one at its end precedes the record's."""
+    line = "WARC/1.1"
+    htmls = [f"{line}\r\nabc", line, f"abc\r\n{line}", f"abc\r\n\r\n{line}", f"{line}\r\n{line}\r\n", f"abc\r\n{line}\r"]
+    htmls += ["a" * i + f"\r\n\r\n{line}\r\n" * 3 for i in range(20)]
+    path = scratch(spark, "warc-test")
+    rows = [(i, "u", h) for i, h in enumerate(htmls)]
+    warc.write_archives(pages(spark, rows), path, chunk_bytes=16)
+    got = {r.page_id: (r.payload_bytes, r.payload_digest) for r in warc.read_records(spark, path).collect()}
+    assert got == {i: (len(h), hashlib.sha1(h.encode()).hexdigest()) for i, _, h in rows}
+
+
 def test_empty(spark):
     path = scratch(spark, "warc-test")
     warc.write_archives(pages(spark, []), path)
