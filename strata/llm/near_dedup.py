@@ -3,14 +3,15 @@
 A document is the set of its distinct k-word shingles (64-bit hashes). Documents link if their sets' Jaccard
 similarity reaches the threshold; components of the link graph are the groups.
 
-1. One scan sketches every whole text: set size, a digest of the set, ``SIGNATURE`` minwise values, and one bit
-   of each. Equal sets form a class; only its representative goes on, so copies cost nothing further.
-2. ``TREES`` independent trees branch the representatives: at level l of tree t a document goes
-   to the child of its minwise token for (t, l). Nodes of at most ``LEAF`` documents are compared exhaustively; larger ones
-   branch again. A pair of similarity s survives d levels with chance s ** d, and all trees
-   miss it with chance (1 - s ** d) ** TREES: at 0.85 below 1e-5 to level 4.
+1. One scan sketches every whole text: set size, a digest of the set, minwise values, and one bit
+   of each of the first ``BITS``. Equal sets form a class; only its representative goes on, so copies cost nothing further.
+2. Trees branch the representatives: at level l of tree t a document goes to the child of its minwise token for (t, l), a
+   value that no other tree or level uses, so trees are independent. Nodes of at most ``LEAF`` documents are compared
+   exhaustively; larger ones branch again. A pair of similarity s survives d levels with chance s ** d, and all trees
+   miss it with chance (1 - s ** d) ** trees. The threshold sets the number of trees: it keeps this chance at the deepest
+   level, for a pair right at the threshold, to ``MISS`` (closer pairs, and those whose nodes get small earlier, are missed less).
 3. A large node also links each member to its least document (a star: one candidate per
-   member, not all pairs), which joins big groups early. Nodes still large at ``DEPTH`` are
+   member, not all pairs), which joins big groups early. Nodes still large at the deepest level are
    finished exactly in step 5.
 4. Candidates pass two bounds that no true link fails (size ratio; differing bits more than 6.5 standard
    deviations beyond the expected) and are confirmed on the full sets rebuilt from the texts, in rounds: each document's
@@ -20,6 +21,8 @@ similarity reaches the threshold; components of the link graph are the groups.
    sets, block by block, so no link is lost to the depth limit. This is the one part that grows with the
    square of a family that keeps agreeing on minwise tokens without linking; it returns links only.
 
+So the one way to miss a link is that of step 2: at most a share ``MISS`` of the pairs at the threshold, fewer of closer ones.
+
 Defined cases: text is lower-cased A-Z only; words are ``[^\\x20\\x09-\\x0D]+``. Fewer than k words: the whole
 sequence is one shingle. No words or NULL text: an empty set, linked with nothing, a group of its own. NULL
 ids cannot be linked: group NULL, kept. Repeated rows are listed each, in one group. Different texts under one
@@ -30,7 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from math import ceil, sqrt
+from math import ceil, log, log1p, sqrt
 
 import numpy as np
 import pandas as pd
@@ -42,16 +45,19 @@ from pyspark.sql.window import Window
 from strata.llm.common import document_order, documents, filled, own_shuffle, packed, stored
 from strata.llm.components import components
 
-TREES = 16
-SIGNATURE = 4 * TREES
-DEPTH = 6
+#: Chance at most that no tree holds a pair at the threshold together down to the deepest level.
+MISS = 1e-4
+#: Deepest level, and most trees: a threshold so low that it needs more gets fewer levels, so that more is left to step 5.
+DEPTH, MOST_TREES = 6, 32
 LEAF = 32
+#: Minwise values that give a bit to a sketch.
+BITS = 64
 #: Closest candidates of each document that a round of confirmation takes; None: all that remain.
 ROUNDS = (4, None)
 #: Documents in a block of step 5, and cells of a matrix in which part of it is compared at once.
 FAMILY_BLOCK, CELLS = 512, 4_000_000
 #: Shingles hashed at a time, which bounds memory for very long texts.
-BLOCK = 8192
+BLOCK = 2048
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -70,22 +76,22 @@ def shingles(text: str | None, k: int) -> np.ndarray:
 
 
 @lru_cache(1)
-def _multipliers() -> np.ndarray:
-    return np.random.default_rng(20240101).integers(1, 2**63, SIGNATURE, np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
+def _multipliers(values: int) -> np.ndarray:
+    return np.random.default_rng(20240101).integers(1, 2**63, values, np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
 
 
-def signature(members: np.ndarray) -> np.ndarray:
-    """``SIGNATURE`` minwise values, 32 bits each."""
-    best = np.full(SIGNATURE, 2**32 - 1, np.uint64)
+def signature(members: np.ndarray, values: int = BITS) -> np.ndarray:
+    """``values`` minwise values, 32 bits each."""
+    best = np.full(values, 2**32 - 1, np.uint64)
     for at in range(0, len(members), BLOCK):
-        x = members[None, at : at + BLOCK] * _multipliers()
+        x = members[None, at : at + BLOCK] * _multipliers(values)
         x ^= x >> np.uint64(29)
         x *= _MIX
         best = np.minimum(best, (x >> np.uint64(32)).min(axis=1))
     return best.astype(np.uint32).view(np.int32)
 
 
-def sketches(df: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sketches(df: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text", values: int = BITS) -> DataFrame:
     """``(doc_id, n, digest, bits, sig)`` per row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -93,8 +99,8 @@ def sketches(df: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "tex
             rows = []
             for text in batch["text"]:
                 members = shingles(text, k)
-                sig = signature(members)
-                bits = int.from_bytes(np.packbits(sig & 1).tobytes(), "little", signed=True)
+                sig = signature(members, values)
+                bits = int.from_bytes(np.packbits(sig[:BITS] & 1).tobytes(), "little", signed=True)
                 digest = xxhash.xxh3_128_hexdigest(members.tobytes())
                 rows.append((len(members), digest, bits, sig if len(members) else sig[:0]))
             out = pd.DataFrame(rows, columns=["n", "digest", "bits", "sig"])
@@ -110,8 +116,17 @@ class Threshold:
 
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
-        differ = SIGNATURE * (1 - num / den) / 2
-        self.most_bits = min(SIGNATURE, ceil(differ + 6.5 * sqrt(differ * (1 + num / den) / 2)))
+        differ = BITS * (1 - num / den) / 2
+        self.most_bits = min(BITS, ceil(differ + 6.5 * sqrt(differ * (1 + num / den) / 2)))
+
+    def forest(self, depth: int = DEPTH) -> tuple[int, int]:
+        """``(trees, levels)``, of at most ``depth`` levels, that miss a pair at the threshold with chance ``MISS`` at most."""
+        for levels in range(depth, 0, -1):
+            together = (self.num / self.den) ** levels
+            trees = ceil(log(MISS) / log1p(-together)) if together < 1 else 1
+            if trees <= MOST_TREES:
+                break
+        return trees, levels
 
     def links(self, a: np.ndarray, b: np.ndarray) -> bool:
         if self.den * min(len(a), len(b)) < self.num * max(len(a), len(b)):
@@ -129,9 +144,9 @@ def bits_apart(x: str, y: str) -> Column:
     return F.bit_count(F.col(f"{x}.bits").bitwiseXOR(F.col(f"{y}.bits")))
 
 
-def _token(level: int) -> Column:
-    """Place of the minwise value that branches tree ``tree`` at ``level``: no tree repeats one."""
-    return (F.col("tree") + 5 * (level // 4)) % TREES + TREES * (level % 4)
+def _token(level: int, levels: int) -> Column:
+    """Place of the minwise value that branches tree ``tree`` at ``level`` (from 0): each has its own."""
+    return F.col("tree") * levels + level
 
 
 def _pairs(left: DataFrame, right: DataFrame, on: Column, at_least: Threshold) -> DataFrame:
@@ -143,9 +158,10 @@ def _pairs(left: DataFrame, right: DataFrame, on: Column, at_least: Threshold) -
 
 def candidates(reps: DataFrame, at_least: Threshold, depth: int = DEPTH, leaf: int = LEAF) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs ``(a, b, apart)``, distinct, and the members ``(key, rep, n, bits)`` of nodes left large."""
+    trees, depth = at_least.forest(depth)
     rows = reps.select(
-        F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "rep", "n", "bits", "sig"
-    ).select("tree", F.xxhash64("tree", F.get("sig", _token(0))).alias("key"), "rep", "n", "bits")
+        F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "rep", "n", "bits", "sig"
+    ).select("tree", F.xxhash64("tree", F.get("sig", _token(0, depth))).alias("key"), "rep", "n", "bits")
     found, carried = [], []
     for level in range(1, depth + 1):
         nodes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("rep", "n", "bits")).alias("least"))
@@ -159,7 +175,7 @@ def candidates(reps: DataFrame, at_least: Threshold, depth: int = DEPTH, leaf: i
         if level == depth or not large.take(1):
             break
         if level == 1:  # the few rows that go on carry their tree's further tokens
-            tokens = F.array(*[F.get("sig", _token(deeper)) for deeper in range(1, depth)])
+            tokens = F.array(*[F.get("sig", _token(deeper, depth)) for deeper in range(1, depth)])
             sigs = reps.select(F.col("rep").alias("_rep"), "sig")
             large, carried = large.join(sigs, F.col("rep") == F.col("_rep")).withColumn("tokens", tokens), ["tokens"]
         key = F.xxhash64("key", F.get("tokens", F.lit(level - 1)))
@@ -318,7 +334,8 @@ def near_groups(
 ) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, kept``."""
     at_least = Threshold(num, den)
-    sketch = stored(sketches(df, k, id_col, text_col), "sketches")
+    trees, levels = at_least.forest(depth)
+    sketch = stored(sketches(df, k, id_col, text_col, max(BITS, trees * levels)), "sketches")
     usable = sketch.where("doc_id IS NOT NULL AND n > 0")
     shared = usable.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b")
     if shared.take(1):

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import near_dedup
 from strata.llm.components import components
@@ -74,6 +75,56 @@ def test_families_with_and_without_depth(spark, edits):
     assert got(near_groups(df, 3, 85, depth=1, leaf=2)) == want
 
 
+def threshold_pairs(families, pairs, common, own, edits, seed=1):
+    """Pairs of texts of similarity (common + own) / (common + own + 2 * edits) on single words, ids 2i and 2i + 1, in
+    families whose other texts share only the ``common`` words."""
+    rng, out = random.Random(seed), []
+    for f in range(families):
+        for p in range(pairs):
+            for side in range(2):
+                text = [f"t{f}x{i}" for i in range(common)] + [f"o{f}x{p}x{i}" for i in range(own)]
+                text += [f"e{f}x{p}x{side}x{i}" for i in range(edits)]
+                rng.shuffle(text)
+                out.append((len(out), " ".join(text), "en", "s"))
+    return out
+
+
+class Seen(Exception):
+    pass
+
+
+@pytest.mark.parametrize("num,common,edits", [(80, 32, 4), (85, 34, 3)])
+def test_trees_hold_pairs_at_the_threshold_together(spark, monkeypatch, num, common, edits):
+    """Nodes of more than one text count as large here, so every tree goes on to its deepest level."""
+    held = set()
+
+    def watched(*args):
+        left_over = candidates(*args)[1].groupBy("key").agg(F.collect_set("rep").alias("reps"))
+        held.update(i for r in left_over.collect() for i in r.reps if i % 2 == 0 and i + 1 in r.reps)
+        raise Seen
+
+    candidates = near_dedup.candidates
+    monkeypatch.setattr(near_dedup, "candidates", watched)
+    with pytest.raises(Seen):
+        near_groups(frame(spark, threshold_pairs(3000, 1, common, 0, edits)), 1, num, leaf=1)
+    assert 3000 - len(held) <= 3
+
+
+def test_isolated_pairs_at_the_threshold_among_loose_families(spark):
+    """1,200 pairs of similarity 0.8, in families of 150 texts of similarity 0.5."""
+    rows = threshold_pairs(16, 75, 30, 10, 5)
+    assert {r.doc_id: r.component_id for r in near_groups(frame(spark, rows), 1, 80, leaf=16).collect()} == {i: i - i % 2 for i, *_ in rows}
+
+
+@pytest.mark.parametrize("num", [10, 50, 80, 85, 95, 100])
+def test_the_number_of_trees_follows_from_the_threshold(num):
+    for depth in (1, 6):
+        trees, levels = Threshold(num, 100).forest(depth)
+        assert levels <= depth and (1 - (num / 100) ** levels) ** trees <= near_dedup.MISS
+        assert trees <= near_dedup.MOST_TREES or levels == 1
+    assert Threshold(80, 100).forest() == (31, 6) and Threshold(85, 100).forest() == (20, 6)
+
+
 def test_deduplicate_keeps_columns(odd):
     left = deduplicate(odd)
     assert left.columns == odd.columns
