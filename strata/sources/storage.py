@@ -1,7 +1,7 @@
 """Versioned Parquet tables under a layered folder convention.
 
 ``<root>/<layer>/<table>/v<n>``: every write creates the next version folder and
-the current version is the highest one holding Spark's ``_SUCCESS`` marker, so a
+the current version is the highest committed one (with Spark's ``_SUCCESS`` marker), so a
 failed or half-written job never becomes current. A model that reads its own
 stored state (incremental facts, snapshots) reads version n and writes n+1: the
 path being read is never overwritten. Reading a written version back also cuts
@@ -9,7 +9,8 @@ the lineage, so a lost executor recomputes from the stored files, not from the
 whole upstream plan.
 
 A bucketed table (keyed facts, the enrichment table) is a folder per key bucket; a version lists the folders it is made
-of, so a merge writes the buckets it touches and refers to the others where they are. After each write,
+of, so a merge writes the buckets it touches and refers to the others where they are. That list is written last and
+commits the version: Spark's marker alone would make a version of nothing but the rewritten buckets current. After each write,
 what only versions before the last ``keep_versions`` refer to is deleted.
 
 File-system calls go through Hadoop's FileSystem API, so the root can be any
@@ -63,10 +64,6 @@ class TableStore:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def _exists(self, path: str) -> bool:
-        fs, p = self._fs(path)
-        return bool(fs.exists(p))
-
     def location(self, layer: str | None, name: str) -> str:
         """Layered naming: one folder per layer, one per table. A model's own layer
         name is used as it is; a model without one lands in the default layer."""
@@ -85,16 +82,23 @@ class TableStore:
         return sorted(out)
 
     def versions(self, layer: str, name: str) -> list[int]:
-        """Committed versions (with a ``_SUCCESS`` marker), oldest first."""
-        base = self.location(layer, name)
-        return [v for v in self._version_dirs(layer, name) if self._exists(f"{base}/v{v}/_SUCCESS")]
+        """Committed versions, oldest first."""
+        return [v for v in self._version_dirs(layer, name) if self._committed(layer, name, v)]
+
+    def _committed(self, layer: str, name: str, version: int) -> bool:
+        """Whether the version has a ``_SUCCESS`` marker and either lists its buckets' folders or holds unbucketed files."""
+        fs, p = self._fs(f"{self.location(layer, name)}/v{version}")
+        held = [s.getPath().getName() for s in fs.listStatus(p)]
+        if "_SUCCESS" not in held:
+            return False
+        return any(not f.startswith(("_", ".", f"{BUCKET}=")) for f in held) or _PARTS in self.properties(layer, name, version)
 
     def current_version(self, layer: str, name: str) -> int | None:
         v = self.versions(layer, name)
         if not v and self._version_dirs(layer, name):
             # A first write that died, or a committer that leaves no marker: taking the table for absent would make
             # every run a silent first run.
-            raise UncommittedTableError(f"{self.location(layer, name)} has version folders but none with _SUCCESS")
+            raise UncommittedTableError(f"{self.location(layer, name)} has version folders but none was committed")
         return v[-1] if v else None
 
     def exists(self, layer: str, name: str) -> bool:
@@ -148,12 +152,16 @@ class TableStore:
         return json.loads(data.decode("utf-8"))
 
     def _write_properties(self, layer: str, name: str, version: int, props: dict) -> None:
-        fs, p = self._fs(f"{self.location(layer, name)}/v{version}/{_PROPERTIES}")
-        out = fs.create(p, True)
+        path = f"{self.location(layer, name)}/v{version}/{_PROPERTIES}"
+        fs, p = self._fs(path)
+        _, unnamed = self._fs(f"{path}.tmp")  # renamed when whole: a bucketed version is committed by this file
+        out = fs.create(unnamed, True)
         try:
             out.write(bytearray(json.dumps(props, default=str).encode("utf-8")))
         finally:
             out.close()
+        if not fs.rename(unnamed, p):
+            raise OSError(f"{path} was not written")
 
     def write_buckets(
         self,
@@ -185,6 +193,8 @@ class TableStore:
     def _retire(self, layer: str, name: str) -> None:
         """Delete what only versions before the last ``keep_versions`` refer to."""
         versions = self.versions(layer, name)
+        if not versions:
+            return
         kept = versions[-self.keep_versions :]
         base = self.location(layer, name)
         used = {f for v in kept for own in self.properties(layer, name, v).get(_PARTS, {}).values() for f in own}
@@ -231,7 +241,7 @@ class TableStore:
         writer.parquet(path)
         if properties:
             # Written after the data commit: a crash in between only loses the
-            # metadata, and readers then fall back to computing it.
+            # metadata of this unbucketed version, and readers then fall back to computing it.
             self._write_properties(layer, name, nxt, properties)
         self._retire(layer, name)
         return self.read(layer, name, nxt)

@@ -1,8 +1,10 @@
 import datetime as dt
+import json
 import os
 import subprocess
 import sys
 import tempfile
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -162,6 +164,38 @@ def test_a_merge_rewrites_only_the_buckets_it_hits(spark, tmp_path):
     assert store.properties("marts", "f")["high_water_mark_micros"] == 300_000_000
 
 
+@pytest.mark.parametrize("dies_in", ["before", "within"])
+def test_a_merge_after_a_bucketed_version_without_its_list(spark, tmp_path, monkeypatch, dies_in):
+    """The driver dies when Spark has committed the rewritten buckets, before the list of all buckets is written, or within."""
+
+    def die(*args, **kw):
+        raise KeyboardInterrupt
+
+    def load_and_die(store, version, rows):
+        with monkeypatch.context() as m, pytest.raises(KeyboardInterrupt):
+            if dies_in == "before":
+                m.setattr(TableStore, "_write_properties", die)
+            else:
+                m.setattr("strata.sources.storage.json", SimpleNamespace(dumps=die, loads=json.loads))
+            _load(spark, store, rows)
+        assert os.path.exists(f"{store.root}/marts/f/v{version}/_SUCCESS")
+
+    first = TableStore(spark, str(tmp_path / "first"))
+    load_and_die(first, 1, [(k, "lost", 50, k) for k in range(3)])
+    with pytest.raises(UncommittedTableError):
+        first.read("marts", "f")
+
+    store = TableStore(spark, str(tmp_path / "second"), keep_versions=1)
+    _load(spark, store, [(k, "a", 100, k) for k in range(400)])
+    load_and_die(store, 2, [(7, "lost", 200, 1), (1000, "lost", 200, 2)])
+    assert store.versions("marts", "f") == [1] and store.read("marts", "f").count() == 400
+    for run in range(2):  # retention after the first may not take what the second needs
+        out = _load(spark, store, [(7, f"b{run}", 300 + run, 1), (2000 + run, "n", 300 + run, 2)])
+    want = {k: "a" for k in range(400)} | {7: "b1", 2000: "n", 2001: "n"}
+    assert {r.k: r.v for r in out.collect()} == want and out.count() == len(want)
+    assert out.columns == ["k", "v", "ts"] and store.versions("marts", "f") == [4]
+
+
 def test_buckets_with_many_folders_are_rewritten(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     for run in range(12):
