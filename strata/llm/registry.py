@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from strata.llm import (
     exact_dedup,
+    fill_middle,
     language_id,
     mixing,
     near_dedup,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_language_id": language_id.query,
     "op9_token_shards": token_shards.query,
     "op10_source_mixing": mixing.query,
+    "op12_fill_middle": fill_middle.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {
@@ -37,4 +39,5 @@ ORACLE_SQL = {
     "op5_secret_scan": secrets.ORACLE,
     "op7_quality_rules": quality_rules.ORACLE,
     "op10_source_mixing": mixing.ORACLE,
+    "op12_fill_middle": fill_middle.ORACLE,
 }
