@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from strata.llm import (
+    centroid_clusters,
     exact_dedup,
     fill_middle,
     language_id,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_language_id": language_id.query,
     "op9_token_shards": token_shards.query,
     "op10_source_mixing": mixing.query,
+    "op11_centroid_clusters": centroid_clusters.query,
     "op12_fill_middle": fill_middle.query,
     "pipeline": corpus_pipeline.run,
 }
@@ -39,5 +41,6 @@ ORACLE_SQL = {
     "op5_secret_scan": secrets.ORACLE,
     "op7_quality_rules": quality_rules.ORACLE,
     "op10_source_mixing": mixing.ORACLE,
+    "op11_centroid_clusters": centroid_clusters.ORACLE,
     "op12_fill_middle": fill_middle.ORACLE,
 }
