@@ -13,6 +13,7 @@ from strata.llm import (
     quality_rules,
     secrets,
     sentencepiece_codec,
+    substring_trees,
     suffix_dedup,
     token_shards,
     warc,
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_source_mixing": mixing.query,
     "op11_centroid_clusters": centroid_clusters.query,
     "op12_fill_middle": fill_middle.query,
+    "op13_substring_dedup": substring_trees.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {
@@ -43,4 +45,5 @@ ORACLE_SQL = {
     "op10_source_mixing": mixing.ORACLE,
     "op11_centroid_clusters": centroid_clusters.ORACLE,
     "op12_fill_middle": fill_middle.ORACLE,
+    "op13_substring_dedup": substring_trees.ORACLE,
 }
