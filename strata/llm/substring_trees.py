@@ -7,17 +7,18 @@ A window is ``WINDOW`` consecutive words of one document. A word goes if a windo
    about 2 n / (WINDOW - GRAM + 2) suffixes instead of n. Texts of equal words are one class; its least document goes on.
 2. Prefixes. Suffixes are counted by their first ``GRAM`` words (partial sums before the shuffle); a prefix that only one document has
    ends here. The others are cut out of their texts with the words of the windows they serve.
-3. Variable length. A prefix with more than ``MOST`` suffixes grows: a suffix that serves w window starts is split into some that serve
-   ceil(w / SHRINK) neighbouring starts each, and then has ``WINDOW - w + 1`` words that all of its windows share, its new prefix.
-   Groups that fit go to step 4, the others grow on. At w = 1 a prefix is one whole window: however hot, only its least document matters,
-   which a partial minimum finds.
+3. Variable length. Suffixes of a prefix with more than ``MOST`` of them are folded: of those that have the same words around them all but
+   the least document's lose these words at once (a partial minimum finds it), and only that one goes on. Groups that now fit go to
+   step 4; the prefixes of the others grow: a suffix that serves w window starts is split into some that serve ceil(w / SHRINK)
+   neighbouring starts each, and then has ``WINDOW - w + 1`` words that all of its windows share, its new prefix. They are
+   folded again, and so on. At w = 1 a prefix is one whole window, and folding ends it however hot it is.
 4. Subtrees. A task takes one group after another, at most ``MOST`` suffixes, and builds its suffix tree top down (a node's edge is
    its members' common prefix; the next word names the child). At each internal node a second tree over what stands left of the
    members is built alike. A right node of r words and a left node of l words with r + l >= WINDOW are a maximal
    repeat among the group's words, with all its occurrences; those in later documents than the least are removed.
 5. Spans are merged per document and cut from its words.
 
-Words are compared as bytes in the trees (a hash only groups suffixes); at w = 1 windows are compared by SHA-256.
+Words are compared as bytes in the trees (a hash only groups suffixes), and by SHA-256 where suffixes are folded.
 
 Defined cases: NULL text has no words. Texts of fewer words than a window lose nothing. Rows that share an id, repeated or with
 different texts, take nothing from each other, and a comparison with a NULL id is never true: such rows lose and take nothing.
@@ -43,13 +44,16 @@ WINDOW = 50
 #: Words of the shortest prefix; a power of two.
 GRAM = 8
 #: Suffixes in one subtree.
-MOST = 4096
+MOST = 16384
 #: Parts into which a growing prefix splits the window starts of a suffix.
 SHRINK = 4
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = hashlib.sha256(b"").hexdigest()
-#: A suffix that starts at word ``at``: ``words`` are those of the windows it serves, from word ``first`` on, joined by blanks.
-SUFFIX = "key long, doc_id long, tid long, at long, first long, words binary"
+#: A suffix that starts at word ``at``: ``words`` are those of the ``n`` windows it serves, from word ``first`` on, joined by blanks.
+SUFFIX = "key long, doc_id long, tid long, at long, first long, n long, words binary"
+_NAMES = ["key", "doc_id", "tid", "at", "first", "n", "words"]
+#: Rows that a task holds before it hands them on.
+BATCH = 4096
 
 
 # -- the scan ---------------------------------------------------------------------------------------------------------
@@ -111,37 +115,40 @@ def suffixes(texts: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            out: list[tuple] = []
             for doc_id, tid, text, hits in batch.itertuples(index=False, name=None):
-                words, out = text.encode("utf-8", "surrogatepass").split(), []
+                words = text.encode("utf-8", "surrogatepass").split()
                 for hit in hits:
-                    at = hit["place"] >> 16
+                    at, n = hit["place"] >> 16, (hit["place"] & 255) + 1
                     first = at - (hit["place"] >> 8 & 255)
-                    out.append((hit["key"], doc_id, tid, at, first, b" ".join(words[first : first + (hit["place"] & 255) + window])))
-                yield pd.DataFrame(out, columns=names)
+                    out.append((hit["key"], doc_id, tid, at, first, n, b" ".join(words[first : first + n - 1 + window])))
+                if len(out) >= BATCH:
+                    yield pd.DataFrame(out, columns=_NAMES)
+                    out = []
+            yield pd.DataFrame(out, columns=_NAMES)
 
-    names = ["key", "doc_id", "tid", "at", "first", "words"]
     return texts.where(F.size("hits") > 0).select("doc_id", "tid", "text", "hits").mapInPandas(run, SUFFIX)
 
 
 def grown(rows: DataFrame, width: int, narrow: int, window: int) -> DataFrame:
     """The suffixes, which serve at most ``width`` window starts each, split into some that serve at most ``narrow``, under
-    longer prefixes. One start a suffix (``narrow`` = 1): the words are the window's SHA-256."""
+    longer prefixes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         prefix = window - narrow + 1
         for batch in batches:
-            out = []
-            for _, doc_id, tid, at, first, joined in batch.itertuples(index=False, name=None):
-                words = joined.split(b" ")
-                last = first + len(words) - window
+            out: list[tuple] = []
+            for _, doc_id, tid, at, first, n, joined in batch.itertuples(index=False, name=None):
+                words, last = joined.split(b" "), first + n - 1
                 for start in range(at, at - width, -narrow):
                     low, high = max(first, start - narrow + 1), min(last, start)
                     if low <= high:
-                        key = xxhash.xxh3_64_intdigest(b" ".join(words[start - first : start - first + prefix]))
-                        part = b" ".join(words[low - first : high - first + window])
-                        part = hashlib.sha256(part).digest() if narrow == 1 else part
-                        out.append((key - (1 << 63), doc_id, tid, start, low, part))
-            yield pd.DataFrame(out, columns=["key", "doc_id", "tid", "at", "first", "words"])
+                        key = xxhash.xxh3_64_intdigest(b" ".join(words[start - first : start - first + prefix])) - (1 << 63)
+                        out.append((key, doc_id, tid, start, low, high - low + 1, b" ".join(words[low - first : high - first + window])))
+                if len(out) >= BATCH:
+                    yield pd.DataFrame(out, columns=_NAMES)
+                    out = []
+            yield pd.DataFrame(out, columns=_NAMES)
 
     return rows.mapInPandas(run, SUFFIX)
 
@@ -195,14 +202,14 @@ def repeats(right: list[bytes], left: list[bytes], window: int) -> Iterator[tupl
 
 def _spans(rows: list[tuple], window: int) -> Iterator[tuple[int, int, int, int]]:
     right, left = [], []
-    for _, _, _, at, first, joined in rows:
+    for _, _, _, at, first, _, joined in rows:
         words = joined.split(b" ")
         right.append(b" ".join(words[at - first :]) + b" ")
         left.append(b"".join(w + b" " for w in reversed(words[: at - first])))
     for a, b, members in repeats(right, left, window):
         least = min(rows[m][1] for m in members)
         for m in members:
-            _, doc_id, tid, at, _, _ = rows[m]
+            doc_id, tid, at = rows[m][1:4]
             if doc_id > least:
                 yield doc_id, tid, at - b, at - a + window
 
@@ -236,25 +243,33 @@ def _by_prefix(rows: DataFrame, most: int) -> DataFrame:
     return counts.where("a < b").select(own_shuffle(F.col("key")).alias("_key"), (F.col("n") <= most).alias("small"))
 
 
+def _folded(rows: DataFrame) -> DataFrame:
+    """The suffixes with the least document, ``least``, among those with the same words at the same places around them."""
+    same = [F.col("key"), (F.col("at") - F.col("first")).alias("before"), F.sha2("words", 256).alias("same")]
+    least = rows.select(*same, "doc_id").groupBy("key", "before", "same").agg(F.min("doc_id").alias("least"))
+    least = stored(least.select(F.col("key").alias("_key"), F.col("before").alias("_before"), F.col("same").alias("_same"), "least"), "folds")
+    named = rows.withColumns({"before": same[1], "same": same[2]})
+    return named.join(least, F.expr("same = _same AND key = _key AND before = _before")).select(*_NAMES, "least")
+
+
 def hot_spans(rows: DataFrame, window: int, most: int) -> list[DataFrame]:
-    """Spans from the suffixes of prefixes that are too frequent for one subtree: the prefixes grow until they are not."""
+    """Spans from the suffixes of prefixes that are too frequent for one subtree: they are folded, and the prefixes grow until they are not."""
     spans = []
     width = window - min(GRAM, 1 << window.bit_length() - 1) + 1
     while True:
-        narrow = -(-width // SHRINK)
-        rows = stored(grown(rows, width, narrow, window), f"prefixes-{narrow}")
-        if narrow == 1:
-            least = stored(rows.groupBy(F.col("words").alias("_words")).agg(F.min("doc_id").alias("least")), "windows")
-            later = rows.join(least, F.col("words") == F.col("_words")).where("doc_id > least")
-            return [*spans, later.select("doc_id", "tid", F.col("at").alias("start"), (F.col("at") + window).alias("end"))]
-        known = stored(_by_prefix(rows, most), "prefix-counts")
-        if not known.take(1):
+        rows = stored(_folded(stored(rows, f"suffixes-{width}")), f"folded-{width}")
+        spans.append(rows.where("doc_id > least").select("doc_id", "tid", F.col("first").alias("start"), (F.col("first") + F.col("n") - 1 + window).alias("end")))
+        if width == 1:
             return spans
-        rows = stored(rows.join(known, F.col("key") == F.col("_key")).drop("_key"), f"suffixes-{narrow}")
+        rows = rows.where("doc_id = least").drop("least")
+        known = stored(_by_prefix(rows, most), "prefix-counts")
+        rows = stored(rows.join(known, F.col("key") == F.col("_key")).drop("_key"), f"grouped-{width}")
         spans.append(subtree_spans(rows.where("small").drop("small"), window))
-        rows, width = rows.where("NOT small").drop("small"), narrow
+        rows = rows.where("NOT small").drop("small")
         if not rows.take(1):
             return spans
+        narrow = -(-width // SHRINK)
+        rows, width = grown(rows, width, narrow, window), narrow
 
 
 # -- the operator -----------------------------------------------------------------------------------------------------
