@@ -6,7 +6,7 @@ similarity reaches the threshold; components of the link graph are the groups.
 1. One scan sketches every whole text: set size, a digest of the set, minwise values, and one bit
    of each of the first ``BITS``. Equal sets form a class; only its representative goes on, so copies cost nothing further.
 2. Trees branch the representatives: at level l of tree t a document goes to the child of its minwise token for (t, l), a
-   value that no other tree or level uses, so trees are independent. Nodes of at most ``LEAF`` documents are compared
+   value that no other tree or level uses, so trees are independent; a row carries the tokens of its own tree. Nodes of at most ``LEAF`` documents are compared
    exhaustively; larger ones branch again. A pair of similarity s survives d levels with chance s ** d, and all trees
    miss it with chance (1 - s ** d) ** trees. The threshold sets the number of trees: it keeps this chance at the deepest
    level, for a pair right at the threshold, to ``MISS`` (closer pairs, and those whose nodes get small earlier, are missed less).
@@ -26,7 +26,8 @@ So the one way to miss a link is that of step 2: at most a share ``MISS`` of the
 Defined cases: text is lower-cased A-Z only; words are ``[^\\x20\\x09-\\x0D]+``. Fewer than k words: the whole
 sequence is one shingle. No words or NULL text: an empty set, linked with nothing, a group of its own. NULL
 ids cannot be linked: group NULL, kept. Repeated rows are listed each, in one group. Different texts under one
-id are documents of their own, one of which is kept. Empty tables give an empty result. Other columns are not read.
+id are documents of their own, one of which is kept. Texts of any length are hashed whole, in blocks of shingles. Empty tables
+give an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -144,11 +145,6 @@ def bits_apart(x: str, y: str) -> Column:
     return F.bit_count(F.col(f"{x}.bits").bitwiseXOR(F.col(f"{y}.bits")))
 
 
-def _token(level: int, levels: int) -> Column:
-    """Place of the minwise value that branches tree ``tree`` at ``level`` (from 0): each has its own."""
-    return F.col("tree") * levels + level
-
-
 def _pairs(left: DataFrame, right: DataFrame, on: Column, at_least: Threshold) -> DataFrame:
     return (
         left.alias("x").join(right.alias("y"), on & (F.col("x.rep") != F.col("y.rep")) & at_least.possible("x", "y"))
@@ -159,14 +155,16 @@ def _pairs(left: DataFrame, right: DataFrame, on: Column, at_least: Threshold) -
 def candidates(reps: DataFrame, at_least: Threshold, depth: int = DEPTH, leaf: int = LEAF) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs ``(a, b, apart)``, distinct, and the members ``(key, rep, n, bits)`` of nodes left large."""
     trees, depth = at_least.forest(depth)
-    rows = reps.select(
-        F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "rep", "n", "bits", "sig"
-    ).select("tree", F.xxhash64("tree", F.get("sig", _token(0, depth))).alias("key"), "rep", "n", "bits")
-    found, carried = [], []
+    own = F.slice("sig", F.col("tree") * depth + 2, depth - 1)  # the tree's tokens of the deeper levels go along
+    rows = reps.select(F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "rep", "n", "bits", "sig").select(
+        F.xxhash64("tree", F.get("sig", F.col("tree") * depth)).alias("key"), "rep", "n", "bits", own.alias("tokens")
+    )
+    found = []
     for level in range(1, depth + 1):
         nodes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("rep", "n", "bits")).alias("least"))
         nodes = nodes.where("size > 1").withColumn("key", own_shuffle(F.col("key")))  # a common token's node is split
-        members = stored(rows.join(nodes, "key"), f"nodes-{level}")
+        members = rows.join(nodes, "key").withColumn("tokens", F.when(F.col("size") > leaf, F.col("tokens")))
+        members = stored(members, f"nodes-{level}")
         small, large = members.where(F.col("size") <= leaf), members.where(F.col("size") > leaf)
         found.append(_pairs(small, small, F.expr("x.key = y.key AND x.rep < y.rep"), at_least))
         star = large.select(F.struct("rep", "n", "bits").alias("x"), F.col("least").alias("y"))
@@ -174,12 +172,8 @@ def candidates(reps: DataFrame, at_least: Threshold, depth: int = DEPTH, leaf: i
         found.append(star.select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"), bits_apart("x", "y").alias("apart")))
         if level == depth or not large.take(1):
             break
-        if level == 1:  # the few rows that go on carry their tree's further tokens
-            tokens = F.array(*[F.get("sig", _token(deeper, depth)) for deeper in range(1, depth)])
-            sigs = reps.select(F.col("rep").alias("_rep"), "sig")
-            large, carried = large.join(sigs, F.col("rep") == F.col("_rep")).withColumn("tokens", tokens), ["tokens"]
         key = F.xxhash64("key", F.get("tokens", F.lit(level - 1)))
-        rows = large.select("tree", key.alias("key"), "rep", "n", "bits", *carried)
+        rows = large.select(key.alias("key"), "rep", "n", "bits", "tokens")
     left_over = large.where(F.lit(level == depth)).select("key", "rep", "n", "bits")
     return stored(union(found).distinct(), "pairs"), left_over
 
