@@ -8,7 +8,8 @@ every path that has the blob. A new rule version re-scans blobs for that rule al
 
 Positions without Python: the matches of a rule and the pieces between them (``split`` on the same
 pattern) alternate through the text, so the running sum of their lengths gives each
-match's start in code points. Texts without a match pay for one regular expression per rule.
+match's start in code points. These arrays are made only for texts with a match long enough; all others pay for one regular
+expression per rule. The join that brings each blob its text ends in a written table, which the scan reads.
 
 Defined cases: NULL text equals empty text and has no spans. NULL paths keep their row. Rows that repeat path
 and text each get the findings. An empty table gives an empty result. Texts of any length
@@ -33,7 +34,7 @@ LEDGER = f"blob string, rule string, spans {SPANS}"
 @dataclass(frozen=True)
 class Rule:
     """``pattern`` is matched leftmost, without overlap; a match stays if its ``group`` has
-    ``at_least`` characters. ``needs``: a text without any of these characters cannot match."""
+    ``at_least`` characters. ``needs`` is found in every text that has a match long enough."""
 
     kind: str
     version: int
@@ -51,10 +52,10 @@ RULES = (
     Rule(
         "assign", 1,
         r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
-        2, 6, "[:=]",
+        2, 6, r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6}""",
     ),
     # A run that is too short has no long enough part, so the length can stand in the pattern.
-    Rule("access", 1, "AKIA[A-Z0-9]{16,}", 0, 20, "AKIA"),
+    Rule("access", 1, "AKIA[A-Z0-9]{16,}", 0, 20, "AKIA[A-Z0-9]{16}"),
     Rule("hex", 1, "[0-9a-f]{24,}", 0, 24, "[0-9a-f]{24}"),
 )
 
@@ -126,8 +127,10 @@ class Ledger:
         )
         # One path reads the blob; its other paths get the findings later.
         texts = versions.select(F.col(path_col).alias("path"), text.alias("text"))
-        readers = texts.join(pending, F.col("path").eqNullSafe(F.col("reader")))
-        fresh = scan_blobs(readers.where(F.sha2("text", 256) == F.col("blob")), rules)
+        # A merge join at every size: the ids grow with the corpus, so broadcasting them is no plan.
+        readers = texts.join(pending.hint("merge"), F.col("path").eqNullSafe(F.col("reader")))
+        readers = readers.where(F.sha2("text", 256) == F.col("blob")).select("blob", "text", "todo")
+        fresh = scan_blobs(stored(readers, "pending-blobs"), rules)
         fresh.write.mode("append").option("compression", "zstd").parquet(self.path)
         return index
 
