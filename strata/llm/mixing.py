@@ -10,17 +10,19 @@ the Sainte-Lague method (highest quotients target / (2k - 1)). The method never
 back when the mix grows, so the quota of mix shard j is the difference of two
 apportionments: every shard has its own integer quotas and they add up to the whole.
 
-Selection: a source's documents stand in seeded order (MD5 of seed and id) and form a stream of blocks. A
-quota takes whole passes over the stream, then the leading blocks of one more pass, so one
-document per source at most is taken in part.
+Selection: a source's documents stand in seeded order (MD5 of seed and id) and form a stream of blocks, read round and round.
+Shard j takes the blocks that follow those of the shards before it, as many as its quota; ``shard_blocks`` names them. All shards
+together have taken whole passes over the stream and the leading blocks of one more, so one document per source at most is
+taken in part.
 
 Positions in the stream are prefix sums. They are taken per (source, hash bucket), with the buckets
 sized to hold a few thousand documents, and added to the buckets' own prefix sums, so a source
 holding a third of all rows is spread over many tasks.
 
 Defined cases: NULL or empty text has size 0 and is taken 0 times. NULL source is a source of
-its own, last in order. Ties in the seeded order go by id, then size; rows equal in
-both are interchangeable. An empty table gives an empty result.
+its own, last in order. Ties in the seeded order go by id, size and the text's digest; rows equal in these are one text several
+times. Texts of any length count whole. An empty table gives an empty result. Other columns than id, source and text are not
+read, but for ``materialise``, which carries them along.
 """
 
 from __future__ import annotations
@@ -29,24 +31,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.common import WORD, documents, filled, packed, stored
+from strata.llm.common import WORD, documents, filled, stored
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 BLOCK_WORDS = 64
-BLOCKS_PER_SHARD = 1024
+BLOCKS_PER_SHARD = 1 << 16
 SEED = "mix-1"
+#: Copies of a text that a task writes from one row.
+COPIES = 1024
 #: Aim for documents in a prefix-sum bucket.
 BUCKET_ROWS = 4096
 
 
 def sizes(df: DataFrame, seed: str = SEED) -> DataFrame:
-    """``(doc_id, source, size, ord)``; ``ord`` is the seeded place, 32 hex digits."""
+    """``(doc_id, source, size, ord, digest)``; ``ord`` is the seeded place, 32 hex digits."""
     return df.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.regexp_count(filled(F.col("text")), F.lit(WORD)).cast("long").alias("size"),
         F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("ord"),
+        F.sha2(filled(F.col("text")), 256).alias("digest"),
     )
 
 
@@ -131,6 +136,14 @@ def shard_quotas(shares: DataFrame, block_words: int = BLOCK_WORDS, per_shard: i
     )
 
 
+def shard_blocks(shares: DataFrame, block_words: int = BLOCK_WORDS, per_shard: int = BLOCKS_PER_SHARD) -> DataFrame:
+    """The blocks of each source's seeded stream that every shard takes: ``(shard, source, first_block, blocks)``. Block b holds
+    the words from b * block_words on of the stream, which starts over at its end."""
+    before = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("blocks").over(before), F.lit(0)).alias("first_block")
+    return shard_quotas(shares, block_words, per_shard).select("shard", "source", first, "blocks")
+
+
 def mix(
     df: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
@@ -138,15 +151,16 @@ def mix(
     block_words: int = BLOCK_WORDS,
     seed: str = SEED,
     bucket_rows: int = BUCKET_ROWS,
+    per_shard: int = BLOCKS_PER_SHARD,
 ) -> DataFrame:
-    """One row per document: ``doc_id, source, size, source_size, target, quota_blocks, taken``."""
+    """One row per document: ``doc_id, source, size, digest, source_size, target, quota_blocks, taken``."""
     sized = stored(sizes(df, seed), "mix-sizes")
     shares = stored(targets(sized, weights, max_repeat).coalesce(1), "mix-targets")
-    plan = stored(
-        shares.alias("s").join(quotas(shares, block_words).alias("q"), F.expr("s.source <=> q.source"))
-        .selectExpr("s.*", "q.quota").coalesce(1),
-        "mix-quotas",
-    )
+    # What a source gives is what the shards take of it.
+    chosen = stored(shard_blocks(shares, block_words, per_shard), "mix-shards")
+    taken = chosen.groupBy(F.col("source").alias("of")).agg(F.max(F.col("first_block") + F.col("blocks")).alias("quota"))
+    plan = shares.join(taken, F.col("source").eqNullSafe(F.col("of")), "left").withColumn("quota", F.coalesce("quota", F.lit(0)))
+    plan = stored(plan.drop("of").coalesce(1), "mix-quotas")
 
     # A hash bucket is the leading bits of the seeded order, so buckets follow one another in it.
     lead = F.conv(F.substring("ord", 1, 8), 16, 10).cast("long")
@@ -161,7 +175,7 @@ def mix(
         placed.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
         .select("source", "bucket", F.coalesce(F.sum("bucket_size").over(ahead), F.lit(0)).alias("bucket_start"))
     )
-    within = Window.partitionBy("source", "bucket").orderBy("ord", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "bucket").orderBy("ord", "doc_id", "size", "digest").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("before", F.coalesce(F.sum("size").over(within), F.lit(0)))
 
     words = F.least(F.col("quota") * block_words, F.col("source_size") * max_repeat)
@@ -175,7 +189,7 @@ def mix(
         .withColumn("passes", passes)
         .withColumn("part", part)
         .select(
-            "doc_id", "source", "size", "source_size", "target", F.col("quota").alias("quota_blocks"),
+            "doc_id", "source", "size", "digest", "source_size", "target", F.col("quota").alias("quota_blocks"),
             (F.col("passes") * F.col("size") + F.col("part")).cast("long").alias("taken"),
         )
     )
@@ -184,22 +198,37 @@ def mix(
 def materialise(df: DataFrame, taken: DataFrame) -> DataFrame:
     """The mix itself: ``df``'s columns, each document once per full take, and a document taken in
     part with its leading words only. ``n_chars`` follows the text if the table has it.
-    Rows are matched by id; a NULL id or a repeated id takes what one of its rows takes."""
-    plan = taken.groupBy(F.col("doc_id").alias("id")).agg(F.max("taken").alias("taken"), F.max("size").alias("size"))
-    words = F.least(F.col("taken") - (F.col("copy") - 1) * F.col("size"), F.col("size"))
-    each = F.regexp_extract_all(F.col("row.text"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
-    text = F.when(words < F.col("size"), F.array_join(F.slice(each, F.lit(1), words.cast("int")), "")).otherwise(F.col("row.text"))
-    row = F.col("row").withField("text", text)
-    if "n_chars" in df.columns:
-        row = row.withField("n_chars", F.length(text).cast(df.schema["n_chars"].dataType))
-    return (
-        df.select(packed(df), F.col("doc_id").cast("long").alias("doc"))
-        .join(plan, F.col("doc").eqNullSafe(F.col("id")))
-        .where("taken > 0")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))))
-        .select(row.alias("row"))
-        .select("row.*")
+    Rows are matched by id, source and text; those that repeat all three are one row, once per full take of any of them."""
+    key = F.expr("id <=> _id AND src <=> _source AND sha = _digest")
+    plan = taken.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("digest").alias("_digest")).agg(
+        F.sum("taken").alias("taken"), F.max("size").alias("size"), F.count("*").alias("n_rows")
     )
+    plan = stored(plan.where("taken > 0"), "mix-plan")
+    own = {c: f"_c{i}" for i, c in enumerate(df.columns)}  # names that none of the columns below has
+    rows = df.select(
+        *[F.col(f"`{c}`").alias(name) for c, name in own.items()],
+        F.col("doc_id").cast("long").alias("id"), F.col("source").cast("string").alias("src"), F.sha2(filled(F.col("text")), 256).alias("sha"),
+    )
+    chosen = rows.join(plan, key)
+    if plan.where("n_rows > 1").take(1):
+        once = chosen.where("n_rows > 1").dropDuplicates(["_id", "_source", "_digest"])
+        chosen = chosen.where("n_rows = 1").unionByName(once)
+    chosen = chosen.withColumn("copies", F.ceil(F.col("taken") / F.col("size")).cast("long"))
+    if plan.where(F.col("taken") > COPIES * F.col("size")).take(1):  # a text that stands in very many rows: its copies are dealt out
+        runs = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long")))
+        many = chosen.where(F.col("copies") > COPIES).withColumn("first", runs).repartition("id", "src", "sha", "first")
+        chosen = chosen.withColumn("first", F.lit(0).cast("long")).where(F.col("copies") <= COPIES).unionByName(many)
+    else:
+        chosen = chosen.withColumn("first", F.lit(0).cast("long"))
+    last = F.least(F.col("first") + COPIES, F.col("copies"))
+    words = F.least(F.col("taken") - (F.col("copy") - 1) * F.col("size"), F.col("size"))
+    each = F.regexp_extract_all(F.col(own["text"]), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    text = F.when(words < F.col("size"), F.array_join(F.slice(each, F.lit(1), words.cast("int")), "")).otherwise(F.col(own["text"]))
+    shown = {c: F.col(name) for c, name in own.items()} | {"text": text}
+    if "n_chars" in own:
+        shown["n_chars"] = F.length(text).cast(df.schema["n_chars"].dataType)
+    copied = chosen.withColumn("copy", F.explode(F.sequence(F.col("first") + 1, last)))
+    return copied.select(*[value.alias(c) for c, value in shown.items()])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import mixing as M
 from tests.llm.conftest import frame, odd_rows
@@ -99,3 +100,38 @@ def test_empty_and_wordless(spark, empty):
     df = frame(spark, [(1, None, "en", "a"), (2, " ", "en", "b")])
     assert [(r.size, r.target, r.taken) for r in M.mix(df).collect()] == [(0, 0.0, 0)] * 2
     assert M.materialise(df, M.mix(df)).collect() == []
+
+
+def test_rows_of_one_id_take_their_own_words(spark):
+    rows = [(i, "a b c d e f g h i j", "en", "a") for i in range(40)] + [(i, "v w x y z " * 20, "en", "b") for i in range(40)]
+    df = frame(spark, rows)
+    taken = M.mix(df, block_words=1)
+    words = {}
+    for r in M.materialise(df, taken).collect():
+        words[r.source] = words.get(r.source, 0) + n_words(r.text)
+    assert words == {r.source: r.n for r in taken.groupBy("source").agg(F.sum("taken").alias("n")).collect()}
+    assert words["a"] == 1200
+
+
+@pytest.mark.parametrize("copies", [2, 1024])
+def test_rows_that_repeat_all_take_as_much_together(spark, monkeypatch, copies):
+    monkeypatch.setattr(M, "COPIES", copies)
+    rows = [(1, "one two three", "en", "a")] * 9 + [(None, "four five", None, None)] * 4 + [(i, "w " * i, "de", "c") for i in range(2, 30)]
+    df = frame(spark, rows).repartition(4)
+    taken = M.mix(df, block_words=4)
+    out = M.materialise(df, taken).collect()
+    for i in (1, None, 7, 20):
+        want = sum(r.taken for r in taken.collect() if r.doc_id == i)
+        assert sum(n_words(r.text) for r in out if r.doc_id == i) == want
+
+
+def test_shards_take_the_stream_block_by_block(spark, docs):
+    shares = M.targets(M.sizes(docs)).cache()
+    whole = {r.source: r.quota for r in M.quotas(shares, 16).collect()}
+    got = {}
+    for r in M.shard_blocks(shares, 16, 100).orderBy("shard").collect():
+        assert r.first_block == got.get(r.source, 0)  # where the shards before ended
+        got[r.source] = r.first_block + r.blocks
+    assert got == whole
+    for per_shard in (7, 10**6):
+        assert {r.source: r.quota_blocks for r in M.mix(docs, block_words=16, per_shard=per_shard).collect()} == whole
