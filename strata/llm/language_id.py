@@ -171,7 +171,9 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("at")
     )
     per_lang = learn.where(F.col("text").isNotNull()).groupBy("lang").count().orderBy(F.desc("count"), "lang")
-    counts = per_lang.limit(MAX_SAMPLE).collect()
+    counts = per_lang.limit(MAX_SAMPLE + 1).collect()
+    if len(counts) > MAX_SAMPLE:
+        raise ValueError(f"more than {MAX_SAMPLE} languages: the sample has no row for each")
     langs = sorted(r["lang"] for r in counts)
     n, df_counts = document_frequencies(learn.select("text"))
     idf = np.log((1 + n) / (1 + df_counts)) + 1

@@ -161,6 +161,8 @@ def write_shards(
         ranks = df.sparkSession.sparkContext.broadcast(file.read())  # the vocabulary, of fixed size
     rows, n_docs, most, total = numbered(df, id_col, text_col)
     per_doc = -(-(most + 1) // length)  # a token has a byte at least
+    if n_docs * per_doc >= 1 << 62:
+        raise ValueError(f"{n_docs} documents of up to {per_doc} sequences are more than 2**62 slots")
     order = Permutation(n_docs * per_doc, seed)
     n_shards = max(1, -(-total // shard_text_bytes))
     width = max(1, -(-order.size // n_shards))
