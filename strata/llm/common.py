@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,26 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+_WRITTEN: list[list[str]] = []
+
+
+@contextmanager
+def written() -> Iterator[list[str]]:
+    """The folders that ``stored`` writes inside the block, in order."""
+    _WRITTEN.append([])
+    try:
+        yield _WRITTEN[-1]
+    finally:
+        _WRITTEN.pop()
+
+
+def release(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Delete folders of ``stored`` whose readers have committed their own results."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (never reused by another run)."""
     return f"{storage_root(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
@@ -36,6 +58,8 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.option("compression", codec).parquet(path)
+    for folders in _WRITTEN:
+        folders.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

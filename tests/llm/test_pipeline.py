@@ -1,5 +1,7 @@
 """The pipeline against a plain-Python version of each stage on what the stage before kept."""
 
+import os
+
 import numpy as np
 import pytest
 import sentencepiece
@@ -7,7 +9,7 @@ import sentencepiece
 import corpus_pipeline
 from strata.llm import language_id
 from strata.llm import sentencepiece_codec as codec
-from strata.llm.common import stored
+from strata.llm.common import scratch, stored
 from tests.conftest import SF001
 from tests.llm.test_mixing import brute_mix, n_words
 from tests.llm.test_near_dedup import brute as brute_near
@@ -61,3 +63,15 @@ def test_run_and_empty(spark, empty):
     assert docs.collect() == []
     out = corpus_pipeline.run(spark, SF001)
     assert out.count() > 0 and out.where("NOT round_trip").count() == 0
+
+
+def test_a_run_leaves_its_last_result_only(spark, tmp_path):
+    before = set(os.listdir(root(spark)))
+    out = corpus_pipeline.run(spark, SF001)
+    left = set(os.listdir(root(spark))) - before
+    assert len(left) == 1 and next(iter(left)).startswith("pipeline-sentencepiece")
+    assert out.count() > 0
+
+
+def root(spark):
+    return scratch(spark, "x").rpartition("/")[0].removeprefix("file:")
