@@ -1,10 +1,12 @@
 """The corpus pipeline: documents through five of the training-data operators.
 
 Each stage is ``f(spark, docs, sf_dir)``; its result is written as Parquet in the shared folder and read again as the next
-stage's ``docs``. A stage works on all that its predecessor kept. All but the last return the columns of documents.
+stage's ``docs``. A stage works on all that its predecessor kept. All but the last return the columns of documents. Once a
+stage's result is written, the tables it was made from are deleted: a run leaves the last result only.
 
 Defined cases are those of the operators: NULL and letterless texts go at language ID; an empty table stays empty; of rows that
-repeat id and text one stays after exact dedup; further columns of the table are carried along untouched.
+repeat id and text one stays after exact dedup; of equal texts the largest id stays, of near copies the smallest; texts of any
+length are worked on whole; further columns of the table are carried along untouched.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import exact_dedup, language_id, mixing, near_dedup, sentencepiece_codec
-from strata.llm.common import documents, stored
+from strata.llm.common import documents, release, stored, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -57,7 +59,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, read = documents(spark, sf_dir), []
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with written() as folders:
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        release(spark, read + folders[:-1])  # the stage's own tables and its predecessor's result, now that its result is written
+        read = folders[-1:]
     return docs
