@@ -400,6 +400,14 @@ _BODIES = {
     "enrichment_keys": (
         "SELECT DISTINCT tmdb_id FROM dim_movies WHERE tmdb_id IS NOT NULL ORDER BY tmdb_id LIMIT 100"
     ),
+    "enrichment_keys_due": (
+        ", attempts AS (SELECT CASE WHEN (event_id // 2) % 20 <> 3 THEN event_id // 2 + 100000 END AS tmdb_id, "
+        "CAST(CASE event_type WHEN 'error' THEN 404 WHEN 'signup' THEN 500 ELSE 200 END AS BIGINT) AS status, ts FROM events), "
+        "last_try AS (SELECT tmdb_id, max({'t': ts, 's': status}) AS m FROM attempts WHERE tmdb_id IS NOT NULL GROUP BY tmdb_id), "
+        "ids AS (SELECT DISTINCT tmdb_id FROM dim_movies WHERE tmdb_id IS NOT NULL EXCEPT SELECT tmdb_id FROM attempts WHERE status = 200) "
+        "SELECT ids.tmdb_id, l.m.s AS last_status, l.m.t AS last_attempt FROM ids LEFT JOIN last_try l ON ids.tmdb_id = l.tmdb_id "
+        "ORDER BY last_attempt NULLS FIRST, ids.tmdb_id LIMIT 400"
+    ),
     "payload_parse": "SELECT * FROM payloads",
     "payload_upsert": "SELECT * FROM payload_after",
     "upsert_report": (

@@ -42,7 +42,7 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--order-col", help="raw arrival-order column, required with --on-duplicate latest")
     b.add_argument("--warn-only", action="store_true", help="report error-severity failures without failing")
 
-    e = sub.add_parser("enrich", help="upsert captured API responses (Parquet: request_id, status, body)")
+    e = sub.add_parser("enrich", help="upsert captured API responses (Parquet: request_id, status, body, tmdb_id asked for)")
     e.add_argument("--responses", required=True)
     e.add_argument("--as-of", help="load time, ISO format (default: now, UTC)")
 

@@ -18,9 +18,11 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.operators.checks import enforce, run_checks
 from strata.plans import enrichment, marts, quality, snapshots, staging
+from strata.plans.attempts import AttemptLedger
 from strata.plans.facts import RATING_KEYS, TAG_KEYS
 from strata.plans.loads import load_incremental_fact, merge_buckets
 from strata.plans.project import Project, scratch_keeper
@@ -120,24 +122,32 @@ def enrich(
     spark: SparkSession, store: TableStore, responses: DataFrame, as_of: dt.datetime, order_col: str = "event_id"
 ) -> dict:
     """Upsert one batch of API responses into ``raw/raw_tmdb_movies`` and return
-    the load report. A batch without a loaded film stores nothing."""
+    the load report. A batch without a loaded film stores none. Every response is recorded as an attempt, failed ones too."""
     configure(spark)
     target = store.read_or_empty(RAW, "raw_tmdb_movies", TMDB_MOVIES)
-    report = enrichment.load_report(target, responses).first().asDict()
+    # Bodies are parsed once; the report, the merge and the ledger read the stored intake.
+    taken = scratch_keeper(spark)(enrichment.intake(responses, order_col))
+    report = enrichment.report_of(target, taken).first().asDict()
     if report["movies_loaded"] > 0:
-        parsed = enrichment.parse_payloads(responses, order_col)
 
         def merge(part: DataFrame | None, batch: DataFrame) -> DataFrame:
             part = enrichment.empty_target(spark) if part is None else part
             return enrichment.upsert_parsed(part, batch, as_of, order_col)
 
-        merge_buckets(store, RAW, "raw_tmdb_movies", parsed, ["tmdb_id"], merge)
+        merge_buckets(store, RAW, "raw_tmdb_movies", enrichment.typed(taken, order_col), ["tmdb_id"], merge)
+    if report["keys_queried"] > 0:
+        attempt_ledger(store).record(taken.select(F.col("asked").alias("tmdb_id"), "status"), as_of)
     return report
 
 
+def attempt_ledger(store: TableStore) -> AttemptLedger:
+    return AttemptLedger(store.spark, store.location(RAW, "enrichment_attempts"))
+
+
 def keys_to_enrich(store: TableStore, batch_size: int = 100) -> DataFrame:
-    """Next ids to fetch: from the stored movie dimension, without those already enriched."""
+    """Next ids to fetch: from the stored movie dimension, without those already enriched; those never tried come first, then those
+    whose last attempt is longest ago."""
     dim = store.read(MARTS, "dim_movies")
     if dim is None:
         raise RuntimeError("dim_movies is not built yet; run build() first")
-    return enrichment.enrichment_keys(dim, batch_size, store.read(RAW, "raw_tmdb_movies"))
+    return enrichment.enrichment_keys(dim, batch_size, store.read(RAW, "raw_tmdb_movies"), attempt_ledger(store).read())

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.scd2 import as_of_column
+from strata.plans.attempts import due_keys
 from strata.operators.upsert import upsert
 from strata.sources.schemas import TMDB_MOVIES
 from strata.sources.storage import empty_frame
@@ -36,17 +37,54 @@ PAYLOAD_FIELDS = (
 UPDATE_COLUMNS = tuple(col for _, col, _ in PAYLOAD_FIELDS[1:]) + ("raw_json",)
 
 
-def enrichment_keys(dim_movies: DataFrame, batch_size: int = 100, stored: DataFrame | None = None) -> DataFrame:
-    """Distinct non-NULL external ids to fetch next, smallest first, without those that ``stored`` (the
-    enrichment table) has, so that every run goes on where the last one ended. ``batch_size`` is the
-    request budget of a run. The distinct runs as a partial+final
-    aggregate; order+limit as a per-task top-n merged into one small result."""
+def open_ids(dim_movies: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Distinct non-NULL external ids, without those that ``stored`` (the enrichment table) has."""
     ids = dim_movies.where(F.col("tmdb_id").isNotNull()).select("tmdb_id").distinct()
     if stored is not None:
         ids = ids.join(stored.select("tmdb_id").distinct(), "tmdb_id", "left_anti")
+    return ids
+
+
+def enrichment_keys(
+    dim_movies: DataFrame, batch_size: int = 100, stored: DataFrame | None = None, attempts: DataFrame | None = None
+) -> DataFrame:
+    """Distinct non-NULL external ids to fetch next, without those that ``stored`` (the
+    enrichment table) has, so that every run goes on where the last one ended. ``batch_size`` is the
+    request budget of a run. Smallest first; with ``attempts`` (the ledger of all tries) those never tried first, then those tried
+    longest ago, so ids that keep failing cannot hold up the others. The distinct runs as a partial+final
+    aggregate; order+limit as a per-task top-n merged into one small result."""
+    ids = open_ids(dim_movies, stored)
+    if attempts is not None:
+        return due_keys(ids, attempts, batch_size).select("tmdb_id")
     return ids.orderBy("tmdb_id").limit(batch_size)
 
 
+def intake(responses: DataFrame, order_col: str | None = None, on_invalid: str = "raise") -> DataFrame:
+    """The responses with their bodies parsed, once, into a VARIANT: ``(order column, asked, status, doc, body)``. Bodies of failed
+    responses are never parsed; ``asked`` is the id asked for, or the body's where the capture does not name it. Written as Parquet
+    (see :func:`strata.plans.build.enrich`), the column keeps its binary form, and later readers take fields from it."""
+    if on_invalid not in ("raise", "skip"):
+        raise ValueError("on_invalid must be 'raise' or 'skip'")
+    parse = F.parse_json if on_invalid == "raise" else F.try_parse_json
+    ok = F.col("status") == OK_STATUS
+    doc = F.when(ok, parse(F.col("body")))
+    get = F.variant_get if on_invalid == "raise" else F.try_variant_get
+    parsed = responses.select(
+        *([order_col] if order_col else []), "status", doc.alias("doc"), F.when(ok, F.col("body")).alias("body"),
+        (F.col("tmdb_id") if "tmdb_id" in responses.columns else F.lit(None)).cast("bigint").alias("asked"),
+    )
+    return parsed.withColumn("asked", F.coalesce("asked", get("doc", "$.id", "bigint")))
+
+
+def typed(taken: DataFrame, order_col: str | None = None, on_invalid: str = "raise") -> DataFrame:
+    """The successful responses of an :func:`intake` as typed rows."""
+    get = F.variant_get if on_invalid == "raise" else F.try_variant_get
+    fields = [get(F.col("doc"), f"$.{name}", typ).alias(col) for name, col, typ in PAYLOAD_FIELDS]
+    ok = taken.where((F.col("status") == OK_STATUS) & F.col("doc").isNotNull())
+    rows = ok.select(*([order_col] if order_col else []), *fields, F.col("body").alias("raw_json"))
+    return rows.where(F.col("tmdb_id").isNotNull())
+
+
 def parse_payloads(responses: DataFrame, order_col: str | None = None, on_invalid: str = "raise") -> DataFrame:
     """Successful responses as typed rows; ``raw_json`` keeps the body text.
 
@@ -58,21 +96,7 @@ def parse_payloads(responses: DataFrame, order_col: str | None = None, on_invali
     Rows without an id are rejected (a NULL key matches nothing and would be inserted again by every
     run); ``load_report`` counts them.
     """
-    if on_invalid not in ("raise", "skip"):
-        raise ValueError("on_invalid must be 'raise' or 'skip'")
-    ok = responses.where(F.col("status") == OK_STATUS)
-    parse = F.parse_json if on_invalid == "raise" else F.try_parse_json
-    parsed = ok.select(
-        *([order_col] if order_col else []),
-        parse(F.col("body")).alias("__v"),
-        F.col("body").alias("raw_json"),
-    )
-    if on_invalid == "skip":
-        parsed = parsed.where(F.col("__v").isNotNull())
-    get = F.variant_get if on_invalid == "raise" else F.try_variant_get
-    fields = [get(F.col("__v"), f"$.{name}", typ).alias(col) for name, col, typ in PAYLOAD_FIELDS]
-    typed = parsed.select(*([order_col] if order_col else []), *fields, "raw_json")
-    return typed.where(F.col("tmdb_id").isNotNull())
+    return typed(intake(responses, order_col, on_invalid), order_col, on_invalid)
 
 
 def empty_target(spark: SparkSession) -> DataFrame:
@@ -106,7 +130,12 @@ def upsert_parsed(target: DataFrame, parsed: DataFrame, as_of: dt.datetime | Non
 
 
 def load_report(target: DataFrame, responses: DataFrame) -> DataFrame:
-    """One row describing a batch: requests, outcomes by status, films loaded
+    """:func:`report_of` of responses that are not parsed yet."""
+    return report_of(target, intake(responses))
+
+
+def report_of(target: DataFrame, taken: DataFrame) -> DataFrame:
+    """One row describing an :func:`intake`: requests, outcomes by status, films loaded
     (successful responses with an id), responses rejected for want of one, and distinct films inserted vs updated.
 
     One left join of the batch to the target's distinct keys, then one aggregate.
@@ -114,8 +143,7 @@ def load_report(target: DataFrame, responses: DataFrame) -> DataFrame:
     """
     status = F.col("status")
     ok = status == OK_STATUS
-    body_id = F.variant_get(F.parse_json(F.col("body")), "$.id", "bigint")
-    batch = responses.select(status.alias("status"), F.when(ok, body_id).alias("__id"))
+    batch = taken.select(status.alias("status"), F.when(ok, F.variant_get("doc", "$.id", "bigint")).alias("__id"))
     known = target.select(F.col("tmdb_id").alias("__k")).where(F.col("__k").isNotNull()).distinct()
     known = known.withColumn("__known", F.lit(True))
     joined = batch.join(known, F.col("__id") == F.col("__k"), "left")

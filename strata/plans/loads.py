@@ -16,13 +16,15 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from strata.operators.joins import estimated_size_bytes
 from strata.operators.upsert import high_water_filter, high_water_mark, mark_value, upsert
 from strata.session import storage_root
 from strata.sources.storage import BUCKET, TableStore
 
 MARK = "high_water_mark_micros"
-#: Key buckets of a new table, and the folders a bucket may gather before a merge rewrites it.
-BUCKETS = 256
+#: Key buckets of a new table: at least, per estimated bytes of its first load, and at most; and the folders a bucket may
+#: gather before a merge rewrites it.
+BUCKETS, BUCKET_BYTES, MOST_BUCKETS = 256, 1 << 30, 1 << 16
 MAX_FOLDERS = 8
 
 
@@ -30,6 +32,12 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+def bucket_number(first_load: DataFrame) -> int:
+    """Buckets of a new table, from Catalyst's estimate of its first load (a merge rewrites whole buckets, so they stay small)."""
+    size = estimated_size_bytes(first_load) or 0
+    return BUCKETS if size >= 1 << 62 else min(max(BUCKETS, -(-size // BUCKET_BYTES)), MOST_BUCKETS)
+
+
 def merge_buckets(
     store: TableStore,
     layer: str,
@@ -37,7 +45,7 @@ def merge_buckets(
     batch: DataFrame,
     keys: Sequence[str],
     merge: Callable[[DataFrame | None, DataFrame], DataFrame],
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     observed: Callable[[DataFrame], Column] | None = None,
     properties: Callable[[object], dict] | None = None,
 ) -> DataFrame:
@@ -47,7 +55,7 @@ def merge_buckets(
     the rows to write. ``properties`` gets the value of the aggregate ``observed`` over the written rows."""
     first = store.current_version(layer, name) is None
     held = {} if first else store.properties(layer, name)
-    buckets = int(held.get("buckets", buckets))
+    buckets = int(held.get("buckets") or buckets or bucket_number(batch))
     empty = False
     if first:
         replaced, target, empty = set(), None, batch.isEmpty()
@@ -70,8 +78,8 @@ def merge_buckets(
     out = out.observe(watch, (observed(merged) if observed else F.count(F.lit(1))).alias("value"))
     kept = {k: v for k, v in held.items() if k not in ("parts", "schema")} | {"buckets": buckets}
     return store.write_buckets(
-        # Rows of a bucket meet in one task, so a version has one file per bucket it writes (AQE splits large ones).
-        out.repartition(F.col(BUCKET)), layer, name, replaced,
+        # Rows of a bucket meet, so a small one gets one file; AQE splits a large one over tasks of the advisory size, and a file each.
+        out.hint("rebalance", BUCKET), layer, name, replaced,
         # Over an empty relation the plan observes nothing.
         lambda: kept | (properties(None if empty else watch.get["value"]) if properties else {}),
     )
@@ -104,12 +112,15 @@ def load_incremental_fact(
     on_duplicate: str = "error",
     order_col: str | None = None,
     raw_ts_col: str = "timestamp",
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
+    changed: Callable[[DataFrame | None, DataFrame], None] | None = None,
 ) -> DataFrame:
     """One incremental run of a stored fact; returns the stored new version.
 
     The rules are those of :func:`strata.operators.upsert.incremental_load`: everything on a first run or over
-    an empty fact, nothing over a fact without a timestamp, else the rows above the mark, upserted by key."""
+    an empty fact, nothing over a fact without a timestamp, else the rows above the mark, upserted by key.
+    ``changed(part, batch)`` is told what a merge is about to do: ``part`` holds the stored rows of the touched buckets (None if the
+    batch is stored as it is), ``batch`` the rows that are upserted into them. A run that stores nothing does not call it."""
     target = store.read(layer, name)
     mark = stored_mark(store, layer, name, ts_col, target)
     rows = to_rows(raw_after(raw, mark, raw_ts_col))
@@ -120,6 +131,8 @@ def load_incremental_fact(
         return target
 
     def merge(part: DataFrame | None, batch: DataFrame) -> DataFrame:
+        if changed:
+            changed(None if mark is None else part, batch)
         if mark is None:
             return batch.drop(*carry)
         return upsert(part, batch, keys, on_duplicate=on_duplicate, order_cols=[ts_col, *carry])

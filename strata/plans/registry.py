@@ -19,6 +19,7 @@ from pyspark.sql.types import TimestampType
 from strata.functions import date_spine_between
 from strata.operators.joins import lookup_join
 from strata.plans import enrichment, facts, marts, metrics_catalog, quality, snapshots, staging
+from strata.plans.attempts import due_keys
 from strata.plans.loads import load_incremental_fact
 from strata.plans.project import Project, scratch_keeper
 from strata.session import configure, storage_root
@@ -34,6 +35,7 @@ SNAPSHOT_DAY_2 = dt.datetime(2024, 2, 2, 0, 0, 0)
 PAYLOAD_LOAD_1 = dt.datetime(2024, 2, 1, 6, 0, 0)
 PAYLOAD_LOAD_2 = dt.datetime(2024, 2, 2, 6, 0, 0)
 ENRICHMENT_BATCH = 100
+DUE_BATCH = 400
 WEIGHTED_AVG_DIGITS = 6
 
 
@@ -157,6 +159,13 @@ def q_enrichment_keys_next(spark, sf_dir):
     return enrichment.enrichment_keys(dim, ENRICHMENT_BATCH, enrichment.enrichment_keys(dim, ENRICHMENT_BATCH))
 
 
+def q_enrichment_keys_due(spark, sf_dir):
+    """What is due after two attempts on most ids: ids never tried, then the failed ones by the age of their last attempt."""
+    attempts = testdata.raw_attempts(spark, sf_dir)
+    enriched = attempts.where(F.col("status") == enrichment.OK_STATUS)
+    return ntz(due_keys(enrichment.open_ids(project(spark, sf_dir).dim_movies, enriched), attempts, DUE_BATCH))
+
+
 def _responses(spark, sf_dir):
     configure(spark)
     return testdata.raw_responses(spark, sf_dir)
@@ -177,8 +186,9 @@ def _payload_target(spark, sf_dir):
 
 def q_payload_upsert(spark, sf_dir):
     target, resp = _payload_target(spark, sf_dir)
-    batch = resp.where(F.col("event_id") % 2 == 1)
-    return ntz(enrichment.payload_upsert(target, batch, PAYLOAD_LOAD_2, order_col="event_id"))
+    batch = enrichment.parse_payloads(resp.where(F.col("event_id") % 2 == 1), "event_id")
+    batch = scratch_keeper(spark)(batch)  # an upsert reads its batch several times; bodies are parsed once
+    return ntz(enrichment.upsert_parsed(target, batch, PAYLOAD_LOAD_2, order_col="event_id"))
 
 
 def q_upsert_report(spark, sf_dir):
@@ -268,6 +278,7 @@ QUERIES: dict[str, QueryFn] = {
     "stored_incremental_ratings": q_stored_incremental_ratings,
     "enrichment_keys": q_enrichment_keys,
     "enrichment_keys_next": q_enrichment_keys_next,
+    "enrichment_keys_due": q_enrichment_keys_due,
     "payload_parse": q_payload_parse,
     "payload_upsert": q_payload_upsert,
     "upsert_report": q_upsert_report,

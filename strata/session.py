@@ -90,6 +90,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return configure(spark)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, on whatever file system it names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def storage_root(spark: SparkSession) -> str:
     """Shared folder for stored tables and lineage cuts.
 

@@ -66,6 +66,16 @@ RAW_RESPONSES = StructType(
         StructField("request_id", LongType()),
         StructField("status", LongType()),
         StructField("body", StringType()),
+        StructField("tmdb_id", LongType()),  # the id asked for; NULL in captures that do not name it
+    ]
+)
+
+# One row per attempt to fetch an id, whatever came of it.
+ATTEMPTS = StructType(
+    [
+        StructField("tmdb_id", LongType()),
+        StructField("status", LongType()),
+        StructField("attempted_at", TimestampType()),
     ]
 )
 

@@ -162,6 +162,18 @@ def raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("event_id").cast("bigint").alias("event_id"), status.alias("status"), body.alias("body"))
 
 
+def raw_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempts to fetch an id, two per id: (tmdb_id, status, attempted_at). Every twentieth id was not asked for yet."""
+    e = _table(spark, sf_dir, "events")
+    status = F.when(F.col("event_type") == "error", 404).when(F.col("event_type") == "signup", 500).otherwise(200)
+    number = F.expr("event_id div 2")
+    return e.select(
+        F.when(number % 20 != 3, number + 100000).cast("bigint").alias("tmdb_id"),
+        status.cast("bigint").alias("status"),
+        F.col("ts").cast("timestamp").alias("attempted_at"),
+    )
+
+
 def edited_raw_movies(raw: DataFrame) -> DataFrame:
     """Second delivery of the catalogue for the history tests: genres extended for
     ids divisible by 7, titles edited for ids divisible by 5, ids divisible by 11

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.checks import CheckFailed
 from strata.plans import build as B
+from strata.plans import loads
 from strata.plans.loads import load_incremental_fact
 from strata.sources import testdata
 from strata.sources.storage import TableStore, UncommittedTableError
@@ -259,3 +260,26 @@ def test_enrichment_goes_on_where_it_ended(spark, tmp_path):
             bodies = [(n, 200, f'{{"id": {i}}}') for n, i in enumerate(ids)]
             B.enrich(spark, store, spark.createDataFrame(bodies, "event_id bigint, status bigint, body string"), D1)
     assert seen == list(range(1, 31))
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    rows = spark.range(400_000).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"), (F.col("id") % 7).alias("timestamp"))
+    with_size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(with_size, "1m")
+    try:
+        out = load_incremental_fact(
+            store, "marts", "f", rows, lambda r: r.select("k", "v", F.timestamp_seconds("timestamp").alias("ts")), ["k"], "ts", buckets=1
+        )
+    finally:
+        spark.conf.unset(with_size)
+    files = list((tmp_path / "marts" / "f" / "v1").rglob("part-*.parquet"))
+    assert len({f.parent for f in files}) == 1 and len(files) > 4  # one bucket, several tasks
+    assert out.count() == 400_000 and out.select("k").distinct().count() == 400_000
+
+
+def test_the_number_of_buckets_follows_the_first_load(spark, monkeypatch):
+    monkeypatch.setattr(loads, "BUCKET_BYTES", 1000)
+    assert loads.bucket_number(spark.range(10)) == 256
+    assert loads.bucket_number(spark.range(100_000)) == 800
+    assert loads.bucket_number(spark.range(10**9)) == loads.MOST_BUCKETS
