@@ -397,6 +397,19 @@ _BODIES = {
         f"LEFT JOIN (VALUES {_REAL_SEED}) AS gm(raw_genre, display_genre) ON g.genre = gm.raw_genre"
     ),
     "stored_incremental_ratings": "SELECT * FROM inc_fct_ratings",
+    "ratings_summary_kept": (
+        "SELECT movie_id, avg(rating) AS avg_rating, count(rating) AS rating_count, min(rating) AS min_rating, max(rating) AS max_rating "
+        "FROM inc_fct_ratings GROUP BY movie_id"
+    ),
+    "orphans_kept": (
+        "SELECT movie_id, count(*) AS n FROM inc_fct_ratings f WHERE NOT EXISTS "
+        "(SELECT 1 FROM dim_movies_day2 d WHERE d.movie_id = f.movie_id) GROUP BY movie_id"
+    ),
+    "sql_functions": (
+        f", pieces AS (SELECT movie_id, title, trim(unnest(string_split(genres, '|'))) AS genre FROM stg_movies) "
+        f"SELECT {sk('movie_id', 'genre')} AS genre_sk, movie_id, "
+        "NULLIF(regexp_extract(title, '\\(([0-9]{4})\\)', 1), '') AS release_year, genre FROM pieces"
+    ),
     "enrichment_keys": (
         "SELECT DISTINCT tmdb_id FROM dim_movies WHERE tmdb_id IS NOT NULL ORDER BY tmdb_id LIMIT 100"
     ),
@@ -425,6 +438,7 @@ _BODIES = {
         "CAST(count(DISTINCT CASE WHEN is_known THEN id END) AS BIGINT) AS keys_updated FROM j"
     ),
     "scd2_raw": _scd2("raw_movies", "raw_movies_day2", "movieId", ["movieId", "title", "genres"], ["genres"]),
+    "scd2_stored": _scd2("raw_movies", "raw_movies_day2", "movieId", ["movieId", "title", "genres"], ["genres"]),
     "scd2_dim": _scd2(
         "dim_movies_once", "dim_movies_once_day2", "movie_sk",
         ["movie_sk", "movie_id", "title", "release_year", "genres", "imdb_id", "tmdb_id"],

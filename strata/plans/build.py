@@ -26,6 +26,8 @@ from strata.plans.attempts import AttemptLedger
 from strata.plans.facts import RATING_KEYS, TAG_KEYS
 from strata.plans.loads import load_incremental_fact, merge_buckets
 from strata.plans.project import Project, scratch_keeper
+from strata.plans.rating_histogram import NAME as HISTOGRAM
+from strata.plans.rating_histogram import KeptHistogram
 from strata.session import configure
 from strata.sources.raw import RawSources
 from strata.sources.schemas import TMDB_MOVIES
@@ -79,11 +81,13 @@ def build(
 
     # Incremental facts.
     carry = (order_col,) if order_col else ()
+    counts = KeptHistogram(store, MARTS, "fct_ratings", RATING_KEYS, on_duplicate, ["rating_timestamp", *carry])
     fct_ratings = load_incremental_fact(
         store, MARTS, "fct_ratings", sources.raw_ratings,
         lambda raw: marts.fct_ratings_rows(staging.stg_ratings(raw, carry=carry), carry=carry),
-        RATING_KEYS, "rating_timestamp", on_duplicate, order_col,
+        RATING_KEYS, "rating_timestamp", on_duplicate, order_col, changed=counts.changed,
     )
+    result.tables[HISTOGRAM] = counts.store()
     fct_tags = load_incremental_fact(
         store, MARTS, "fct_tag_applications", sources.raw_tags,
         lambda raw: marts.fct_tag_applications_rows(staging.stg_tags(raw, carry=carry), carry=carry),
@@ -109,15 +113,22 @@ def build(
     if fail_on_error:
         enforce(result.report)  # an error-severity failure stops the dependants (the snapshots of the marts)
 
-    # Snapshots.
-    snap_dim = snapshots.snap_dim_movies(store.read(SNAPSHOTS, "snap_dim_movies"), dim_movies, as_of)
-    _store(result, store, snap_dim, SNAPSHOTS, "snap_dim_movies")
-    snap_raw = snapshots.snap_raw_movies(store.read(SNAPSHOTS, "snap_raw_movies"), sources.raw_movies, as_of)
-    _store(result, store, snap_raw, SNAPSHOTS, "snap_raw_movies")
+    # Snapshots: histories of which only the open versions, and those closed today, are written.
+    for name, source, key, checked in (
+        ("snap_dim_movies", dim_movies, snapshots.DIM_MOVIES_KEY, snapshots.DIM_MOVIES_CHECK),
+        ("snap_raw_movies", sources.raw_movies, snapshots.RAW_MOVIES_KEY, snapshots.RAW_MOVIES_CHECK),
+    ):
+        result.tables[name] = stored_history(store, name).take(source, key, checked, as_of)
 
     return result
 
 
+def stored_history(store: TableStore, name: str) -> snapshots.History:
+    """A stored snapshot; one that an earlier release kept in versions is where it starts from."""
+    earlier = store.read(SNAPSHOTS, name) if store.exists(SNAPSHOTS, name) else None
+    return snapshots.History(store.spark, f"{store.location(SNAPSHOTS, name)}/history", earlier)
+
+
 def enrich(
     spark: SparkSession, store: TableStore, responses: DataFrame, as_of: dt.datetime, order_col: str = "event_id"
 ) -> dict:

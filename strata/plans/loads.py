@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.operators.joins import estimated_size_bytes
-from strata.operators.upsert import high_water_filter, high_water_mark, mark_value, upsert
+from strata.operators.upsert import dedupe_latest, high_water_filter, high_water_mark, mark_value, upsert
 from strata.session import storage_root
 from strata.sources.storage import BUCKET, TableStore
 
@@ -85,6 +85,22 @@ def merge_buckets(
     )
 
 
+def effects(
+    part: DataFrame | None, batch: DataFrame, keys: Sequence[str], on_duplicate: str = "error", order_cols: Sequence[str] = ()
+) -> tuple[DataFrame | None, DataFrame]:
+    """What merging ``batch`` into ``part`` by ``keys`` does: the stored rows it replaces, each with the columns that replace it under
+    ``new_<column>`` (None without ``part``), and the rows it adds."""
+    if part is None:
+        return None, batch
+    source = dedupe_latest(batch, keys, order_cols) if on_duplicate == "latest" else batch
+    source = source.select(*part.columns)
+    new = source.select(*[F.col(c).alias(f"new_{c}") for c in source.columns])
+    same = [F.col(k) == F.col(f"new_{k}") for k in keys]
+    replaced = part.join(new, same)
+    known = replaced.select(*[F.col(k).alias(f"known_{k}") for k in keys]).distinct()
+    return replaced, source.join(known, [F.col(k) == F.col(f"known_{k}") for k in keys], "left_anti")
+
+
 def stored_mark(store: TableStore, layer: str, name: str, ts_col: str, target: DataFrame | None):
     """The fact's high-water mark: from version metadata when recorded."""
     if target is None:

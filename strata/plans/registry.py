@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from strata.functions import date_spine_between
+from strata.functions.sql import register_functions
 from strata.operators.joins import lookup_join
-from strata.plans import enrichment, facts, marts, metrics_catalog, quality, snapshots, staging
+from strata.plans import enrichment, facts, marts, metrics_catalog, orphans, quality, rating_histogram, snapshots, staging
 from strata.plans.attempts import due_keys
-from strata.plans.loads import load_incremental_fact
+from strata.plans.loads import effects, load_incremental_fact
 from strata.plans.project import Project, scratch_keeper
+from strata.plans.rating_histogram import KeptHistogram
 from strata.session import configure, storage_root
 from strata.sources import testdata
 from strata.sources.seeds import genre_mapping
@@ -129,21 +131,65 @@ def q_incremental_tags(spark, sf_dir):
     return ntz(facts.incremental_fct_tag_applications(spark, sf_dir))
 
 
-def q_stored_incremental_ratings(spark, sf_dir):
-    """Two runs over the store: run 1 writes the history as version 1, run 2 reads it and merges the feed into version 2."""
+def _own_folder(spark) -> str:
+    return f"{storage_root(spark).rstrip('/')}/registered/{uuid.uuid4().hex}"
+
+
+_ORDER = ["rating_timestamp", "event_id"]
+
+
+def _two_loads(spark, sf_dir, changed=None, between=lambda store: None):
+    """Two runs over a store: run 1 writes the history as version 1, run 2 reads it and merges the feed into version 2."""
     configure(spark)
-    store = TableStore(spark, f"{storage_root(spark).rstrip('/')}/registered/{uuid.uuid4().hex}")
+    store = TableStore(spark, _own_folder(spark))
     history = facts.stored_history(facts.rating_rows(spark, sf_dir, until=testdata.HISTORY_CUTOFF), "rating_timestamp")
 
-    def load(raw, to_rows):
+    def load(raw, to_rows, changed=None):
         return load_incremental_fact(
-            store, "marts", "fct_ratings", raw, to_rows, facts.RATING_KEYS, "rating_timestamp", "latest", "event_id", buckets=32
-        )
+            store, "marts", "fct_ratings", raw, to_rows, facts.RATING_KEYS, "rating_timestamp", "latest", "event_id", buckets=32,
+            changed=changed,
+        )
 
     load(history, lambda rows: rows.withColumn("event_id", F.lit(None).cast("bigint")))
+    between(store)
     carry = ("event_id",)
     raw = testdata.raw_ratings(spark, sf_dir)
-    return ntz(load(raw, lambda r: marts.fct_ratings_rows(staging.stg_ratings(r, carry=carry), carry=carry)))
+    return store, load(raw, lambda r: marts.fct_ratings_rows(staging.stg_ratings(r, carry=carry), carry=carry), changed)
+
+
+def q_stored_incremental_ratings(spark, sf_dir):
+    return ntz(_two_loads(spark, sf_dir)[1])
+
+
+def q_ratings_summary_kept(spark, sf_dir):
+    """The rating summary of the stored fact after two loads, from the histogram that both kept."""
+    kept = []
+
+    def between(store):
+        KeptHistogram(store, "marts", "fct_ratings", facts.RATING_KEYS, "latest", _ORDER).store()
+        kept.append(KeptHistogram(store, "marts", "fct_ratings", facts.RATING_KEYS, "latest", _ORDER))
+
+    _two_loads(spark, sf_dir, lambda part, batch: kept[0].changed(part, batch), between)
+    return rating_histogram.summary(kept[0].store())
+
+
+def q_orphans_kept(spark, sf_dir):
+    """Orphans of the stored fact after new ratings came and the second catalogue delivery withdrew movies, from those before and the
+    changes."""
+    src = testdata.sources(spark, sf_dir)
+    day1 = project(spark, sf_dir).dim_movies.select("movie_id")
+    day2 = Project(spark, src.replace(raw_movies=testdata.edited_raw_movies(src.raw_movies))).dim_movies.select("movie_id")
+    keep, added, held = scratch_keeper(spark), [], []
+
+    def changed(part, batch):
+        added.append(keep(effects(part, batch, facts.RATING_KEYS, "latest", _ORDER)[1].select("movie_id")))
+
+    def between(store):
+        before = store.read("marts", "fct_ratings")
+        held.extend([keep(orphans.orphans(before, day1)), before])
+
+    _two_loads(spark, sf_dir, changed, between)
+    return orphans.orphans_after(held[0], added[0], held[1], day1, day2)
 
 
 # -- enrichment ------------------------------------------------------------------
@@ -206,6 +252,23 @@ def q_scd2_dim(spark, sf_dir):
     return ntz(snapshots.snap_dim_movies_two_runs(spark, s, SNAPSHOT_DAY_1, SNAPSHOT_DAY_2))
 
 
+def q_scd2_stored(spark, sf_dir):
+    """The catalogue's history through a stored one, of which the second snapshot replaces two partitions."""
+    configure(spark)
+    s = testdata.sources(spark, sf_dir)
+    return ntz(snapshots.stored_raw_movies_two_runs(spark, _own_folder(spark), s, SNAPSHOT_DAY_1, SNAPSHOT_DAY_2))
+
+
+def q_sql_functions(spark, sf_dir):
+    """The library's SQL functions over the model views."""
+    project(spark, sf_dir).stg_movies.createOrReplaceTempView("stg_movies")
+    register_functions(spark)
+    return spark.sql(
+        "SELECT surrogate_key(array(CAST(movie_id AS STRING), piece)) AS genre_sk, movie_id, extract_year(title) AS release_year, "
+        "piece AS genre FROM stg_movies, LATERAL explode_delimited(genres, '|')"
+    )
+
+
 def q_scd2_raw(spark, sf_dir):
     configure(spark)
     s = testdata.sources(spark, sf_dir)
@@ -276,6 +339,9 @@ QUERIES: dict[str, QueryFn] = {
     "incremental_ratings": q_incremental_ratings,
     "incremental_tags": q_incremental_tags,
     "stored_incremental_ratings": q_stored_incremental_ratings,
+    "ratings_summary_kept": q_ratings_summary_kept,
+    "orphans_kept": q_orphans_kept,
+    "sql_functions": q_sql_functions,
     "enrichment_keys": q_enrichment_keys,
     "enrichment_keys_next": q_enrichment_keys_next,
     "enrichment_keys_due": q_enrichment_keys_due,
@@ -284,6 +350,7 @@ QUERIES: dict[str, QueryFn] = {
     "upsert_report": q_upsert_report,
     "scd2_dim": q_scd2_dim,
     "scd2_raw": q_scd2_raw,
+    "scd2_stored": q_scd2_stored,
     "metric_average": _metric(["average_movie_rating"]),
     "metric_count": _metric(["total_ratings"]),
     "metric_count_distinct": _metric(["total_unique_users"]),

@@ -96,6 +96,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    held = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+    return [status.getPath().getName() for status in held]
+
+
 def storage_root(spark: SparkSession) -> str:
     """Shared folder for stored tables and lineage cuts.
 
