@@ -333,6 +333,12 @@ def _report(kinds) -> str:
     )
 
 
+def _kept_report() -> str:
+    line = next(x for x in _ERROR.strip().splitlines() if x.startswith("fct_ratings: "))
+    rows = "\nUNION ALL\n".join(sql.replace("FROM fct_ratings", "FROM inc_fct_ratings") for _, sql in _declared(line, "error"))
+    return f", report AS (\n{rows}\n)\nSELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM report"
+
+
 def _metric_cols() -> str:
     return ("avg(rating) AS average_movie_rating, count(rating_sk) AS total_ratings, "
             "count(DISTINCT user_id) AS total_unique_users")
@@ -397,6 +403,12 @@ _BODIES = {
         f"LEFT JOIN (VALUES {_REAL_SEED}) AS gm(raw_genre, display_genre) ON g.genre = gm.raw_genre"
     ),
     "stored_incremental_ratings": "SELECT * FROM inc_fct_ratings",
+    "fact_checks_kept": _kept_report(),
+    "stored_rebuild": "SELECT * FROM dim_movies_day2",
+    "stored_seed_lookup": (
+        "SELECT g.movie_id, g.genre, gm.display_genre FROM int_genres_exploded g "
+        "LEFT JOIN genre_mapping gm ON g.genre = gm.raw_genre"
+    ),
     "ratings_summary_kept": (
         "SELECT movie_id, avg(rating) AS avg_rating, count(rating) AS rating_count, min(rating) AS min_rating, max(rating) AS max_rating "
         "FROM inc_fct_ratings GROUP BY movie_id"

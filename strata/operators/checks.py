@@ -105,7 +105,7 @@ def failing_rows(check: Check, frames: Mapping[str, DataFrame]) -> DataFrame:
     raise ValueError(check.kind)
 
 
-def _with_status(report: DataFrame) -> DataFrame:
+def with_status(report: DataFrame) -> DataFrame:
     status = (
         F.when(F.col("failures") == 0, F.lit("pass"))
         .when(F.col("severity") == WARN, F.lit("warn"))
@@ -235,7 +235,7 @@ def run_checks(checks: Iterable[Check], frames: Mapping[str, DataFrame]) -> Data
         *[F.max(c).alias(c) for c in ("check_name", "kind", "model", "column_name", "severity")],
         F.sum("n").cast("bigint").alias("failures"),
     ).drop("check_idx")
-    return _with_status(report)
+    return with_status(report)
 
 
 def enforce(report: DataFrame | list[dict]) -> list[dict]:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from strata.operators.checks import enforce, run_checks
 from strata.plans import enrichment, marts, quality, snapshots, staging
 from strata.plans.attempts import AttemptLedger
+from strata.plans.check_state import KeptChecks
 from strata.plans.facts import RATING_KEYS, TAG_KEYS
 from strata.plans.loads import load_incremental_fact, merge_buckets
 from strata.plans.project import Project, scratch_keeper
@@ -81,17 +82,24 @@ def build(
 
     # Incremental facts.
     carry = (order_col,) if order_col else ()
-    counts = KeptHistogram(store, MARTS, "fct_ratings", RATING_KEYS, on_duplicate, ["rating_timestamp", *carry])
+    order = {"rating": ["rating_timestamp", *carry], "tag": ["tag_timestamp", *carry]}
+    kept = [
+        KeptChecks(store, MARTS, "fct_ratings", quality.kept_checks("fct_ratings"), RATING_KEYS, ["rating_sk"], on_duplicate, order["rating"]),
+        KeptChecks(store, MARTS, "fct_tag_applications", quality.kept_checks("fct_tag_applications"), TAG_KEYS, ["tag_application_sk"],
+                   on_duplicate, order["tag"]),
+    ]
+    counts = KeptHistogram(store, MARTS, "fct_ratings", RATING_KEYS, on_duplicate, order["rating"])
     fct_ratings = load_incremental_fact(
         store, MARTS, "fct_ratings", sources.raw_ratings,
         lambda raw: marts.fct_ratings_rows(staging.stg_ratings(raw, carry=carry), carry=carry),
-        RATING_KEYS, "rating_timestamp", on_duplicate, order_col, changed=counts.changed,
+        RATING_KEYS, "rating_timestamp", on_duplicate, order_col,
+        changed=lambda part, batch: (counts.changed(part, batch), kept[0].changed(part, batch)),
     )
     result.tables[HISTOGRAM] = counts.store()
     fct_tags = load_incremental_fact(
         store, MARTS, "fct_tag_applications", sources.raw_tags,
         lambda raw: marts.fct_tag_applications_rows(staging.stg_tags(raw, carry=carry), carry=carry),
-        TAG_KEYS, "tag_timestamp", on_duplicate, order_col,
+        TAG_KEYS, "tag_timestamp", on_duplicate, order_col, changed=kept[1].changed,
     )
     for name, df in (("fct_ratings", fct_ratings), ("fct_tag_applications", fct_tags)):
         result.tables[name] = df
@@ -109,7 +117,10 @@ def build(
     for name in Project.MODEL_NAMES:
         frames[name] = result.tables.get(name, p.model(name))
     frames["fct_ratings"], frames["fct_tag_applications"] = fct_ratings, fct_tags
-    result.report = [r.asDict() for r in run_checks(quality.suite(), frames).collect()]
+    # The facts' own checks are kept by their loads; all others read their models.
+    known = {c for name in ("fct_ratings", "fct_tag_applications") for c in quality.kept_checks(name)}
+    reports = [k.store() for k in kept] + [run_checks([c for c in quality.suite() if c not in known], frames)]
+    result.report = [r.asDict() for report in reports if report is not None for r in report.collect()]
     if fail_on_error:
         enforce(result.report)  # an error-severity failure stops the dependants (the snapshots of the marts)
 

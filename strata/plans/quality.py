@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.checks import ERROR, WARN, Check, failing_rows, run_checks
+from strata.operators.checks import ERROR, ROW_LEVEL, UNIQUENESS, WARN, Check, failing_rows, run_checks
 from strata.plans.project import Project, scratch_keeper
 from strata.sources import testdata
 
@@ -162,6 +162,11 @@ def testdata_frames(spark: SparkSession, sf_dir: str) -> LazyFrames:
     return LazyFrames(builders)
 
 
+def kept_checks(fact: str) -> list[Check]:
+    """The declared checks of an incremental fact that its loads can keep up to date (all but those against other models)."""
+    return [c for c in suite() if c.model == fact and c.kind in ROW_LEVEL + UNIQUENESS]
+
+
 def report(frames: Mapping[str, DataFrame], kinds: Sequence[str] | None = None) -> DataFrame:
     return run_checks(suite(kinds), frames)
 

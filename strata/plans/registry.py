@@ -21,6 +21,7 @@ from strata.functions.sql import register_functions
 from strata.operators.joins import lookup_join
 from strata.plans import enrichment, facts, marts, metrics_catalog, orphans, quality, rating_histogram, snapshots, staging
 from strata.plans.attempts import due_keys
+from strata.plans.check_state import KeptChecks
 from strata.plans.loads import effects, load_incremental_fact
 from strata.plans.project import Project, scratch_keeper
 from strata.plans.rating_histogram import KeptHistogram
@@ -173,6 +174,39 @@ def q_ratings_summary_kept(spark, sf_dir):
     return rating_histogram.summary(kept[0].store())
 
 
+def q_fact_checks_kept(spark, sf_dir):
+    """The report on the stored fact after two loads, kept by both."""
+    kept = []
+
+    def between(store):
+        for _ in range(2):  # after the first load, and before the second
+            kept.append(KeptChecks(
+                store, "marts", "fct_ratings", quality.kept_checks("fct_ratings"), facts.RATING_KEYS, ["rating_sk"], "latest", _ORDER
+            ))
+            kept[0].store()
+
+    _two_loads(spark, sf_dir, lambda part, batch: kept[1].changed(part, batch), between)
+    return kept[1].store()
+
+
+def q_stored_rebuild(spark, sf_dir):
+    """The movie dimension written, rebuilt from the second catalogue delivery, and read back from its layer's folder."""
+    configure(spark)
+    src = testdata.sources(spark, sf_dir, repeated_links=True)
+    store = TableStore(spark, _own_folder(spark))
+    for s in (src, src.replace(raw_movies=testdata.edited_raw_movies(src.raw_movies))):
+        store.write(Project(spark, s).dim_movies, "marts", "dim_movies", repartition_by=["movie_id"])
+    return spark.read.parquet(f"{store.location('marts', 'dim_movies')}/v{store.current_version('marts', 'dim_movies')}")
+
+
+def q_stored_seed_lookup(spark, sf_dir):
+    """The genres of the catalogue looked up in the stored seed."""
+    p = project(spark, sf_dir)
+    seed = TableStore(spark, _own_folder(spark)).write(p.genre_mapping, "seeds", "genre_mapping")
+    mapping = seed.select(F.col("raw_genre").alias("genre"), "display_genre")
+    return lookup_join(p.int_genres_exploded, mapping, "genre", how="left").select("movie_id", "genre", "display_genre")
+
+
 def q_orphans_kept(spark, sf_dir):
     """Orphans of the stored fact after new ratings came and the second catalogue delivery withdrew movies, from those before and the
     changes."""
@@ -341,6 +375,9 @@ QUERIES: dict[str, QueryFn] = {
     "stored_incremental_ratings": q_stored_incremental_ratings,
     "ratings_summary_kept": q_ratings_summary_kept,
     "orphans_kept": q_orphans_kept,
+    "fact_checks_kept": q_fact_checks_kept,
+    "stored_rebuild": q_stored_rebuild,
+    "stored_seed_lookup": q_stored_seed_lookup,
     "sql_functions": q_sql_functions,
     "enrichment_keys": q_enrichment_keys,
     "enrichment_keys_next": q_enrichment_keys_next,

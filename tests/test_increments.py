@@ -7,10 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.functions.sql import register_functions
+from strata.operators.checks import Check, run_checks
 from strata.operators.metrics import Measure, Metric, SemanticModel, metric_query
 from strata.operators.scd2 import scd2_apply
 from strata.operators.upsert import upsert
-from strata.plans import orphans, rating_histogram, snapshots
+from strata.plans import check_state, orphans, rating_histogram, snapshots
+from strata.plans.check_state import KeptChecks
 from strata.plans.loads import effects, load_incremental_fact
 from strata.plans.rating_histogram import KeptHistogram
 from strata.sources.storage import TableStore
@@ -113,6 +115,33 @@ def test_a_histogram_follows_the_loads_and_is_rebuilt_after_a_lost_write(spark,
     assert store.current_version("marts", rating_histogram.NAME) == version
 
 
+def test_kept_checks_equal_the_full_suite_without_reading_the_fact(spark, tmp_path, monkeypatch):
+    checks = [
+        Check("not_null", "f", ("user_id",)), Check("not_null", "f", ("rating",), "warn"), Check("accepted_range", "f", ("rating",), "error", 1.0, 4.5),
+        Check("unique_combination_of_columns", "f", ("user_id", "movie_id")), Check("unique", "f", ("sk",), "warn"),
+    ]
+    store = TableStore(spark, str(tmp_path), keep_versions=1)
+    sk = F.md5(F.concat_ws("-", F.coalesce(F.col("user_id").cast("string"), F.lit("null")), F.coalesce(F.col("movie_id").cast("string"), F.lit("null"))))
+
+    def load(seed, day, n=40):
+        kept = KeptChecks(store, "marts", "f", checks, KEYS, ["sk"], "latest", ORDER)
+        raw = ratings(spark, seed, n, day).withColumn("timestamp", F.unix_seconds("rating_timestamp")).withColumn("sk", sk)
+        load_incremental_fact(
+            store, "marts", "f", raw, lambda r: r.drop("timestamp"), KEYS, "rating_timestamp", "latest", "event_id", buckets=8, changed=kept.changed
+        )
+        return kept.store()
+
+    full = lambda: rows(run_checks(checks, {"f": store.read("marts", "f")}))
+    first = load(1, DAY[0])
+    assert rows(first) == full() and any(r.failures for r in first.collect())
+    with monkeypatch.context() as m:
+        m.setattr(check_state, "run_checks", None)  # from here on the fact is not checked whole
+        reports = [rows(load(seed, DAY[seed - 1], n)) for seed, n in ((2, 5), (3, 60), (3, 60))]
+    assert reports[-1] == full() == reports[-2] and reports[0] != reports[1]
+    with pytest.raises(ValueError):
+        KeptChecks(store, "marts", "f", [Check("unique", "f", ("rating",))], KEYS, ["sk"], "latest", ORDER)
+
+
 def test_kept_orphans_equal_the_full_check(spark):
     keys = lambda xs: spark.createDataFrame([(x,) for x in xs], "movie_id bigint")
     before, dim1, dim2 = keys([1, 1, 2, 3, 9, 9, None]), keys([1, 2, 3, 3, None]), keys([2, 2, 3, 9, 10])
