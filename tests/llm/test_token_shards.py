@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pytest
 
@@ -65,3 +67,48 @@ def test_far_apart_ids(spark):
 def test_empty(spark, empty):
     shards = T.write_shards(empty, scratch(spark, "shards-test"))
     assert T.slots(T.read_shards(spark, shards)).collect() == []
+
+
+def plain_position(index, size, seed=T.SEED):
+    """The place of ``index`` in [0, size) by the keyed rounds, in plain integers."""
+    half, word = max(1, -(-(size - 1).bit_length() // 2)), (1 << 64) - 1
+    low = (1 << half) - 1
+    while True:
+        a, b = index >> half, index & low
+        for r in range(T.ROUNDS):
+            key = int.from_bytes(hashlib.sha256(f"{seed}/{r}".encode()).digest()[:8], "little")
+            x = (b ^ key) * 0x9E3779B97F4A7C15 & word
+            x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & word
+            a, b = b, a ^ (x ^ x >> 32) & low
+        index = a << half | b
+        if index < size:
+            return index
+
+
+def test_slots_equal_a_plain_recomputation(spark, docs):
+    length = 64
+    shards = T.write_shards(docs, scratch(spark, "shards-test"), length=length, shard_text_bytes=100_000)
+    path, pattern = T.vocabulary()
+    with open(path, "rb") as file:
+        encoding = T.encoding(file.read(), pattern)
+    rows = [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]
+    first = min(i for i, _ in rows)
+    per_doc = -(-(max(len(t.encode()) for _, t in rows) + 1) // length)
+    size = (max(i for i, _ in rows) - first + 1) * per_doc
+    want = []
+    for i, text in rows:
+        ids = [*encoding.encode_ordinary(text), T.END]
+        for chunk in range(-(-len(ids) // length)):
+            part = ids[chunk * length : (chunk + 1) * length]
+            want.append((plain_position((i - first) * per_doc + chunk, size), i, chunk, len(part), part))
+    want = [(slot, *w) for slot, w in enumerate(sorted(want))]
+    got = T.slots(T.read_shards(spark, shards)).collect()
+    assert shards.per_doc == per_doc and shards.order.size == size
+    have = sorted((r.slot, r.position, r.doc_id, r.chunk, r.n_tokens, np.frombuffer(r.ids, "<u2")[: r.n_tokens].tolist()) for r in got)
+    assert have == want
+
+
+def test_too_many_slots_raise(spark, monkeypatch):
+    monkeypatch.setattr(T, "numbered", lambda df, *names: (df, 1 << 60, 4 * T.LENGTH, 1))
+    with pytest.raises(ValueError, match="slots"):
+        T.write_shards(spark.createDataFrame([(1, "a")], "doc_id long, text string"), scratch(spark, "shards-test"))
