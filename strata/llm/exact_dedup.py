@@ -11,8 +11,8 @@
 
 Defined cases: NULL text equals empty text. NULL ids rank lowest. The row with the largest id
 stays. Rows that repeat both id and text are listed once each, count in ``group_size``,
-and exactly one of them is kept. An empty table gives an empty result. Only the id and text
-columns are read, so other columns cannot clash.
+and exactly one of them is kept. Texts of any length are hashed whole in the scan and go no further. An empty table gives an empty
+result. Only the id and text columns are read, so other columns cannot clash.
 """
 
 from __future__ import annotations

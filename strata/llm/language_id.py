@@ -3,7 +3,8 @@
 Features: runs of non-letters become one space, letters are lower-cased, and all n-grams of 1 to 3 characters are hashed to
 ``BUCKETS``; weight (1 + log tf) * idf, scaled to length 1. Document frequencies are counted over all training
 documents (partial counts per task, summed per bucket). The classifier is fitted on a bounded
-sample: at most ``PER_LANG`` documents of each language, ``MAX_SAMPLE`` in all, chosen by a hash of their ids, in one task.
+sample: about ``PER_LANG`` documents of each language, ``MAX_SAMPLE`` in all (a hash of their ids chooses, so the number is that in the
+mean; twice that is the bound), in one task. More than ``MAX_SAMPLE`` languages raise.
 Follow-the-regularised-leader updates (proximal form, per-coordinate rates) with elastic-net
 penalties leave most weights at zero. A temperature, fitted on a held-back part of the sample, calibrates the scores.
 

@@ -15,7 +15,8 @@ writes will do. A lost task is run again from the texts and gives the same bytes
 
 Defined cases: NULL or empty text is the one sequence ``[END]``. Rows that repeat id and text are written once. NULL ids,
 different texts under one id, and ids too far apart for a compact index are numbered by a sort of (id, digest) first.
-An empty table writes nothing and returns no rows. Other columns are not read.
+Texts of any length are tokenised whole; the longest sets C, so one very long text widens the index of all (gaps cost nothing, but
+D * C of 2**62 or more raises). An empty table writes nothing and returns no rows. Other columns are not read.
 """
 
 from __future__ import annotations
