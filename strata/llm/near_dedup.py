@@ -17,9 +17,13 @@ similarity reaches the threshold; components of the link graph are the groups.
    deviations beyond the expected) and are confirmed on the full sets rebuilt from the texts, in rounds: each document's
    closest candidates first, at last all that remain. After a round, candidates inside one group cannot change it
    and leave, so a large group is joined by few of its pairs.
-5. In the nodes left over from step 3, all documents outside the main group are compared with all others on the full
-   sets, block by block, so no link is lost to the depth limit. This is the one part that grows with the
-   square of a family that keeps agreeing on minwise tokens without linking; it returns links only.
+5. Documents of the nodes left over from step 3 that still hold several groups are joined exactly, so no link is lost to the
+   depth limit. Shingles that two groups share are ordered by how many documents hold them, the commonest last. Sets of n and n'
+   shingles link only with num * (n + n') / (num + den) in common, so the first they share is followed, in either set, by
+   that many less one. A document therefore meets those of a size class under its shingles that far from the end only, and
+   a family that shares a template meets nowhere unless the template alone could make a link. Small posting lists are
+   compared exhaustively as in step 2. Documents of large ones are compared on the full sets, block by block, all outside the
+   main group with all others; only that part grows with the square of its family, and it returns links only.
 
 So the one way to miss a link is that of step 2: at most a share ``MISS`` of the pairs at the threshold, fewer of closer ones.
 
@@ -51,12 +55,16 @@ MISS = 1e-4
 #: Deepest level, and most trees: a threshold so low that it needs more gets fewer levels, so that more is left to step 5.
 DEPTH, MOST_TREES = 6, 32
 LEAF = 32
+#: Ratio of the sizes at the ends of a size class of step 5.
+CLASS = 1.02
 #: Minwise values that give a bit to a sketch.
 BITS = 64
 #: Closest candidates of each document that a round of confirmation takes; None: all that remain.
 ROUNDS = (4, None)
 #: Documents in a block of step 5, and cells of a matrix in which part of it is compared at once.
 FAMILY_BLOCK, CELLS = 512, 4_000_000
+#: Shingles, about, that a task of step 5 sends at a time.
+TOKENS = 1 << 18
 #: Shingles hashed at a time, which bounds memory for very long texts.
 BLOCK = 2048
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -129,6 +137,11 @@ class Threshold:
                 break
         return trees, levels
 
+    def common(self, n: str, least: str) -> Column:
+        """Fewest shingles that a set of ``n`` shares with a linked one of ``least`` or more."""
+        need = F.expr(f"({self.num} * ({n} + {least}) + {self.num + self.den - 1}) div {self.num + self.den}")
+        return F.greatest(need, F.expr(f"({self.num} * greatest({n}, {least}) + {self.den - 1}) div {self.den}"))
+
     def links(self, a: np.ndarray, b: np.ndarray) -> bool:
         if self.den * min(len(a), len(b)) < self.num * max(len(a), len(b)):
             return False
@@ -233,6 +246,64 @@ def settle(pairs: DataFrame, links: list[DataFrame], texts: DataFrame, k: int, a
     return groups
 
 
+def _tokens(texts: DataFrame, k: int) -> DataFrame:
+    """``(rep, g, n, bits, token)``: a row per distinct shingle of each text."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            held = batch.drop(columns="text")
+            # A document of many shingles goes out by itself, short ones go together.
+            for run in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(held["n"].cumsum() // TOKENS)) + 1):
+                sets = [shingles(text, k).view(np.int64) for text in batch["text"].iloc[run]]
+                out = held.iloc[np.repeat(run, [len(s) for s in sets])].reset_index(drop=True)
+                out["token"] = np.concatenate(sets)
+                yield out
+
+    rows = texts.select("rep", "g", "n", "bits", "text")
+    return rows.mapInPandas(run, "rep long, g long, n long, bits long, token long")
+
+
+def several_groups(members: DataFrame, valid: str = "true") -> DataFrame:
+    """``(key, size)`` of the keys whose members ``(key, rep, g, ...)`` are of more than one group."""
+    sizes = members.groupBy("key").agg(F.count("*").alias("size"), F.min("g").alias("_g"), F.max("g").alias("_h"), F.expr(valid).alias("_v"))
+    return sizes.where("_g <> _h AND _v").select(own_shuffle(F.col("key")).alias("key"), "size")
+
+
+def rare_candidates(
+    left_over: DataFrame, groups: DataFrame, texts: DataFrame, k: int, at_least: Threshold, leaf: int = LEAF
+) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs ``(a, b, apart)`` of different groups among the left-over documents, by their rare shingles, and the
+    members ``(key, rep, n, bits)`` of the posting lists that are too large to be compared as they are."""
+    own = groups.select(F.col("id").alias("_id"), F.col("component").alias("_g"))
+    members = left_over.join(own, F.col("rep") == F.col("_id"), "left").select("key", "rep", "n", "bits", F.coalesce("_g", "rep").alias("g"))
+    mixed = members.join(several_groups(members), "key").select("rep", "g", "n", "bits").distinct()
+    docs = stored(mixed.join(texts, "rep"), "left-over-texts")
+
+    # Only shingles that two groups share can be common to a pair that matters.
+    tokens = _tokens(docs, k).withColumnRenamed("token", "key")
+    shared = tokens.join(several_groups(tokens), "key")
+    from_end = F.row_number().over(Window.partitionBy("rep").orderBy(F.desc("size"), F.desc("key")))
+    ranked = shared.select("rep", "g", "n", "bits", F.col("key").alias("token"), from_end.alias("r"))
+    ranked = ranked.where(F.col("r") >= at_least.common("n", "0"))
+
+    def size_class(n: str) -> str:
+        return f"cast(floor(ln({n}) / ln({CLASS}D)) AS int)"
+
+    sizes = f"sequence({size_class(f'n * {at_least.num / at_least.den}D')} - 1, {size_class(f'n * {at_least.den / at_least.num}D')} + 1)"
+    met = ranked.select("*", F.expr(size_class("n")).alias("c"), F.explode(F.expr(sizes)).alias("d"))
+    met = met.withColumn("least", F.expr(f"greatest(cast(floor(pow({CLASS}D, d)) AS long) - 1, 0L)"))
+    met = met.where(F.col("r") >= at_least.common("n", "least"))
+    lists = stored(met.select(
+        F.xxhash64("token", F.least("c", "d"), F.greatest("c", "d")).alias("key"), "rep", "g", "n", "bits",
+        F.expr("CASE WHEN c = d THEN 2 WHEN c < d THEN 0 ELSE 1 END").alias("side"),
+    ), "rare-shingles")
+    lists = stored(lists.join(several_groups(lists, "max(side) = 2 OR min(side) <> max(side)"), "key"), "rare-lists")
+    small, large = lists.where(F.col("size") <= leaf), lists.where(F.col("size") > leaf)
+    sides = "(x.side = 0 AND y.side = 1 OR x.side = 2 AND y.side = 2 AND x.rep < y.rep)"
+    pairs = _pairs(small, small, F.expr(f"x.key = y.key AND x.g <> y.g AND {sides}"), at_least)
+    return stored(pairs.distinct(), "rare-pairs"), large.select("key", "rep", "n", "bits")
+
+
 def _overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all sets of ``x`` with all of ``y``, by products of 0/1 matrices of at most about
     ``CELLS`` cells (or one row, for a longer set)."""
@@ -291,9 +362,9 @@ def _block_links(rows: pd.DataFrame, k: int, at_least: Threshold) -> list[tuple[
 
 
 def left_over_links(left_over: DataFrame, groups: DataFrame, texts: DataFrame, k: int, at_least: Threshold) -> DataFrame:
-    """Links between different groups among documents of nodes that stayed large.
+    """Links between different groups among documents of posting lists that are large.
 
-    Nodes that share documents form a family. Its documents outside its main group are compared on the full sets with all
+    Lists that share documents form a family. Its documents outside its main group are compared on the full sets with all
     others, block by block: a task gets two blocks of about ``FAMILY_BLOCK`` documents and returns a spanning forest at most."""
     leaders = left_over.groupBy("key").agg(F.min("rep").alias("a"))
     families = components(left_over.join(leaders, "key").select("a", F.col("rep").alias("b")).where("a <> b"))
@@ -348,14 +419,18 @@ def near_groups(
 
     links: list[DataFrame] = []
     groups = settle(pairs, links, texts, k, at_least)
+    alone = reps.select(F.col("rep").alias("id"), F.col("rep").alias("component"))
     if left_over.take(1):
-        known = groups if groups is not None else reps.select(F.col("rep").alias("id"), F.col("rep").alias("component"))
-        more = stored(left_over_links(left_over, known, texts, k, at_least), "left-over-links")
-        if more.take(1):
-            links.append(more)
-            groups = stored(components(union(links)), "groups")
+        rare, left_over = rare_candidates(left_over, alone if groups is None else groups, texts, k, at_least, leaf)
+        joined = settle(rare, links, texts, k, at_least)
+        groups = groups if joined is None else joined
+        if left_over.take(1):
+            more = stored(left_over_links(left_over, alone if groups is None else groups, texts, k, at_least), "left-over-links")
+            if more.take(1):
+                links.append(more)
+                groups = stored(components(union(links)), "groups")
     if groups is None:
-        groups = reps.select(F.col("rep").alias("id"), F.col("rep").alias("component"))
+        groups = alone
 
     named = classes.join(groups, F.col("rep") == F.col("id"), "left").select(
         "_digest", F.coalesce("component", "rep").alias("component_id")

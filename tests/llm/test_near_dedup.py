@@ -73,6 +73,46 @@ def test_families_with_and_without_depth(spark, edits):
     want = brute(rows, 3, 85, 100)
     assert got(near_groups(df, 3, 85)) == want
     assert got(near_groups(df, 3, 85, depth=1, leaf=2)) == want
+    assert got(near_groups(df, 3, 85, depth=1, leaf=40)) == want
+
+
+def left_over(spark, rows, k):
+    """All texts in one node that stayed large, each a group of its own: the arguments of ``rare_candidates``."""
+    df = frame(spark, rows)
+    texts = df.select(F.col("doc_id").alias("rep"), "text")
+    node = near_dedup.sketches(df, k).select(F.lit(0).cast("long").alias("key"), F.col("doc_id").alias("rep"), "n", "bits")
+    return node, df.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("component")), texts
+
+
+def template_family(n, shared, own, seed=5):
+    """Texts of ``shared`` words of one template followed by ``own[i % len(own)]`` words of their own."""
+    rng = random.Random(seed)
+    base = words(rng, shared)
+    return [(i, f"{base} " + " ".join(f"{i}x{j}" for j in range(own[i % len(own)])), "en", "s") for i in range(n)]
+
+
+@pytest.mark.parametrize("own", [[45], [40, 47, 55, 64, 90]])
+def test_a_template_below_the_threshold_joins_nobody(spark, own):
+    """No pair of the family links, and none is compared, whatever the mix of sizes."""
+    pairs, lists = near_dedup.rare_candidates(*left_over(spark, template_family(300, 200, own), 3), 3, Threshold(85, 100))
+    assert pairs.count() == 0 and lists.count() == 0
+
+
+@pytest.mark.parametrize("k,num,leaf", [(3, 85, 400), (3, 85, 4), (1, 60, 400), (5, 80, 400)])
+def test_rare_shingles_find_every_link(spark, k, num, leaf):
+    """Each link is a candidate, or both its texts are in one large list; sizes from a few words to hundreds."""
+    rng = random.Random(num + leaf)
+    rows = family(60, 14, num) + [(500 + i, t, a, b) for i, t, a, b in template_family(40, 120, list(range(0, 60, 3)))]
+    for i in range(60):  # chains of growing texts, some of a few words
+        rows.append((1000 + i, " ".join(f"c{i % 3}x{j}" for j in range(2 + i // 3 * (1 + i % 3))) + rng.choice(["", " end"]), "en", "s"))
+    at_least = Threshold(num, 100)
+    pairs, lists = near_dedup.rare_candidates(*left_over(spark, rows, k), k, at_least, leaf)
+    found = {(r.a, r.b) for r in pairs.collect()}
+    for r in lists.groupBy("key").agg(F.collect_set("rep").alias("reps")).collect():
+        found.update(itertools.combinations(sorted(r.reps), 2))
+    sets = {i: shingle_set(t, k) for i, t, *_ in rows}
+    links = {(x, y) for x, y in itertools.combinations(sorted(sets), 2) if 100 * len(sets[x] & sets[y]) >= num * len(sets[x] | sets[y])}
+    assert len(links) > 100 and links <= found
 
 
 def threshold_pairs(families, pairs, common, own, edits, seed=1):
