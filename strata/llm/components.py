@@ -8,34 +8,47 @@ from pyspark.sql import functions as F
 from strata.llm.common import own_shuffle, stored
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Link each vertex's larger (or, for the small star, smaller) neighbours to its least neighbour."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
-    # The least neighbour is found by partial minima, so a vertex with very many edges sends one row per task.
-    least = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
-    least = least.select(own_shuffle(F.col("u")).alias("u"), F.least("u", "m").alias("m"))
-    near = both.join(least, F.col("a") == F.col("u"))
-    if large:
-        out = near.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        out = near.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.selectExpr("u AS a", "m AS b"))
-    return out.where("a <> b")
+def _neighbours(edges: DataFrame) -> DataFrame:
+    """``(u, m, hangs, holds)`` per vertex: its least neighbour, how many smaller ones it has, and whether it has a larger one.
+
+    Partial aggregates: a vertex with very many edges sends one row per task."""
+    both = edges.selectExpr("a AS u", "b AS v").unionByName(edges.selectExpr("b AS u", "a AS v"))
+    larger = F.col("v") > F.col("u")
+    return both.groupBy("u").agg(F.min("v").alias("m"), F.count_if(~larger).alias("hangs"), F.max(larger.cast("int")).alias("holds"))
 
 
 def _is_star_forest(edges: DataFrame) -> bool:
     """Whether every vertex hangs on one other that hangs on none; one count comes to the driver."""
-    ends = edges.selectExpr("a AS v", "1 AS hangs", "0 AS holds").unionByName(edges.selectExpr("b AS v", "0 AS hangs", "1 AS holds"))
-    both = ends.groupBy("v").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
-    return both.agg(F.count_if(F.expr("hangs + holds > 1 AND hangs > 0"))).first()[0] == 0
+    return _neighbours(edges).agg(F.count_if(F.expr("hangs + holds > 1 AND hangs > 0"))).first()[0] == 0
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``(id, component)`` for every vertex of ``edges(a, b)``; the component is its smallest vertex.
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Link each vertex's larger neighbours to the least of it and its neighbours."""
+    least = _neighbours(edges).where("holds = 1").select(own_shuffle(F.col("u")).alias("u"), F.least("u", "m").alias("m"))
+    return edges.join(least, F.col("b") == F.col("u")).select("a", F.col("m").alias("b"))
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Link each vertex and its smaller neighbours to the least of these."""
+    least = edges.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
+    least = least.select(own_shuffle(F.col("u")).alias("u"), "m")
+    near = edges.join(least, F.col("a") == F.col("u"))
+    return near.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.selectExpr("u AS a", "m AS b")).where("a <> b")
+
 
+def stars(edges: DataFrame) -> DataFrame:
+    """``(id, component)`` for every vertex of ``edges(a, b)`` but the components' smallest vertices, which name them.
+
+    ``edges`` is read several times, so it should be a stored table; an edge that is given twice costs a round at most.
     Each round is written to the shared folder. Rounds grow with the logarithm of the largest component's diameter.
     """
-    now = stored(edges.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").where("a <> b").distinct(), "edges")
+    now = edges.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").where("a <> b")
     while not _is_star_forest(now):
-        now = stored(_star(_star(now, large=True), large=False).distinct(), "edges")
-    roots = now.select(F.col("b").alias("id"), F.col("b").alias("component"))
-    return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots.distinct())
+        now = stored(_small_star(_large_star(now)).distinct(), "edges")
+    return now.select(F.col("a").alias("id"), F.col("b").alias("component"))
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """``(id, component)`` for every vertex of ``edges(a, b)``; the component is its smallest vertex. See ``stars``."""
+    hung = stars(edges)
+    return hung.unionByName(hung.select(F.col("component").alias("id"), "component").distinct())

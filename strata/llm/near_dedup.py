@@ -15,7 +15,7 @@ similarity reaches the threshold; components of the link graph are the groups.
    finished exactly in step 5.
 4. Candidates pass two bounds that no true link fails (size ratio; differing bits more than 6.5 standard
    deviations beyond the expected) and are confirmed on the full sets rebuilt from the texts, in rounds: each document's
-   closest candidates first, at last all that remain. After a round, candidates inside one group cannot change it
+   closest candidates first, at last all that remain (with those of step 5, if there are any). After a round, candidates inside one group cannot change it
    and leave, so a large group is joined by few of its pairs.
 5. Documents of the nodes left over from step 3 that still hold several groups are joined exactly, so no link is lost to the
    depth limit. Shingles that two groups share are ordered by how many documents hold them, the commonest last. Sets of n and n'
@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strata.llm.common import document_order, documents, filled, own_shuffle, packed, stored
-from strata.llm.components import components
+from strata.llm.components import components, stars
 
 #: Chance at most that no tree holds a pair at the threshold together down to the deepest level.
 MISS = 1e-4
@@ -172,23 +172,25 @@ def candidates(reps: DataFrame, at_least: Threshold, depth: int = DEPTH, leaf: i
     rows = reps.select(F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "rep", "n", "bits", "sig").select(
         F.xxhash64("tree", F.get("sig", F.col("tree") * depth)).alias("key"), "rep", "n", "bits", own.alias("tokens")
     )
-    found = []
+    leaves, stars = [], []
     for level in range(1, depth + 1):
         nodes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("rep", "n", "bits")).alias("least"))
         nodes = nodes.where("size > 1").withColumn("key", own_shuffle(F.col("key")))  # a common token's node is split
         members = rows.join(nodes, "key").withColumn("tokens", F.when(F.col("size") > leaf, F.col("tokens")))
         members = stored(members, f"nodes-{level}")
         small, large = members.where(F.col("size") <= leaf), members.where(F.col("size") > leaf)
-        found.append(_pairs(small, small, F.expr("x.key = y.key AND x.rep < y.rep"), at_least))
+        leaves.append(small.select("key", "rep", "n", "bits"))
         star = large.select(F.struct("rep", "n", "bits").alias("x"), F.col("least").alias("y"))
         star = star.where((F.col("x.rep") != F.col("y.rep")) & at_least.possible("x", "y"))
-        found.append(star.select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"), bits_apart("x", "y").alias("apart")))
+        stars.append(star.select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"), bits_apart("x", "y").alias("apart")))
         if level == depth or not large.take(1):
             break
         key = F.xxhash64("key", F.get("tokens", F.lit(level - 1)))
         rows = large.select(key.alias("key"), "rep", "n", "bits", "tokens")
     left_over = large.where(F.lit(level == depth)).select("key", "rep", "n", "bits")
-    return stored(union(found).distinct(), "pairs"), left_over
+    small = union(leaves)  # keys tell the levels apart: one shuffle compares the small nodes of all
+    found = _pairs(small, small, F.expr("x.key = y.key AND x.rep < y.rep"), at_least)
+    return stored(union([found, *stars]).distinct(), "pairs"), left_over
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, k: int, at_least: Threshold) -> DataFrame:
@@ -228,10 +230,13 @@ def union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def settle(pairs: DataFrame, links: list[DataFrame], texts: DataFrame, k: int, at_least: Threshold) -> DataFrame | None:
-    """Confirm candidates until none is left between two groups. Adds to ``links``; the groups ``(id, component)``, None without links."""
-    rest, groups = pairs, None
-    for n in ROUNDS:
+def settle(
+    rest: DataFrame, groups: DataFrame | None, links: list[DataFrame], texts: DataFrame, k: int, at_least: Threshold,
+    rounds: tuple[int | None, ...] = ROUNDS,
+) -> tuple[DataFrame, DataFrame | None]:
+    """Confirm candidates in rounds. Adds to ``links``; the candidates between two groups that no round has taken, and the
+    groups ``(id, component)``, None without links. A group's least document, which names it, has no row."""
+    for n in rounds:
         if not rest.take(1):
             break
         chosen = rest if n is None else stored(closest(rest, n), "closest")
@@ -240,10 +245,10 @@ def settle(pairs: DataFrame, links: list[DataFrame], texts: DataFrame, k: int, a
         if n is not None:
             rest = rest.join(chosen.select("a", "b"), ["a", "b"], "left_anti")
         if found.take(1):
-            groups = stored(components(union(links)), "groups")
+            groups = stars(union(links))
         if n is not None:
             rest = stored(_across(rest, groups) if groups is not None else rest, "candidates")
-    return groups
+    return rest, groups
 
 
 def _tokens(texts: DataFrame, k: int) -> DataFrame:
@@ -270,10 +275,11 @@ def several_groups(members: DataFrame, valid: str = "true") -> DataFrame:
 
 
 def rare_candidates(
-    left_over: DataFrame, groups: DataFrame, texts: DataFrame, k: int, at_least: Threshold, leaf: int = LEAF
-) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs ``(a, b, apart)`` of different groups among the left-over documents, by their rare shingles, and the
-    members ``(key, rep, n, bits)`` of the posting lists that are too large to be compared as they are."""
+    left_over: DataFrame, groups: DataFrame, texts: DataFrame, k: int, at_least: Threshold, leaf: int = LEAF,
+    rest: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs ``(a, b, apart)`` of different groups among the left-over documents, by their rare shingles, with those of
+    ``rest``, and the members ``(key, rep, n, bits)`` of the posting lists that are too large to be compared as they are."""
     own = groups.select(F.col("id").alias("_id"), F.col("component").alias("_g"))
     members = left_over.join(own, F.col("rep") == F.col("_id"), "left").select("key", "rep", "n", "bits", F.coalesce("_g", "rep").alias("g"))
     mixed = members.join(several_groups(members), "key").select("rep", "g", "n", "bits").distinct()
@@ -301,6 +307,7 @@ def rare_candidates(
     small, large = lists.where(F.col("size") <= leaf), lists.where(F.col("size") > leaf)
     sides = "(x.side = 0 AND y.side = 1 OR x.side = 2 AND y.side = 2 AND x.rep < y.rep)"
     pairs = _pairs(small, small, F.expr(f"x.key = y.key AND x.g <> y.g AND {sides}"), at_least)
+    pairs = pairs if rest is None else pairs.unionByName(rest)
     return stored(pairs.distinct(), "rare-pairs"), large.select("key", "rep", "n", "bits")
 
 
@@ -367,7 +374,8 @@ def left_over_links(left_over: DataFrame, groups: DataFrame, texts: DataFrame, k
     Lists that share documents form a family. Its documents outside its main group are compared on the full sets with all
     others, block by block: a task gets two blocks of about ``FAMILY_BLOCK`` documents and returns a spanning forest at most."""
     leaders = left_over.groupBy("key").agg(F.min("rep").alias("a"))
-    families = components(left_over.join(leaders, "key").select("a", F.col("rep").alias("b")).where("a <> b"))
+    edges = left_over.join(leaders, "key").select("a", F.col("rep").alias("b")).where("a <> b").distinct()
+    families = components(stored(edges, "edges"))
     own = groups.select(F.col("id").alias("_id"), F.col("component").alias("_g"))
     members = families.select(F.col("id").alias("rep"), F.col("component").alias("family")).join(own, F.col("rep") == F.col("_id"), "left")
     members = stored(members.select("family", "rep", F.coalesce("_g", "rep").alias("g")), "families")
@@ -403,12 +411,11 @@ def near_groups(
     sketch = stored(sketches(df, k, id_col, text_col, max(BITS, trees * levels)), "sketches")
     usable = sketch.where("doc_id IS NOT NULL AND n > 0")
     shared = usable.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b")
-    if shared.take(1):
+    if shared.limit(1).count():
         return _renumbered_groups(df, k, num, den, id_col, text_col, depth, leaf)
-    classes = stored(usable.groupBy(F.col("digest").alias("_digest")).agg(F.min("doc_id").alias("rep")), "classes")
-    same = (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("_digest"))
-    reps = usable.join(classes, same).dropDuplicates(["doc_id", "digest"])
-    reps = stored(reps.select("rep", "n", "bits", "sig", "digest"), "class-reps")
+    least = F.min(F.struct(F.col("doc_id").alias("rep"), "n", "bits", "sig")).alias("least")
+    reps = stored(usable.groupBy("digest").agg(least).select("least.*", "digest"), "class-reps")
+    classes = reps.select(F.col("digest").alias("_digest"), "rep")
 
     pairs, left_over = candidates(reps, at_least, depth, leaf)
     # The texts of documents in any candidate pair are gathered once, one row per id.
@@ -418,17 +425,19 @@ def near_groups(
     texts = stored(texts.join(wanted.hint("merge"), "rep", "left_semi").dropDuplicates(["rep"]), "candidate-texts")
 
     links: list[DataFrame] = []
-    groups = settle(pairs, links, texts, k, at_least)
     alone = reps.select(F.col("rep").alias("id"), F.col("rep").alias("component"))
-    if left_over.take(1):
-        rare, left_over = rare_candidates(left_over, alone if groups is None else groups, texts, k, at_least, leaf)
-        joined = settle(rare, links, texts, k, at_least)
-        groups = groups if joined is None else joined
+    if not left_over.take(1):
+        _, groups = settle(pairs, None, links, texts, k, at_least)
+    else:
+        # What the first round leaves is confirmed together with the candidates of step 5.
+        rest, groups = settle(pairs, None, links, texts, k, at_least, ROUNDS[:1])
+        rest, left_over = rare_candidates(left_over, alone if groups is None else groups, texts, k, at_least, leaf, rest)
+        _, groups = settle(rest, groups, links, texts, k, at_least)
         if left_over.take(1):
             more = stored(left_over_links(left_over, alone if groups is None else groups, texts, k, at_least), "left-over-links")
             if more.take(1):
                 links.append(more)
-                groups = stored(components(union(links)), "groups")
+                groups = stars(union(links))
     if groups is None:
         groups = alone
 
