@@ -14,10 +14,11 @@ n bytes needs about 2 n / (LENGTH - GRAM + 2) suffixes instead of n.
    likewise: where left extensions differ, a left interval ends. An interval that is diverse
    on both sides is a maximal repeat within the contexts, and carries all its occurrences.
 5. All but the earliest occurrence of a repeat are spans to remove; spans are merged per document.
-   A gram with more than ``BLOCK`` occurrences left is scanned in blocks; then its strings are compared across
-   blocks by one partial minimum per string.
+   A gram with more than ``BLOCK`` occurrences left is scanned in blocks; then its contexts are compared across
+   blocks: equal ones by one minimum per context, what is left by strings, of which only those are made
+   whose bytes around the anchor occur again.
 
-Documents equal to an earlier one are known by digest and removed whole without steps 3 to 5.
+Documents equal to an earlier one are known by digest and removed whole without steps 1 to 5.
 
 Defined cases: NULL text is empty. Order is by id, NULL ids first, then by digest where different texts share an id; rows that
 repeat id and text are one document, listed each. Texts under LENGTH bytes lose nothing. Texts longer than a chunk are scanned
@@ -41,6 +42,8 @@ LENGTH = 100
 GRAM = 32
 CHUNK = 1 << 20
 BLOCK = 4096
+SLICE = 1 << 14
+SIDE = 16
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(20240102).integers(0, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 #: ``place`` of an anchor: position << 16 | bytes to the first string's start << 8 | strings - 1; of a local span: -1.
@@ -56,12 +59,27 @@ def _doubled(h: np.ndarray, m: int) -> np.ndarray:
 
 
 def _sliding_min(v: np.ndarray, w: int) -> np.ndarray:
-    """Minimum of every w neighbours, by prefix and suffix minima of blocks of w."""
-    blocks = np.concatenate((v, np.full(-len(v) % w, np.iinfo(np.uint64).max, np.uint64))).reshape(-1, w)
-    prefix = np.minimum.accumulate(blocks, axis=1).ravel()
-    suffix = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    n = len(v) - w + 1
-    return np.minimum(suffix[:n], prefix[w - 1 : w - 1 + n])
+    """Minimum of every w neighbours, by doubling."""
+    m = 1
+    while 2 * m <= w:
+        v, m = np.minimum(v[:-m], v[m:]), 2 * m
+    return np.minimum(v[: len(v) - (w - m)], v[w - m :])
+
+
+def _hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of GRAM bytes at every place of a chunk, and the anchor of every LENGTH bytes. Worked out
+    a slice at a time, so that what lies between stays in the processor's cache."""
+    n = len(raw)
+    h, anchor = np.empty(n - GRAM + 1, np.uint64), np.empty(n - LENGTH + 1, np.int64)
+    for at in range(0, n - LENGTH + 1, SLICE):
+        end = min(at + SLICE + LENGTH - 1, n)
+        part = _BYTES[raw[at:end]]
+        for m in (1, 2, 4, 8, 16):
+            part = _doubled(part, m)
+        h[at : end - GRAM + 1] = part
+        ranked = (part * _MIX) >> np.uint64(32) << np.uint64(32) | np.arange(at, at + len(part), dtype=np.uint64)
+        anchor[at : end - LENGTH + 1] = _sliding_min(ranked, LENGTH - GRAM + 1) & np.uint64(0xFFFFFFFF)
+    return h, anchor
 
 
 def _expand(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,17 +97,14 @@ def scan_chunk(segments: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.n
     sizes = np.array([len(s[2]) for s in segments])
     starts = np.cumsum(sizes) - sizes
     shift = np.array([s[1] for s in segments]) - starts  # from places in the chunk to places in the text
-    h = _BYTES[np.frombuffer(b"".join(s[2] for s in segments), np.uint8)]
-    for m in (1, 2, 4, 8, 16):
-        h = _doubled(h, m)
-    h64 = _doubled(h, 32)
-
-    at = np.arange(len(h), dtype=np.uint64)
-    least = _sliding_min((h * _MIX) >> np.uint64(32) << np.uint64(32) | at, LENGTH - GRAM + 1)
-    place, owner = _expand(starts, starts + sizes - LENGTH)
-    anchor = (least[place] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    cut = np.flatnonzero(np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1]))))
-    lo, hi, anchor, owner = place[cut], place[np.append(cut[1:], len(place)) - 1], anchor[cut], owner[cut]
+    h, anchor = _hashes(np.frombuffer(b"".join(s[2] for s in segments), np.uint8))
+    # A run of strings goes on until the anchor changes or the segment has no further string.
+    lo = np.unique(np.concatenate((starts, np.flatnonzero(anchor[1:] != anchor[:-1]) + 1)))
+    owner = np.searchsorted(starts, lo, side="right") - 1
+    last = (starts + sizes - LENGTH)[owner]
+    hi = np.minimum(np.append(lo[1:], len(anchor)) - 1, last)
+    lo, hi, owner = (x[lo <= last] for x in (lo, hi, owner))
+    anchor = anchor[lo]
     gram = h[anchor].view(np.int64)
 
     # Strings that repeat inside the chunk.
@@ -103,7 +118,8 @@ def scan_chunk(segments: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.n
     alive = np.ones(len(gram), bool)
     if len(runs):
         s, run = _expand(lo[runs], hi[runs])
-        key_a, key_b = h64[s], h64[s + LENGTH - 64]  # together they cover the string
+        # The hashes of the first and of the last 64 bytes; together they cover the string.
+        key_a, key_b = ((h[x] ^ h[x] >> np.uint64(29)) * _MIX + h[x + GRAM] for x in (s, s + LENGTH - 2 * GRAM))
         order = np.argsort(key_a * _MIX ^ key_b, kind="stable")  # stable: earlier strings first
         key_a, key_b = key_a[order], key_b[order]
         repeat = np.zeros(len(s), bool)
@@ -243,12 +259,12 @@ def maximal_repeats(right: list[bytes], left: list[bytes], length: int = LENGTH)
 CONTEXTS = "gram long, block long, doc long, at long, first long, bytes binary"
 
 
-def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
     """The rows of one gram and block at a time. Rows of one (doc, at), which a repeated document has and an anchor whose
     run goes on in the next segment of a long text, become one context."""
     held: list[tuple] = []
     for batch in batches:
-        for row in batch.itertuples(index=False, name=None):
+        for row in zip(*(c.to_numpy(zero_copy_only=False).tolist() for c in batch.columns), strict=True):
             if held and held[0][:2] != row[:2]:
                 yield held
                 held = []
@@ -261,24 +277,28 @@ def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
         yield held
 
 
+def _longs(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [()] * len(names))], names)
+
+
 def repeat_groups(contexts: DataFrame) -> DataFrame:
     """Maximal repeats with all their occurrences: ``(gram, repeat, length, doc, start)``. Rows with equal
     (gram, repeat) are one group; a repeat that runs past the contexts is reported by each anchor on its way."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         for rows in _groups(batches):
             if len(rows) > 1:
                 for n, (back, ahead, group) in enumerate(_repeats(rows)):
                     out += [(rows[0][0], rows[0][1] << 32 | n, back + ahead, rows[x][2], rows[x][3] - back) for x in group]
             if len(out) > 10_000:
-                yield pd.DataFrame(out, columns=names)
+                yield _longs(out, names)
                 out = []
-        yield pd.DataFrame(out, columns=names)
+        yield _longs(out, names)
 
     names = ["gram", "repeat", "length", "doc", "start"]
     ordered = contexts.repartition("gram", "block").sortWithinPartitions("gram", "block", "doc", "at", "first")
-    return ordered.mapInPandas(run, "gram long, repeat long, length long, doc long, start long")
+    return ordered.mapInArrow(run, "gram long, repeat long, length long, doc long, start long")
 
 
 def _repeats(rows: list[tuple]) -> Iterator[tuple[int, int, list[int]]]:
@@ -289,35 +309,57 @@ def _repeats(rows: list[tuple]) -> Iterator[tuple[int, int, list[int]]]:
 def repeated_spans(contexts: DataFrame) -> DataFrame:
     """Spans ``(doc, start, end)`` of all but the earliest occurrence of each maximal repeat."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         for rows in _groups(batches):
+            if len(rows) > 1:
+                heads: dict[tuple[int, bytes], tuple] = {}  # equal contexts are one leaf of the trees, held by the earliest
+                for row in rows:  # in document order
+                    if heads.setdefault((row[3] - row[4], row[5]), row) is not row:
+                        out.append((row[2], row[4], row[4] + len(row[5])))
+                rows = list(heads.values())
             if len(rows) > 1:
                 found = set()
                 for back, ahead, group in _repeats(rows):
-                    earliest = min(group)  # rows are in document order
+                    earliest = min(group)
                     found.update((x, back, ahead) for x in group if x != earliest)
                 out += [(rows[x][2], rows[x][3] - back, rows[x][3] + ahead) for x, back, ahead in found]
             if len(out) > 10_000:
-                yield pd.DataFrame(out, columns=["doc", "start", "end"])
+                yield _longs(out, ["doc", "start", "end"])
                 out = []
-        yield pd.DataFrame(out, columns=["doc", "start", "end"])
+        yield _longs(out, ["doc", "start", "end"])
 
     ordered = contexts.repartition("gram", "block").sortWithinPartitions("gram", "block", "doc", "at", "first")
-    return ordered.mapInPandas(run, "doc long, start long, end long")
-
-
-def spans_across_blocks(contexts: DataFrame, hot: DataFrame) -> DataFrame:
-    """The like for grams with several blocks, across them: every string against the earliest equal one."""
-    strings = contexts.join(hot, "gram", "left_semi").select(
-        "doc", "first", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - LENGTH)).alias("i"), "bytes"
+    return ordered.mapInArrow(run, "doc long, start long, end long")
+
+
+def spans_across_blocks(contexts: DataFrame) -> DataFrame:
+    """The like for the contexts of grams with several blocks, across them: every string against the earliest equal one."""
+    back = F.col("at") - F.col("first")
+    ours = stored(contexts.select("gram", back.alias("back"), "bytes", F.struct("doc", "at").alias("where")), "hot-contexts")
+    # Equal contexts: the earliest one stands for all.
+    heads = stored(ours.groupBy("gram", "back", "bytes").agg(F.min("where").alias("earliest")), "hot-heads")
+    start = F.col("where.at") - F.col("back")
+    again = ours.join(heads, ["gram", "back", "bytes"]).where("where <> earliest")
+    again = again.select("where.doc", start.alias("start"), (start + F.octet_length("bytes")).alias("end"))
+    # A string with b bytes before the anchor holds all bytes from ``side * SIDE`` before it to ``LENGTH - (side + 1) * SIDE`` after
+    # it, side being b // SIDE. Only where these occur again can the string.
+    least = F.col("back") - F.octet_length("bytes") + LENGTH
+    sides = F.sequence(F.floor(F.greatest(least, F.lit(0)) / SIDE), F.floor(F.col("back") / SIDE))
+    sided = heads.select(F.col("earliest").alias("where"), "gram", "back", "bytes", least.alias("least"), F.explode(sides).alias("side"))
+    shared = F.substring(F.col("bytes"), (F.col("back") - F.col("side") * SIDE + 1).cast("int"), F.lit(LENGTH - SIDE + 1))
+    sided = sided.withColumn("shared", F.xxhash64("gram", "side", shared))
+    met = stored(sided.groupBy("shared").count().where("count > 1").select("shared"), "hot-shared")
+    most = F.least(F.col("back"), F.col("side") * SIDE + SIDE - 1)
+    strings = sided.join(met, "shared", "left_semi").select(
+        "where", "back", "bytes", F.explode(F.sequence(F.greatest(F.col("least"), F.col("side") * SIDE), most)).alias("b")
     ).select(
-        F.struct("doc", (F.col("first") + F.col("i")).alias("start")).alias("where"),
-        F.sha2(F.substring(F.col("bytes"), F.col("i") + 1, F.lit(LENGTH)), 256).alias("string"),
+        F.struct("where.doc", (F.col("where.at") - F.col("b")).alias("start")).alias("where"),
+        F.sha2(F.substring(F.col("bytes"), (F.col("back") - F.col("b") + 1).cast("int"), F.lit(LENGTH)), 256).alias("string"),
     )
     first = strings.groupBy("string").agg(F.min("where").alias("earliest"))
     later = strings.join(first, "string").where("where <> earliest")
-    return later.select("where.doc", "where.start", (F.col("where.start") + LENGTH).alias("end"))
+    return again.unionByName(later.select("where.doc", "where.start", (F.col("where.start") + LENGTH).alias("end")))
 
 
 # -- the operator -----------------------------------------------------------------------------------------------------
@@ -341,29 +383,54 @@ def first_documents(ledger: DataFrame) -> DataFrame:
     return stored(ledger.groupBy(F.col("digest").alias("_digest")).agg(F.min("doc").alias("first")), "first-documents")
 
 
-def candidate_contexts(df: DataFrame, ledger: DataFrame, first: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Steps 1 to 3: the texts with anything to look at, ``(doc, text, spans)``, and their anchors' contexts."""
-    found = stored(partnered(anchors(df)), "anchors")
+def contexts_of(texts: DataFrame, hot_only: bool = False) -> DataFrame:
+    """The contexts of the texts' ``anchors``, or of those whose gram has several blocks. Texts are cut in tasks of their own: an
+    expression over the exploded anchors would copy the whole text for each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        cut: list[bytes] = []
+
+        def flush() -> pa.RecordBatch:
+            longs = np.concatenate(held, axis=1) if held else np.empty((5, 0), np.int64)
+            return pa.RecordBatch.from_arrays([*map(pa.array, longs), pa.array(cut, pa.binary())], names)
+
+        for batch in batches:
+            for doc, text, found in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                gram, block, place, _ = (c.to_numpy(zero_copy_only=False) for c in found.values.flatten())
+                raw = text.as_buffer().to_pybytes()
+                at = place >> 16
+                first = at - (place >> 8 & 255)
+                cut += [raw[i:j] for i, j in zip(first.tolist(), (first + (place & 255) + LENGTH).tolist(), strict=True)]
+                held.append(np.stack((gram, block, np.full(len(gram), doc), at, first)))
+                if len(cut) > 20_000:
+                    yield flush()
+                    held, cut = [], []
+        yield flush()
+
+    names = ["gram", "block", "doc", "at", "first", "bytes"]
+    wanted = F.filter("anchors", lambda a: a["hot"]) if hot_only else F.col("anchors")
+    return texts.select("doc", "text", wanted.alias("anchors")).where("size(anchors) > 0").mapInArrow(run, CONTEXTS)
+
+
+def candidate_contexts(df: DataFrame, ledger: DataFrame, first: DataFrame) -> tuple[DataFrame, bool]:
+    """Steps 1 to 3 but for the cutting: the texts with anything to look at, ``(doc, text, anchors, spans)``, and whether a gram has
+    several blocks. Documents equal to an earlier one are left out."""
     copies = ledger.join(first, F.col("digest") == F.col("_digest")).where("doc <> first").select("doc").distinct()
-    anchor = F.when(F.col("place") >= 0, F.struct("gram", "block", "place"))
+    found = stored(partnered(anchors(df.join(stored(copies, "copies"), "doc", "left_anti"))), "anchors")
+    hot = stored(found.where("place >= 0 AND block > 0").select("gram").distinct(), "hot-grams")
+    several = bool(hot.take(1))
+    if several:
+        found = found.join(hot.withColumn("hot", F.lit(True)), "gram", "left")
+    anchor = F.struct("gram", "block", "place", F.coalesce("hot", F.lit(False)).alias("hot") if several else F.lit(False).alias("hot"))
+    anchor = F.when(F.col("place") >= 0, anchor)
     span = F.when(
         F.col("place") < 0,
         F.struct(F.shiftright("gram", 31).alias("start"), (F.shiftright("gram", 31) + F.col("gram").bitwiseAND(2**31 - 1)).alias("end")),
     )
-    touched = (
-        found.groupBy("doc").agg(F.collect_list(anchor).alias("anchors"), F.collect_list(span).alias("spans"))
-        .join(copies, "doc", "left_anti")
-    )
-    texts = stored(df.join(touched, "doc").dropDuplicates(["doc"]).select("doc", "text", "anchors", "spans"), "touched-texts")
-
-    def context(a):
-        at = F.shiftright(a["place"], 16)
-        first = at - F.shiftright(a["place"], 8).bitwiseAND(255)
-        size = (a["place"].bitwiseAND(255) + LENGTH).cast("int")
-        part = F.substring(F.col("text").cast("binary"), (first + 1).cast("int"), size)
-        return F.struct(a["gram"].alias("gram"), a["block"].alias("block"), F.col("doc").alias("doc"), at.alias("at"), first.alias("first"), part.alias("bytes"))
-
-    return texts, texts.select(F.explode(F.transform("anchors", context)).alias("c")).select("c.*")
+    touched = found.groupBy("doc").agg(F.collect_list(anchor).alias("anchors"), F.collect_list(span).alias("spans"))
+    texts = df.join(touched, "doc").dropDuplicates(["doc"]).select("doc", "text", "anchors", "spans")
+    return stored(texts, "touched-texts"), several
 
 
 def cut_spans(raw: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:
@@ -385,11 +452,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``kept`` (NULL: the whole text stays)."""
     rows, ledger = _numbered_documents(df, id_col, text_col)
     first = first_documents(ledger)
-    texts, contexts = candidate_contexts(rows, ledger, first)
-    spans = repeated_spans(contexts)
-    hot = contexts.where("block > 0").select("gram").distinct()
-    if hot.take(1):
-        spans = spans.unionByName(spans_across_blocks(contexts, stored(hot, "hot-grams")))
+    texts, several = candidate_contexts(rows, ledger, first)
+    spans = repeated_spans(contexts_of(texts))
+    if several:
+        spans = spans.unionByName(spans_across_blocks(contexts_of(texts, hot_only=True)))
     per_doc = stored(spans.groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("more")), "spans")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -418,9 +484,9 @@ def maximal_repeat_groups(df: DataFrame, id_col: str = "doc_id", text_col: str =
     """Steps 1 to 4 as a table: ``(gram, repeat, length, doc_id, start)``, every occurrence of every maximal repeat among the
     texts' first strings (copies of whole documents and repeats inside a chunk are settled before)."""
     rows, ledger = _numbered_documents(df, id_col, text_col)
-    _, contexts = candidate_contexts(rows, ledger, first_documents(ledger))
+    texts, _ = candidate_contexts(rows, ledger, first_documents(ledger))
     names = ledger.select("doc", "doc_id").distinct()
-    return repeat_groups(contexts).join(names, "doc").select("gram", "repeat", "length", "doc_id", "start")
+    return repeat_groups(contexts_of(texts)).join(names, "doc").select("gram", "repeat", "length", "doc_id", "start")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -139,5 +139,58 @@ def test_groups_hold_every_occurrence_and_cannot_be_extended(spark):
     assert {5, 6} <= sizes
 
 
+def test_equal_documents_are_not_scanned(spark, monkeypatch):
+    """Copies are known by digest: their texts need no anchors, however many there are."""
+    rng = random.Random(4)
+    texts = [words(rng, 60) for _ in range(4)]
+    rows = [(i, texts[i % 4] if i < 20 else words(rng, 60), "en", "s") for i in range(24)]
+    scanned, anchors = [], S.anchors
+    monkeypatch.setattr(S, "anchors", lambda d: (scanned.extend(r.doc for r in d.collect()), anchors(d))[1])
+    assert got(S.remove_repeats(frame(spark, rows))) == brute(rows)
+    assert sorted(scanned) == [0, 1, 2, 3, 20, 21, 22, 23]
+
+
+@pytest.mark.parametrize("line", [70, 300])
+def test_hot_grams_compare_few_strings(spark, line, monkeypatch):
+    """A line in very many documents: equal contexts meet as one, and contexts that differ around a short line give no strings."""
+    rng = random.Random(line)
+    hot = words(rng, 60)[:line]
+    rows = [(i, words(rng, 40) + "\n" + hot + "\n" + words(rng, 40), "en", "s") for i in range(40)]
+    rows += [(40 + i, f"same before {hot} same after, for {100 - line // 3} bytes and more of them", "en", "s") for i in range(3)]
+    sizes, kept = {}, S.stored
+
+    def counted(df, name, *args):
+        out = kept(df, name, *args)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(S, "stored", counted)
+    monkeypatch.setattr(S, "anchors", lambda d: spark.createDataFrame(_scan(d, 2 << 20), S.ANCHORS))
+    monkeypatch.setattr(S, "partnered", lambda d: spark.createDataFrame(_partners(d, 3), S.ANCHORS + ", block long"))
+    assert got(S.remove_repeats(frame(spark, rows))) == brute(rows)
+    assert sizes["hot-contexts"] >= 40
+    if line == 300:  # the line holds whole contexts, each of which every document has
+        assert sizes["hot-heads"] < sizes["hot-contexts"] / 2
+    else:
+        assert sizes["hot-shared"] < sizes["hot-heads"] / 4
+
+
+def test_contexts_are_the_bytes_of_the_runs(spark):
+    """Cut by place in bytes, also in a text of many bytes to a character and of many anchors."""
+    rng = random.Random(8)
+    text = "é€𝄞".join(words(rng, 12) for _ in range(400))
+    raw = text.encode()
+    found = [(g, 0, p, False) for g, _, p in _scan(frame(spark, [(7, text, "", "")]).withColumnRenamed("doc_id", "doc"), 1 << 20) if p >= 0]
+    kind = "doc long, text string, anchors array<struct<gram: long, block: long, place: long, hot: boolean>>"
+    texts = spark.createDataFrame([(7, text, found), (8, "x", [])], kind)
+    rows = S.contexts_of(texts).collect()
+    assert len(rows) == len(found) > 200 and {r.doc for r in rows} == {7}
+    for r, (g, _, p, _) in zip(sorted(rows, key=lambda r: r["at"]), sorted(found, key=lambda f: f[2] >> 16), strict=True):
+        first = (p >> 16) - (p >> 8 & 255)
+        assert (r.gram, r["at"], r["first"]) == (g, p >> 16, first)
+        assert r.bytes == raw[first : first + (p & 255) + S.LENGTH]
+    assert S.contexts_of(texts, hot_only=True).count() == 0
+
+
 def test_empty(empty):
     assert S.remove_repeats(empty).collect() == []
